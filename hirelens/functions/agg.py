@@ -1,6 +1,7 @@
 """Exact, engine-independent aggregate helpers.
 
-Money averages: salaries are summed exactly in cents (DECIMAL(38,0), no
+Money averages: salaries are summed exactly in cents (BIGINT: exact up to
+9.2e16 currency units per group, and ANSI mode fails loudly beyond; no
 floating-point order effects) and the mean is rounded half-up to 4 places
 with integer arithmetic. Ratios are one division of two exact counts. Both
 give the same double in any engine and any partitioning, so results are
@@ -34,7 +35,7 @@ def money_mean(cents_sum: Column, n: Column) -> Column:
 def money_avg(col) -> Column:
     """Aggregate: exact mean of a money column (see module doc)."""
     c = cents(col)
-    return money_mean(F.sum(c.cast("decimal(38,0)")), F.count(c))
+    return money_mean(F.sum(c), F.count(c))
 
 
 def ratio(cond: Column) -> Column:

@@ -31,15 +31,37 @@ def _ratio(cond: Column) -> Column:
     return ratio(cond)
 
 
-def _salary_aggs(percentiles: bool) -> list[Column]:
+def _salary_aggs(percentiles: bool, extra_min: float | None = None,
+                 extra_max: float | None = None) -> list[Column]:
+    """Money averages, and optionally exact medians (plus one extra
+    percentile per column). Several percentiles of one column share one
+    aggregation buffer (``percentile(col, array(..))``)."""
     out = [money_avg("salary_min").alias("avg_salary_min"),
            money_avg("salary_max").alias("avg_salary_max")]
     if percentiles:
-        out += [_r(F.median("salary_min")).alias("median_salary_min"),
-                _r(F.median("salary_max")).alias("median_salary_max")]
+        out += [F.percentile("salary_min", [0.5] + ([extra_min] if extra_min else [])).alias("_pmin"),
+                F.percentile("salary_max", [0.5] + ([extra_max] if extra_max else [])).alias("_pmax")]
     return out
 
 
+def _percentile_cols(extra_min: str | None = None, extra_max: str | None = None) -> list[Column]:
+    out = [_r(F.get("_pmin", 0)).alias("median_salary_min"), _r(F.get("_pmax", 0)).alias("median_salary_max")]
+    if extra_min:
+        out.append(_r(F.get("_pmin", 1)).alias(extra_min))
+    if extra_max:
+        out.append(_r(F.get("_pmax", 1)).alias(extra_max))
+    return out
+
+
+def _rank_in(df: DataFrame, partition_cols: list[str], order_col: str, out_col: str) -> DataFrame:
+    """SQL ``rank()`` (ties share a rank) over already-aggregated gold rows:
+    a partition holds at most one row per dimension value (skill, company,
+    ...), never raw postings, so its size is bounded by dimension
+    cardinality, not by data volume."""
+    w = Window.partitionBy(*partition_cols).orderBy(F.col(order_col).desc())
+    return df.withColumn(out_col, F.rank().over(w))
+
+
 def exploded_skills(silver: DataFrame, *cols: str) -> DataFrame:
     """One row per (posting, distinct non-empty skill); only the needed
     columns are carried (narrow select before explode)."""
@@ -51,13 +73,15 @@ def job_facts_daily(silver: DataFrame) -> DataFrame:
     """A6 gold_job_facts_daily."""
     keys = ["date_key", "source", "city", "category_level_1", "category_level_2",
             "category_level_3", "level_normalized", "employment_type"]
-    return (silver.withColumn("date_key", enums.date_key("posting_date"))
-            .groupBy(*keys)
-            .agg(F.count(F.lit(1)).alias("job_count"),
-                 F.count_distinct("company_name").alias("distinct_company_count"),
-                 *_salary_aggs(True),
-                 _ratio(F.col("english_required")).alias("english_required_ratio"),
-                 _ratio(F.col("has_benefits")).alias("benefit_coverage_ratio")))
+    agg = (silver.withColumn("date_key", enums.date_key("posting_date"))
+           .groupBy(*keys)
+           .agg(F.count(F.lit(1)).alias("job_count"),
+                F.count_distinct("company_name").alias("distinct_company_count"),
+                *_salary_aggs(True),
+                _ratio(F.col("english_required")).alias("english_required_ratio"),
+                _ratio(F.col("has_benefits")).alias("benefit_coverage_ratio")))
+    return agg.select(*keys, "job_count", "distinct_company_count", "avg_salary_min", "avg_salary_max",
+                      *_percentile_cols(), "english_required_ratio", "benefit_coverage_ratio")
 
 
 def skill_counts_daily(silver: DataFrame) -> DataFrame:
@@ -69,19 +93,19 @@ def skill_counts_daily(silver: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("job_count"),
         F.count_distinct("company_name").alias("distinct_company_count"),
         *_salary_aggs(False))
-    agg = rank_desc(agg, ["date_key", "source"], "job_count", "skill_rank_in_day")
-    return rank_desc(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
+    agg = _rank_in(agg, ["date_key", "source"], "job_count", "skill_rank_in_day")
+    return _rank_in(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
 
 
 def salary_stats_by_skill_month(silver: DataFrame) -> DataFrame:
     """A8 gold_salary_stats_by_skill_month (exact interpolated percentiles)."""
     ex = exploded_skills(silver.withColumn("month_key", enums.month_key("posting_date")),
                          "month_key", "city", "category_level_3", "salary_min", "salary_max")
-    return ex.groupBy("month_key", "skill", "city", "category_level_3").agg(
-        F.count(F.lit(1)).alias("job_count"),
-        *_salary_aggs(True),
-        _r(F.percentile("salary_min", 0.25)).alias("p25_salary_min"),
-        _r(F.percentile("salary_max", 0.75)).alias("p75_salary_max"))
+    keys = ["month_key", "skill", "city", "category_level_3"]
+    agg = ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("job_count"),
+                                *_salary_aggs(True, extra_min=0.25, extra_max=0.75))
+    return agg.select(*keys, "job_count", "avg_salary_min", "avg_salary_max",
+                      *_percentile_cols("p25_salary_min", "p75_salary_max"))
 
 
 def company_hiring_by_month(silver: DataFrame) -> DataFrame:
@@ -91,7 +115,7 @@ def company_hiring_by_month(silver: DataFrame) -> DataFrame:
            .agg(F.count(F.lit(1)).alias("job_count"),
                 F.count_distinct("job_title").alias("distinct_job_title_count"),
                 *_salary_aggs(False)))
-    return rank_desc(agg, ["month_key", "city"], "job_count", "hiring_rank_in_city")
+    return _rank_in(agg, ["month_key", "city"], "job_count", "hiring_rank_in_city")
 
 
 def skill_pairs(silver: DataFrame, *cols: str) -> DataFrame:
@@ -128,8 +152,10 @@ def skill_rank_overall(silver: DataFrame) -> DataFrame:
     overall = ex.groupBy("skill").agg(
         F.count(F.lit(1)).alias("skill_job_count"),
         F.count_distinct("company_name").alias("skill_distinct_company_count"))
+    # A global rank has no partition key: the histogram rank keeps only the
+    # distinct counts in one task instead of every skill row.
     overall = rank_desc(overall, [], "skill_job_count", "skill_rank_overall")
-    by_city = rank_desc(by_city, ["city"], "skill_job_count_city", "skill_rank_by_city")
+    by_city = _rank_in(by_city, ["city"], "skill_job_count_city", "skill_rank_by_city")
     return by_city.join(overall, "skill")
 
 

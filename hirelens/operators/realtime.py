@@ -62,7 +62,7 @@ def _sliced(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min:
     sl = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide_s) * slide_s)
     aggs = [F.count("job_id").alias("_cnt")]
     for c in sums:
-        aggs += [F.sum(cents(c).cast("decimal(38,0)")).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+        aggs += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
     pre = df.withColumn("_slice", sl).groupBy("_slice", *keys, "company_name").agg(*aggs)
     ex = pre.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) \
         .withColumn("_start", F.col("_slice") - F.make_dt_interval(mins=F.col("_k") * slide_min)) \
@@ -92,7 +92,7 @@ def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int,
     aggs = [F.count("job_id").alias("job_count"),
             F.size(F.collect_set("company_name")).cast("bigint").alias("distinct_company_count")]
     for c in sums:
-        aggs.append(money_mean(F.sum(cents(c).cast("decimal(38,0)")), F.count(c)).alias(f"avg_{c}"))
+        aggs.append(money_mean(F.sum(cents(c)), F.count(c)).alias(f"avg_{c}"))
     g = df.withWatermark(ts, watermark) \
         .groupBy(F.window(ts, f"{window_min} minutes", f"{slide_min} minutes"), *keys).agg(*aggs)
     return g.select(enums.time_bucket("window.start").alias("time_bucket"),
