@@ -1,0 +1,71 @@
+"""Stream A (speed layer): validate -> clean -> normalize -> watermark + dedup
+-> two window aggregates -> speed-view tables.
+
+One normalized stream feeds both aggregates; each aggregate is its own
+streaming query (its own state and checkpoint) writing keyed speed-view rows
+through ``foreachBatch`` on the executors.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from hirelens import schemas
+from hirelens.functions.constants import STREAM_A_WATERMARK
+from hirelens.operators import messages, realtime
+from hirelens.sinks import keyed
+
+
+def main_stream(raw: DataFrame, watermark: str = STREAM_A_WATERMARK, dedup: bool = True) -> DataFrame:
+    """Messages -> normalized, deduplicated events."""
+    norm = messages.normalize_events(messages.clean_events(
+        messages.parse_messages(raw, schemas.RAW_EVENT)))
+    if not dedup:
+        return norm.withWatermark("event_ts", watermark) if raw.isStreaming else norm
+    return realtime.dedup_jobs(norm, watermark=watermark)
+
+
+def aggregates(main: DataFrame) -> dict[str, DataFrame]:
+    """A1 and A2 over the main stream (watermark inherited from it)."""
+    return {"job_counts_10m": realtime.job_counts_10m(main),
+            "skill_counts_30m": realtime.skill_counts_30m(main)}
+
+
+VIEW_FIELDS = {"job_counts_10m": ("location_city", "job_count"),
+               "skill_counts_30m": ("skill", "skill_count")}
+
+
+def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
+          watermark: str = STREAM_A_WATERMARK) -> list[StreamingQuery]:
+    """Start both aggregate queries in update mode. Each micro-batch is
+    written as keyed speed-view rows under ``out_root/<view>/batch_id=N``
+    (idempotent on retry); read back with :func:`keyed.current_view`."""
+    trigger = trigger or {"processingTime": "10 seconds"}
+    queries = []
+    for view, agg in aggregates(main_stream(raw, watermark)).items():
+        field, value = VIEW_FIELDS[view]
+        root = os.path.join(out_root, view)
+
+        def sink(batch: DataFrame, batch_id: int, _view=view, _root=root, _f=field, _v=value):
+            keyed.write_delta(keyed.speed_view_rows(batch, _view, _f, _v), _root, batch_id)
+
+        q = (agg.writeStream.outputMode("update").foreachBatch(sink)
+             .option("checkpointLocation", os.path.join(checkpoint_root, view))
+             .queryName(f"speed_{view}").trigger(**trigger).start())
+        queries.append(q)
+    return queries
+
+
+def start_console(raw: DataFrame, checkpoint_root: str, watermark: str = STREAM_A_WATERMARK,
+                  fmt: str = "console", name: str = "speed_main") -> StreamingQuery:
+    """SK6: debug output of the main stream (console or memory sink)."""
+    w = main_stream(raw, watermark).writeStream.outputMode("append").format(fmt) \
+        .option("checkpointLocation", os.path.join(checkpoint_root, "main_" + fmt))
+    if fmt == "memory":
+        w = w.queryName(name)
+    else:
+        w = w.option("truncate", False).option("numRows", 10)
+    return w.start()
