@@ -18,10 +18,17 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# Common named HTML entities (HTML standard); ``&amp;`` is decoded last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
+            ("&nbsp;", "\u00a0"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"), ("&trade;", "\u2122"),
+            ("&middot;", "\u00b7"), ("&bull;", "\u2022"), ("&hellip;", "\u2026"), ("&ndash;", "\u2013"),
+            ("&mdash;", "\u2014"), ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&euro;", "\u20ac")]
+
+
 def unescape_entities(col) -> Column:
-    """The common named / numeric entities (``&amp;`` last)."""
+    """The common named entities of :data:`ENTITIES`, then ``&amp;``."""
     t = _c(col)
-    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\u00a0")):
+    for a, b in ENTITIES:
         t = F.replace(t, F.lit(a), F.lit(b))
     return F.replace(t, F.lit("&amp;"), F.lit("&"))
 

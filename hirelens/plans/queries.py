@@ -667,14 +667,20 @@ def q_k1(spark, sf_dir):
                     urls.ensure_scheme("url").alias("url_with_scheme"))
 
 
+def _unescape_sql(t: str) -> str:
+    """SQL twin of :func:`hirelens.functions.html.unescape_entities`."""
+    for a, b in html.ENTITIES + [("&amp;", "&")]:
+        t = f"replace({t}, '{a}', chr({ord(b)}))"
+    return t
+
+
 PAGE_TEXT_SQL = """
 ph AS (SELECT page_id, html,
          regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<(script|style|template)\\b.*?</(script|style|template)\\s*>', ' ', 'g'),
            '(?s)<!--.*?-->', ' ', 'g'), '(?is)<!doctype[^>]*>', ' ', 'g') AS body FROM pages),
 pt AS (SELECT page_id, html,
          array_to_string(list_filter(list_transform(string_split_regex(body, '<[^>]*>'),
-           lambda x: """ + _strip(
-    "replace(replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&')") + """),
+           lambda x: """ + _strip(_unescape_sql("x")) + """),
            lambda x: x <> ''), chr(10)) AS page_text
        FROM ph)
 """
@@ -695,12 +701,15 @@ def q_x10(spark, sf_dir):
                                         "has_title_signal", "looks_blocked")
 
 
-@query("x2_page_title", """
-SELECT page_id, coalesce(NULLIF(h1, ''), NULLIF(tt, '')) AS title FROM (
-  SELECT page_id,
-    """ + _strip("regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1), ''), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&'), '\\s+', ' ', 'g')") + """ AS h1,
-    """ + _strip("regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace(coalesce(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), '&nbsp;', chr(160)), '&amp;', '&'), '\\s+', ' ', 'g')") + """ AS tt
-  FROM pages)""")
+def _elem_text_sql(tag: str, html_col: str = "html") -> str:
+    """SQL twin of :func:`hirelens.functions.html.element_text`."""
+    t = f"regexp_replace(coalesce(regexp_extract({html_col}, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), ''), " \
+        "'<[^>]*>', ' ', 'g')"
+    return _strip(f"regexp_replace({_unescape_sql(t)}, '\\s+', ' ', 'g')")
+
+
+@query("x2_page_title", "SELECT page_id, coalesce(NULLIF(" + _elem_text_sql("h1") + ", ''), NULLIF("
+       + _elem_text_sql("title") + ", '')) AS title FROM pages")
 def q_x2(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages")
     return p.select("page_id", html.page_title("html").alias("title"))
@@ -720,3 +729,14 @@ def q_p1(spark, sf_dir):
         rec = rec.withColumn(c, F.lit(None).cast("string"))
     flat = messages.to_flat_event(rec, crawled_at=F.lit(""), ingest_ts=F.lit(""), keep=("page_id",))
     return flat.select("page_id", "job_id", "source", "source_url", "description_text")
+
+
+@query("x3_x8_extract_pages", "WITH " + PAGE_TEXT_SQL + """
+SELECT pt.page_id, NULLIF(""" + _elem_text_sql("h1", "p.html") + """, '') AS title,
+       length(pt.page_text) AS page_text_chars
+FROM pt JOIN pages p ON pt.page_id = p.page_id""")
+def q_x3_x8(spark, sf_dir):
+    from hirelens.operators.pages import extract_pages
+    out = extract_pages(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", F.nullif("title", F.lit("")).alias("title"),
+                      F.length("page_text").alias("page_text_chars"))
