@@ -28,10 +28,11 @@ BENEFIT_TAGS = [
     ("travel", ["du lịch", "travel"]),
     ("bonus_13th_month", ["tháng 13", "lương tháng 13", "13th month"]),
 ]
-ENGLISH_PATTERN = r"(?i)(tiếng anh|english|toeic|ielts)"
-WEEKEND_PATTERN = r"(?i)(thứ 7|thứ bảy|cuối tuần|weekend|saturday)"
-LANGUAGE_PATTERNS = [("english", ENGLISH_PATTERN), ("japanese", r"(?i)(tiếng nhật|japanese|jlpt)"),
-                     ("korean", r"(?i)(tiếng hàn|korean|topik)"), ("chinese", r"(?i)(tiếng trung|chinese|hsk)")]
+# Patterns are matched against lower-cased text (no engine-specific flags).
+ENGLISH_PATTERN = "(tiếng anh|english|toeic|ielts)"
+WEEKEND_PATTERN = "(thứ 7|thứ bảy|cuối tuần|weekend|saturday)"
+LANGUAGE_PATTERNS = [("english", ENGLISH_PATTERN), ("japanese", "(tiếng nhật|japanese|jlpt)"),
+                     ("korean", "(tiếng hàn|korean|topik)"), ("chinese", "(tiếng trung|chinese|hsk)")]
 
 
 def skill_taxonomy(spark: SparkSession) -> DataFrame:
@@ -74,7 +75,21 @@ def benefit_tags(text_col) -> Column:
     return F.array_compact(F.array(*tags))
 
 
+def _lower(text_col) -> Column:
+    return F.lower(F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit("")))
+
+
+def english_required(text_col) -> Column:
+    """English mentioned as a requirement."""
+    return _lower(text_col).rlike(ENGLISH_PATTERN)
+
+
+def weekend_rotation(text_col) -> Column:
+    """Weekend / Saturday work mentioned."""
+    return _lower(text_col).rlike(WEEKEND_PATTERN)
+
+
 def language_requirements(text_col) -> Column:
     """Languages mentioned in the requirements text."""
-    t = F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit(""))
+    t = _lower(text_col)
     return F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in LANGUAGE_PATTERNS]))

@@ -16,7 +16,6 @@ from hirelens.functions import enums, taxonomy, text, urls
 from hirelens.functions.constants import SKILL_NOISE
 from hirelens.functions.salary import parse_salary, salary_flags
 from hirelens.operators import keys
-from hirelens.operators.messages import CORRUPT
 from hirelens.operators.quality import quality_score, raw_quality_flags
 
 
@@ -87,14 +86,21 @@ def bronze_dedup(b: DataFrame) -> DataFrame:
     return keys.bronze_dedup(b, order=("ingest_ts",)).drop("duplicate_count")
 
 
-def _first_present(*pairs: tuple[str, Column]) -> tuple[Column, Column]:
-    """Value from the highest-priority source that has one, and which
-    source was used."""
-    val = F.coalesce(*[F.nullif(F.trim(c.cast("string")), F.lit("")) for _, c in pairs])
+def first_present(*pairs: tuple[str, Column]) -> tuple[Column, Column, Column]:
+    """Value from the highest-priority source that has one, which source
+    was used, and a conflict flag (the top two sources both present and
+    different), for the conflict log."""
+    vals = [F.nullif(F.trim(c.cast("string")), F.lit("")) for _, c in pairs]
+    val = F.coalesce(*vals)
     used = None
-    for name, c in pairs:
-        cond = F.nullif(F.trim(c.cast("string")), F.lit("")).isNotNull()
-        used = F.when(cond, F.lit(name)) if used is None else used.when(cond, F.lit(name))
+    for (name, _), v in zip(pairs, vals):
+        used = F.when(v.isNotNull(), F.lit(name)) if used is None else used.when(v.isNotNull(), F.lit(name))
+    conflict = F.coalesce(vals[0] != vals[1], F.lit(False)) if len(vals) > 1 else F.lit(False)
+    return val, used, conflict
+
+
+def _first_present(*pairs):
+    val, used, _ = first_present(*pairs)
     return val, used
 
 
@@ -157,9 +163,9 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         F.get("categories_raw", 1).alias("category_level_2"),
         F.get("categories_raw", 2).alias("category_level_3"),
         taxonomy.benefit_tags(F.col("benefits_raw")).alias("benefits_tags"),
-        F.col("benefits_raw").rlike(taxonomy.WEEKEND_PATTERN).alias("requires_weekend_rotation"),
+        taxonomy.weekend_rotation("benefits_raw").alias("requires_weekend_rotation"),
         taxonomy.language_requirements(F.col("requirements_raw")).alias("language_requirements"),
-        F.coalesce(F.col("requirements_raw"), F.lit("")).rlike(taxonomy.ENGLISH_PATTERN).alias("english_required"),
+        taxonomy.english_required("requirements_raw").alias("english_required"),
         text.clean_text("description_raw").alias("description_text"),
         text.clean_text("requirements_raw").alias("requirements_text"),
         text.clean_text("benefits_raw").alias("benefits_text"),
@@ -200,5 +206,3 @@ def query_tables(silver_latest_df: DataFrame) -> dict[str, DataFrame]:
             "salary_by_skill_month": gold.salary_stats_by_skill_month(silver_latest_df),
             "company_by_month": gold.company_hiring_by_month(silver_latest_df)}
 
-
-_ = CORRUPT

@@ -740,3 +740,180 @@ def q_x3_x8(spark, sf_dir):
     out = extract_pages(read_table(spark, sf_dir, "pages"))
     return out.select("page_id", F.nullif("title", F.lit("")).alias("title"),
                       F.length("page_text").alias("page_text_chars"))
+
+
+# ===================================================== documents x labels
+
+@query("n10_j5_source_priority_documents", """
+SELECT d.doc_id,
+       coalesce(NULLIF(trim(CASE WHEN l.quality = 1 THEN d.source END), ''), NULLIF(trim(d.lang), '')) AS company_name,
+       CASE WHEN NULLIF(trim(CASE WHEN l.quality = 1 THEN d.source END), '') IS NOT NULL THEN 'structured'
+            WHEN NULLIF(trim(d.lang), '') IS NOT NULL THEN 'page' END AS company_name_source,
+       coalesce(NULLIF(trim(CASE WHEN l.quality = 1 THEN d.source END), '') <> NULLIF(trim(d.lang), ''), false) AS has_conflict
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+def q_n10(spark, sf_dir):
+    from hirelens.operators.medallion import first_present
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    j = d.join(lab, "doc_id", "left")  # J5: structured evidence + page evidence per key
+    structured = F.when(F.col("quality") == 1, F.col("source"))
+    val, used, conflict = first_present(("structured", structured), ("page", F.col("lang")))
+    return j.select("doc_id", val.alias("company_name"), used.alias("company_name_source"),
+                    conflict.alias("has_conflict"))
+
+
+QUALITY_SQL = """
+q AS (SELECT d.doc_id, d.source, d.n_chars > 0 AS has_text, l.doc_id IS NOT NULL AS has_label,
+             coalesce(l.quality = 1, false) AS quality_ok, coalesce(l.toxic, 0) = 0 AS non_toxic,
+             d.lang IS NOT NULL AS lang_known
+      FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id),
+qs AS (SELECT *, CAST(has_text AS INTEGER) + CAST(has_label AS INTEGER) + CAST(quality_ok AS INTEGER)
+                 + CAST(non_toxic AS INTEGER) + CAST(lang_known AS INTEGER) AS passed FROM q)
+"""
+
+
+@query("n23_quality_score_documents", "WITH " + QUALITY_SQL + """
+SELECT doc_id, round(CAST(passed AS DOUBLE) / 5.0, 10) AS data_quality_score,
+       concat_ws(',', CASE WHEN NOT has_text THEN 'has_text' END, CASE WHEN NOT has_label THEN 'has_label' END,
+                 CASE WHEN NOT quality_ok THEN 'quality_ok' END, CASE WHEN NOT non_toxic THEN 'non_toxic' END,
+                 CASE WHEN NOT lang_known THEN 'lang_known' END) AS data_quality_notes
+FROM qs""")
+def q_n23(spark, sf_dir):
+    from hirelens.operators import quality
+    f = _doc_quality_flags(spark, sf_dir)
+    score, notes = quality.quality_score({k: F.col(k) for k in DOC_FLAGS})
+    return f.select("doc_id", score.alias("data_quality_score"), notes.alias("data_quality_notes"))
+
+
+DOC_FLAGS = ["has_text", "has_label", "quality_ok", "non_toxic", "lang_known"]
+
+
+def _doc_quality_flags(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", "lang")
+    lab = read_table(spark, sf_dir, "labels")
+    j = d.join(lab.withColumn("_l", F.lit(True)), "doc_id", "left")
+    return j.select("doc_id", "source", (F.col("n_chars") > 0).alias("has_text"),
+                    F.col("_l").isNotNull().alias("has_label"),
+                    F.coalesce(F.col("quality") == 1, F.lit(False)).alias("quality_ok"),
+                    (F.coalesce("toxic", F.lit(0)) == 0).alias("non_toxic"),
+                    F.col("lang").isNotNull().alias("lang_known"))
+
+
+@query("a11_quality_coverage_by_source", "WITH " + QUALITY_SQL + """
+SELECT source, count(*) AS doc_count,
+       sum(passed) / (5 * count(*)) AS data_quality_coverage,
+       count(*) FILTER (WHERE has_label) / count(*) AS label_coverage,
+       count(*) FILTER (WHERE quality_ok) / count(*) AS quality_ok_ratio
+FROM qs GROUP BY ALL""")
+def q_a11q(spark, sf_dir):
+    from hirelens.functions.agg import ratio
+    f = _doc_quality_flags(spark, sf_dir)
+    passed = sum((F.col(k).cast("int") for k in DOC_FLAGS), F.lit(0))
+    return f.withColumn("_p", passed).groupBy("source").agg(
+        F.count(F.lit(1)).alias("doc_count"),
+        (F.sum("_p") / (F.count(F.lit(1)) * 5)).alias("data_quality_coverage"),
+        ratio(F.col("has_label")).alias("label_coverage"),
+        ratio(F.col("quality_ok")).alias("quality_ok_ratio"))
+
+
+def _benefit_sql(col: str) -> str:
+    from hirelens.functions.taxonomy import BENEFIT_TAGS
+    parts = []
+    for tag, words in BENEFIT_TAGS:
+        cond = " OR ".join(f"contains(lower({col}), '{w}')" for w in words)
+        parts.append(f"count(*) FILTER (WHERE {cond}) / count(*) AS {tag}_ratio")
+    anyc = " OR ".join(f"contains(lower({col}), '{w}')" for _, ws in BENEFIT_TAGS for w in ws)
+    parts.append(f"count(*) FILTER (WHERE {anyc}) / count(*) AS benefit_coverage_ratio")
+    return ",\n       ".join(parts)
+
+
+def _english_sql(col: str) -> str:
+    from hirelens.functions.taxonomy import ENGLISH_PATTERN
+    return f"regexp_matches(lower(coalesce({col}, '')), '{ENGLISH_PATTERN}')"
+
+
+@query("a13_n19_benefit_ratios_documents", "SELECT source, count(*) AS doc_count,\n       " + _benefit_sql("text")
+       + ",\n       count(*) FILTER (WHERE " + _english_sql("text") + ") / count(*) AS english_required_ratio"
+       + "\nFROM documents GROUP BY ALL")
+def q_a13(spark, sf_dir):
+    from hirelens.functions import taxonomy
+    from hirelens.functions.agg import ratio
+    d = read_table(spark, sf_dir, "documents").select("source", taxonomy.benefit_tags("text").alias("tags"),
+                                                      taxonomy.english_required("text").alias("eng"))
+    aggs = [ratio(F.array_contains("tags", tag)).alias(f"{tag}_ratio") for tag, _ in taxonomy.BENEFIT_TAGS]
+    return d.groupBy("source").agg(F.count(F.lit(1)).alias("doc_count"), *aggs,
+                                   ratio(F.size("tags") > 0).alias("benefit_coverage_ratio"),
+                                   ratio(F.col("eng")).alias("english_required_ratio"))
+
+
+# ============================================================ experience
+
+@query("n11_n12_experience_part", """
+WITH t AS (SELECT p_partkey, CASE p_type WHEN 'SMALL' THEN CAST(p_size AS VARCHAR) || ' tháng'
+                                  WHEN 'LARGE' THEN '1-' || CAST(p_size AS VARCHAR) || ' năm'
+                                  WHEN 'PROMO' THEN 'Không yêu cầu kinh nghiệm'
+                                  ELSE CAST(p_size AS VARCHAR) || '.5 năm' END AS txt FROM part),
+n AS (SELECT p_partkey, lower(txt) AS lt,
+             list_transform(regexp_extract_all(lower(txt), '\\d+(?:[.,]\\d+)?'), lambda x: TRY_CAST(replace(x, ',', '.') AS DOUBLE)) AS nums
+      FROM t),
+m AS (SELECT p_partkey,
+        CASE WHEN regexp_matches(lt, 'không yêu cầu|no experience|chưa có kinh nghiệm') AND len(nums) = 0 THEN 0
+             ELSE CAST(round(nums[1] * CASE WHEN regexp_matches(lt, 'năm|year') THEN 12.0
+                                           WHEN regexp_matches(lt, 'tháng|month') THEN 1.0 ELSE 12.0 END) AS INTEGER) END
+          AS experience_months_min,
+        CAST(round(nums[2] * CASE WHEN regexp_matches(lt, 'năm|year') THEN 12.0
+                                  WHEN regexp_matches(lt, 'tháng|month') THEN 1.0 ELSE 12.0 END) AS INTEGER)
+          AS experience_months_max
+      FROM n)
+SELECT *, CASE WHEN experience_months_min IS NULL THEN 'unknown' WHEN experience_months_min < 24 THEN 'junior'
+               WHEN experience_months_min < 60 THEN 'mid' ELSE 'senior' END AS experience_bucket
+FROM m""")
+def q_n11(spark, sf_dir):
+    p = read_table(spark, sf_dir, "part")
+    sz = F.col("p_size").cast("string")
+    txt = F.when(F.col("p_type") == "SMALL", F.concat(sz, F.lit(" tháng"))) \
+        .when(F.col("p_type") == "LARGE", F.concat(F.lit("1-"), sz, F.lit(" năm"))) \
+        .when(F.col("p_type") == "PROMO", F.lit("Không yêu cầu kinh nghiệm")) \
+        .otherwise(F.concat(sz, F.lit(".5 năm")))
+    e = enums.experience_months(txt)
+    return p.select("p_partkey", e["experience_months_min"].alias("experience_months_min"),
+                    e["experience_months_max"].alias("experience_months_max"),
+                    enums.experience_bucket(e["experience_months_min"]).alias("experience_bucket"))
+
+
+# ================================================================= rollup
+
+@query("o1_category_rollup", with_j("""
+SELECT category_level_1, category_level_2, CAST(grouping_id(category_level_1, category_level_2) AS INTEGER) AS grouping_level,
+       count(*) AS job_count, """ + MA("salary_min") + """ AS avg_salary_min
+FROM jl GROUP BY ROLLUP (category_level_1, category_level_2)"""))
+def q_o1(spark, sf_dir):
+    from hirelens.functions.agg import money_avg
+    jl = jobs_view.jobs_latest(spark, sf_dir)
+    return jl.rollup("category_level_1", "category_level_2").agg(
+        F.grouping_id().cast("int").alias("grouping_level"), F.count(F.lit(1)).alias("job_count"),
+        money_avg("salary_min").alias("avg_salary_min"))
+
+
+# ===================================================== document contract
+
+@query("v7_document_contract_check", with_j(""",
+docs AS (SELECT job_id, CASE WHEN status <> 'P' THEN hash_content END AS content_hash, job_title, company_name, city,
+                CASE WHEN status = 'F' THEN strftime(posting_date, '%d/%m/%Y') ELSE strftime(posting_date, '%Y-%m-%d') END AS event_date,
+                strftime(ingest_ts, '%Y-%m-%dT%H:%M:%S') AS fetched_at, 'https://tpch.example/' || job_id AS job_url
+         FROM jl),
+e AS (SELECT concat_ws(',', CASE WHEN content_hash IS NULL OR content_hash = '' THEN 'missing:content_hash' END,
+                 CASE WHEN event_date IS NOT NULL AND NOT regexp_full_match(event_date, '\\d{4}-\\d{2}-\\d{2}') THEN 'bad_format:event_date' END) AS contract_errors
+      FROM docs)
+SELECT contract_errors, count(*) AS doc_count FROM e GROUP BY ALL"""))
+def q_v7(spark, sf_dir):
+    jl = jobs_view.jobs_latest(spark, sf_dir)
+    docs = jl.select("job_id", F.when(F.col("status") != "P", F.col("hash_content")).alias("content_hash"),
+                     "job_title", "company_name", "city",
+                     F.when(F.col("status") == "F", F.date_format("posting_date", "dd/MM/yyyy"))
+                     .otherwise(enums.date_key("posting_date")).alias("event_date"),
+                     F.date_format("ingest_ts", "yyyy-MM-dd'T'HH:mm:ss").alias("fetched_at"),
+                     F.concat(F.lit("https://tpch.example/"), "job_id").alias("job_url"))
+    checked = messages.document_contract_errors(docs)
+    return checked.groupBy(F.array_join("contract_errors", ",").alias("contract_errors")) \
+        .agg(F.count(F.lit(1)).alias("doc_count"))
