@@ -120,7 +120,7 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
     months = F.coalesce(jp["experienceRequirements"]["monthsOfExperience"].try_cast("int"),
                         exp_raw["experience_months_min"], exp_req["experience_months_min"])
     city_struct = jp["jobLocation"]["address"]
-    city = F.coalesce(text.normalize_city(F.nullif(city_struct["addressRegion"], F.lit(""))),
+    city = F.coalesce(F.nullif(text.normalize_city(city_struct["addressRegion"]), F.lit("")),
                       F.nullif(text.normalize_city("location_raw"), F.lit("")))
     base = jp["baseSalary"]
     s_min = F.coalesce(base["value"]["minValue"].try_cast("double"), sal_raw["salary_min"], sal_ben["salary_min"])
