@@ -30,11 +30,22 @@ def parse_json(col: Column, schema: T.StructType) -> Column:
                        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
 
 
+def parsed_columns(parsed: Column) -> Column:
+    """Expand a parsed struct into top-level columns through a generator
+    (``inline_outer`` of a one-element array).
+
+    Downstream filters on the parsed fields cannot be pushed below a
+    generator, so the JSON text is parsed once per row; pushed through a
+    plain projection, every reference would re-run ``from_json``."""
+    return F.inline_outer(F.array(parsed))
+
+
 def parse_messages(df: DataFrame, schema: T.StructType = schemas.RAW_EVENT,
                    ingest_time: Column | None = None) -> DataFrame:
     """V1: cast key / value, keep the queue metadata, parse the JSON value,
     flag ``is_parse_ok`` and stamp the validation time (``ingest_time``;
     defaults to the processing time, batch callers pass a column)."""
+    meta = ["kafka_key", "raw_json", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts"]
     parsed = df.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("value").cast("string").alias("raw_json"),
@@ -42,12 +53,10 @@ def parse_messages(df: DataFrame, schema: T.StructType = schemas.RAW_EVENT,
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
         F.col("timestamp").alias("kafka_ts"),
-    ).withColumn("_p", parse_json(F.col("raw_json"), schema))
-    ok = F.col("raw_json").isNotNull() & F.col("_p").isNotNull() & F.col(f"_p.{CORRUPT}").isNull()
+    ).select(*meta, parsed_columns(parse_json(F.col("raw_json"), schema)))
+    ok = F.col("raw_json").isNotNull() & F.col(CORRUPT).isNull()
     return parsed.select(
-        "kafka_key", "raw_json", "kafka_topic", "kafka_partition", "kafka_offset", "kafka_ts",
-        ok.alias("is_parse_ok"),
-        *[F.col(f"_p.{f.name}").alias(f.name) for f in schema.fields],
+        *meta, ok.alias("is_parse_ok"), *[F.col(f.name) for f in schema.fields],
     ).withColumn("validated_ingest_ts", ingest_time if ingest_time is not None else F.current_timestamp())
 
 
@@ -110,9 +119,8 @@ def parse_clean(df: DataFrame, value_col: str = "value") -> DataFrame:
     """V3: clean-event JSON -> columns; event_time from event_ts, else the
     message time (replay-stable, unlike the wall clock); NULL job_id dropped."""
     p = df.select(F.col(value_col).cast("string").alias("raw_json"),
-                  F.col("timestamp").alias("kafka_ts")) \
-        .withColumn("d", F.from_json("raw_json", schemas.CLEAN_EVENT))
-    return p.select("d.*", "kafka_ts") \
+                  F.col("timestamp").alias("kafka_ts"))
+    return p.select(parsed_columns(F.from_json("raw_json", schemas.CLEAN_EVENT)), "kafka_ts") \
         .withColumn("event_time", F.coalesce(F.try_to_timestamp("event_ts"), F.col("kafka_ts"))) \
         .filter(F.col("job_id").isNotNull()).drop("kafka_ts")
 

@@ -42,10 +42,16 @@ def _strip(x: str) -> str:
 
 # =========================================================== speed layer (A)
 
-def _stream_a(spark, sf_dir, dedup=True):
+def _stream_a(spark, sf_dir, dedup=True, cols=None):
+    """Speed-layer input: messages -> V1 -> V5 -> P4 (-> K7 batch dedup).
+    ``cols``: the columns the consumer needs; projecting them before the
+    dedup keeps the shuffle narrow (a struct inside an aggregate is not
+    pruned by the optimizer)."""
     msgs = adapters.raw_messages(spark, sf_dir)
     parsed = messages.parse_messages(msgs, ingest_time=F.col("kafka_ts"))
     norm = messages.normalize_events(messages.clean_events(parsed))
+    if cols is not None:
+        norm = norm.select("job_id", "event_ts", "source_url", *cols)
     return realtime.dedup_jobs(norm) if dedup else norm
 
 
@@ -90,7 +96,7 @@ FROM ed GROUP BY ALL"""
 
 @query("a1_job_counts_10m", A1_SQL)
 def q_a1(spark, sf_dir):
-    return realtime.job_counts_10m(_stream_a(spark, sf_dir))
+    return realtime.job_counts_10m(_stream_a(spark, sf_dir, cols=["location_city"]))
 
 
 A2_CTE = "WITH " + adapters.EVENTS_RAW_SQL + """,
@@ -105,7 +111,7 @@ a2 AS (
 
 @query("a2_skill_counts_30m", A2_CTE + "SELECT * FROM a2")
 def q_a2(spark, sf_dir):
-    return realtime.skill_counts_30m(_stream_a(spark, sf_dir))
+    return realtime.skill_counts_30m(_stream_a(spark, sf_dir, cols=["skills"]))
 
 
 @query("l1_top_skills_latest_window", A2_CTE + """
@@ -113,7 +119,7 @@ SELECT window_start, window_end, skill, skill_count FROM a2
 WHERE window_end = (SELECT max(window_end) FROM a2)
 ORDER BY skill_count DESC, skill LIMIT 10""")
 def q_l1(spark, sf_dir):
-    return serving.top_n_latest(realtime.skill_counts_30m(_stream_a(spark, sf_dir)),
+    return serving.top_n_latest(realtime.skill_counts_30m(_stream_a(spark, sf_dir, cols=["skills"])),
                                 value="skill_count", field="skill", n=10)
 
 
@@ -127,7 +133,7 @@ a1 AS (SELECT strftime(time_bucket(INTERVAL '10 minutes', ts), '%Y-%m-%d %H:%M:%
 
 @query("l2_latest_job_counts_window", A1_CTE + "SELECT * FROM a1 WHERE window_end = (SELECT max(window_end) FROM a1)")
 def q_l2(spark, sf_dir):
-    return serving.latest_window(realtime.job_counts_10m(_stream_a(spark, sf_dir)))
+    return serving.latest_window(realtime.job_counts_10m(_stream_a(spark, sf_dir, cols=["location_city"])))
 
 
 @query("sk5_speed_view_rows", "WITH " + adapters.EVENTS_RAW_SQL + """,
@@ -145,7 +151,7 @@ SELECT 'skill_counts_30m', strftime(ws, '%Y-%m-%d %H:%M:%S'), strftime(ws + len,
        strftime(ws + len + INTERVAL '7200 seconds', '%Y-%m-%d %H:%M:%S') FROM a2""")
 def q_sk5(spark, sf_dir):
     from hirelens.sinks import keyed
-    norm = _stream_a(spark, sf_dir)
+    norm = _stream_a(spark, sf_dir, cols=["location_city", "skills"])
     a1 = keyed.speed_view_rows(realtime.job_counts_10m(norm), "job_counts_10m", "location_city", "job_count")
     a2 = keyed.speed_view_rows(realtime.skill_counts_30m(norm), "skill_counts_30m", "skill", "skill_count")
     return a1.unionByName(a2)
@@ -162,8 +168,8 @@ SELECT coalesce(s.window_start, b.window_start) AS window_start,
        coalesce(s.job_count, 0) - coalesce(b.job_count, 0) AS job_count_diff
 FROM s FULL OUTER JOIN b ON s.window_start = b.window_start AND s.location_city = b.location_city""")
 def q_a16(spark, sf_dir):
-    stream_side = realtime.job_counts_10m(_stream_a(spark, sf_dir))
-    batch_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, dedup=False))
+    stream_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, cols=["location_city"]))
+    batch_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, dedup=False, cols=["location_city"]))
     return serving.reconcile(stream_side, batch_side, ["window_start", "location_city"], "job_count")
 
 
@@ -178,8 +184,8 @@ SELECT window_start, window_end, location_city, job_count, 'batch' AS layer FROM
 UNION ALL
 SELECT window_start, window_end, location_city, job_count, 'speed' AS layer FROM s WHERE window_start >= '2024-01-15 00:00:00'""")
 def q_u1(spark, sf_dir):
-    batch_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, dedup=False))
-    speed_side = realtime.job_counts_10m(_stream_a(spark, sf_dir))
+    batch_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, dedup=False, cols=["location_city"]))
+    speed_side = realtime.job_counts_10m(_stream_a(spark, sf_dir, cols=["location_city"]))
     return serving.merge_layers(batch_side, speed_side, "window_start", "2024-01-15 00:00:00")
 
 
