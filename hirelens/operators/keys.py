@@ -20,19 +20,61 @@ def bronze_dedup(df: DataFrame, key=("job_id", "hash_content", "ingest_date"),
 
 
 def versioned(df: DataFrame, key: str = "job_id", order=("ingest_ts",),
-              hash_col: str = "hash_content", with_latest_flag: bool = True) -> DataFrame:
+              hash_col: str = "hash_content", with_latest_flag: bool = True,
+              bucket: Column | None = None) -> DataFrame:
     """K5: ``record_version`` = 1 + number of content changes so far, in
-    ``order`` within ``key`` (A -> B -> A counts as 3 versions). Optionally
-    flags the last row of each key (``is_latest``) in the same window pass,
-    so versions and the snapshot cost one shuffle and one sort."""
-    w = Window.partitionBy(key).orderBy(*[F.col(c) for c in order])
-    prev = F.lag(hash_col).over(w)
-    changed = F.when(prev.isNotNull() & (F.col(hash_col) != prev), 1).otherwise(0)
-    out = df.withColumn("_chg", changed) \
-        .withColumn("record_version", (F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("int"))
+    ``order`` within ``key`` (A -> B -> A counts as 3 versions), plus the K6
+    latest flag (``is_latest``) from the same pass.
+
+    With ``bucket`` (a column monotone in ``order``, e.g. the ingest day) the
+    running count is a parallel prefix scan, so one key's history is not
+    sorted in a single task:
+
+    1. window over (key, bucket): changes inside the bucket so far;
+    2. per (key, bucket) summary: first / last hash and change total; a
+       window over the summaries (rows = buckets of a key) adds the changes
+       of earlier buckets and at bucket boundaries;
+    3. join the offsets back on (key, bucket) — the big side is already
+       partitioned by (key, bucket) from step 1, so it is not shuffled again.
+    """
+    ordered = [F.col(c) for c in order]
+    if bucket is None:
+        w = Window.partitionBy(key).orderBy(*ordered)
+        prev = F.lag(hash_col).over(w)
+        changed = F.when(prev.isNotNull() & (F.col(hash_col) != prev), 1).otherwise(0)
+        out = df.withColumn("_chg", changed) \
+            .withColumn("record_version",
+                        (F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("int"))
+        if with_latest_flag:
+            out = out.withColumn("is_latest", F.lead(F.lit(1)).over(w).isNull())
+        return out.drop("_chg")
+
+    wb = Window.partitionBy(key, "_bucket").orderBy(*ordered)
+    prev = F.lag(hash_col).over(wb)
+    local = df.withColumn("_bucket", bucket) \
+        .withColumn("_chg", F.when(prev.isNotNull() & (F.col(hash_col) != prev), 1).otherwise(0)) \
+        .withColumn("_local", F.sum("_chg").over(wb.rowsBetween(Window.unboundedPreceding, 0))) \
+        .withColumn("_last_in_bucket", F.lead(F.lit(1)).over(wb).isNull()).drop("_chg")
+    okey = F.struct(*ordered)
+    summ = local.groupBy(key, "_bucket").agg(
+        F.max("_local").alias("_total"),
+        F.min_by(hash_col, okey).alias("_first_hash"),
+        F.max_by(hash_col, okey).alias("_last_hash"))
+    ws = Window.partitionBy(key).orderBy("_bucket")
+    prev_last = F.lag("_last_hash").over(ws)
+    summ = summ.withColumn("_boundary", F.when(prev_last.isNotNull() & (F.col("_first_hash") != prev_last), 1)
+                           .otherwise(0))
+    summ = summ.select(
+        F.col(key).alias("_k"), F.col("_bucket").alias("_b"),
+        (F.coalesce(F.sum(F.col("_total") + F.col("_boundary"))
+                    .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+         + F.col("_boundary")).alias("_offset"),
+        F.lead(F.lit(1)).over(ws).isNull().alias("_last_bucket"))
+    j = local.join(summ, (local[key] == summ["_k"]) & (local["_bucket"] == summ["_b"]))
+    out = j.withColumn("record_version", (F.col("_offset") + F.col("_local") + 1).cast("int"))
     if with_latest_flag:
-        out = out.withColumn("is_latest", F.lead(F.lit(1)).over(w).isNull())
-    return out.drop("_chg")
+        out = out.withColumn("is_latest", F.col("_last_in_bucket") & F.col("_last_bucket"))
+    return out.drop("_k", "_b", "_bucket", "_local", "_last_in_bucket", "_offset", "_last_bucket")
 
 
 def latest_snapshot(df: DataFrame, key: str = "job_id",

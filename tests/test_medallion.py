@@ -87,3 +87,24 @@ def test_job_documents_and_flat_event(spark):
         crawled_at=F.lit("2026-04-10T08:00:00"), ingest_ts=F.lit("2026-04-10T08:00:01")).first()
     assert flat["source"] == "topcv.vn" and flat["skills_text"] == "A, B" and flat["company_name"] == ""
     assert flat["description_text"] == "d\n\nYêu cầu công việc:\nr"
+
+
+def test_versions_prefix_scan_equals_plain_window(spark):
+    from hirelens.plans import jobs_view
+    from .conftest import SF_SMALL
+    cols = ["job_id", "ingest_ts", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
+            "record_version", "is_latest"]
+    a = jobs_view.jobs_versioned(spark, SF_SMALL).select(*cols)
+    b = jobs_view.jobs_versioned(spark, SF_SMALL, split_by_day=True).select(*cols)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_versions_hot_key_across_days(spark):
+    from hirelens.operators import keys
+    rows = [("j", f"2024-01-0{d} 0{h}:00:00", hsh) for d, h, hsh in
+            [(1, 1, "A"), (1, 2, "A"), (1, 3, "B"), (2, 1, "B"), (2, 2, "A"), (3, 1, "A"), (3, 2, "C"), (5, 1, "C")]]
+    df = spark.createDataFrame(rows, "job_id string, ts string, hash_content string") \
+        .withColumn("ingest_ts", F.to_timestamp("ts"))
+    got = keys.versioned(df, bucket=F.to_date("ingest_ts")).orderBy("ingest_ts").collect()
+    assert [r["record_version"] for r in got] == [1, 1, 2, 2, 3, 3, 4, 4]
+    assert [r["is_latest"] for r in got] == [False] * 7 + [True]
