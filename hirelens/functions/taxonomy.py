@@ -40,14 +40,16 @@ def skill_taxonomy(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "skill_key string, skill_kind string")
 
 
-def split_skills_by_taxonomy(df: DataFrame, key: str, skills_col: str, taxonomy: DataFrame) -> DataFrame:
+def split_skills_by_taxonomy(df: DataFrame, key: str, skills_col: str, taxonomy: DataFrame,
+                             fixed_size: bool = True) -> DataFrame:
     """Keep skills found in the taxonomy (case-insensitive), split into
-    hard / soft lists in their original order. explode -> broadcast join of
-    the fixed-size taxonomy -> re-aggregate by key (``collect_list`` over one
-    posting's skills, bounded by its chip count)."""
+    hard / soft lists in their original order. explode -> join with the
+    taxonomy (broadcast when it is a fixed-size table; otherwise Spark picks
+    the strategy from its size) -> re-aggregate by key (``collect_list`` over
+    one posting's skills, bounded by its chip count)."""
     ex = df.select(key, F.posexplode(skills_col).alias("pos", "skill")) \
         .withColumn("skill_key", F.lower(F.trim("skill")))
-    j = ex.join(F.broadcast(taxonomy), "skill_key", "inner")
+    j = ex.join(F.broadcast(taxonomy) if fixed_size else taxonomy, "skill_key", "inner")
     agg = j.groupBy(key).agg(
         F.array_sort(F.collect_list(F.struct("pos", "skill", "skill_kind"))).alias("_s"))
     agg = agg.select(key,

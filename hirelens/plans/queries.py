@@ -923,3 +923,50 @@ def q_v7(spark, sf_dir):
     checked = messages.document_contract_errors(docs)
     return checked.groupBy(F.array_join("contract_errors", ",").alias("contract_errors")) \
         .agg(F.count(F.lit(1)).alias("doc_count"))
+
+
+@query("p2_v2_envelope_roundtrip_pages", "WITH " + PAGE_URL_SQL + """
+SELECT sha256('topcv|' || normalized_url) AS job_id, 'topcv' AS source, url AS source_url,
+       normalized_url AS normalized_source_url, 1 AS crawl_version, CAST(NULL AS VARCHAR) AS envelope_error,
+       netloc AS domain
+FROM pn""")
+def q_p2(spark, sf_dir):
+    """Pages -> envelopes (P2) -> queue messages (key = job_id, value = JSON)
+    -> parsed envelopes (V2)."""
+    p = read_table(spark, sf_dir, "pages").select(
+        F.col("url").alias("source_url"),
+        F.struct(urls.url_domain("url").alias("domain"), html.page_title("html").alias("title")).alias("payload"))
+    env = messages.to_envelope(p, source="topcv", now=F.lit("2024-01-01T00:00:00"))
+    msgs = env.select(F.col("key").cast("binary").alias("key"), F.to_json("envelope").cast("binary").alias("value"),
+                      F.lit("jobs_raw").alias("topic"), F.lit(0).alias("partition"),
+                      F.lit(0).cast("bigint").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    parsed = messages.parse_envelope(msgs)
+    return parsed.select("job_id", "source", "source_url", "normalized_source_url",
+                         F.get_json_object("raw_json", "$.crawl_version").cast("int").alias("crawl_version"),
+                         "envelope_error", F.col("payload.domain").alias("domain"))
+
+
+@query("n18_taxonomy_split_jobs", with_j(""",
+soft AS (SELECT DISTINCT lower(p_type) AS skill_key FROM part),
+hard AS (SELECT DISTINCT w AS skill_key FROM (SELECT unnest(string_split(lower(p_name), ' ')) AS w FROM part)
+         WHERE w NOT IN (SELECT skill_key FROM soft)),
+tax AS (SELECT skill_key, 'soft' AS kind FROM soft UNION ALL SELECT skill_key, 'hard' FROM hard),
+ex AS (SELECT job_id, unnest(skills) AS skill, generate_subscripts(skills, 1) AS pos FROM jl),
+m AS (SELECT ex.job_id, ex.pos, ex.skill, tax.kind FROM ex JOIN tax ON lower(trim(ex.skill)) = tax.skill_key),
+g AS (SELECT job_id, string_agg(skill, '|' ORDER BY pos) AS skills_taxonomy,
+             coalesce(string_agg(skill, '|' ORDER BY pos) FILTER (WHERE kind = 'hard'), '') AS hard_skills,
+             coalesce(string_agg(skill, '|' ORDER BY pos) FILTER (WHERE kind = 'soft'), '') AS soft_skills
+      FROM m GROUP BY job_id)
+SELECT jl.job_id, coalesce(g.skills_taxonomy, '') AS skills_taxonomy, coalesce(g.hard_skills, '') AS hard_skills,
+       coalesce(g.soft_skills, '') AS soft_skills
+FROM jl LEFT JOIN g ON jl.job_id = g.job_id"""))
+def q_n18(spark, sf_dir):
+    from hirelens.functions import taxonomy
+    part = read_table(spark, sf_dir, "part")
+    soft = part.select(F.lower("p_type").alias("skill_key")).distinct()
+    hard = part.select(F.explode(F.split(F.lower("p_name"), " ")).alias("skill_key")).distinct() \
+        .join(soft, "skill_key", "left_anti")
+    tax = soft.withColumn("skill_kind", F.lit("soft")).unionByName(hard.withColumn("skill_kind", F.lit("hard")))
+    jl = jobs_view.jobs_latest(spark, sf_dir).select("job_id", "skills")
+    out = taxonomy.split_skills_by_taxonomy(jl, "job_id", "skills", tax, fixed_size=False)
+    return out.select("job_id", *[F.array_join(c, "|").alias(c) for c in ("skills_taxonomy", "hard_skills", "soft_skills")])

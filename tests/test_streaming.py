@@ -158,3 +158,41 @@ def test_delimited_short_line(spark):
     df = spark.createDataFrame([("job_1|Data Engineer|Ha Noi",), ("job_2|Analyst",)], "value string")
     r = messages.parse_delimited(df).orderBy("job_id").collect()
     assert (r[0]["city"], r[1]["city"], r[1]["job_title"]) == ("Ha Noi", None, "Analyst")
+
+
+def test_consumer_four_outputs_and_metrics(spark, scratch):
+    import json as _json
+    from hirelens.sources.messages import read_json_records
+    from hirelens.streaming import consumer
+    env = [{"source": "topcv", "source_url": f"https://www.topcv.vn/viec-lam/job-{i}.html?utm_source=x",
+            "ingest_ts": "2026-04-10T08:00:00", "event_ts": "2026-04-10T08:00:00",
+            "payload": {"title": f"Job {i}" if i != 2 else "", "company_name": "ACME", "salary": "20 - 35 triệu",
+                        "location": "hcm", "skills": ["Python", "python", "Xem thêm", "SQL"]}} for i in range(4)]
+    values = [_json.dumps(e, ensure_ascii=False) for e in env] + ["{oops"]
+    msgs = spark.createDataFrame([(f"k{i}", v) for i, v in enumerate(values)], "k string, v string").select(
+        F.col("k").cast("binary").alias("key"), F.col("v").cast("binary").alias("value"),
+        F.lit("jobs_raw").alias("topic"), F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"),
+        F.to_timestamp(F.lit("2026-04-10 08:00:00")).alias("timestamp"))
+    src = os.path.join(scratch, "src")
+    msgs.coalesce(1).write.parquet(src)
+    out = os.path.join(scratch, "out")
+    q = consumer.start(read_message_files(spark, src), out, os.path.join(scratch, "ck"),
+                       trigger={"availableNow": True})
+    q.awaitTermination()
+    metrics = [p["observedMetrics"].get("consumer_metrics") for p in q.recentProgress if p["numInputRows"]]
+    assert metrics and metrics[0]["batch_count"] == 5 and metrics[0]["ok_count"] == 3
+    assert metrics[0]["dead_letter_count"] == 2
+    lines = spark.read.text(os.path.join(out, "documents", "*")).collect()
+    assert len(lines) == 6 and '"_index":"jobs_realtime_v1"' in lines[0]["value"]
+    jobs = keyed.current_view(spark, os.path.join(out, "jobs_streaming"), ["job_id"]).collect()
+    assert len(jobs) == 3 and all(r["city"] == "Hồ Chí Minh" and r["skills"] == ["Python", "SQL"] for r in jobs)
+    assert spark.read.parquet(os.path.join(out, "jobs_clean", "*")).count() == 3
+    dl = spark.read.parquet(os.path.join(out, "dead_letter", "*")).collect()
+    assert sorted(r["error_type"] for r in dl) == ["PARSE_ERROR", "VALIDATION_ERROR"]
+    # SR3: the same records as a JSON array and as NDJSON (bare payload or wrapped)
+    arr = os.path.join(scratch, "arr.json")
+    with open(arr, "w", encoding="utf-8") as f:
+        _json.dump([{"source_url": env[0]["source_url"], "payload": env[0]["payload"]},
+                    {"source_url": "https://x.vn/a", "title": "Bare"}], f, ensure_ascii=False)
+    recs = read_json_records(spark, arr, multiline=True).collect()
+    assert [r["payload"]["title"] for r in recs] == ["Job 0", "Bare"]
