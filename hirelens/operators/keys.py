@@ -19,7 +19,7 @@ def bronze_dedup(df: DataFrame, key=("job_id", "hash_content", "ingest_date"),
     return agg.select(*key, "_row.*", "duplicate_count")
 
 
-def versioned(df: DataFrame, key: str = "job_id", order=("ingest_ts",),
+def versioned(df: DataFrame, key: str | list[str] = "job_id", order=("ingest_ts",),
               hash_col: str = "hash_content", with_latest_flag: bool = True,
               bucket: Column | None = None) -> DataFrame:
     """K5: ``record_version`` = 1 + number of content changes so far, in
@@ -38,8 +38,9 @@ def versioned(df: DataFrame, key: str = "job_id", order=("ingest_ts",),
        partitioned by (key, bucket) from step 1, so it is not shuffled again.
     """
     ordered = [F.col(c) for c in order]
+    keys_ = [key] if isinstance(key, str) else list(key)
     if bucket is None:
-        w = Window.partitionBy(key).orderBy(*ordered)
+        w = Window.partitionBy(*keys_).orderBy(*ordered)
         prev = F.lag(hash_col).over(w)
         changed = F.when(prev.isNotNull() & (F.col(hash_col) != prev), 1).otherwise(0)
         out = df.withColumn("_chg", changed) \
@@ -49,32 +50,36 @@ def versioned(df: DataFrame, key: str = "job_id", order=("ingest_ts",),
             out = out.withColumn("is_latest", F.lead(F.lit(1)).over(w).isNull())
         return out.drop("_chg")
 
-    wb = Window.partitionBy(key, "_bucket").orderBy(*ordered)
+    wb = Window.partitionBy(*keys_, "_bucket").orderBy(*ordered)
     prev = F.lag(hash_col).over(wb)
     local = df.withColumn("_bucket", bucket) \
         .withColumn("_chg", F.when(prev.isNotNull() & (F.col(hash_col) != prev), 1).otherwise(0)) \
         .withColumn("_local", F.sum("_chg").over(wb.rowsBetween(Window.unboundedPreceding, 0))) \
         .withColumn("_last_in_bucket", F.lead(F.lit(1)).over(wb).isNull()).drop("_chg")
     okey = F.struct(*ordered)
-    summ = local.groupBy(key, "_bucket").agg(
+    summ = local.groupBy(*keys_, "_bucket").agg(
         F.max("_local").alias("_total"),
         F.min_by(hash_col, okey).alias("_first_hash"),
         F.max_by(hash_col, okey).alias("_last_hash"))
-    ws = Window.partitionBy(key).orderBy("_bucket")
+    ws = Window.partitionBy(*keys_).orderBy("_bucket")
     prev_last = F.lag("_last_hash").over(ws)
     summ = summ.withColumn("_boundary", F.when(prev_last.isNotNull() & (F.col("_first_hash") != prev_last), 1)
                            .otherwise(0))
     summ = summ.select(
-        F.col(key).alias("_k"), F.col("_bucket").alias("_b"),
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys_)], F.col("_bucket").alias("_b"),
         (F.coalesce(F.sum(F.col("_total") + F.col("_boundary"))
                     .over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
          + F.col("_boundary")).alias("_offset"),
         F.lead(F.lit(1)).over(ws).isNull().alias("_last_bucket"))
-    j = local.join(summ, (local[key] == summ["_k"]) & (local["_bucket"] == summ["_b"]))
+    cond = local["_bucket"] == summ["_b"]
+    for i, k in enumerate(keys_):
+        cond = cond & (local[k] == summ[f"_k{i}"])
+    j = local.join(summ, cond)
     out = j.withColumn("record_version", (F.col("_offset") + F.col("_local") + 1).cast("int"))
     if with_latest_flag:
         out = out.withColumn("is_latest", F.col("_last_in_bucket") & F.col("_last_bucket"))
-    return out.drop("_k", "_b", "_bucket", "_local", "_last_in_bucket", "_offset", "_last_bucket")
+    return out.drop(*[f"_k{i}" for i in range(len(keys_))], "_b", "_bucket", "_local", "_last_in_bucket",
+                    "_offset", "_last_bucket")
 
 
 def latest_snapshot(df: DataFrame, key: str = "job_id",
