@@ -31,16 +31,28 @@ def _ratio(cond: Column) -> Column:
     return ratio(cond)
 
 
+# Exact percentiles keep a value -> count map per group (memory grows with the
+# distinct values of the largest group); APPROX_ACCURACY switches every gold
+# percentile to the bounded sketch ``percentile_approx`` instead.
+APPROX_ACCURACY: int | None = None
+
+
+def _pct(col: str, ps: list[float]) -> Column:
+    if APPROX_ACCURACY:
+        return F.percentile_approx(col, ps, APPROX_ACCURACY).cast("array<double>")
+    return F.percentile(col, ps)
+
+
 def _salary_aggs(percentiles: bool, extra_min: float | None = None,
                  extra_max: float | None = None) -> list[Column]:
-    """Money averages, and optionally exact medians (plus one extra
-    percentile per column). Several percentiles of one column share one
-    aggregation buffer (``percentile(col, array(..))``)."""
+    """Money averages, and optionally medians (plus one extra percentile per
+    column). Several percentiles of one column share one aggregation buffer
+    (``percentile(col, array(..))``)."""
     out = [money_avg("salary_min").alias("avg_salary_min"),
            money_avg("salary_max").alias("avg_salary_max")]
     if percentiles:
-        out += [F.percentile("salary_min", [0.5] + ([extra_min] if extra_min else [])).alias("_pmin"),
-                F.percentile("salary_max", [0.5] + ([extra_max] if extra_max else [])).alias("_pmax")]
+        out += [_pct("salary_min", [0.5] + ([extra_min] if extra_min else [])).alias("_pmin"),
+                _pct("salary_max", [0.5] + ([extra_max] if extra_max else [])).alias("_pmax")]
     return out
 
 

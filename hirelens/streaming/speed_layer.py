@@ -1,9 +1,10 @@
 """Stream A (speed layer): validate -> clean -> normalize -> watermark + dedup
 -> two window aggregates -> speed-view tables.
 
-One normalized stream feeds both aggregates; each aggregate is its own
-streaming query (its own state and checkpoint) writing keyed speed-view rows
-through ``foreachBatch`` on the executors.
+One query reads the source once, deduplicates and appends normalized events
+to a silver folder; both aggregates read that folder as a stream (each its own
+state and checkpoint) and write keyed speed-view rows through ``foreachBatch``
+on the executors.
 """
 
 from __future__ import annotations
@@ -40,12 +41,32 @@ VIEW_FIELDS = {"job_counts_10m": ("location_city", "job_count"),
 
 def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
           watermark: str = STREAM_A_WATERMARK) -> list[StreamingQuery]:
-    """Start both aggregate queries in update mode. Each micro-batch is
-    written as keyed speed-view rows under ``out_root/<view>/batch_id=N``
-    (idempotent on retry); read back with :func:`keyed.current_view`."""
+    """Start the speed layer as three queries:
+
+    1. ``silver``: messages -> normalized, deduplicated events, appended to
+       ``out_root/silver`` (one source read, one dedup state);
+    2. two aggregate queries (A1, A2) that read the silver folder as a
+       stream, in update mode, each micro-batch written as keyed speed-view
+       rows under ``out_root/<view>/batch_id=N`` (idempotent on retry).
+
+    With a run-to-completion trigger the silver query finishes before the
+    aggregates start, so they see all of it.
+    """
     trigger = trigger or {"processingTime": "10 seconds"}
-    queries = []
-    for view, agg in aggregates(main_stream(raw, watermark)).items():
+    spark = raw.sparkSession
+    silver_path = os.path.join(out_root, "silver")
+    main = main_stream(raw, watermark)
+    silver = (main.drop("raw_json").writeStream.outputMode("append").format("parquet")
+              .option("path", silver_path).option("checkpointLocation", os.path.join(checkpoint_root, "silver"))
+              .queryName("speed_silver").trigger(**trigger).start())
+    queries = [silver]
+    if trigger.get("availableNow") or trigger.get("once"):
+        silver.awaitTermination()
+    schema = main.drop("raw_json").schema
+    if "://" not in silver_path:  # a local folder must exist before a stream reads it
+        os.makedirs(silver_path, exist_ok=True)
+    events = spark.readStream.schema(schema).parquet(silver_path).withWatermark("event_ts", watermark)
+    for view, agg in aggregates(events).items():
         field, value = VIEW_FIELDS[view]
         root = os.path.join(out_root, view)
 
