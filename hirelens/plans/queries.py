@@ -421,8 +421,10 @@ SELECT job_id, record_version, ingest_ts, hash_content FROM m""")
 
 @query("k8_upsert_merge", K8_SQL)
 def q_k8(spark, sf_dir):
-    v = jobs_view.jobs_versioned(spark, sf_dir).drop("is_latest")
     order = ("record_version",) + jobs_view.ORDER_COLS
+    # project once before the split: both branches then share one plan (and
+    # one exchange) instead of each recomputing the joins
+    v = jobs_view.jobs_versioned(spark, sf_dir).select("job_id", "hash_content", *order)
     cutoff = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")
     old = keys.latest_snapshot(v.filter(F.col("ingest_ts") < cutoff), order=order)
     new = v.filter(F.col("ingest_ts") >= cutoff)
