@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelens.functions.constants import STREAM_C_WATERMARK
 from hirelens.operators import messages, realtime
+from hirelens.session import scratch_path
 from hirelens.sinks import keyed
 
 KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
@@ -27,10 +28,11 @@ def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK) -> dict[str,
             "realtime_skill_counts": realtime.skill_counts_sliding(clean, watermark=watermark)}
 
 
-def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
+def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, trigger: dict | None = None,
           watermark: str = STREAM_C_WATERMARK) -> list[StreamingQuery]:
     """Update mode; each refresh is an upsert by the grouping key (the
     current view keeps the last write per key, no duplicate documents)."""
+    checkpoint_root = checkpoint_root or scratch_path(raw.sparkSession, "aggregator")
     trigger = trigger or {"processingTime": "30 seconds"}
     out = []
     for name, agg in aggregates(raw, watermark).items():

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelens import schemas
 from hirelens.operators import messages
+from hirelens.session import scratch_path
 from hirelens.sinks import documents, keyed
 
 DOC_INDEX = "jobs_realtime_v1"
@@ -58,7 +59,11 @@ def process_batch(batch: DataFrame, batch_id: int, out_root: str) -> None:
         batch.unpersist()
 
 
-def start(raw: DataFrame, out_root: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start(raw: DataFrame, out_root: str, checkpoint: str | None = None,
+          trigger: dict | None = None) -> StreamingQuery:
+    """Checkpoints default to a folder under the session's shared
+    ``spark.checkpoint.dir``."""
+    checkpoint = checkpoint or scratch_path(raw.sparkSession, "consumer")
     trigger = trigger or {"processingTime": "10 seconds"}
     return (transformed(raw).writeStream.outputMode("append")
             .foreachBatch(lambda b, i: process_batch(b, i, out_root))

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hirelens import schemas
 from hirelens.functions.constants import STREAM_A_WATERMARK
 from hirelens.operators import messages, realtime
+from hirelens.session import scratch_path
 from hirelens.sinks import keyed
 
 
@@ -39,7 +40,7 @@ VIEW_FIELDS = {"job_counts_10m": ("location_city", "job_count"),
                "skill_counts_30m": ("skill", "skill_count")}
 
 
-def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
+def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, trigger: dict | None = None,
           watermark: str = STREAM_A_WATERMARK) -> list[StreamingQuery]:
     """Start the speed layer as three queries:
 
@@ -52,6 +53,7 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
     With a run-to-completion trigger the silver query finishes before the
     aggregates start, so they see all of it.
     """
+    checkpoint_root = checkpoint_root or scratch_path(raw.sparkSession, "speed_layer")
     trigger = trigger or {"processingTime": "10 seconds"}
     spark = raw.sparkSession
     silver_path = os.path.join(out_root, "silver")
