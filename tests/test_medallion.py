@@ -108,3 +108,29 @@ def test_versions_hot_key_across_days(spark):
     got = keys.versioned(df, bucket=F.to_date("ingest_ts")).orderBy("ingest_ts").collect()
     assert [r["record_version"] for r in got] == [1, 1, 2, 2, 3, 3, 4, 4]
     assert [r["is_latest"] for r in got] == [False] * 7 + [True]
+
+
+def test_layer_write_read_and_projections(spark, scratch):
+    import os
+    from hirelens.sinks import documents
+    from hirelens.sources.messages import read_layer
+    b = medallion.bronze(_envelopes(spark))
+    s = medallion.silver_latest(medallion.silver(b)).filter(F.col("posting_date").isNotNull()
+                                                           | F.col("posting_date").isNull())
+    path = os.path.join(scratch, "silver")
+    medallion.write_layer(s.withColumn("posting_date", F.coalesce("posting_date", F.to_date("ingest_ts"))),
+                          path, ["posting_date", "city_slug"])
+    parts = sorted(d for d in os.listdir(path) if d.startswith("posting_date="))
+    assert parts == ["posting_date=2026-04-07", "posting_date=2026-04-10"]
+    one = read_layer(spark, path, posting_date="2026-04-07", city_slug="ha_noi")
+    assert one.count() == 1
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(posting_date" in plan and "city_slug" in plan
+    # dynamic partition overwrite replaces only the partitions present in the new data
+    medallion.write_layer(one, path, ["posting_date", "city_slug"])
+    assert read_layer(spark, path).count() == 2
+    qt = medallion.query_tables(read_layer(spark, path).withColumn("has_benefits", F.lit(False)))
+    assert set(qt) == {"jobs_by_day", "jobs_by_skill", "salary_by_skill_month", "company_by_month"}
+    assert qt["jobs_by_skill"].count() == 4
+    proj = documents.search_projection(read_layer(spark, path), "jobs_silver_v1")
+    assert proj.columns == documents.SEARCH_FIELDS["jobs_silver_v1"]

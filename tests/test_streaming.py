@@ -196,3 +196,13 @@ def test_consumer_four_outputs_and_metrics(spark, scratch):
                     {"source_url": "https://x.vn/a", "title": "Bare"}], f, ensure_ascii=False)
     recs = read_json_records(spark, arr, multiline=True).collect()
     assert [r["payload"]["title"] for r in recs] == ["Job 0", "Bare"]
+
+
+def test_console_memory_debug_sink(spark, scratch):
+    msgs = adapters.raw_messages(spark, SF_SMALL)
+    src = _stage_files(spark, msgs, scratch, n_files=2)
+    q = speed_layer.start_console(read_message_files(spark, src), os.path.join(scratch, "ck"), fmt="memory",
+                                  name="speed_main_test")
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("speed_main_test").count() > 0
