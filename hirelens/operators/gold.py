@@ -19,16 +19,14 @@ from hirelens.functions import enums
 from hirelens.functions.agg import money_avg, ratio
 from hirelens.operators.ranking import rank_desc
 
-MONEY = 4
-RATIO = 10
+PERCENTILE_PLACES = 4
 
 
-def _r(col: Column, places: int = MONEY) -> Column:
+def _r(col: Column, places: int = PERCENTILE_PLACES) -> Column:
     return F.round(col, places)
 
 
-def _ratio(cond: Column) -> Column:
-    return ratio(cond)
+_ratio = ratio
 
 
 # Exact percentiles keep a value -> count map per group (memory grows with the

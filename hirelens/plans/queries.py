@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.functions import constants as K
-from hirelens.functions.agg import money_avg_sql as MA, ratio_sql as RA
+from hirelens.functions.agg import money_avg_sql as MA
 from hirelens.functions import enums, html, salary, text, urls
 from hirelens.operators import gold, keys, messages, realtime, serving
 from hirelens.plans import adapters, jobs_view
