@@ -972,3 +972,35 @@ def q_n18(spark, sf_dir):
     jl = jobs_view.jobs_latest(spark, sf_dir).select("job_id", "skills")
     out = taxonomy.split_skills_by_taxonomy(jl, "job_id", "skills", tax, fixed_size=False)
     return out.select("job_id", *[F.array_join(c, "|").alias(c) for c in ("skills_taxonomy", "hard_skills", "soft_skills")])
+
+
+JSON_LD_PATTERN = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^>]*>(.*?)</script>"""
+
+
+@query("p5_p6_bronze_pages", "WITH " + PAGE_URL_SQL + "," + PAGE_TEXT_SQL.strip().rstrip(",") + """
+SELECT sha256('topcv|' || pn.normalized_url) AS job_id,
+       CAST(len(regexp_extract_all(p.html, '""" + JSON_LD_PATTERN.replace("'", "''") + """', 1)) AS INTEGER) AS json_ld_count,
+       CAST(0 AS INTEGER) AS skills_count,
+       len(regexp_extract_all(p.html, '""" + JSON_LD_PATTERN.replace("'", "''") + """', 1)) > 0 AS has_json_ld,
+       pt.page_text <> '' AS has_page_text,
+       false AS has_structured_salary, false AS has_noisy_skill_list, false AS has_valid_posting_date,
+       CAST(NULL AS VARCHAR) AS job_title_raw
+FROM pages p JOIN pn ON p.page_id = pn.page_id JOIN pt ON p.page_id = pt.page_id""")
+def q_p5(spark, sf_dir):
+    """Pages -> payload (domain, visible text, JSON-LD blocks) -> envelope ->
+    bronze projection with its quality-flag map (P5, P6, X5, X9)."""
+    from hirelens.operators import medallion
+    p = read_table(spark, sf_dir, "pages")
+    payload = F.struct(urls.url_domain("url").alias("domain"), html.page_text("html").alias("page_text"),
+                       html.json_ld_blocks("html").alias("json_ld"))
+    env = messages.to_envelope(p.select(F.col("url").alias("source_url"), payload.alias("payload")),
+                               source="topcv", now=F.lit("2024-01-01T00:00:00"))
+    msgs = env.select(F.col("key").cast("binary").alias("key"), F.to_json("envelope").cast("binary").alias("value"),
+                      F.lit("jobs_raw").alias("topic"), F.lit(0).alias("partition"),
+                      F.lit(0).cast("bigint").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
+    b = medallion.bronze(messages.parse_envelope(msgs).withColumn("crawl_version", F.lit(1)))
+    f = F.col("quality_issue_flags")
+    return b.select("job_id", "json_ld_count", "skills_count", f["has_json_ld"].alias("has_json_ld"),
+                    f["has_page_text"].alias("has_page_text"), f["has_structured_salary"].alias("has_structured_salary"),
+                    f["has_noisy_skill_list"].alias("has_noisy_skill_list"),
+                    f["has_valid_posting_date"].alias("has_valid_posting_date"), "job_title_raw")
