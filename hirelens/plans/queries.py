@@ -1004,3 +1004,13 @@ def q_p5(spark, sf_dir):
                     f["has_page_text"].alias("has_page_text"), f["has_structured_salary"].alias("has_structured_salary"),
                     f["has_noisy_skill_list"].alias("has_noisy_skill_list"),
                     f["has_valid_posting_date"].alias("has_valid_posting_date"), "job_title_raw")
+
+
+@query("k7_dedup_events", "WITH " + adapters.EVENTS_RAW_SQL + """
+SELECT job_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_ts, source_url, location_city FROM ed""")
+def q_k7(spark, sf_dir):
+    """K7 in batch: the earliest event per job_id (ties by source_url); the
+    streaming form keeps the first arrival within the watermark."""
+    d = _stream_a(spark, sf_dir, cols=["location_city"])
+    return d.select("job_id", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"),
+                    "source_url", "location_city")
