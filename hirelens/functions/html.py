@@ -79,10 +79,10 @@ def blocked_flags(pages: DataFrame, html_col: str = "html") -> DataFrame:
     h = F.coalesce(F.col(html_col), F.lit(""))
     lower_html = F.lower(h)
     title = F.lower(element_text(h, "title"))
-    text_len = F.length(page_text(h))
+    text_len = F.length(page_text(h)).cast("bigint")
     return pages.select(
         "*",
-        F.length(h).alias("html_chars"),
+        F.length(h).cast("bigint").alias("html_chars"),
         text_len.alias("page_text_chars"),
         _any_contains(lower_html, BLOCKED_HTML_SIGNALS).alias("has_block_signal"),
         _any_contains(title, BLOCKED_TITLE_SIGNALS).alias("has_title_signal"),

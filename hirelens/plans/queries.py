@@ -747,7 +747,7 @@ def q_x3_x8(spark, sf_dir):
     from hirelens.operators.pages import extract_pages
     out = extract_pages(read_table(spark, sf_dir, "pages"))
     return out.select("page_id", F.nullif("title", F.lit("")).alias("title"),
-                      F.length("page_text").alias("page_text_chars"))
+                      F.length("page_text").cast("bigint").alias("page_text_chars"))
 
 
 # ===================================================== documents x labels

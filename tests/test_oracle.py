@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from hirelens.sources.tables import TABLES, table_path
-from tools.oracle_check import rows_of
+from tools.oracle_check import rows_of, type_mismatches
 
 from .conftest import SF_SMALL
 
@@ -31,6 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(sql)
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
+    assert not type_mismatches(df.schema, cols, [str(d[1]) for d in res.description])
     assert rows_of(df.columns, rows) == rows_of(cols, res.fetchall())
 
 
