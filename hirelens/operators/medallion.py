@@ -110,8 +110,8 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
     jp = job_posting(F.coalesce(F.col("json_ld"), F.array().cast("array<string>")))
     sal_raw = parse_salary("salary_raw")
     sal_ben = parse_salary("benefits_raw")
-    company, company_src = _first_present(("json_ld", jp["hiringOrganization"]["name"]),
-                                           ("page", F.col("company_name_raw")))
+    company, company_src, company_conflict = first_present(("json_ld", jp["hiringOrganization"]["name"]),
+                                                           ("page", F.col("company_name_raw")))
     emp_section = F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")),
                                    F.lit("Hình thức làm việc"))
     emp_raw, emp_src = _first_present(("json_ld", jp["employmentType"]), ("section", emp_section))
@@ -140,10 +140,14 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         F.col("job_title_raw").alias("job_title_display"),
         text.clean_title("job_title_raw").alias("job_title"),
         company.alias("company_name"), company_src.alias("company_name_source"),
+        company_conflict.alias("company_name_conflict"),
         F.col("company_name_raw").alias("company_name_display"),
         F.array_distinct(F.array_compact(F.array(F.trim("company_name_raw"),
                                                  F.trim(jp["hiringOrganization"]["name"])))).alias("company_aliases"),
         s_min.alias("salary_min"), s_max.alias("salary_max"), cur.alias("currency"),
+        F.when(base["value"]["minValue"].try_cast("double").isNotNull(), F.lit("json_ld"))
+        .when(sal_raw["salary_min"].isNotNull(), F.lit("salary_text"))
+        .when(sal_ben["salary_min"].isNotNull(), F.lit("benefits_text")).alias("salary_source"),
         salary_flags("salary_raw", base["value"]["unitText"]).alias("_sf"),
         emp.alias("employment_type"), enums.employment_type_vi(emp).alias("employment_type_vi"),
         emp_src.alias("employment_type_source"),
@@ -152,6 +156,7 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         city.alias("city"), text.city_slug(city).alias("city_slug"),
         F.lit(None).cast("string").alias("district"),
         city_struct["addressLocality"].alias("ward"),
+        F.concat_ws(", ", city_struct["addressLocality"], city).alias("location_display"),
         city_struct["postalCode"].alias("postal_code"),
         F.coalesce(city_struct["addressCountry"], F.lit("VN")).alias("country_code"),
         level_raw.alias("level"), enums.level_normalized(level_raw).alias("level_normalized"),
@@ -159,9 +164,12 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         enums.experience_bucket(months).alias("experience_bucket"),
         jp["totalJobOpenings"].try_cast("int").alias("openings"),
         skills.alias("skills"),
+        F.size(F.coalesce("skills_raw", F.array())).alias("skills_raw_count"),
         F.get("categories_raw", 0).alias("category_level_1"),
         F.get("categories_raw", 1).alias("category_level_2"),
         F.get("categories_raw", 2).alias("category_level_3"),
+        F.get("categories_raw", 0).alias("industry_primary"),
+        F.slice(F.coalesce("categories_raw", F.array().cast("array<string>")), 2, 2).alias("industry_secondary"),
         taxonomy.benefit_tags(F.col("benefits_raw")).alias("benefits_tags"),
         taxonomy.weekend_rotation("benefits_raw").alias("requires_weekend_rotation"),
         taxonomy.language_requirements(F.col("requirements_raw")).alias("language_requirements"),
@@ -208,3 +216,20 @@ def query_tables(silver_latest_df: DataFrame) -> dict[str, DataFrame]:
             "salary_by_skill_month": gold.salary_stats_by_skill_month(silver_latest_df),
             "company_by_month": gold.company_hiring_by_month(silver_latest_df)}
 
+
+
+def silver_coverage(silver_latest_df: DataFrame, by: str = "source") -> DataFrame:
+    """A11 over silver: structured salary / company coverage, salary
+    disclosed ratio, company conflict rate, location parse rate, skill parse
+    confidence (O: kept skills / raw skill chips) and mean quality score."""
+    from hirelens.functions.agg import ratio
+    s = silver_latest_df
+    return s.groupBy(by).agg(
+        F.count(F.lit(1)).alias("job_count"),
+        ratio(F.col("salary_source") == "json_ld").alias("structured_salary_coverage"),
+        ratio(F.col("company_name_source") == "json_ld").alias("structured_company_coverage"),
+        ratio(F.col("salary_min").isNotNull()).alias("salary_disclosed_ratio"),
+        ratio(F.col("company_name_conflict")).alias("company_conflict_rate"),
+        ratio(F.col("city").isNotNull()).alias("location_parse_rate"),
+        (F.sum(F.size("skills")) / F.sum("skills_raw_count")).alias("skill_parse_confidence"),
+        F.avg("data_quality_score").alias("data_quality_coverage"))

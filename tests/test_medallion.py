@@ -71,6 +71,11 @@ def test_bronze_silver_golden(spark):
     assert p["experience_months_min"] == 24 and p["experience_bucket"] == "mid"
     assert p["valid_through_source"] == "relative_text" and "bonus_13th_month" in p["benefits_tags"]
     assert p["city_slug"] == "ha_noi"
+    assert g["location_display"] == "Phường Hoàng Mai, Hà Nội" and g["salary_source"] == "json_ld"
+    assert p["industry_primary"] == "IT / Software" and p["salary_source"] == "salary_text"
+    cov = medallion.silver_coverage(s).first()
+    assert cov["job_count"] == 2 and cov["structured_company_coverage"] == 0.5
+    assert cov["company_conflict_rate"] == 0.5 and cov["skill_parse_confidence"] == 4 / 5
     # gold builders accept silver directly
     assert gold.job_facts_daily(s.filter(F.col("posting_date").isNotNull())).count() == 1
 
