@@ -139,3 +139,16 @@ def test_layer_write_read_and_projections(spark, scratch):
     assert qt["jobs_by_skill"].count() == 4
     proj = documents.search_projection(read_layer(spark, path), "jobs_silver_v1")
     assert proj.columns == documents.SEARCH_FIELDS["jobs_silver_v1"]
+
+
+def test_medallion_job_writes_every_layer(spark, scratch):
+    import os
+    from hirelens.plans import medallion_job
+    paths = medallion_job.run(spark, _envelopes(spark), os.path.join(scratch, "lake"), as_of="2026-05-01")
+    for name, path in paths.items():
+        assert spark.read.parquet(path).count() > 0, name
+    g = spark.read.parquet(paths["gold_job_facts_daily"])
+    assert g.filter("date_key = '2026-04-07'").first()["job_count"] == 1
+    # rerun: same partitions replaced, not appended
+    medallion_job.run(spark, _envelopes(spark), os.path.join(scratch, "lake"), as_of="2026-05-01")
+    assert spark.read.parquet(paths["silver"]).count() == 2
