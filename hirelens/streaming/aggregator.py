@@ -29,7 +29,7 @@ def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK) -> dict[str,
 
 
 def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, trigger: dict | None = None,
-          watermark: str = STREAM_C_WATERMARK) -> list[StreamingQuery]:
+          watermark: str = STREAM_C_WATERMARK, output_mode: str = "update") -> list[StreamingQuery]:
     """Update mode; each refresh is an upsert by the grouping key (the
     current view keeps the last write per key, no duplicate documents)."""
     checkpoint_root = checkpoint_root or scratch_path(raw.sparkSession, "aggregator")
@@ -41,7 +41,7 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, tri
         def sink(batch: DataFrame, batch_id: int, _root=root):
             keyed.write_delta(batch, _root, batch_id)
 
-        out.append(agg.writeStream.outputMode("update").foreachBatch(sink)
+        out.append(agg.writeStream.outputMode(output_mode).foreachBatch(sink)
                    .option("checkpointLocation", os.path.join(checkpoint_root, name))
                    .queryName(name).trigger(**trigger).start())
     return out

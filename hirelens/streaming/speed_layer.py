@@ -41,7 +41,7 @@ VIEW_FIELDS = {"job_counts_10m": ("location_city", "job_count"),
 
 
 def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, trigger: dict | None = None,
-          watermark: str = STREAM_A_WATERMARK) -> list[StreamingQuery]:
+          watermark: str = STREAM_A_WATERMARK, output_mode: str = "update") -> list[StreamingQuery]:
     """Start the speed layer as three queries:
 
     1. ``silver``: messages -> normalized, deduplicated events, appended to
@@ -75,7 +75,7 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, tri
         def sink(batch: DataFrame, batch_id: int, _view=view, _root=root, _f=field, _v=value):
             keyed.write_delta(keyed.speed_view_rows(batch, _view, _f, _v), _root, batch_id)
 
-        q = (agg.writeStream.outputMode("update").foreachBatch(sink)
+        q = (agg.writeStream.outputMode(output_mode).foreachBatch(sink)
              .option("checkpointLocation", os.path.join(checkpoint_root, view))
              .queryName(f"speed_{view}").trigger(**trigger).start())
         queries.append(q)

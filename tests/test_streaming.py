@@ -206,3 +206,19 @@ def test_console_memory_debug_sink(spark, scratch):
     q.processAllAvailable()
     q.stop()
     assert spark.table("speed_main_test").count() > 0
+
+
+def test_keyed_table_last_write_wins_and_ttl(spark, scratch):
+    root = os.path.join(scratch, "keyed")
+    rows = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
+    keyed.write_delta(rows, root, 0, updated_at=F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1,
+                      updated_at=F.to_timestamp(F.lit("2024-01-01 01:00:00")))
+    # a retried batch rewrites its own folder: still one row per key
+    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1,
+                      updated_at=F.to_timestamp(F.lit("2024-01-01 01:00:00")))
+    cur = {r["k"]: r["v"] for r in keyed.current_view(spark, root, ["k"]).collect()}
+    assert cur == {"a": 2, "b": 1}
+    live = keyed.current_view(spark, root, ["k"], ttl_seconds=1800,
+                              as_of=F.to_timestamp(F.lit("2024-01-01 01:10:00"))).collect()
+    assert [r["k"] for r in live] == ["a"]
