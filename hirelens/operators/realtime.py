@@ -80,7 +80,7 @@ def _sliced(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min:
         enums.time_bucket("_start").alias("time_bucket"),
         F.date_format(F.col("_start") + F.make_dt_interval(mins=F.lit(window_min)),
                       "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-        *keys, F.col("job_count").cast("bigint").alias("job_count"),
+        *keys, F.coalesce(F.col("job_count"), F.lit(0)).cast("bigint").alias("job_count"),
         F.col("distinct_company_count").cast("bigint").alias("distinct_company_count"),
         *[f"avg_{c}" for c in sums])
 

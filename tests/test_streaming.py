@@ -222,3 +222,26 @@ def test_keyed_table_last_write_wins_and_ttl(spark, scratch):
     live = keyed.current_view(spark, root, ["k"], ttl_seconds=1800,
                               as_of=F.to_timestamp(F.lit("2024-01-01 01:10:00"))).collect()
     assert [r["k"] for r in live] == ["a"]
+
+
+def test_batch_and_stream_share_schemas(spark, scratch):
+    import re as _re
+    import __spark_entry__ as E
+    msgs = adapters.clean_messages(spark, SF_SMALL)
+    src = _stage_files(spark, msgs, scratch, n_files=1)
+    stream = messages.parse_clean(read_message_files(spark, src))
+    batch = messages.parse_clean(msgs)
+    def names_types(df):  # nullability is inferred differently through aggregates
+        return [(f.name, f.dataType) for f in df.schema.fields]
+
+    for build in (realtime.job_counts_sliding, realtime.skill_counts_sliding):
+        assert build(stream).schema == build(batch).schema
+    raw = adapters.raw_messages(spark, SF_SMALL)
+    s_main = speed_layer.main_stream(read_message_files(spark, _stage_files(spark, raw, scratch + "/a", 1)))
+    b_main = speed_layer.main_stream(raw)
+    for build in (realtime.job_counts_10m, realtime.skill_counts_30m):
+        assert names_types(build(s_main)) == names_types(build(b_main))
+    # naming rule: every registered output column is snake_case
+    for name, fn in E.queries().items():
+        for col in fn(spark, SF_SMALL).columns:
+            assert _re.fullmatch(r"[a-z][a-z0-9_]*", col), (name, col)
