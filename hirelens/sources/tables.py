@@ -25,8 +25,12 @@ def balanced(spark: SparkSession, df: DataFrame) -> DataFrame:
     fewer input splits than there are cores (e.g. one large Parquet row
     group, which cannot be split). On a large input the scan already has
     thousands of splits and this is a no-op, so no shuffle is added there."""
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    try:
+        target = spark.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD API: keep the scan as is
+        return df
+    if splits < target:
         return df.repartition(target)
     return df
 
