@@ -86,11 +86,14 @@ def _sliced(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min:
 
 
 def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int,
-                       sums: list[str], watermark: str) -> DataFrame:
+                       sums: list[str], watermark: str, approx_distinct: bool = False) -> DataFrame:
     """Streaming plan: native sliding window with watermark; exact distinct
-    as ``size(collect_set)`` (distinct aggregates are rejected on streams)."""
+    as ``size(collect_set)`` (distinct aggregates are rejected on streams),
+    or a bounded HyperLogLog sketch with ``approx_distinct``."""
+    distinct = F.approx_count_distinct("company_name") if approx_distinct \
+        else F.size(F.collect_set("company_name"))
     aggs = [F.count("job_id").alias("job_count"),
-            F.size(F.collect_set("company_name")).cast("bigint").alias("distinct_company_count")]
+            distinct.cast("bigint").alias("distinct_company_count")]
     for c in sums:
         aggs.append(money_mean(F.sum(cents(c)), F.count(c)).alias(f"avg_{c}"))
     g = df.withWatermark(ts, watermark) \
@@ -101,17 +104,19 @@ def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int,
 
 
 def job_counts_sliding(df: DataFrame, ts: str = "event_time", window_min: int = 10,
-                       slide_min: int = 1, watermark: str = "10 minutes") -> DataFrame:
+                       slide_min: int = 1, watermark: str = "10 minutes",
+                       approx_distinct: bool = False) -> DataFrame:
     """A3: jobs + distinct companies per (10-minute window sliding by 1
     minute, city, employment type)."""
     keys = ["city", "employment_type"]
     if df.isStreaming:
-        return _streaming_sliding(df, ts, keys, window_min, slide_min, [], watermark)
+        return _streaming_sliding(df, ts, keys, window_min, slide_min, [], watermark, approx_distinct)
     return _sliced(df, ts, keys, window_min, slide_min, [])
 
 
 def skill_counts_sliding(df: DataFrame, ts: str = "event_time", window_min: int = 10,
-                         slide_min: int = 1, watermark: str = "10 minutes") -> DataFrame:
+                         slide_min: int = 1, watermark: str = "10 minutes",
+                         approx_distinct: bool = False) -> DataFrame:
     """A4: per (window, skill, city): jobs, distinct companies, average
     salaries. Skills exploded first, empty skills dropped."""
     ex = df.select("job_id", "company_name", "city", "salary_min", "salary_max", ts,
@@ -120,5 +125,5 @@ def skill_counts_sliding(df: DataFrame, ts: str = "event_time", window_min: int
     keys = ["skill", "city"]
     sums = ["salary_min", "salary_max"]
     if df.isStreaming:
-        return _streaming_sliding(ex, ts, keys, window_min, slide_min, sums, watermark)
+        return _streaming_sliding(ex, ts, keys, window_min, slide_min, sums, watermark, approx_distinct)
     return _sliced(ex, ts, keys, window_min, slide_min, sums)

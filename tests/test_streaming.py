@@ -245,3 +245,18 @@ def test_batch_and_stream_share_schemas(spark, scratch):
     for name, fn in E.queries().items():
         for col in fn(spark, SF_SMALL).columns:
             assert _re.fullmatch(r"[a-z][a-z0-9_]*", col), (name, col)
+
+
+def test_stream_approx_distinct_option(spark, scratch):
+    msgs = adapters.clean_messages(spark, SF_SMALL)
+    src = _stage_files(spark, msgs, scratch, n_files=1)
+    agg = realtime.job_counts_sliding(messages.parse_clean(read_message_files(spark, src)), approx_distinct=True)
+    q = agg.writeStream.outputMode("update").format("memory").queryName("approx_test") \
+        .option("checkpointLocation", os.path.join(scratch, "ck")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = {(r["time_bucket"], r["city"], r["employment_type"]): r["distinct_company_count"]
+           for r in spark.table("approx_test").collect()}
+    exact = {(r["time_bucket"], r["city"], r["employment_type"]): r["distinct_company_count"]
+             for r in realtime.job_counts_sliding(messages.parse_clean(msgs)).collect()}
+    assert got.keys() == exact.keys()
+    assert all(abs(got[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
