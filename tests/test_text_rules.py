@@ -108,3 +108,23 @@ def test_html_title_and_text(spark):
     h = "<html><head><title>T &amp; x</title><script>var a='<p>';</script></head><body><h1> Hello <b>World</b></h1><p>x</p></body></html>"
     assert one(spark, html.page_title, h) == "Hello World"
     assert one(spark, html.page_text, h) == "T & x\nHello\nWorld\nx"
+
+
+def test_blocked_page_flags(spark):
+    long_ok = "<html><head><title>Tuyển dụng</title></head><body>" + "<p>" + "nội dung việc làm " * 80 + "</p></body></html>"
+    pages = spark.createDataFrame([
+        (1, "<html><head><title>Access Denied</title></head><body>x</body></html>"),
+        (2, long_ok),
+        (3, long_ok.replace("Tuyển dụng", "Attention Required! | Cloudflare")),
+        (4, "<html><body>" + "<script>" + "x" * 2000 + "</script>" + "<p>short</p></body></html>"),
+    ], "page_id long, html string")
+    got = {r["page_id"]: r["looks_blocked"] for r in html.blocked_flags(pages).collect()}
+    assert got == {1: True, 2: False, 3: True, 4: True}
+
+
+def test_salary_flags(spark):
+    r = spark.createDataFrame([("Thỏa thuận", None), ("  20 - 35 triệu ", "MONTH"), ("", None)], "t string, u string") \
+        .select(salary.salary_flags("t", F.col("u")).alias("f")).collect()
+    assert tuple(r[0]["f"]) == (True, "Thỏa thuận", "month")
+    assert tuple(r[1]["f"]) == (False, "20 - 35 triệu", "month")
+    assert tuple(r[2]["f"]) == (False, "Thỏa thuận", "month")
