@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from hirelens.llm import simhash
+from hirelens.llm import decontaminate, simhash
 
 QUERIES: dict = {
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
+    "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
 }
