@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontaminate, language, secrets, simhash
+from hirelens.llm import decontaminate, language, secrets, simhash, tokenfile
 
 QUERIES: dict = {
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
+    "op5_token_files": (tokenfile.op5_token_files, None),
     "op6_language_id": (language.op6_language_id, None),
     "op8_secret_scan": (secrets.op8_secret_scan, None),
     "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
