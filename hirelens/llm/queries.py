@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontaminate, language, secrets, simhash, tokenfile
+from hirelens.llm import decontaminate, language, secrets, simhash, tokenfile, topk
 
 QUERIES: dict = {
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
+    "op3_exact_top_k": (topk.op3_exact_top_k, topk.ORACLE),
     "op5_token_files": (tokenfile.op5_token_files, None),
     "op6_language_id": (language.op6_language_id, None),
     "op8_secret_scan": (secrets.op8_secret_scan, None),
