@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontaminate, language, secrets, simhash, tokenfile, topk
+from hirelens.llm import decontaminate, language, repeats, secrets, simhash, tokenfile, topk
 
 QUERIES: dict = {
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
@@ -11,4 +11,5 @@ QUERIES: dict = {
     "op6_language_id": (language.op6_language_id, None),
     "op8_secret_scan": (secrets.op8_secret_scan, None),
     "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
+    "op10_repeated_passages": (repeats.op10_repeated_passages, repeats.ORACLE),
 }
