@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontaminate, language, repeats, secrets, simhash, tokenfile, topk
+from hirelens.llm import decontaminate, language, pieces, repeats, secrets, simhash, tokenfile, topk
 
 QUERIES: dict = {
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
     "op3_exact_top_k": (topk.op3_exact_top_k, topk.ORACLE),
     "op5_token_files": (tokenfile.op5_token_files, None),
     "op6_language_id": (language.op6_language_id, None),
+    "op7_sentencepiece_n_best": (pieces.op7_sentencepiece_n_best, None),
     "op8_secret_scan": (secrets.op8_secret_scan, None),
     "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
     "op10_repeated_passages": (repeats.op10_repeated_passages, repeats.ORACLE),

@@ -17,7 +17,7 @@ from collections.abc import Callable
 
 import numpy as np
 
-CACHED = 400_000        # distinct units kept by a worker process
+CACHED = 600_000        # distinct units kept by a worker process
 CACHED_CHARS = 64       # longer units aren't kept
 _ODD = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -31,17 +31,21 @@ _PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d"
 
 class Cache(dict):
     """Values of units, computed when first asked for. A worker process keeps
-    one for all its tasks; it is emptied when full, so memory is bounded
+    one for all its tasks. When half of ``limit`` is new, it becomes the old
+    half and the older one goes, so frequent units stay and memory is bounded
     whatever the vocabulary."""
 
     def __init__(self, make: Callable[[str], object], limit: int = CACHED):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.half, self.old = make, limit // 2, {}
 
     def __missing__(self, unit: str):
-        value = self.make(unit)
+        value = self.old.get(unit)
+        if value is None:
+            value = self.make(unit)
         if len(unit) <= CACHED_CHARS:
-            if len(self) >= self.limit:
+            if len(self) >= self.half:
+                self.old = dict(self)
                 self.clear()
             self[unit] = value
         return value
