@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from hirelens.llm import decontaminate, language, pieces, repeats, secrets, simhash, tokenfile, topk
+from hirelens.llm import counts, decontaminate, language, licenses, pieces, repeats, secrets, simhash, tokenfile, topk
 
 QUERIES: dict = {
+    "op1_license_scan": (licenses.op1_license_scan, licenses.ORACLE),
     "op2_simhash_near_dedup": (simhash.op2_simhash_near_dedup, None),
     "op3_exact_top_k": (topk.op3_exact_top_k, topk.ORACLE),
+    "op4_token_counts": (counts.op4_token_counts, None),
     "op5_token_files": (tokenfile.op5_token_files, None),
     "op6_language_id": (language.op6_language_id, None),
     "op7_sentencepiece_n_best": (pieces.op7_sentencepiece_n_best, None),
