@@ -1,8 +1,90 @@
-"""Corpus cleaning pipeline (stages are added as their operators land)."""
+"""Corpus cleaning: from the documents table to pieces for training.
 
-STAGES = []
-ORACLE_SQL = None
+Each stage calls one operator of ``hirelens.llm`` on all rows that the stage
+before it kept, and its decisions take effect:
 
+1. language    rejects documents without a letter, and those that score below
+               ``LEAST_SCORE`` for every learned language
+2. near_dup    keeps one document of each SimHash component: the smallest
+               doc_id (of rows that repeat it, the smallest text, language and
+               source); a component of null ids only keeps one of its rows
+3. benchmark   removes documents that hold a window of a benchmark item
+4. secrets     replaces every secret found by a mask (``n_chars`` follows)
+5. pieces      encodes the whole texts; returns ids and the two best scores
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+``run`` applies them to ``documents``, writing each stage's rows to the shared
+checkpoint folder. Stages 1 to 4 return the columns of ``documents``; columns
+that a table has besides these pass through. Null texts have no letter, so
+they end in stage 1. An empty table gives an empty result.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hirelens.llm import decontaminate, language, pieces, secrets, simhash
+from hirelens.llm.common import fresh_path, table, written
+
+LEAST_SCORE = 0.1
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = language.predict(docs, language.train(docs), out="_language")
+    return (found.where((F.col("_language.lang_pred") != language.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE))
+            .drop("_language"))
+
+
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(docs)
+    # One doc_id a component stays; a component without any is named by its root.
+    groups = found.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
+    named = docs.join(groups.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    # Rows that repeat a doc_id are rare: only they are put in order.
+    again = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    single = named.join(again, "doc_id", "left_anti")
+    order = F.struct(*[F.col(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
+    twice = (named.join(again, "doc_id", "left_semi")
+             .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
+    nameless = simhash.fingerprints(docs.where("doc_id is null")).join(
+        groups.where("doc_id is null").select("root"), F.col("fp") == F.col("root"), "left_semi")
+    nameless = nameless.groupBy("fp").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    return single.select(docs.columns).unionByName(twice).unionByName(nameless)
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark")).select(docs.columns)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ledger = fresh_path(spark, "secret-ledger")
+    secrets.update_ledger(docs, ledger)
+    found = secrets.findings(docs, ledger)
+    hit = F.size("found") > 0
+    found = found.withColumn("text", F.when(hit, secrets.redact(F.col("text"), F.col("found"))).otherwise(F.col("text")))
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
+
+
+def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = pieces.encode(docs.select("doc_id", "lang", "source", "text"), n=2)
+    return found.select("doc_id", "lang", "source", F.size("pieces.ids").cast("long").alias("n_pieces"),
+                        F.col("pieces.ids").alias("ids"), "pieces.scores", "pieces.round_trip")
+
+
+STAGES = [
+    ("language", language_stage),
+    ("near_dup", near_dup_stage),
+    ("benchmark", benchmark_stage),
+    ("secrets", secrets_stage),
+    ("pieces", pieces_stage),
+]
+ORACLE_SQL = None  # the kernel, the fingerprints and the lattice are beyond SQL; tests hold a brute-force version
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs
