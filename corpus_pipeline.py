@@ -41,14 +41,15 @@ def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     groups = found.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
     named = docs.join(groups.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
     # Rows that repeat a doc_id are rare: only they are put in order.
-    again = named.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    again = named.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
     single = named.join(again, "doc_id", "left_anti")
     order = F.struct(*[F.col(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
     twice = (named.join(again, "doc_id", "left_semi")
              .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
-    nameless = simhash.fingerprints(docs.where("doc_id is null")).join(
-        groups.where("doc_id is null").select("root"), F.col("fp") == F.col("root"), "left_semi")
-    nameless = nameless.groupBy("fp").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    packed = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), order.alias("order"), "text")
+    nameless = (simhash.fingerprints(packed)
+                .join(groups.where("doc_id is null").select(F.col("root").alias("fp")), "fp", "left_semi")
+                .groupBy("fp").agg(F.min_by("row", "order").alias("row")).select("row.*"))
     return single.select(docs.columns).unionByName(twice).unionByName(nameless)
 
 
@@ -59,12 +60,12 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ledger = fresh_path(spark, "secret-ledger")
     secrets.update_ledger(docs, ledger)
-    found = secrets.findings(docs, ledger)
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")  # whatever their names
+    found = secrets.findings(docs.select("text", others), ledger)
     hit = F.size("found") > 0
-    found = found.withColumn("text", F.when(hit, secrets.redact(F.col("text"), F.col("found"))).otherwise(F.col("text")))
-    if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(hit, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return found.select(docs.columns)
+    masked = F.when(hit, secrets.redact(F.col("text"), F.col("found"))).otherwise(F.col("text"))
+    new = {"text": masked, "n_chars": F.when(hit, F.length(masked).cast("long")).otherwise(F.col("row.n_chars"))}
+    return found.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
