@@ -739,6 +739,59 @@ def q_p1(spark, sf_dir):
     return flat.select("page_id", "job_id", "source", "source_url", "description_text")
 
 
+# Every page's own id and url in a fixed job page, written alike in Spark and in SQL (%s: id, %u: url).
+JOB_PAGE = """<!DOCTYPE html><html><head><title>Page %s</title><!-- <h1>old</h1> -->
+<meta name="description" content="  About   job %s "><meta property="og:title" content="T&amp;C %s"><meta content="nameless">
+<script type="application/ld+json">{"@type": "JobPosting",   "title": "Job %s"}</script>
+<script type="application/ld+json">{broken %s</script><style>h1 {color: red}</style></head>
+<body><div class="breadcrumb"><a href="/">Home</a> <a href="/%s">Group %s</a></div>
+<h1 class="job-title">K&#7929; s&#432; d&agrave;i %s</h1><div class="company-box"><a>C&ocirc;ng ty %s</a></div>
+<p class="job-salary"> </p><p class="x-salary">%s - 35 tri&#7879;u</p><span class="address">Street %s</span>
+<div class="job-level">L%s</div><div class="exp-box">%s n&#259;m</div><i class="expired-date">%s/12</i>
+<b class="working-form">Full %s</b><em class="quantity">%s</em>
+<div class="job-description"><h2>What</h2><p>Build %s</p><ul><li>One %s</li><li> Two </li><li></li></ul></div>
+<div id="the-requirement"><ul><li>Need %s</li></ul></div><div class="benefits">Plain %s</div>
+<div class="job-tags"><a>Tool%s</a><a>Docker</a><a>Docker</a><a class="tag">A very long label that is no skill at all, by far %s</a></div>
+<h3>Form</h3><p>Day %s</p><p>Night</p><h3>Empty</h3><h3>Url</h3><p>%u</p></body></html>"""
+
+
+def _job_page_spark(page_id, url):
+    return F.replace(F.replace(F.lit(JOB_PAGE), F.lit("%s"), page_id.cast("string")), F.lit("%u"),
+                     F.replace(F.replace(url, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")))
+
+
+@query("x3_x8_job_page_fields", """
+SELECT page_id, 'Kỹ sư dài ' || page_id AS title, 'Công ty ' || page_id AS company_name,
+  page_id || ' - 35 triệu' AS salary, 'Street ' || page_id AS location, 'L' || page_id AS level,
+  page_id || ' năm' AS experience, page_id || '/12' AS deadline, 'Full ' || page_id AS job_type,
+  CAST(page_id AS VARCHAR) AS quantity,
+  'What' || chr(10) || 'Build ' || page_id || chr(10) || 'One ' || page_id || chr(10) || 'Two' AS description,
+  'One ' || page_id || '|Two' AS description_items, 'Need ' || page_id AS requirements,
+  'Need ' || page_id AS requirement_items, 'Plain ' || page_id AS benefits, '' AS benefit_items,
+  'Docker|Tool' || page_id AS skills, 'Home|Group ' || page_id AS categories,
+  'About job ' || page_id AS meta_description, 'T&C ' || page_id AS meta_title, CAST(2 AS BIGINT) AS n_meta,
+  '{"@type": "JobPosting", "title": "Job ' || page_id || '"}' AS json_ld_1, '{broken ' || page_id AS json_ld_2,
+  'Day ' || page_id || chr(10) || 'Night' AS form_section, url AS url_section, CAST(3 AS BIGINT) AS n_sections
+FROM pages""")
+def q_job_page_fields(spark, sf_dir):
+    from hirelens.operators.pages import extract_pages
+    p = read_table(spark, sf_dir, "pages")
+    found = extract_pages(p.select("page_id", _job_page_spark(F.col("page_id"), F.col("url")).alias("html")))
+    lists = ["description_items", "requirement_items", "benefit_items", "categories"]
+    plain = ["title", "company_name", "salary", "location", "level", "experience", "deadline", "job_type", "quantity",
+             "description", "requirements", "benefits"]
+    # the container's own text is a chip as well: it is too long here
+    return found.select("page_id", *plain, *[F.array_join(c, "|").alias(c) for c in lists],
+                        F.array_join("skills", "|").alias("skills"),
+                        F.col("meta_tags")["description"].alias("meta_description"),
+                        F.col("meta_tags")["og:title"].alias("meta_title"),
+                        F.size("meta_tags").cast("bigint").alias("n_meta"),
+                        F.get("json_ld", 0).alias("json_ld_1"), F.get("json_ld", 1).alias("json_ld_2"),
+                        F.col("sections_by_heading")["Form"].alias("form_section"),
+                        F.col("sections_by_heading")["Url"].alias("url_section"),
+                        F.size("sections_by_heading").cast("bigint").alias("n_sections"))
+
+
 @query("x3_x8_extract_pages", "WITH " + PAGE_TEXT_SQL + """
 SELECT pt.page_id, NULLIF(""" + _elem_text_sql("h1", "p.html") + """, '') AS title,
        length(pt.page_text) AS page_text_chars

@@ -125,4 +125,5 @@ PAGE_RECORD = T.StructType([
     T.StructField("json_ld", ARR_S, True),
     T.StructField("sections_by_heading", T.MapType(S, S), True),
     T.StructField("page_text", S, True),
+    T.StructField("parse_error", S, True),
 ])
