@@ -746,7 +746,7 @@ JOB_PAGE = """<!DOCTYPE html><html><head><title>Page %s</title><!-- <h1>old</h1>
 <script type="application/ld+json">{broken %s</script><style>h1 {color: red}</style></head>
 <body><div class="breadcrumb"><a href="/">Home</a> <a href="/%s">Group %s</a></div>
 <h1 class="job-title">K&#7929; s&#432; d&agrave;i %s</h1><div class="company-box"><a>C&ocirc;ng ty %s</a></div>
-<p class="job-salary"> </p><p class="x-salary">%s - 35 tri&#7879;u</p><span class="address">Street %s</span>
+<p class="job-salary"> </p><p class="x-wage">%s - 35 tri&#7879;u</p><span class="address">Street %s</span>
 <div class="job-level">L%s</div><div class="exp-box">%s n&#259;m</div><i class="expired-date">%s/12</i>
 <b class="working-form">Full %s</b><em class="quantity">%s</em>
 <div class="job-description"><h2>What</h2><p>Build %s</p><ul><li>One %s</li><li> Two </li><li></li></ul></div>
@@ -771,7 +771,7 @@ SELECT page_id, 'Kỹ sư dài ' || page_id AS title, 'Công ty ' || page_id AS
   'Docker|Tool' || page_id AS skills, 'Home|Group ' || page_id AS categories,
   'About job ' || page_id AS meta_description, 'T&C ' || page_id AS meta_title, CAST(2 AS BIGINT) AS n_meta,
   '{"@type": "JobPosting", "title": "Job ' || page_id || '"}' AS json_ld_1, '{broken ' || page_id AS json_ld_2,
-  'Day ' || page_id || chr(10) || 'Night' AS form_section, url AS url_section, CAST(3 AS BIGINT) AS n_sections
+  'Day ' || page_id || chr(10) || 'Night' AS form_section, url AS url_section, CAST(4 AS BIGINT) AS n_sections
 FROM pages""")
 def q_job_page_fields(spark, sf_dir):
     from hirelens.operators.pages import extract_pages
