@@ -22,7 +22,7 @@ CITY_MAP = [
     ("remote", "Remote"), ("toàn quốc", "Toàn quốc"),
 ]
 
-# Exact-match aliases of the speed layer (its own spellings are replaced by
+# Exact-match aliases of the live layer (its own spellings are replaced by
 # the contract's canonical names above).
 CITY_EXACT_ALIASES = [
     ("hanoi", "Hà Nội"),
@@ -76,4 +76,3 @@ STREAM_C_WATERMARK = "10 minutes"
 SPEED_VIEW_TTL_SECONDS = 7200
 ROW_TTL_DAYS = 30
 AGG_TTL_DAYS = 7
-MAX_OFFSETS_PER_TRIGGER = 500

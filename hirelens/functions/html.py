@@ -47,18 +47,16 @@ def page_title(html_col) -> Column:
                       F.nullif(element_text(html_col, "title"), F.lit("")))
 
 
-def page_text(html_col, max_chars: int | None = None) -> Column:
+def page_text(html_col) -> Column:
     """Visible text of a page: script / style / template / comments
     removed; each text node decoded and stripped; non-empty nodes joined by
-    newlines; then X1 cleanup. ``max_chars`` (e.g. 3000) cuts the text for
-    small messages; the default keeps the whole text."""
+    newlines; then X1 cleanup of the whole text."""
     body = F.regexp_replace(F.coalesce(_c(html_col), F.lit("")),
                             r"(?is)<(script|style|template)\b.*?</(script|style|template)\s*>", " ")
     body = F.regexp_replace(body, r"(?s)<!--.*?-->", " ")
     body = F.regexp_replace(body, r"(?is)<!doctype[^>]*>", " ")
     nodes = F.transform(F.split(body, r"<[^>]*>"), lambda x: strip_ws(unescape_entities(x)))
-    out = clean_text(F.array_join(F.filter(nodes, lambda x: x != ""), "\n"))
-    return F.substring(out, 1, max_chars) if max_chars else out
+    return clean_text(F.array_join(F.filter(nodes, lambda x: x != ""), "\n"))
 
 
 def json_ld_blocks(html_col) -> Column:

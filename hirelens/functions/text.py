@@ -78,7 +78,7 @@ def normalize_city(col, mode: str = "lookup") -> Column:
     ``lookup`` (consumer rule): exact dictionary match on the stripped lower
     text; else the longest dictionary key contained in it (first in dictionary
     order on ties); else the stripped input.
-    ``exact`` (speed-layer rule): exact match on the lower text (NULL ->
+    ``exact`` (live-layer rule): exact match on the lower text (NULL ->
     'unknown'); else ``initcap`` of it.
     """
     if mode == "exact":

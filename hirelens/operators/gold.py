@@ -29,28 +29,24 @@ def _r(col: Column, places: int = PERCENTILE_PLACES) -> Column:
 _ratio = ratio
 
 
-# Exact percentiles keep a value -> count map per group (memory grows with the
-# distinct values of the largest group); APPROX_ACCURACY switches every gold
-# percentile to the bounded sketch ``percentile_approx`` instead.
-APPROX_ACCURACY: int | None = None
-
-
-def _pct(col: str, ps: list[float]) -> Column:
-    if APPROX_ACCURACY:
-        return F.percentile_approx(col, ps, APPROX_ACCURACY).cast("array<double>")
+def _pct(col: str, ps: list[float], accuracy: int | None) -> Column:
+    """Exact interpolated percentiles (a value -> count map per group), or
+    the bounded sketch of this accuracy."""
+    if accuracy:
+        return F.percentile_approx(col, ps, accuracy).cast("array<double>")
     return F.percentile(col, ps)
 
 
-def _salary_aggs(percentiles: bool, extra_min: float | None = None,
-                 extra_max: float | None = None) -> list[Column]:
+def _salary_aggs(percentiles: bool, extra_min: float | None = None, extra_max: float | None = None,
+                 accuracy: int | None = None) -> list[Column]:
     """Money averages, and optionally medians (plus one extra percentile per
     column). Several percentiles of one column share one aggregation buffer
     (``percentile(col, array(..))``)."""
     out = [money_avg("salary_min").alias("avg_salary_min"),
            money_avg("salary_max").alias("avg_salary_max")]
     if percentiles:
-        out += [_pct("salary_min", [0.5] + ([extra_min] if extra_min else [])).alias("_pmin"),
-                _pct("salary_max", [0.5] + ([extra_max] if extra_max else [])).alias("_pmax")]
+        out += [_pct("salary_min", [0.5] + ([extra_min] if extra_min else []), accuracy).alias("_pmin"),
+                _pct("salary_max", [0.5] + ([extra_max] if extra_max else []), accuracy).alias("_pmax")]
     return out
 
 
@@ -79,15 +75,16 @@ def exploded_skills(silver: DataFrame, *cols: str) -> DataFrame:
         .filter((F.col("skill").isNotNull()) & (F.col("skill") != ""))
 
 
-def job_facts_daily(silver: DataFrame) -> DataFrame:
-    """A6 gold_job_facts_daily."""
+def job_facts_daily(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """A6 gold_job_facts_daily; medians are exact unless ``accuracy`` asks
+    for a sketch."""
     keys = ["date_key", "source", "city", "category_level_1", "category_level_2",
             "category_level_3", "level_normalized", "employment_type"]
     agg = (silver.withColumn("date_key", enums.date_key("posting_date"))
            .groupBy(*keys)
            .agg(F.count(F.lit(1)).alias("job_count"),
                 F.count_distinct("company_name").alias("distinct_company_count"),
-                *_salary_aggs(True),
+                *_salary_aggs(True, accuracy=accuracy),
                 _ratio(F.col("english_required")).alias("english_required_ratio"),
                 _ratio(F.col("has_benefits")).alias("benefit_coverage_ratio")))
     return agg.select(*keys, "job_count", "distinct_company_count", "avg_salary_min", "avg_salary_max",
@@ -107,13 +104,14 @@ def skill_counts_daily(silver: DataFrame) -> DataFrame:
     return _rank_in(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
 
 
-def salary_stats_by_skill_month(silver: DataFrame) -> DataFrame:
-    """A8 gold_salary_stats_by_skill_month (exact interpolated percentiles)."""
+def salary_stats_by_skill_month(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
+    """A8 gold_salary_stats_by_skill_month (exact interpolated percentiles
+    unless ``accuracy`` asks for a sketch)."""
     ex = exploded_skills(silver.withColumn("month_key", enums.month_key("posting_date")),
                          "month_key", "city", "category_level_3", "salary_min", "salary_max")
     keys = ["month_key", "skill", "city", "category_level_3"]
     agg = ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("job_count"),
-                                *_salary_aggs(True, extra_min=0.25, extra_max=0.75))
+                                *_salary_aggs(True, extra_min=0.25, extra_max=0.75, accuracy=accuracy))
     return agg.select(*keys, "job_count", "avg_salary_min", "avg_salary_max",
                       *_percentile_cols("p25_salary_min", "p75_salary_max"))
 

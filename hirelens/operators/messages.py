@@ -81,7 +81,7 @@ NORMALIZED_FIELDS = ["job_id", "source", "source_url", "job_title", "company_nam
 
 
 def normalize_events(df: DataFrame) -> DataFrame:
-    """P4 speed-layer normalization: city (exact rule), VND salary (N3),
+    """P4 live-layer normalization: city (exact rule), VND salary (N3),
     skills (N4), company initcap, source lower; final 16-column select."""
     vnd = salary_vnd("salary_text")
     return df.select(
@@ -120,9 +120,40 @@ def parse_clean(df: DataFrame, value_col: str = "value") -> DataFrame:
     message time (replay-stable, unlike the wall clock); NULL job_id dropped."""
     p = df.select(F.col(value_col).cast("string").alias("raw_json"),
                   F.col("timestamp").alias("kafka_ts"))
-    return p.select(parsed_columns(F.from_json("raw_json", schemas.CLEAN_EVENT)), "kafka_ts") \
+    return p.select(parsed_columns(parse_json(F.col("raw_json"), schemas.CLEAN_EVENT)), "kafka_ts") \
         .withColumn("event_time", F.coalesce(F.try_to_timestamp("event_ts"), F.col("kafka_ts"))) \
-        .filter(F.col("job_id").isNotNull()).drop("kafka_ts")
+        .filter(F.col("job_id").isNotNull() & F.col(CORRUPT).isNull()).drop("kafka_ts", CORRUPT)
+
+
+def _failed(df: DataFrame, topic: Column, raw: Column, errors: Column, failed_at: Column | None) -> DataFrame:
+    """SK4 rows of those with an error."""
+    fa = failed_at if failed_at is not None else F.current_timestamp()
+    return df.withColumn("_errors", errors).filter(F.size("_errors") > 0).select(
+        topic.cast("string").alias("original_topic"), raw.alias("original_message"),
+        F.when(F.array_contains("_errors", "PARSE_ERROR"), F.lit("PARSE_ERROR"))
+        .otherwise(F.lit("VALIDATION_ERROR")).alias("error_type"),
+        F.array_join("_errors", "; ").alias("error_message"), fa.cast("string").alias("failed_at"))
+
+
+def event_dead_letters(parsed: DataFrame, failed_at: Column | None = None) -> DataFrame:
+    """SK4 for stream A: what :func:`clean_events` leaves out of parsed
+    messages, and why."""
+    time = F.coalesce(F.try_to_timestamp("event_ts"), F.col("kafka_ts"))
+    errors = error_array((~F.col("is_parse_ok"), "PARSE_ERROR"),
+                         (F.col("is_parse_ok") & F.col("job_id").isNull(), "job_id missing"),
+                         (F.col("is_parse_ok") & time.isNull(), "event time missing"))
+    return _failed(parsed, F.col("kafka_topic"), F.col("raw_json"), errors, failed_at)
+
+
+def clean_dead_letters(df: DataFrame, value_col: str = "value", failed_at: Column | None = None) -> DataFrame:
+    """SK4 for stream C: clean-event messages that don't parse or have no
+    job_id, which :func:`parse_clean` leaves out."""
+    p = df.select(F.col(value_col).cast("string").alias("raw_json"),
+                  (F.col("topic") if "topic" in df.columns else F.lit(None)).alias("_topic"))
+    p = p.select("raw_json", "_topic", parsed_columns(parse_json(F.col("raw_json"), schemas.CLEAN_EVENT)))
+    bad = F.col("raw_json").isNull() | F.col(CORRUPT).isNotNull()
+    errors = error_array((bad, "PARSE_ERROR"), (~bad & F.col("job_id").isNull(), "job_id missing"))
+    return _failed(p, F.col("_topic"), F.col("raw_json"), errors, failed_at)
 
 
 def parse_delimited(df: DataFrame, col: str = "value", sep: str = "|",
@@ -181,7 +212,7 @@ def to_flat_event(df: DataFrame, crawled_at: Column | str = "crawled_at",
         F.coalesce(it.cast("string"), F.lit("")).alias("ingest_ts"))
 
 
-def to_envelope(df: DataFrame, source: str = "topcv", now: Column | None = None) -> DataFrame:
+def to_envelope(df: DataFrame, source: str, now: Column | None = None) -> DataFrame:
     """Payload -> envelope (constant source, normalized URL, crawl
     version 1, ingest_ts = event_ts = ``now``) plus the K2 message key."""
     ts = (now if now is not None else F.current_timestamp()).cast("string")
@@ -217,6 +248,7 @@ def consumer_transform(env: DataFrame) -> DataFrame:
         sal["currency"].alias("currency"),
         text.filter_skills(F.col(f"{pl}.skills")).alias("skills"),
         F.substring(F.coalesce(F.col("event_ts"), F.lit("")), 1, 10).alias("event_date"),
+        F.coalesce(F.col("event_ts"), F.col("kafka_ts").cast("string")).alias("event_ts"),
         F.coalesce(F.col("ingest_ts"), F.col("kafka_ts").cast("string")).alias("fetched_at"),
         errs.alias("errors"))
 
@@ -228,11 +260,4 @@ def job_documents(tr: DataFrame) -> DataFrame:
 
 def dead_letters(tr: DataFrame, failed_at: Column | None = None) -> DataFrame:
     """SK4 rows: failed rows with error type / message and the original text."""
-    fa = failed_at if failed_at is not None else F.current_timestamp()
-    return tr.filter(F.size("errors") > 0).select(
-        F.col("kafka_topic").alias("original_topic"),
-        F.col("raw_json").alias("original_message"),
-        F.when(F.array_contains("errors", "PARSE_ERROR"), F.lit("PARSE_ERROR"))
-        .otherwise(F.lit("VALIDATION_ERROR")).alias("error_type"),
-        F.array_join("errors", "; ").alias("error_message"),
-        fa.cast("string").alias("failed_at"))
+    return _failed(tr, F.col("kafka_topic"), F.col("raw_json"), F.col("errors"), failed_at)

@@ -1,6 +1,6 @@
 """Driver tables re-expressed as the reference's inputs.
 
-``events`` becomes (a) raw queue messages of the speed layer and (b) clean
+``events`` becomes (a) raw queue messages of the live layer and (b) clean
 events of the realtime aggregator; the same mapping is written in SQL for the
 oracle. These are projections of the whole table (every row is kept).
 """

@@ -40,10 +40,10 @@ def _strip(x: str) -> str:
     return STRIP_SQL.format(x=x)
 
 
-# =========================================================== speed layer (A)
+# =========================================================== live layer (A)
 
 def _stream_a(spark, sf_dir, dedup=True, cols=None):
-    """Speed-layer input: messages -> V1 -> V5 -> P4 (-> K7 batch dedup).
+    """Live-layer input: messages -> V1 -> V5 -> P4 (-> K7 batch dedup).
     ``cols``: the columns the consumer needs; projecting them before the
     dedup keeps the shuffle narrow (a struct inside an aggregate is not
     pruned by the optimizer)."""
@@ -981,7 +981,7 @@ def q_v7(spark, sf_dir):
 
 
 @query("p2_v2_envelope_roundtrip_pages", "WITH " + PAGE_URL_SQL + """
-SELECT sha256('topcv|' || normalized_url) AS job_id, 'topcv' AS source, url AS source_url,
+SELECT sha256('boards|' || normalized_url) AS job_id, 'boards' AS source, url AS source_url,
        normalized_url AS normalized_source_url, 1 AS crawl_version, CAST(NULL AS VARCHAR) AS envelope_error,
        netloc AS domain
 FROM pn""")
@@ -991,7 +991,7 @@ def q_p2(spark, sf_dir):
     p = read_table(spark, sf_dir, "pages").select(
         F.col("url").alias("source_url"),
         F.struct(urls.url_domain("url").alias("domain"), html.page_title("html").alias("title")).alias("payload"))
-    env = messages.to_envelope(p, source="topcv", now=F.lit("2024-01-01T00:00:00"))
+    env = messages.to_envelope(p, source="boards", now=F.lit("2024-01-01T00:00:00"))
     msgs = env.select(F.col("key").cast("binary").alias("key"), F.to_json("envelope").cast("binary").alias("value"),
                       F.lit("jobs_raw").alias("topic"), F.lit(0).alias("partition"),
                       F.lit(0).cast("bigint").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
@@ -1031,7 +1031,7 @@ JSON_LD_PATTERN = r"""(?is)<script[^>]*type\s*=\s*["']application/ld\+json["'][^
 
 
 @query("p5_p6_bronze_pages", "WITH " + PAGE_URL_SQL + "," + PAGE_TEXT_SQL.strip().rstrip(",") + """
-SELECT sha256('topcv|' || pn.normalized_url) AS job_id,
+SELECT sha256('boards|' || pn.normalized_url) AS job_id,
        CAST(len(regexp_extract_all(p.html, '""" + JSON_LD_PATTERN.replace("'", "''") + """', 1)) AS INTEGER) AS json_ld_count,
        CAST(0 AS INTEGER) AS skills_count,
        len(regexp_extract_all(p.html, '""" + JSON_LD_PATTERN.replace("'", "''") + """', 1)) > 0 AS has_json_ld,
@@ -1047,7 +1047,7 @@ def q_p5(spark, sf_dir):
     payload = F.struct(urls.url_domain("url").alias("domain"), html.page_text("html").alias("page_text"),
                        html.json_ld_blocks("html").alias("json_ld"))
     env = messages.to_envelope(p.select(F.col("url").alias("source_url"), payload.alias("payload")),
-                               source="topcv", now=F.lit("2024-01-01T00:00:00"))
+                               source="boards", now=F.lit("2024-01-01T00:00:00"))
     msgs = env.select(F.col("key").cast("binary").alias("key"), F.to_json("envelope").cast("binary").alias("value"),
                       F.lit("jobs_raw").alias("topic"), F.lit(0).alias("partition"),
                       F.lit(0).cast("bigint").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))

@@ -1,49 +1,64 @@
 """Keyed upsert tables on plain Parquet (SK2, SK5).
 
-Each micro-batch is written by the executors to ``<root>/batch_id=N`` with
-``mode("overwrite")`` on that folder only: a retried batch rewrites the same
-folder, so the write is idempotent. The current view is a last-write-wins
-aggregate over all deltas plus a time-to-live filter; ``compact`` rewrites it
-into a new version folder (readers keep the folder they opened).
+Each micro-batch is written by the executors to ``<root>/run=R/batch_id=N``
+with ``mode("overwrite")`` on that folder only: a retried batch rewrites the
+same folder, and a run that lost its checkpoint has another ``R`` (see
+:mod:`hirelens.streaming.runs`), so no delta is overwritten by another. The
+current view is a last-write-wins aggregate over all deltas plus a
+time-to-live filter; ``compact`` writes it as a table of the same layout.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens.functions.constants import SPEED_VIEW_TTL_SECONDS
+from hirelens.streaming.runs import path_exists
+
+
+def delta_path(root: str, batch_id: int, run: str) -> str:
+    return f"{root}/run={run}/batch_id={batch_id}"
 
 
-def write_delta(df: DataFrame, root: str, batch_id: int, updated_at: Column | None = None) -> None:
+def write_delta(df: DataFrame, root: str, batch_id: int, run: str, updated_at: Column | None = None) -> None:
     """Write one micro-batch of keyed rows (executor side, errors propagate
     so the batch is retried instead of committed)."""
     ua = updated_at if updated_at is not None else F.current_timestamp()
-    df.withColumn("updated_at", ua).withColumn("batch_id", F.lit(batch_id).cast("bigint")) \
-        .write.mode("overwrite").parquet(os.path.join(root, f"batch_id={batch_id}"))
+    df.withColumn("updated_at", ua).write.mode("overwrite").parquet(delta_path(root, batch_id, run))
 
 
 def current_view(spark: SparkSession, root: str, key: list[str], ttl_seconds: int | None = None,
-                 as_of: Column | None = None) -> DataFrame:
-    """Last write wins per key by (batch_id, updated_at); rows older than the
+                 as_of: Column | None = None, schema: T.StructType | None = None) -> DataFrame:
+    """Last write wins per key by (updated_at, batch_id); rows older than the
     TTL (by ``updated_at``) are hidden. ``max_by`` keeps it a partial +
-    final aggregate."""
-    deltas = spark.read.option("basePath", root).parquet(os.path.join(root, "batch_id=*"))
+    final aggregate. A table without a batch yet is empty if its row
+    ``schema`` (without ``updated_at``) is given, else an error."""
+    extra = [T.StructField("updated_at", T.TimestampType()), T.StructField("run", T.StringType()),
+             T.StructField("batch_id", T.LongType())]
+    if schema is not None and not path_exists(spark, root):
+        deltas = spark.createDataFrame([], T.StructType([*schema.fields, *extra]))
+    else:
+        deltas = spark.read.parquet(root).withColumn("run", F.col("run").cast("string")) \
+            .withColumn("batch_id", F.col("batch_id").cast("bigint"))
     cols = [c for c in deltas.columns if c not in key]
     latest = deltas.groupBy(*key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct("batch_id", "updated_at")).alias("_r")) \
-        .select(*key, "_r.*")
+        F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct("updated_at", "batch_id")).alias("_r")) \
+        .select(*key, "_r.*").drop("run")
     if ttl_seconds is not None:
         now = as_of if as_of is not None else F.current_timestamp()
         latest = latest.filter(F.col("updated_at") >= now - F.make_dt_interval(secs=F.lit(ttl_seconds)))
     return latest
 
 
-def compact(spark: SparkSession, root: str, key: list[str], out: str) -> None:
-    """Rewrite the current view into ``out`` (a new version folder)."""
-    current_view(spark, root, key).write.mode("overwrite").parquet(out)
+def compact(spark: SparkSession, root: str, key: list[str], out: str, ttl_seconds: int | None = None,
+            as_of: Column | None = None) -> None:
+    """Write the current view to ``out``, a new table that :func:`current_view`
+    reads and streams may add deltas to; with a TTL, expired rows go for good.
+    Rows keep their ``updated_at``, so later deltas still win."""
+    current_view(spark, root, key, ttl_seconds, as_of).drop("batch_id") \
+        .write.mode("overwrite").parquet(delta_path(out, 0, "compacted"))
 
 
 def speed_view_rows(agg: DataFrame, view: str, field_col: str, value_col: str,

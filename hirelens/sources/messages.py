@@ -12,21 +12,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens import schemas
-from hirelens.functions.constants import MAX_OFFSETS_PER_TRIGGER
 
 
 def read_messages(spark: SparkSession, bootstrap: str, topic: str,
                   starting_offsets: str = "latest",
-                  max_offsets_per_trigger: int = MAX_OFFSETS_PER_TRIGGER) -> DataFrame:
+                  max_offsets_per_trigger: int | None = None) -> DataFrame:
     """SR1: queue source (needs the Kafka connector on the classpath; the
-    reader fails at ``load`` without it)."""
-    return (spark.readStream.format("kafka")
+    reader fails at ``load`` without it). A trigger takes all that is there
+    unless ``max_offsets_per_trigger`` says otherwise."""
+    reader = (spark.readStream.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap)
             .option("subscribe", topic)
             .option("startingOffsets", starting_offsets)
-            .option("failOnDataLoss", "false")
-            .option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-            .load())
+            .option("failOnDataLoss", "false"))
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return reader.load()
 
 
 def read_message_files(spark: SparkSession, path: str, fmt: str = "parquet",

@@ -10,38 +10,14 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
-# Fact tables: per-row work (JSON, regex, hashing) happens in their scan stage,
-# so their splits are spread over the cores (see :func:`balanced`). Dimension
-# tables are left alone (they are small or joined through a shuffle anyway).
-FACT_TABLES = {"lineitem", "events", "documents", "pages", "conversations"}
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def balanced(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Spread a scan over the cluster's cores when its file layout yields
-    fewer input splits than there are cores (e.g. one large Parquet row
-    group, which cannot be split). On a large input the scan already has
-    thousands of splits and this is a no-op, so no shuffle is added there."""
-    try:
-        target = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session has no RDD API: keep the scan as is
-        return df
-    if splits < target:
-        return df.repartition(target)
-    return df
-
-
-def read_table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> DataFrame:
-    """Parquet scan; column pruning and filter pushdown come from Catalyst
-    (they pass through the round-robin repartition of :func:`balanced`)."""
-    df = spark.read.parquet(table_path(sf_dir, name))
-    if spread and name in FACT_TABLES:
-        df = balanced(spark, df)
-    return df
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Parquet scan; column pruning and filter pushdown come from Catalyst.
+    Its parallelism is the files' (row groups, ``maxPartitionBytes``)."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def register_views(spark: SparkSession, sf_dir: str, names=TABLES) -> None:

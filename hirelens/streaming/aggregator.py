@@ -1,8 +1,8 @@
 """Stream C (realtime aggregator): clean events -> job counts and skill counts
 per 10-minute window sliding by 1 minute -> keyed realtime tables.
 
-Two queries from one input; the caller waits for either to stop (T9). The
-exact distinct company count is ``size(collect_set)`` in streams (distinct
+Two queries from one input, and one for the dead letters; the caller waits
+for any to stop (T9). The exact distinct company count is ``size(collect_set)`` in streams (distinct
 aggregates are rejected on streaming plans).
 """
 
@@ -15,31 +15,41 @@ from pyspark.sql.streaming import StreamingQuery
 
 from hirelens.functions.constants import STREAM_C_WATERMARK
 from hirelens.operators import messages, realtime
-from hirelens.session import scratch_path
 from hirelens.sinks import keyed
+from hirelens.streaming.runs import run_id
 
 KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
         "realtime_skill_counts": ["time_bucket", "city", "skill"]}
 
 
-def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK) -> dict[str, DataFrame]:
+def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK,
+               approx_distinct: bool = False) -> dict[str, DataFrame]:
     clean = messages.parse_clean(raw)
-    return {"realtime_job_counts_10m": realtime.job_counts_sliding(clean, watermark=watermark),
-            "realtime_skill_counts": realtime.skill_counts_sliding(clean, watermark=watermark)}
+    return {"realtime_job_counts_10m": realtime.job_counts_sliding(clean, watermark=watermark,
+                                                                    approx_distinct=approx_distinct),
+            "realtime_skill_counts": realtime.skill_counts_sliding(clean, watermark=watermark,
+                                                                    approx_distinct=approx_distinct)}
 
 
-def start(raw: DataFrame, out_root: str, checkpoint_root: str | None = None, trigger: dict | None = None,
-          watermark: str = STREAM_C_WATERMARK, output_mode: str = "update") -> list[StreamingQuery]:
+def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
+          watermark: str = STREAM_C_WATERMARK, output_mode: str = "update",
+          approx_distinct: bool = False) -> list[StreamingQuery]:
     """Update mode; each refresh is an upsert by the grouping key (the
-    current view keeps the last write per key, no duplicate documents)."""
-    checkpoint_root = checkpoint_root or scratch_path(raw.sparkSession, "aggregator")
+    current view keeps the last write per key, no duplicate documents).
+    ``approx_distinct`` keeps a bounded sketch instead of the set of companies
+    of each open window. ``checkpoint_root`` must outlive the driver."""
+    run = run_id(raw.sparkSession, checkpoint_root)
     trigger = trigger or {"processingTime": "30 seconds"}
-    out = []
-    for name, agg in aggregates(raw, watermark).items():
+    dead = messages.clean_dead_letters(raw)
+    out = [dead.writeStream.outputMode("append").format("parquet")
+           .option("path", os.path.join(out_root, "dead_letter", f"run={run}"))
+           .option("checkpointLocation", os.path.join(checkpoint_root, "dead_letter"))
+           .queryName("realtime_dead_letter").trigger(**trigger).start()]
+    for name, agg in aggregates(raw, watermark, approx_distinct).items():
         root = os.path.join(out_root, name)
 
         def sink(batch: DataFrame, batch_id: int, _root=root):
-            keyed.write_delta(batch, _root, batch_id)
+            keyed.write_delta(batch, _root, batch_id, run)
 
         out.append(agg.writeStream.outputMode(output_mode).foreachBatch(sink)
                    .option("checkpointLocation", os.path.join(checkpoint_root, name))

@@ -4,12 +4,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from hirelens.plans.queries import QUERIES
 from hirelens.sources.tables import TABLES, table_path
 from tools.oracle_check import rows_of, type_mismatches
 
 from .conftest import SF_SMALL
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")

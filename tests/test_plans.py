@@ -5,13 +5,14 @@ narrow scans (column pruning reaches the Parquet reader)."""
 import pytest
 
 import __spark_entry__ as E
+from hirelens.plans.queries import QUERIES
 
 from .conftest import SF_SMALL
 
-PYTHON_WORKER_QUERIES = {"x3_x8_extract_pages"}
+PYTHON_WORKER_QUERIES = {"x3_x8_extract_pages", "x3_x8_job_page_fields"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_guards(spark, name):
     df = E.queries()[name](spark, SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()

@@ -9,7 +9,7 @@ from hirelens.plans import adapters
 from hirelens.sinks import keyed
 from hirelens.sources.messages import read_message_files
 from hirelens.sources.tables import read_table
-from hirelens.streaming import aggregator, speed_layer
+from hirelens.streaming import aggregator, live_layer
 
 from .conftest import SF_SMALL
 
@@ -71,13 +71,13 @@ def test_stream_a_restart_no_double_count(spark, scratch):
     os.makedirs(hidden)
     for f in files[2:]:
         os.rename(os.path.join(src, f), os.path.join(hidden, f))
-    for q in speed_layer.start(stream, out, ck, trigger={"availableNow": True}):
+    for q in live_layer.start(stream, out, ck, trigger={"availableNow": True}):
         q.awaitTermination()
     for f in files[2:]:
         os.rename(os.path.join(hidden, f), os.path.join(src, f))
     # restart from the same checkpoint: the remaining files only
     stream = read_message_files(spark, src, max_files_per_trigger=1)
-    for q in speed_layer.start(stream, out, ck, trigger={"availableNow": True}):
+    for q in live_layer.start(stream, out, ck, trigger={"availableNow": True}):
         q.awaitTermination()
     cur = keyed.current_view(spark, os.path.join(out, "job_counts_10m"), ["view", "window_start", "window_end", "field"])
     norm = messages.normalize_events(messages.clean_events(messages.parse_messages(msgs, ingest_time=F.col("kafka_ts"))))
@@ -182,12 +182,12 @@ def test_consumer_four_outputs_and_metrics(spark, scratch):
     metrics = [p["observedMetrics"].get("consumer_metrics") for p in q.recentProgress if p["numInputRows"]]
     assert metrics and metrics[0]["batch_count"] == 5 and metrics[0]["ok_count"] == 3
     assert metrics[0]["dead_letter_count"] == 2
-    lines = spark.read.text(os.path.join(out, "documents", "*")).collect()
+    lines = spark.read.text(os.path.join(out, "documents", "*", "*")).collect()
     assert len(lines) == 6 and '"_index":"jobs_realtime_v1"' in lines[0]["value"]
     jobs = keyed.current_view(spark, os.path.join(out, "jobs_streaming"), ["job_id"]).collect()
     assert len(jobs) == 3 and all(r["city"] == "Hồ Chí Minh" and r["skills"] == ["Python", "SQL"] for r in jobs)
-    assert spark.read.parquet(os.path.join(out, "jobs_clean", "*")).count() == 3
-    dl = spark.read.parquet(os.path.join(out, "dead_letter", "*")).collect()
+    assert spark.read.parquet(os.path.join(out, "jobs_clean")).count() == 3
+    dl = spark.read.parquet(os.path.join(out, "dead_letter")).collect()
     assert sorted(r["error_type"] for r in dl) == ["PARSE_ERROR", "VALIDATION_ERROR"]
     # SR3: the same records as a JSON array and as NDJSON (bare payload or wrapped)
     arr = os.path.join(scratch, "arr.json")
@@ -201,7 +201,7 @@ def test_consumer_four_outputs_and_metrics(spark, scratch):
 def test_console_memory_debug_sink(spark, scratch):
     msgs = adapters.raw_messages(spark, SF_SMALL)
     src = _stage_files(spark, msgs, scratch, n_files=2)
-    q = speed_layer.start_console(read_message_files(spark, src), os.path.join(scratch, "ck"), fmt="memory",
+    q = live_layer.start_console(read_message_files(spark, src), os.path.join(scratch, "ck"), fmt="memory",
                                   name="speed_main_test")
     q.processAllAvailable()
     q.stop()
@@ -211,11 +211,11 @@ def test_console_memory_debug_sink(spark, scratch):
 def test_keyed_table_last_write_wins_and_ttl(spark, scratch):
     root = os.path.join(scratch, "keyed")
     rows = spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int")
-    keyed.write_delta(rows, root, 0, updated_at=F.to_timestamp(F.lit("2024-01-01 00:00:00")))
-    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1,
+    keyed.write_delta(rows, root, 0, "r1", updated_at=F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1, "r1",
                       updated_at=F.to_timestamp(F.lit("2024-01-01 01:00:00")))
     # a retried batch rewrites its own folder: still one row per key
-    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1,
+    keyed.write_delta(rows.filter("k = 'a'").withColumn("v", F.lit(2)), root, 1, "r1",
                       updated_at=F.to_timestamp(F.lit("2024-01-01 01:00:00")))
     cur = {r["k"]: r["v"] for r in keyed.current_view(spark, root, ["k"]).collect()}
     assert cur == {"a": 2, "b": 1}
@@ -237,8 +237,8 @@ def test_batch_and_stream_share_schemas(spark, scratch):
     for build in (realtime.job_counts_sliding, realtime.skill_counts_sliding):
         assert build(stream).schema == build(batch).schema
     raw = adapters.raw_messages(spark, SF_SMALL)
-    s_main = speed_layer.main_stream(read_message_files(spark, _stage_files(spark, raw, scratch + "/a", 1)))
-    b_main = speed_layer.main_stream(raw)
+    s_main = live_layer.main_stream(read_message_files(spark, _stage_files(spark, raw, scratch + "/a", 1)))
+    b_main = live_layer.main_stream(raw)
     for build in (realtime.job_counts_10m, realtime.skill_counts_30m):
         assert names_types(build(s_main)) == names_types(build(b_main))
     # naming rule: every registered output column is snake_case
@@ -260,3 +260,86 @@ def test_stream_approx_distinct_option(spark, scratch):
              for r in realtime.job_counts_sliding(messages.parse_clean(msgs)).collect()}
     assert got.keys() == exact.keys()
     assert all(abs(got[k] - exact[k]) <= max(1, 0.1 * exact[k]) for k in exact)
+
+
+def test_lost_checkpoint_overwrites_nothing(spark, scratch):
+    """Batches of a run without the old checkpoint start at 0 again, beside the old ones."""
+    root = os.path.join(scratch, "keyed")
+    row = lambda k, v: spark.createDataFrame([(k, v)], "k string, v int")
+    keyed.write_delta(row("a", 1), root, 0, "r1", updated_at=F.to_timestamp(F.lit("2024-01-01 00:00:00")))
+    keyed.write_delta(row("b", 1), root, 0, "r2", updated_at=F.to_timestamp(F.lit("2024-01-01 01:00:00")))
+    keyed.write_delta(row("a", 5), root, 1, "r2", updated_at=F.to_timestamp(F.lit("2024-01-01 02:00:00")))
+    view = lambda r: {x["k"]: x["v"] for x in keyed.current_view(spark, r, ["k"]).collect()}
+    assert view(root) == {"a": 5, "b": 1}
+    out = os.path.join(scratch, "small")
+    keyed.compact(spark, root, ["k"], out, ttl_seconds=3600, as_of=F.to_timestamp(F.lit("2024-01-01 02:30:00")))
+    assert view(out) == {"a": 5}                       # the expired row is gone for good
+    keyed.write_delta(row("a", 6), out, 0, "r3", updated_at=F.to_timestamp(F.lit("2024-01-01 03:00:00")))
+    keyed.write_delta(row("c", 7), out, 1, "r3", updated_at=F.to_timestamp(F.lit("2024-01-01 03:00:00")))
+    assert view(out) == {"a": 6, "c": 7}
+    none = keyed.current_view(spark, os.path.join(scratch, "none"), ["k"], schema=row("a", 1).schema)
+    assert none.count() == 0 and none.columns[:2] == ["k", "v"]
+
+
+def _messages(spark, rows, path):
+    df = spark.createDataFrame(rows, "k string, v string, t string").select(
+        F.col("k").cast("binary").alias("key"), F.col("v").cast("binary").alias("value"), F.lit("topic").alias("topic"),
+        F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"), F.to_timestamp("t").alias("timestamp"))
+    df.coalesce(1).write.mode("append").parquet(path)
+
+
+def test_consumer_restarts_and_feeds_the_aggregator(spark, scratch):
+    """Stream B stopped and started with its checkpoint, then without it; its
+    clean events keep the time of day, and stream C's windows follow it."""
+    import json as _json
+    from hirelens.streaming import consumer
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    job = lambda i, ts: ("k%d" % i, _json.dumps({
+        "source": "s", "source_url": f"https://x.example/{i}", "event_ts": ts,
+        "payload": {"title": f"Job {i}", "company_name": "ACME", "location": "hcm", "skills": ["Python"]}}),
+        "2026-04-10 08:00:00")
+
+    def run(ck):
+        q = consumer.start(read_message_files(spark, src), out, os.path.join(scratch, ck), trigger={"availableNow": True})
+        q.awaitTermination()
+
+    _messages(spark, [job(1, "2026-04-10T10:37:21")], src)
+    run("ck")
+    _messages(spark, [job(2, "2026-04-10T10:39:00"), ("k", "{oops", "2026-04-10 08:00:00")], src)
+    run("ck")                                                     # kept: only the new file
+    clean = spark.read.parquet(os.path.join(out, "jobs_clean"))
+    assert clean.count() == 2 and clean.select("run").distinct().count() == 1
+    run("ck2")                                                    # lost: all again, beside the rest
+    clean = spark.read.parquet(os.path.join(out, "jobs_clean"))
+    assert clean.count() == 4 and clean.select("run").distinct().count() == 2
+    view = keyed.current_view(spark, os.path.join(out, "jobs_streaming"), ["job_id"])
+    assert sorted(r["job_title"] for r in view.collect()) == ["Job 1", "Job 2"]
+    assert spark.read.parquet(os.path.join(out, "dead_letter")).count() == 2
+    times = sorted(_json.loads(r["value"])["event_ts"] for r in clean.collect())
+    assert times == ["2026-04-10T10:37:21"] * 2 + ["2026-04-10T10:39:00"] * 2
+    # B -> C
+    src2 = os.path.join(scratch, "clean")
+    _messages(spark, [(r["key"], r["value"], "2026-04-10 08:00:00") for r in clean.collect()]
+              + [("x", "{bad", "2026-04-10 08:00:00"), ("x", '{"city": "A"}', "2026-04-10 08:00:00")], src2)
+    for q in aggregator.start(read_message_files(spark, src2), os.path.join(scratch, "agg"), os.path.join(scratch, "ck3"),
+                              trigger={"availableNow": True}):
+        q.awaitTermination()
+    rows = keyed.current_view(spark, os.path.join(scratch, "agg", "realtime_job_counts_10m"),
+                              ["time_bucket", "city", "employment_type"]).collect()
+    assert rows and {str(r["time_bucket"])[:13].replace("T", " ") for r in rows} == {"2026-04-10 10"}
+    dead = spark.read.parquet(os.path.join(scratch, "agg", "dead_letter")).collect()
+    assert sorted(r["error_message"] for r in dead) == ["PARSE_ERROR", "job_id missing"]
+
+
+def test_live_layer_dead_letters(spark, scratch):
+    src, out = os.path.join(scratch, "src"), os.path.join(scratch, "out")
+    _messages(spark, [("a", '{"job_id": "1", "event_ts": "2024-01-01 00:00:00", "skills_text": "x"}', "2024-01-01 00:00:00"),
+                      ("b", "{oops", "2024-01-01 00:00:00"), ("c", None, "2024-01-01 00:00:00"),
+                      ("d", '{"title": "no id"}', "2024-01-01 00:00:00")], src)
+    for q in live_layer.start(read_message_files(spark, src), out, os.path.join(scratch, "ck"),
+                              trigger={"availableNow": True}):
+        q.awaitTermination()
+    dead = spark.read.parquet(os.path.join(out, "dead_letter")).collect()
+    assert sorted((r["error_type"], r["error_message"]) for r in dead) == [
+        ("PARSE_ERROR", "PARSE_ERROR"), ("PARSE_ERROR", "PARSE_ERROR"), ("VALIDATION_ERROR", "job_id missing")]
+    assert spark.read.parquet(os.path.join(out, "silver")).count() == 1
