@@ -1,42 +1,100 @@
-"""Batch medallion job (E4): raw envelopes -> bronze -> silver -> gold.
+"""Batch medallion job (E4): raw envelopes -> raw -> bronze -> silver -> gold.
 
-Each layer is written as partitioned Parquet (SK7) and the next layer reads
-it back (SR4), so lineage is cut at every layer: a lost executor re-runs at
-most one layer's tasks, and each write replaces only the partitions it
-produces (dynamic partition overwrite), so a rerun is idempotent. The as-of
-time is a parameter; nothing reads the wall clock.
+Raw and bronze are append-only: a batch writes partitions of its own
+(``batch_id`` comes first), and running it again replaces just these. Silver
+and gold are brought up to date where the batch touches them: the versions of
+the batch's jobs are computed from their whole bronze history and merged into
+the silver partitions that held or will hold them; gold partitions that gained
+or lost a posting are rebuilt, and those left empty are removed. Each layer is
+written and read back, so a lost executor repeats one layer's tasks at most.
+The as-of time is a parameter; nothing reads the wall clock.
 """
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens.functions import enums
 from hirelens.operators import gold, medallion
 from hirelens.sources.messages import read_layer
+from hirelens.streaming.runs import path_exists
 
 GOLD_TABLES = {
-    "gold_job_facts_daily": (gold.job_facts_daily, ["date_key"]),
-    "gold_skill_counts_daily": (gold.skill_counts_daily, ["date_key"]),
-    "gold_salary_stats_by_skill_month": (gold.salary_stats_by_skill_month, ["month_key"]),
-    "gold_company_hiring_by_month": (gold.company_hiring_by_month, ["month_key"]),
-    "gold_skill_cooccurrence_weekly": (gold.skill_cooccurrence_weekly, ["week_key"]),
+    "gold_job_facts_daily": (gold.job_facts_daily, "date_key"),
+    "gold_skill_counts_daily": (gold.skill_counts_daily, "date_key"),
+    "gold_salary_stats_by_skill_month": (gold.salary_stats_by_skill_month, "month_key"),
+    "gold_company_hiring_by_month": (gold.company_hiring_by_month, "month_key"),
+    "gold_skill_cooccurrence_weekly": (gold.skill_cooccurrence_weekly, "week_key"),
 }
+KEY_OF = {"date_key": enums.date_key, "month_key": enums.month_key, "week_key": enums.week_key}
+SILVER_PARTITIONS = ["posting_date", "city_slug"]
+_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
+    """Null-safe equality of columns that both sides have."""
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & a[c].eqNullSafe(b[c])
+    return cond
+
+
+def replace_partitions(new: DataFrame, path: str, columns: list[str], touched: DataFrame) -> None:
+    """Make the ``touched`` partitions (rows of their key values) of the table
+    hold the rows of ``new``: those with rows are overwritten, the others
+    removed. ``new`` must not read from ``path``. The list of a batch's
+    partitions is collected; it doesn't grow with the postings in them."""
+    spark = new.sparkSession
+    # Rows of a partition meet in one task for writing; Spark splits what is too large for one.
+    medallion.write_layer(new.hint("rebalance", *columns), path, columns)
+    gone = touched.join(new.select(columns).distinct(), _same(touched, new, columns), "left_anti").collect()
+    for row in gone:
+        folder = "/".join(f"{c}={_NULL_PARTITION if row[c] is None else row[c]}" for c in columns)
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
 
+def run(spark: SparkSession, envelopes: DataFrame, out_root: str, as_of: str | None = None,
+        batch_id: str = "0") -> dict[str, str]:
+    """Add one batch of parsed envelopes to the lake; returns the layer paths.
+    The same ``batch_id`` again replaces the batch."""
+    paths = {name: f"{out_root}/{name}" for name in ("raw", "bronze", "silver", *GOLD_TABLES)}
+    stage = f"{out_root}/_stage/{batch_id}"
+    medallion.write_layer(envelopes.withColumn("batch_id", F.lit(batch_id)), paths["raw"], ["batch_id"])
+    raw = read_layer(spark, paths["raw"], batch_id=batch_id).drop("batch_id")
+    medallion.write_layer(medallion.bronze(raw).withColumn("batch_id", F.lit(batch_id)), paths["bronze"],
+                          ["batch_id", "source", "ingest_date"])
 
-def run(spark: SparkSession, envelopes: DataFrame, out_root: str, as_of: str | None = None) -> dict[str, str]:
-    """Build every layer from parsed envelopes; returns the layer paths."""
-    paths = {name: os.path.join(out_root, name) for name in ("bronze", "silver", *GOLD_TABLES)}
-    bronze = medallion.bronze_dedup(medallion.bronze(envelopes))
-    medallion.write_layer(bronze, paths["bronze"], ["source", "ingest_date"])
+    bronze = spark.read.parquet(paths["bronze"]).withColumn("batch_id", F.col("batch_id").cast("string"))
+    jobs = bronze.where(F.col("batch_id") == batch_id).select("job_id").distinct()
+    history = medallion.bronze_dedup(bronze.join(jobs, "job_id", "left_semi").drop("batch_id"))
+    new = medallion.silver(history, as_of=as_of)
+    new = _staged(new.withColumn("posting_date", F.coalesce("posting_date", F.to_date("ingest_ts"))), f"{stage}/new")
 
-    silver = medallion.silver(read_layer(spark, paths["bronze"]), as_of=as_of)
-    silver = silver.withColumn("posting_date", F.coalesce("posting_date", F.to_date("ingest_ts")))
-    medallion.write_layer(silver, paths["silver"], ["posting_date", "city_slug"])
+    touched, merged = new.select(SILVER_PARTITIONS), new
+    if path_exists(spark, paths["silver"]):
+        # the partitions' values come back from folder names: dates as dates, slugs as text
+        silver = spark.read.schema(new.schema).parquet(paths["silver"])
+        old = silver.join(jobs, "job_id", "left_semi")
+        touched = touched.union(old.select(SILVER_PARTITIONS))
+        touched = _staged(touched.distinct(), f"{stage}/touched")
+        others = silver.join(touched, _same(silver, touched, SILVER_PARTITIONS), "left_semi") \
+            .join(jobs, "job_id", "left_anti")
+        merged = _staged(others.unionByName(new), f"{stage}/merged")
+    else:
+        touched = _staged(touched.distinct(), f"{stage}/touched")
+    replace_partitions(merged, paths["silver"], SILVER_PARTITIONS, touched)
 
-    latest = medallion.silver_latest(read_layer(spark, paths["silver"]))
-    for name, (build, parts) in GOLD_TABLES.items():
-        medallion.write_layer(build(latest), paths[name], parts)
+    latest = medallion.silver_latest(spark.read.schema(new.schema).parquet(paths["silver"]))
+    for name, (build, key) in GOLD_TABLES.items():
+        keys = touched.select(KEY_OF[key]("posting_date").alias(key)).distinct()
+        days = latest.withColumn("_key", KEY_OF[key]("posting_date"))
+        days = days.join(keys, F.col("_key") == keys[key], "left_semi").drop("_key")
+        replace_partitions(_staged(build(days), f"{stage}/{name}"), paths[name], [key], keys)
     return paths

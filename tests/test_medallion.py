@@ -141,14 +141,69 @@ def test_layer_write_read_and_projections(spark, scratch):
     assert proj.columns == documents.SEARCH_FIELDS["jobs_silver_v1"]
 
 
+def _lake(spark, paths):
+    return {n: spark.read.parquet(p) for n, p in paths.items()}
+
+
+def _posting(i, day="2026-04-10", title="Job", posted="2026-04-01", city="Hà Nội", hour=8):
+    ld = json.dumps({"@type": "JobPosting", "datePosted": posted})
+    return {"source": "boards", "source_url": f"https://jobs.example/{i}", "crawl_version": 1,
+            "ingest_ts": f"{day}T{hour:02d}:00:00", "event_ts": f"{day}T{hour:02d}:00:00",
+            "payload": {"domain": "jobs.example", "title": title, "company_name": "ACME", "location": city,
+                        "skills": ["Python", "Kafka"], "json_ld": [ld]}}
+
+
+def _parsed(spark, postings):
+    raw = spark.createDataFrame([(json.dumps(p, ensure_ascii=False),) for p in postings], "v string").select(
+        F.lit("k").cast("binary").alias("key"), F.col("v").cast("binary").alias("value"),
+        F.lit("jobs_raw").alias("topic"), F.current_timestamp().alias("timestamp"))
+    return messages.parse_envelope(raw).withColumn("crawl_version", F.lit(1))
+
+
+def test_medallion_job_takes_batch_after_batch(spark, scratch):
+    from hirelens.plans import medallion_job
+    lake = scratch + "/lake"
+
+    def run(postings, batch):
+        return _lake(spark, medallion_job.run(spark, _parsed(spark, postings), lake, as_of="2026-05-01", batch_id=batch))
+
+    def counts(t):
+        return t["raw"].count(), t["bronze"].count(), t["silver"].count()
+
+    facts = lambda t: {r["date_key"]: r["n"] for r in t["gold_job_facts_daily"]
+                       .groupBy("date_key").agg(F.sum("job_count").alias("n")).collect()}
+    t = run([_posting(1), _posting(2)], "a")
+    assert counts(t) == (2, 2, 2) and {str(k): v for k, v in facts(t).items()} == {"2026-04-01": 2}
+    t = run([_posting(3)], "b")                                   # a second batch on the same day
+    assert counts(t) == (3, 3, 3) and list(facts(t).values()) == [3]
+    before = sorted(map(str, t["silver"].collect()))
+    t = run([_posting(3)], "b")                                   # the batch again
+    assert counts(t) == (3, 3, 3) and sorted(map(str, t["silver"].collect())) == before
+    # a later version moves a posting to another day (and city): no partition counts it twice
+    t = run([_posting(2, day="2026-04-12", title="Job new", posted="2026-04-05", city="Huế")], "c")
+    assert counts(t) == (4, 4, 4) and {str(k): v for k, v in facts(t).items()} == {"2026-04-01": 2, "2026-04-05": 1}
+    versions = t["silver"].where("source_url like '%/2'").orderBy("record_version").collect()
+    assert [(r["record_version"], r["is_latest"]) for r in versions] == [(1, False), (2, True)]
+    # and the two that are left move as well: the old day has no row and no folder any more
+    t = run([_posting(1, day="2026-04-13", posted="2026-04-05"), _posting(3, day="2026-04-13", posted="2026-04-05")], "d")
+    assert {str(k): v for k, v in facts(t).items()} == {"2026-04-05": 3}
+    assert t["gold_company_hiring_by_month"].agg(F.sum("job_count")).first()[0] == 3
+    # the same postings in one batch give the same lake
+    one = medallion_job.run(spark, _parsed(spark, [
+        _posting(1), _posting(2), _posting(3),
+        _posting(2, day="2026-04-12", title="Job new", posted="2026-04-05", city="Huế"),
+        _posting(1, day="2026-04-13", posted="2026-04-05"), _posting(3, day="2026-04-13", posted="2026-04-05")]),
+        scratch + "/one", as_of="2026-05-01")
+    for name, path in one.items():
+        if name not in ("raw", "bronze"):
+            a, b = t[name], spark.read.parquet(path).select(t[name].columns)
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect())), name
+
+
 def test_medallion_job_writes_every_layer(spark, scratch):
-    import os
     from hirelens.plans import medallion_job
-    paths = medallion_job.run(spark, _envelopes(spark), os.path.join(scratch, "lake"), as_of="2026-05-01")
+    paths = medallion_job.run(spark, _envelopes(spark), scratch + "/lake", as_of="2026-05-01")
     for name, path in paths.items():
         assert spark.read.parquet(path).count() > 0, name
     g = spark.read.parquet(paths["gold_job_facts_daily"])
     assert g.filter("date_key = '2026-04-07'").first()["job_count"] == 1
-    # rerun: same partitions replaced, not appended
-    medallion_job.run(spark, _envelopes(spark), os.path.join(scratch, "lake"), as_of="2026-05-01")
-    assert spark.read.parquet(paths["silver"]).count() == 2
