@@ -25,8 +25,9 @@ def _chain(key: Column, pairs, default=None) -> Column:
 def employment_type(col) -> Column:
     """Structured value or Vietnamese label -> one of 6 codes (OTHER when
     unknown). 'Full-time', 'FULL_TIME', 'full time' and 'Toàn thời gian' all
-    give FULL_TIME."""
+    give FULL_TIME; of a JSON array, the first value counts."""
     raw = F.coalesce(_c(col), F.lit(""))
+    raw = F.when(F.trim(raw).startswith("["), F.coalesce(F.get(F.from_json(raw, "array<string>"), 0), raw)).otherwise(raw)
     code = F.regexp_replace(F.upper(F.trim(raw)), r"[^A-Z]+", "_")
     by_code = _chain(code, [(c, c) for c, _ in EMPLOYMENT_TYPES]
                      + [("FULLTIME", "FULL_TIME"), ("PARTTIME", "PART_TIME"),
@@ -61,6 +62,33 @@ def experience_months(col) -> Column:
     return F.struct(mn.alias("experience_months_min"), mx.alias("experience_months_max"))
 
 
+_AMOUNT = r"(\d+(?:[.,]\d+)?)\s*(năm|tháng|years?|months?)?(?:\s*(?:-|–|đến|to)\s*(\d+(?:[.,]\d+)?)\s*(năm|tháng|years?|months?))?"
+
+
+def experience_in_text(col) -> Column:
+    """N11 for free text (requirements): struct(min, max) months from a number
+    of years or months in a phrase about experience ('kinh nghiệm từ 6 tháng
+    đến 2 năm', '2-3 years of experience'). Each number has its own unit, or
+    that of the range's end; ages, years of graduation and counts give NULLs."""
+    lt = F.lower(F.coalesce(_c(col), F.lit("")))
+    shapes = [r"(?:kinh nghiệm|experience)[^\d.;,\n]{0,30}" + _AMOUNT,
+              _AMOUNT + r"\s*(?:of\s+)?(?:kinh nghiệm|experience)"]
+    found = []
+    for pattern in shapes:
+        part = [F.nullif(F.regexp_extract(lt, pattern, i), F.lit("")) for i in (1, 2, 3, 4)]
+        low, high = (F.replace(part[i], F.lit(","), F.lit(".")).try_cast("double") for i in (0, 2))
+
+        def months(unit: Column) -> Column:
+            return F.when(unit.rlike("năm|year"), F.lit(12.0)).when(unit.isNotNull(), F.lit(1.0))
+
+        a, b = low * months(F.coalesce(part[1], part[3])), high * months(part[3])
+        found.append(F.when(a.isNotNull(), F.struct(
+            F.round(F.least(a, F.coalesce(b, a))).cast("int").alias("experience_months_min"),
+            F.when(b.isNotNull(), F.round(F.greatest(a, b)).cast("int")).alias("experience_months_max"))))
+    none = F.lit(None).cast("int")
+    return F.coalesce(*found, F.struct(none.alias("experience_months_min"), none.alias("experience_months_max")))
+
+
 def experience_bucket(months_col) -> Column:
     """N12 (O): < 24 junior, < 60 mid, else senior; NULL -> unknown."""
     m = _c(months_col)

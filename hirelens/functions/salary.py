@@ -50,6 +50,38 @@ def parse_salary(col) -> Column:
     return F.struct(smin.alias("salary_min"), smax.alias("salary_max"), cur.alias("currency"))
 
 
+_TO = r"\s*(?:-|–|đến|tới)\s*"
+_UNIT = r"(triệu|tr|vnd|đồng|usd|\$)(?!\p{L})"
+_SIGN = r"(\$|usd)\s*"
+
+
+def salary_in_text(col) -> Column:
+    """N2 for free text (benefits, descriptions): only a number with a money
+    unit of its own next to it counts ('20 - 35 triệu', '$700 - $1,500',
+    '15 triệu'); the first such range or amount is taken. Other numbers (days
+    of leave, a 13th month, years) give NULLs."""
+    lt = F.lower(F.coalesce(_c(col), F.lit("")))
+    num = f"({NUMBER_TOKEN})"
+    # (pattern, group of the first number, of the second, of the unit), the most telling first
+    shapes = [(f"{_SIGN}{num}{_TO}(?:{_SIGN})?{num}", 2, 4, 1),
+              (num + r"\s*(?:triệu|tr|vnd|đồng|usd|\$)?" + _TO + num + r"\s*" + _UNIT, 1, 2, 3),
+              (f"{_SIGN}{num}", 2, None, 1),
+              (num + r"\s*" + _UNIT, 1, None, 2)]
+    found = []
+    for pattern, first, second, unit in shapes:
+        a = _token_value(F.nullif(F.regexp_extract(lt, pattern, first), F.lit("")))
+        b = _token_value(F.nullif(F.regexp_extract(lt, pattern, second), F.lit(""))) if second \
+            else F.lit(None).cast("double")
+        usd = F.regexp_extract(lt, pattern, unit).isin("usd", "$")
+        found.append(F.when(a.isNotNull(), F.struct(
+            F.when(b.isNull(), a).otherwise(F.least(a, b)).alias("salary_min"),
+            F.when(b.isNotNull(), F.greatest(a, b)).alias("salary_max"),
+            F.when(usd, F.lit("USD")).otherwise(F.lit("VND")).alias("currency"))))
+    return F.coalesce(*found, F.struct(F.lit(None).cast("double").alias("salary_min"),
+                                       F.lit(None).cast("double").alias("salary_max"),
+                                       F.lit("VND").alias("currency")))
+
+
 def salary_vnd(col, usd_rate: int = USD_TO_VND, vnd_unit: int = VND_MILLION) -> Column:
     """struct(salary_min, salary_max) in VND as BIGINT.
 

@@ -10,11 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hirelens import schemas
 from hirelens.functions import enums, taxonomy, text, urls
 from hirelens.functions.constants import SKILL_NOISE
-from hirelens.functions.salary import parse_salary, salary_flags
+from hirelens.functions.salary import parse_salary, salary_flags, salary_in_text
 from hirelens.operators import keys
 from hirelens.operators.quality import quality_score, raw_quality_flags
 
@@ -24,9 +25,18 @@ def _p(name: str) -> Column:
 
 
 def job_posting(json_ld_col: Column) -> Column:
-    """The first JSON-LD block whose @type is JobPosting, parsed with the
-    JobPosting schema (NULL when there is none)."""
-    parsed = F.transform(json_ld_col, lambda x: F.from_json(x, schemas.JOB_POSTING))
+    """The first JSON-LD object whose @type is JobPosting, parsed with the
+    JobPosting schema (NULL when there is none). Blocks hold an object, an
+    array of objects, or objects under ``@graph``."""
+    many = T.ArrayType(schemas.JOB_POSTING)
+    graph = T.StructType([T.StructField("@graph", many)])
+
+    def objects(x: Column) -> Column:
+        return F.when(F.ltrim(x).startswith("["), F.from_json(x, many)) \
+            .when(x.contains('"@graph"'), F.from_json(x, graph)["@graph"]) \
+            .otherwise(F.array(F.from_json(x, schemas.JOB_POSTING)))
+
+    parsed = F.flatten(F.transform(json_ld_col, lambda x: F.coalesce(objects(x), F.array().cast(many))))
     return F.get(F.filter(parsed, lambda s: s["@type"] == "JobPosting"), 0)
 
 
@@ -107,18 +117,24 @@ def _first_present(*pairs):
 def silver(b: DataFrame, as_of=None) -> DataFrame:
     """Bronze -> silver, with the source-priority rules (N10) and the
     normalizations N1–N21; then K5 versions and K6 latest rows."""
-    jp = job_posting(F.coalesce(F.col("json_ld"), F.array().cast("array<string>")))
+    # A generator keeps the parsed block as one column: the JSON is read once a row.
+    b = b.select("*", F.explode_outer(F.array(job_posting(
+        F.coalesce(F.col("json_ld"), F.array().cast("array<string>"))))).alias("_jp"))
+    jp = F.col("_jp")
     sal_raw = parse_salary("salary_raw")
-    sal_ben = parse_salary("benefits_raw")
+    sal_ben = salary_in_text("benefits_raw")
     company, company_src, company_conflict = first_present(("json_ld", jp["hiringOrganization"]["name"]),
                                                            ("page", F.col("company_name_raw")))
     emp_section = F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")),
                                    F.lit("Hình thức làm việc"))
     emp_raw, emp_src = _first_present(("json_ld", jp["employmentType"]), ("section", emp_section))
     exp_raw = enums.experience_months("experience_raw")
-    exp_req = enums.experience_months("requirements_raw")
+    exp_req = enums.experience_in_text("requirements_raw")
     months = F.coalesce(jp["experienceRequirements"]["monthsOfExperience"].try_cast("int"),
                         exp_raw["experience_months_min"], exp_req["experience_months_min"])
+    exact = jp["experienceRequirements"]["monthsOfExperience"].try_cast("int")
+    months_max = F.when(exact.isNull(), F.when(exp_raw["experience_months_min"].isNotNull(), exp_raw["experience_months_max"])
+                        .otherwise(exp_req["experience_months_max"]))
     city_struct = jp["jobLocation"]["address"]
     city = F.coalesce(F.nullif(text.normalize_city(city_struct["addressRegion"]), F.lit("")),
                       F.nullif(text.normalize_city("location_raw"), F.lit("")))
@@ -160,7 +176,7 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         city_struct["postalCode"].alias("postal_code"),
         F.coalesce(city_struct["addressCountry"], F.lit("VN")).alias("country_code"),
         level_raw.alias("level"), enums.level_normalized(level_raw).alias("level_normalized"),
-        months.alias("experience_months_min"), F.col("experience_raw").alias("experience_text"),
+        months.alias("experience_months_min"), months_max.alias("experience_months_max"), F.col("experience_raw").alias("experience_text"),
         enums.experience_bucket(months).alias("experience_bucket"),
         jp["totalJobOpenings"].try_cast("int").alias("openings"),
         skills.alias("skills"),

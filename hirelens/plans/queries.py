@@ -909,6 +909,38 @@ def q_a13(spark, sf_dir):
 
 # ============================================================ experience
 
+# Sentences around each document's own numbers; the oracle states what they say.
+@query("n2_n11_free_text_documents", """
+WITH d AS (SELECT doc_id, doc_id % 3 AS kind, 1 + doc_id % 11 AS a, 1 + n_chars % 4 AS b, 10 + doc_id % 7 AS lo,
+                  9 + n_chars % 31 AS hi FROM documents)
+SELECT doc_id,
+  CAST(CASE kind WHEN 0 THEN least(lo, hi) WHEN 2 THEN 100 * lo END AS DOUBLE) AS salary_min,
+  CAST(CASE kind WHEN 0 THEN greatest(lo, hi) END AS DOUBLE) AS salary_max,
+  CASE kind WHEN 2 THEN 'USD' ELSE 'VND' END AS currency,
+  CAST(CASE kind WHEN 0 THEN least(a, 12 * b) WHEN 2 THEN 12 * b END AS INTEGER) AS experience_months_min,
+  CAST(CASE kind WHEN 0 THEN greatest(a, 12 * b) WHEN 2 THEN 12 * (b + 1) END AS INTEGER) AS experience_months_max,
+  CASE kind WHEN 0 THEN 'FULL_TIME' WHEN 1 THEN 'INTERN' ELSE 'OTHER' END AS employment_type
+FROM d""")
+def q_free_text(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "n_chars", "source")
+    a, b = (1 + F.col("doc_id") % 11).cast("string"), (1 + F.col("n_chars") % 4).cast("string")
+    lo, hi = (10 + F.col("doc_id") % 7).cast("string"), (9 + F.col("n_chars") % 31).cast("string")
+    kind = F.col("doc_id") % 3
+    benefits = F.when(kind == 0, F.concat(F.lit("Thưởng tháng 13, 12 ngày phép. Lương "), lo, F.lit(" - "), hi, F.lit(" triệu"))) \
+        .when(kind == 2, F.concat(F.lit("Nghỉ 14 ngày, lương $"), lo, F.lit("00/tháng cho 3 vị trí ở "), F.col("source"))) \
+        .otherwise(F.concat(F.lit("Thưởng tháng 13, 12 ngày phép, tầng "), a))
+    needs = F.when(kind == 0, F.concat(F.lit("Độ tuổi 22-35, kinh nghiệm từ "), a, F.lit(" tháng đến "), b, F.lit(" năm"))) \
+        .when(kind == 2, F.concat(F.lit("Born in 1990, "), b, F.lit("-"), (2 + F.col("n_chars") % 4).cast("string"),
+                                  F.lit(" years of experience"))) \
+        .otherwise(F.concat(F.lit("Tốt nghiệp năm 2020, thành thạo "), b, F.lit(" ngôn ngữ, kinh nghiệm là lợi thế. "), a))
+    kinds = F.when(kind == 0, F.lit('["FULL_TIME", "PART_TIME"]')).when(kind == 1, F.lit(' ["intern"]')).otherwise(F.lit("[]"))
+    sal, exp = salary.salary_in_text(benefits), enums.experience_in_text(needs)
+    return d.select("doc_id", sal["salary_min"].alias("salary_min"), sal["salary_max"].alias("salary_max"),
+                    sal["currency"].alias("currency"), exp["experience_months_min"].alias("experience_months_min"),
+                    exp["experience_months_max"].alias("experience_months_max"),
+                    enums.employment_type(kinds).alias("employment_type"))
+
+
 @query("n11_n12_experience_part", """
 WITH t AS (SELECT p_partkey, CASE p_type WHEN 'SMALL' THEN CAST(p_size AS VARCHAR) || ' tháng'
                                   WHEN 'LARGE' THEN '1-' || CAST(p_size AS VARCHAR) || ' năm'

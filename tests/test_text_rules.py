@@ -128,3 +128,33 @@ def test_salary_flags(spark):
     assert tuple(r[0]["f"]) == (True, "Thỏa thuận", "month")
     assert tuple(r[1]["f"]) == (False, "20 - 35 triệu", "month")
     assert tuple(r[2]["f"]) == (False, "Thỏa thuận", "month")
+
+
+def test_free_text_salary_and_experience(spark):
+    from hirelens.functions.salary import salary_in_text
+    money = [("Thưởng tháng 13, 12 ngày phép", (None, None, "VND")), ("Lương 20 - 35 triệu, 12 ngày phép", (20.0, 35.0, "VND")),
+             ("từ 15 triệu", (15.0, None, "VND")), ("$700 - $1,500 a month", (700.0, 1500.0, "USD")),
+             ("12 trang, 3 năm", (None, None, "VND")), (None, (None, None, "VND")), ("35 triệu đến 20 triệu", (20.0, 35.0, "VND"))]
+    months = [("Độ tuổi 22-35, kinh nghiệm 1 năm", (12, None)), ("Tốt nghiệp năm 2020", (None, None)),
+              ("Thành thạo 3 ngôn ngữ", (None, None)), ("Kinh nghiệm từ 6 tháng đến 2 năm", (6, 24)),
+              ("2-3 years of experience", (24, 36)), ("18 tháng kinh nghiệm", (18, None)), ("", (None, None)),
+              ("có kinh nghiệm, sinh năm 1990", (None, None))]
+    for text, want in money:
+        assert tuple(one(spark, salary_in_text, text)) == want, text
+    for text, want in months:
+        assert tuple(one(spark, enums.experience_in_text, text)) == want, text
+
+
+def test_employment_type_of_json_arrays(spark):
+    for text, want in (('["FULL_TIME"]', "FULL_TIME"), ('["PART_TIME", "INTERN"]', "PART_TIME"), ("[]", "OTHER"), ("[oops", "OTHER")):
+        assert one(spark, enums.employment_type, text) == want
+
+
+def test_job_posting_in_arrays_and_graphs(spark):
+    from hirelens.operators.medallion import job_posting
+    job = '{"@type": "JobPosting", "title": "T"}'
+    other = '{"@type": "Organization", "title": "O"}'
+    for blocks, want in ((f"[{other}, {job}]", "T"), ('{"@graph": [%s, %s]}' % (other, job), "T"), (job, "T"), (other, None),
+                         ("{broken", None), ("[broken", None)):
+        got = spark.createDataFrame([([blocks],)], "b array<string>").select(job_posting(F.col("b"))["title"].alias("t")).first()
+        assert got["t"] == want, blocks
