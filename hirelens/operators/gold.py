@@ -192,6 +192,11 @@ def demand_trend(silver: DataFrame, by: str = "city") -> DataFrame:
         .withColumn("demand_trend_30d", growth("jobs_30d", "jobs_prev_30d"))
 
 
+def skill_trend(silver: DataFrame) -> DataFrame:
+    """W3 for skills: growth of postings that ask for a skill, 7 and 30 days."""
+    return demand_trend(exploded_skills(silver, "posting_date"), "skill")
+
+
 def version_activity(silver_latest: DataFrame, as_of=None) -> DataFrame:
     """A12 (O): per posting date, new (version 1) / updated (version > 1) /
     active (status 'O') counts and ratios."""

@@ -319,6 +319,22 @@ def q_w3(spark, sf_dir):
     return gold.demand_trend(jobs_view.jobs_latest(spark, sf_dir), "city")
 
 
+@query("w3_skill_trend", with_j(""",
+e AS (SELECT unnest(list_distinct(skills)) AS skill, posting_date FROM jl),
+d AS (SELECT skill, posting_date, count(*) AS job_count FROM e WHERE skill <> '' GROUP BY ALL),
+f AS (SELECT skill, strftime(posting_date, '%Y-%m-%d') AS date_key, job_count,
+        CAST(coalesce(sum(job_count) OVER (PARTITION BY skill ORDER BY posting_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW), 0) AS BIGINT) AS jobs_7d,
+        CAST(coalesce(sum(job_count) OVER (PARTITION BY skill ORDER BY posting_date RANGE BETWEEN INTERVAL 13 DAYS PRECEDING AND INTERVAL 7 DAYS PRECEDING), 0) AS BIGINT) AS jobs_prev_7d,
+        CAST(coalesce(sum(job_count) OVER (PARTITION BY skill ORDER BY posting_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW), 0) AS BIGINT) AS jobs_30d,
+        CAST(coalesce(sum(job_count) OVER (PARTITION BY skill ORDER BY posting_date RANGE BETWEEN INTERVAL 59 DAYS PRECEDING AND INTERVAL 30 DAYS PRECEDING), 0) AS BIGINT) AS jobs_prev_30d
+      FROM d)
+SELECT *, CASE WHEN jobs_prev_7d = 0 THEN NULL ELSE jobs_7d / jobs_prev_7d - 1.0 END AS demand_trend_7d,
+          CASE WHEN jobs_prev_30d = 0 THEN NULL ELSE jobs_30d / jobs_prev_30d - 1.0 END AS demand_trend_30d
+FROM f"""))
+def q_w3_skills(spark, sf_dir):
+    return gold.skill_trend(jobs_view.jobs_latest(spark, sf_dir))
+
+
 @query("a12_version_activity", with_j("""
 SELECT strftime(posting_date, '%Y-%m-%d') AS date_key, count(*) AS job_count,
        CAST(count(*) FILTER (WHERE record_version = 1) AS BIGINT) AS new_job_count,
