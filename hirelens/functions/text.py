@@ -45,23 +45,20 @@ def filter_skills(col, noise=SKILL_NOISE, min_len: int = 2, max_len: int = 60) -
     (case-insensitive), then case-insensitive dedup that keeps the first
     spelling and the input order. NULL -> [].
 
-    A fold over the array (``aggregate``): cost is quadratic in the number of
-    chips of one posting, which is a few dozen.
+    By sorting (n log n): equal spellings come together in order of place,
+    the first of each stays, and these are put back in order of place.
     """
     noise_arr = F.array(*[F.lit(n) for n in noise])
     arr = F.coalesce(_c(col), _empty_str_array())
     stripped = F.transform(arr, strip_ws)
     kept = F.filter(stripped, lambda x: (F.length(x) >= min_len) & (F.length(x) <= max_len)
                     & ~F.array_contains(noise_arr, F.lower(x)))
-    init = F.struct(_empty_str_array().alias("seen"), _empty_str_array().alias("out"))
-
-    def step(acc, x):
-        lx = F.lower(x)
-        return F.when(F.array_contains(acc["seen"], lx), acc).otherwise(
-            F.struct(F.array_append(acc["seen"], lx).alias("seen"),
-                     F.array_append(acc["out"], x).alias("out")))
-
-    return F.aggregate(kept, init, step, lambda acc: acc["out"])
+    by_word = F.array_sort(F.transform(kept, lambda x, i: F.struct(F.lower(x).alias("word"), i.alias("place"), x.alias("x"))))
+    before = F.concat(F.array(F.lit(None).cast("string")), F.transform(by_word, lambda s: s["word"]))
+    firsts = F.filter(F.zip_with(by_word, before, lambda s, w: F.when(w.isNull() | (w != s["word"]),
+                                                                       F.struct(s["place"].alias("place"), s["x"].alias("x")))),
+                      lambda s: s["x"].isNotNull())
+    return F.transform(F.array_sort(firsts), lambda s: s["x"])
 
 
 def _city_lookup(key: Column, pairs) -> Column:

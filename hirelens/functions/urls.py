@@ -62,16 +62,18 @@ def clean_query(query: Column, drop=TRACKING_PARAMS) -> Column:
 def normalize_url(col) -> Column:
     """K1: strip; lower-case scheme and host; drop tracking parameters,
     blank-valued parameters and the fragment; keep the path as it is."""
-    p = url_parts(col)
-    q = clean_query(p["query"])
-    path = p["path"]
-    with_netloc = F.concat(
-        F.lit("//"), F.lower(p["netloc"]),
-        F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path))
-    body = F.when(p["has_netloc"], with_netloc).otherwise(path)
-    head = F.when(p["scheme"] != "", F.concat(F.lower(p["scheme"]), F.lit(":"), body)).otherwise(body)
-    out = F.when(q != "", F.concat(head, F.lit("?"), q)).otherwise(head)
-    return F.when(_c(col).isNull(), F.lit(None).cast("string")).otherwise(out)
+    def rebuilt(p: Column) -> Column:
+        path, netloc = p["path"], p["netloc"]
+        with_netloc = F.concat(
+            F.lit("//"), F.lower(netloc),
+            F.when((path != "") & ~path.startswith("/"), F.concat(F.lit("/"), path)).otherwise(path))
+        body = F.when(p["has_netloc"], with_netloc).otherwise(path)
+        head = F.when(p["scheme"] != "", F.concat(F.lower(p["scheme"]), F.lit(":"), body)).otherwise(body)
+        # A lambda's variable holds each part once, however often it is used.
+        return F.get(F.transform(F.array(clean_query(p["query"])),
+                                 lambda q: F.when(q != "", F.concat(head, F.lit("?"), q)).otherwise(head)), 0)
+
+    return F.when(_c(col).isNotNull(), F.get(F.transform(F.array(url_parts(col)), rebuilt), 0))
 
 
 def ensure_scheme(col) -> Column:
