@@ -65,6 +65,24 @@ def split_skills_by_taxonomy(df: DataFrame, key: str, skills_col: str, taxonomy:
     return out
 
 
+# Degrees from the lowest on (O): (code, pattern on lower-cased text).
+EDUCATION_PATTERNS = [("high_school", "(trung học|thpt|high school)"), ("intermediate", "(trung cấp|intermediate)"),
+                      ("college", "(cao đẳng|college)"), ("bachelor", "(đại học|cử nhân|bachelor|university)"),
+                      ("master", "(thạc sĩ|master)"), ("doctor", "(tiến sĩ|phd|doctor)")]
+
+
+def education_min(text_col) -> Column:
+    """The lowest degree that the text names (NULL: none)."""
+    t = _lower(text_col)
+    return F.coalesce(*[F.when(t.rlike(p), F.lit(code)) for code, p in EDUCATION_PATTERNS])
+
+
+def known_skills(skills: Column, kind: str) -> Column:
+    """N18 on one row: the skills of the fixed taxonomy of this kind, in order."""
+    words = F.array(*[F.lit(w) for w in (HARD_SKILLS if kind == "hard" else SOFT_SKILLS)])
+    return F.filter(skills, lambda x: F.array_contains(words, F.lower(F.trim(x))))
+
+
 def benefit_tags(text_col) -> Column:
     """Benefit tags whose keywords occur in the (lower-cased) text."""
     t = F.lower(F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit("")))

@@ -68,9 +68,10 @@ def bronze(envelopes: DataFrame) -> DataFrame:
         ingest.alias("ingest_ts"), F.to_date(ingest).alias("ingest_date"),
         F.try_to_timestamp(F.col("event_ts")).alias("event_ts"),
         F.col("crawl_version"),
-        _p("domain").alias("domain"), _p("fetch_method").alias("fetch_method"),
+        _p("domain").alias("crawl_domain"), _p("fetch_method").alias("fetch_method"),
         _p("title").alias("job_title_raw"), _p("company_name").alias("company_name_raw"),
         _p("salary").alias("salary_raw"), _p("location").alias("location_raw"),
+        _p("level").alias("level_raw"), _p("quantity").alias("quantity_raw"),
         _p("experience").alias("experience_raw"), _p("deadline").alias("deadline_raw"),
         _p("job_type").alias("job_type_raw"), _p("description").alias("description_raw"),
         _p("requirements").alias("requirements_raw"), _p("benefits").alias("benefits_raw"),
@@ -78,13 +79,12 @@ def bronze(envelopes: DataFrame) -> DataFrame:
         _p("requirement_items").alias("requirement_items"), _p("benefit_items").alias("benefit_items"),
         _p("sections_by_heading").alias("sections_by_heading"), _p("meta_tags").alias("meta_tags"),
         _p("json_ld").alias("json_ld"), _p("page_text").alias("page_text"),
-        F.size(F.coalesce(_p("skills"), F.array())).alias("skills_count"),
-        F.size(F.coalesce(_p("categories"), F.array())).alias("categories_count"),
-        F.size(F.coalesce(_p("requirement_items"), F.array())).alias("requirement_items_count"),
-        F.size(F.coalesce(_p("benefit_items"), F.array())).alias("benefit_items_count"),
+        *[F.size(F.coalesce(_p(c), F.array())).alias(f"{c}_raw_count")
+          for c in ("skills", "categories", "description_items", "requirement_items", "benefit_items")],
         F.size(F.coalesce(_p("json_ld"), F.array())).alias("json_ld_count"),
-        _p("meta_tags").isNotNull().alias("has_meta_tags"),
-        _p("sections_by_heading").isNotNull().alias("has_sections"),
+        flags["has_json_ld"].alias("json_ld_present"), flags["has_page_text"].alias("page_text_present"),
+        _p("meta_tags").isNotNull().alias("meta_tags_present"),
+        _p("sections_by_heading").isNotNull().alias("sections_by_heading_present"),
         raw_quality_flags(flags).alias("quality_issue_flags"),
         F.lit(False).alias("is_deleted"),
     )
@@ -109,11 +109,6 @@ def first_present(*pairs: tuple[str, Column]) -> tuple[Column, Column, Column]:
     return val, used, conflict
 
 
-def _first_present(*pairs):
-    val, used, _ = first_present(*pairs)
-    return val, used
-
-
 def silver(b: DataFrame, as_of=None) -> DataFrame:
     """Bronze -> silver, with the source-priority rules (N10) and the
     normalizations N1–N21; then K5 versions and K6 latest rows."""
@@ -125,9 +120,16 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
     sal_ben = salary_in_text("benefits_raw")
     company, company_src, company_conflict = first_present(("json_ld", jp["hiringOrganization"]["name"]),
                                                            ("page", F.col("company_name_raw")))
-    emp_section = F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")),
-                                   F.lit("Hình thức làm việc"))
-    emp_raw, emp_src = _first_present(("json_ld", jp["employmentType"]), ("section", emp_section))
+    def section(heading: str) -> Column:
+        return F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")), F.lit(heading))
+
+    # The page's own type field isn't used for the employment type (bronze usage policy).
+    emp_raw, emp_src, emp_conflict = first_present(("json_ld", jp["employmentType"]), ("section", section("Hình thức làm việc")))
+    level, level_src, level_conflict = first_present(("json_ld", jp["occupationalCategory"]), ("section", section("Cấp bậc")),
+                                                     ("page", F.col("level_raw")))
+    openings, openings_src, openings_conflict = first_present(
+        ("json_ld", jp["totalJobOpenings"]), ("section", F.regexp_extract(section("Số lượng tuyển"), r"\d+", 0)),
+        ("page", F.regexp_extract("quantity_raw", r"\d+", 0)))
     exp_raw = enums.experience_months("experience_raw")
     exp_req = enums.experience_in_text("requirements_raw")
     months = F.coalesce(jp["experienceRequirements"]["monthsOfExperience"].try_cast("int"),
@@ -143,7 +145,6 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
     s_max = F.coalesce(base["value"]["maxValue"].try_cast("double"), sal_raw["salary_max"], sal_ben["salary_max"])
     cur = F.coalesce(F.upper(base["currency"]), sal_raw["currency"])
     dl = enums.deadline(jp["validThrough"], F.col("deadline_raw"), F.col("ingest_ts"))
-    level_raw = F.coalesce(jp["occupationalCategory"], F.lit(None).cast("string"))
     skills = text.filter_skills("skills_raw")
     all_text = F.concat_ws("\n", "description_raw", "requirements_raw", "benefits_raw")
     flags = {k: F.col("quality_issue_flags")[k] for k in
@@ -152,7 +153,7 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
     score, notes = quality_score(flags)
     emp = enums.employment_type(emp_raw)
     out = b.select(
-        "job_id", "source", "source_url", "normalized_source_url", "hash_content", "ingest_ts", "ingest_date",
+        "job_id", "source", "source_url", "normalized_source_url", "hash_content", "ingest_ts", "ingest_date", "event_ts",
         F.col("job_title_raw").alias("job_title_display"),
         text.clean_title("job_title_raw").alias("job_title"),
         company.alias("company_name"), company_src.alias("company_name_source"),
@@ -166,7 +167,7 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         .when(sal_ben["salary_min"].isNotNull(), F.lit("benefits_text")).alias("salary_source"),
         salary_flags("salary_raw", base["value"]["unitText"]).alias("_sf"),
         emp.alias("employment_type"), enums.employment_type_vi(emp).alias("employment_type_vi"),
-        emp_src.alias("employment_type_source"),
+        emp_src.alias("employment_type_source"), emp_conflict.alias("employment_type_conflict"),
         F.try_to_date(jp["datePosted"]).alias("posting_date"),
         dl["valid_through_ts"].alias("valid_through_ts"), dl["valid_through_source"].alias("valid_through_source"),
         city.alias("city"), text.city_slug(city).alias("city_slug"),
@@ -175,12 +176,15 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         F.concat_ws(", ", city_struct["addressLocality"], city).alias("location_display"),
         city_struct["postalCode"].alias("postal_code"),
         F.coalesce(city_struct["addressCountry"], F.lit("VN")).alias("country_code"),
-        level_raw.alias("level"), enums.level_normalized(level_raw).alias("level_normalized"),
+        level.alias("level"), level_src.alias("level_source"), level_conflict.alias("level_conflict"),
+        enums.level_normalized(level).alias("level_normalized"),
         months.alias("experience_months_min"), months_max.alias("experience_months_max"), F.col("experience_raw").alias("experience_text"),
         enums.experience_bucket(months).alias("experience_bucket"),
-        jp["totalJobOpenings"].try_cast("int").alias("openings"),
-        skills.alias("skills"),
-        F.size(F.coalesce("skills_raw", F.array())).alias("skills_raw_count"),
+        openings.try_cast("int").alias("openings"), openings_src.alias("openings_source"),
+        openings_conflict.alias("openings_conflict"),
+        skills.alias("skills"), taxonomy.known_skills(skills, "hard").alias("hard_skills"),
+        taxonomy.known_skills(skills, "soft").alias("soft_skills"),
+        "skills_raw_count",
         F.get("categories_raw", 0).alias("category_level_1"),
         F.get("categories_raw", 1).alias("category_level_2"),
         F.get("categories_raw", 2).alias("category_level_3"),
@@ -190,15 +194,19 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         taxonomy.weekend_rotation("benefits_raw").alias("requires_weekend_rotation"),
         taxonomy.language_requirements(F.col("requirements_raw")).alias("language_requirements"),
         taxonomy.english_required("requirements_raw").alias("english_required"),
+        (F.size(F.array_except(taxonomy.language_requirements(F.col("requirements_raw")), F.array(F.lit("english")))) > 0)
+        .alias("other_language_preference"),
+        section("Thời gian làm việc").alias("work_schedule_text"),
+        section("Học vấn").alias("education_display"), taxonomy.education_min(section("Học vấn")).alias("education_min"),
         text.clean_text("description_raw").alias("description_text"),
         text.clean_text("requirements_raw").alias("requirements_text"),
         text.clean_text("benefits_raw").alias("benefits_text"),
-        score.alias("data_quality_score"), notes.alias("data_quality_notes"),
+        score.alias("data_quality_score"), F.filter(F.split(notes, ","), lambda x: x != "").alias("quality_notes"),
         all_text.alias("_all_text"),
     )
     as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.col("ingest_ts")
     out = out.select(
-        "*", F.col("_sf.is_negotiable").alias("is_negotiable"), F.col("_sf.salary_display").alias("salary_display"),
+        "*", F.col("_sf.is_negotiable").alias("salary_is_negotiable"), F.col("_sf.salary_display").alias("salary_display"),
         F.col("_sf.salary_period").alias("salary_period"),
         (F.size("benefits_tags") > 0).alias("has_benefits"),
         enums.posting_status(F.col("valid_through_ts"), F.col("ingest_ts")).alias("status"),

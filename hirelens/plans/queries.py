@@ -1101,7 +1101,7 @@ def q_p5(spark, sf_dir):
                       F.lit(0).cast("bigint").alias("offset"), F.lit(None).cast("timestamp").alias("timestamp"))
     b = medallion.bronze(messages.parse_envelope(msgs).withColumn("crawl_version", F.lit(1)))
     f = F.col("quality_issue_flags")
-    return b.select("job_id", "json_ld_count", "skills_count", f["has_json_ld"].alias("has_json_ld"),
+    return b.select("job_id", "json_ld_count", F.col("skills_raw_count").alias("skills_count"), f["has_json_ld"].alias("has_json_ld"),
                     f["has_page_text"].alias("has_page_text"), f["has_structured_salary"].alias("has_structured_salary"),
                     f["has_noisy_skill_list"].alias("has_noisy_skill_list"),
                     f["has_valid_posting_date"].alias("has_valid_posting_date"), "job_title_raw")

@@ -32,8 +32,8 @@ RAW_EVENT = T.StructType(_strings(*RAW_EVENT_FIELDS))
 # Crawled payload inside the envelope.
 PAYLOAD = T.StructType(
     _strings("domain", "fetch_method", "title", "company_name", "salary", "location",
-             "experience", "deadline", "job_type", "description", "requirements",
-             "benefits")
+             "level", "experience", "deadline", "job_type", "quantity", "description",
+             "requirements", "benefits")
     + [T.StructField(n, ARR_S, True) for n in
        ("skills", "categories", "requirement_items", "benefit_items", "description_items")]
     + [T.StructField("meta_tags", T.MapType(S, S), True),
