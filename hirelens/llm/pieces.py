@@ -26,12 +26,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.llm.common import table
-from hirelens.llm.units import CACHED, Cache, tokenizer_path
+from hirelens.llm.units import Cache, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
+WORDS = 300_000  # distinct words kept by a worker: some 350 bytes each
 SPACE = "▁"
 PENALTY = 10.0   # an unknown character scores so much less than the worst piece
+TOGETHER = 8192  # words searched at once
+LONGEST = 40     # characters of such words; longer ones are searched one by one
+LEARNT = 1 << 22  # characters of texts whose words are learnt together
+_BASE = 0x9E3779B97F4A7C15
+_SPREAD = 0xD6E8FEB86659FD93
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -57,9 +63,9 @@ class Pieces:
         self.prefixes = {p[:n] for p in self.known for n in range(1, len(p) + 1)}
         self.inside = {p[i:i + 2] for p in self.known for i in range(len(p) - 1)}
         self.by_word = not any(pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
-        self.parts = Cache(self._part)
-        self.words = Cache(lambda w: self._word(SPACE + w))
-        self.runs = Cache(self._word)
+        self.words = Cache(lambda w: self.one_word(SPACE + w), WORDS)
+        self.runs = Cache(self.one_word, WORDS // 10)
+        self.table = PieceTable(self)
         self.options: dict[int, Cache] = {}
 
     def spell(self, character: str) -> list[int]:
@@ -122,14 +128,15 @@ class Pieces:
         at = [0, *(i for i in range(1, len(text)) if text[i - 1:i + 1] not in inside), len(text)]
         return [text[a:b] for a, b in zip(at, at[1:])]
 
-    def _part(self, part: str) -> tuple[float, float, list[int]]:
+    def _part(self, part: str) -> tuple[float, float, bytes]:
         """Best score, its lead over the second, best ids: the best path
         through an edge is its forward and backward scores together, and the
         second segmentation has some edge that the best has not."""
         size = len(part)
         if size == 1:
             found = self.known.get(part)
-            return (found[1], float("inf"), [found[0]]) if found else (self.lost, float("inf"), self.spell(part))
+            score, ids = (found[1], [found[0]]) if found else (self.lost, self.spell(part))
+            return score, float("inf"), array("i", ids).tobytes()
         best, into = self._lattice(part)
         back = [float("-inf")] * size + [0.0]
         way, second, ids = size, float("-inf"), []
@@ -146,13 +153,39 @@ class Pieces:
             if chosen:
                 way = chosen[0]
                 ids.append(self.spell(part[way]) if chosen[1] < 0 else [chosen[1]])
-        return best[size], best[size] - second, [i for some in reversed(ids) for i in some]
-
-    def _word(self, word: str) -> tuple[int, float, float, bytes]:
-        """Number of pieces, best score, smallest lead of a part, ids."""
-        parts = [self.parts[p] for p in self.cut(word)]
-        ids = [i for p in parts for i in p[2]]
-        return len(ids), sum(p[0] for p in parts), min(p[1] for p in parts), array("i", ids).tobytes()
+        return best[size], best[size] - second, array("i", [i for some in reversed(ids) for i in some]).tobytes()
+
+    def one_word(self, word: str) -> tuple[int, float, float, bytes]:
+        """Number of pieces, best score, lead over the second, ids."""
+        parts = [self._part(p) for p in self.cut(word)]
+        ids = b"".join([p[2] for p in parts])
+        return len(ids) // 4, sum([p[0] for p in parts]), min([p[1] for p in parts]), ids
+
+    def learn(self, words: list[str]) -> dict[str, tuple[int, float, float, bytes]]:
+        """Words without their space sign, all distinct, to what
+        :meth:`one_word` says of them: new ones are searched together."""
+        known, new = {}, []
+        cache, old = self.words, self.words.old
+        for w in words:
+            value = cache.get(w) or old.get(w)
+            if value is None:
+                new.append(w)
+            else:
+                known[w] = value
+        by_size: dict[int, list[str]] = {}
+        for w in new:
+            by_size.setdefault(len(w) + 1, []).append(w)
+        for size, group in by_size.items():
+            for at in range(0, len(group), TOGETHER):
+                some = group[at:at + TOGETHER]
+                if size <= LONGEST and len(some) >= 8:
+                    found = self.table.search([SPACE + w for w in some], size)
+                else:
+                    found = [None] * len(some)
+                known.update((w, f or self.one_word(SPACE + w)) for w, f in zip(some, found))
+        for w in new:
+            cache.keep(w, known[w])
+        return known
 
     def segments(self, text: str) -> tuple[list[str], Cache]:
         """The words of a text and the cache that knows them."""
@@ -163,12 +196,31 @@ class Pieces:
         escaped = SPACE + text.replace(" ", SPACE)
         return (_RUNS.findall(escaped) if self.by_word else [escaped]), self.runs
 
+    def encode_batch(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[bytes, list[float], list[tuple]]]:
+        """:meth:`encode` of each text; their words are learnt together."""
+        at = 0
+        while at < len(texts):
+            end, size, distinct, cut = at, 0, set(), []
+            while end < len(texts) and (end == at or size + len(texts[end]) <= LEARNT):
+                words, cache = self.segments(texts[end])
+                cut.append((words, cache))
+                if cache is self.words:
+                    distinct.update(words)
+                size += len(texts[end])
+                end += 1
+            known = self.learn(list(distinct))
+            for words, cache in cut:
+                yield self._put_together(words, cache, known if cache is self.words else cache, n)
+            at = end
+
     def encode(self, text: str, n: int = N_BEST) -> tuple[bytes, list[float], list[tuple]]:
         """(ids of the best segmentation as 32-bit integers, the N best
         scores, and how each of the N differs: (word, its ids) pairs); N is 2
         at least."""
-        words, cache = self.segments(text)
-        found = [cache[w] for w in words]
+        return next(self.encode_batch([text], n))
+
+    def _put_together(self, words: list[str], cache: Cache, known, n: int):
+        found = [known[w] for w in words]
         ids, total = b"".join([f[3] for f in found]), sum([f[1] for f in found])
         if not words:
             return ids, [], []
@@ -190,7 +242,7 @@ class Pieces:
 
     def _options(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best of a word, from the ``n`` best of its parts."""
-        known = self.options.setdefault(n, Cache(lambda part: self.n_best(part, n), CACHED // 20))
+        known = self.options.setdefault(n, Cache(lambda part: self.n_best(part, n), WORDS // 20))
         best: list[tuple[float, list[int]]] = [(0.0, [])]
         for part in self.cut(word):
             best = sorted([(s + t, a + b) for s, a in best for t, b in known[part]], key=lambda x: -x[0])[:n]
@@ -202,6 +254,83 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+class PieceTable:
+    """The same search over many words of one length at once: all their
+    substrings are looked up by 64-bit hashes, and each Viterbi step is an
+    array operation over the words."""
+
+    def __init__(self, model: Pieces):
+        self.model, self.longest = model, max(map(len, model.known), default=1)
+        hashes = {self._hash(p): i_score for p, i_score in model.known.items()}
+        self.whole = len(hashes) == len(model.known)
+        self.keys = np.array(sorted(hashes), np.uint64)
+        self.ids = np.array([hashes[int(k)][0] for k in self.keys], np.int32)
+        self.scores = np.array([hashes[int(k)][1] for k in self.keys])
+        self.first = np.searchsorted(self.keys, np.arange((1 << 18) + 1, dtype=np.uint64) << np.uint64(46))
+        self.deepest = int(np.diff(self.first).max(initial=0))
+        self.keys = np.append(self.keys, np.zeros(self.deepest + 1, np.uint64))
+
+    @staticmethod
+    def _hash(piece: str) -> int:
+        h = 0
+        for c in piece:
+            h = (h * _BASE + ord(c) + 1) % (1 << 64)
+        return h * _SPREAD % (1 << 64)
+
+    def _find(self, hashes: np.ndarray) -> np.ndarray:
+        """Places in the table; -1: no piece."""
+        at = self.first[(hashes >> np.uint64(46)).astype(np.int64)]
+        out = np.full(len(hashes), -1)
+        for step in range(self.deepest):
+            out = np.where(self.keys[at + step] == hashes, at + step, out)
+        return np.where(out < len(self.ids), out, -1)
+
+    def search(self, words: list[str], size: int) -> list[tuple | None]:
+        """:meth:`Pieces.one_word` of words of ``size`` characters; None where
+        a character is no piece (its bytes are put in one by one)."""
+        n, low = len(words), float("-inf")
+        if not self.whole:
+            return [None] * n
+        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64) + np.uint64(1)
+        best, back = np.full((size + 1, n), low), np.full((size + 1, n), low)
+        came = np.zeros((size + 1, n), np.int64)
+        best[0], back[size] = 0.0, 0.0
+        edges = {}
+        hashes: list[np.ndarray] = []
+        for end in range(1, size + 1):
+            hashes = [h * np.uint64(_BASE) + codes[:, end - 1] for h in hashes[-(self.longest - 1):]] + [codes[:, end - 1]]
+            for start, h in zip(range(end - len(hashes), end), hashes):
+                place = self._find(h * np.uint64(_SPREAD))
+                some = place >= 0
+                if not some.any() and start < end - 1:
+                    continue
+                score = np.where(some, self.scores[place], self.model.lost if start == end - 1 else low)
+                edges[start, end] = place, score
+                better = best[start] + score > best[end]
+                best[end] = np.where(better, best[start] + score, best[end])
+                came[end] = np.where(better, start, came[end])
+        for (start, end), (_, score) in sorted(edges.items(), key=lambda e: -e[0][1]):
+            back[start] = np.maximum(back[start], back[end] + score)
+        second, way = np.full(n, low), np.full(n, size)
+        path, lost = np.full((n, size), -1, np.int32), np.zeros(n, bool)
+        for end in range(size, 0, -1):
+            here = way == end
+            way = np.where(here, came[end], way)
+            for start in range(max(0, end - self.longest), end):
+                if (start, end) in edges:
+                    place, score = edges[start, end]
+                    on = here & (way == start)
+                    path[on, start] = self.ids[place[on]]
+                    lost |= on & (place < 0)
+                    second = np.maximum(second, np.where(on, low, best[start] + score + back[end]))
+        used = path >= 0
+        counts = used.sum(axis=1)
+        data, stops = path[used].tobytes(), np.cumsum(counts) * 4
+        starts = stops - counts * 4
+        return [None if bad else (k, total, lead, data[a:b]) for bad, k, total, lead, a, b in zip(
+            lost.tolist(), counts.tolist(), best[size].tolist(), (best[size] - second).tolist(), starts.tolist(), stops.tolist())]
+
+
 @functools.cache
 def pieces(path: str) -> Pieces:
     """The worker process's copy of a model."""
@@ -236,9 +365,8 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str
         found = pieces(path)
         for batch in batches:
             ids, ends, scores, sums, whole = [], [0], [], [], []
-            for value in batch:
-                value = value.as_py() or ""
-                data, best, _ = found.encode(value, n)
+            texts = [t or "" for t in batch.to_pylist()]
+            for value, (data, best, _) in zip(texts, found.encode_batch(texts, n)):
                 one = np.frombuffer(data, np.int32)
                 ids.append(one)
                 ends.append(ends[-1] + len(one))

@@ -43,12 +43,15 @@ class Cache(dict):
         value = self.old.get(unit)
         if value is None:
             value = self.make(unit)
+        self.keep(unit, value)
+        return value
+
+    def keep(self, unit: str, value: object) -> None:
         if len(unit) <= CACHED_CHARS:
             if len(self) >= self.half:
                 self.old = dict(self)
                 self.clear()
             self[unit] = value
-        return value
 
 
 def split(text: str) -> list[str]:
