@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hirelens.llm.common import digest, fresh_path, table
+from hirelens.llm.common import digest, fresh_path, table, written
 
 
 @dataclass(frozen=True)
@@ -119,12 +119,13 @@ def findings(versions: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES,
     current = F.lit(False)
     for r in rules:
         current = current | ((F.col("kind") == r.kind) & (F.col("version") == r.version))
-    by_blob = (read_ledger(spark, ledger).where(current & (F.size("spans") > 0))
+    # Written first, so that the join is of two plain tables and Spark can split a blob of very many paths.
+    by_blob = written(read_ledger(spark, ledger).where(current & (F.size("spans") > 0))
                .dropDuplicates(["blob", "kind", "version"])
                .select(F.col("blob").alias("_blob"), "kind", F.explode("spans").alias("s"))
                .groupBy("_blob").agg(F.array_sort(F.collect_list(F.struct(
                    F.col("s.start").alias("start"), place[F.col("kind")].alias("at"),
-                   F.col("kind").alias("kind"), F.col("s.end").alias("end")))).alias("found")))
+                   F.col("kind").alias("kind"), F.col("s.end").alias("end")))).alias("found")), "findings")
     rows = versions.drop("found", "_blob").withColumn("_blob", blob_of(text))
     none = F.array().cast("array<struct<start:bigint,at:int,kind:string,end:bigint>>")
     return rows.join(by_blob, "_blob", "left").drop("_blob").withColumn("found", F.coalesce("found", none))
