@@ -17,9 +17,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hirelens.llm.common import table
+from hirelens.llm.common import table, written
 
 ORDERS = (1, 2, 3)
 BUCKETS = (1 << 10, 1 << 12, 1 << 13)  # one range of buckets for each order
@@ -106,11 +105,14 @@ def train(docs: DataFrame, per_label: int = PER_LABEL, labels: int = LABELS) ->
     and predicts ``und``."""
     usable = (docs.where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & ~held_out())
               .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"), "text"))
-    ids = usable.where(F.col("text").rlike(r"\p{L}")).select("lang", "h")
-    frequent = ids.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(labels).select("lang")
-    # the per_label lowest hashes of a label: the sorted distinct ones, kept short on the map side
-    ranked = (ids.join(F.broadcast(frequent), "lang").distinct()
-              .withColumn("n", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+    ids = written(usable.where(F.col("text").rlike(r"\p{L}")).select("lang", "h").distinct(), "labelled")
+    frequent = (ids.groupBy("lang").agg(F.count("*").alias("ids"))
+                .orderBy(F.desc("ids"), "lang").limit(labels))
+    # Hashes above some four times the wanted share can't be among the lowest: few rows a label are put in order.
+    share = F.least(F.lit(1.0), F.lit(4.0 * per_label) / F.col("ids"))
+    ranked = (ids.join(F.broadcast(frequent), "lang").where(F.pmod("h", F.lit(1 << 30)) <= share * (1 << 30))
+              .withColumn("n", F.row_number().over(
+                  Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")))
               .where(F.col("n") <= per_label).select("lang", "h"))
     sample = (usable.join(F.broadcast(ranked), ["lang", "h"]).where(F.col("text").rlike(r"\p{L}"))
               .dropDuplicates(["lang", "h"]))
