@@ -31,10 +31,11 @@ def roots(links: DataFrame) -> DataFrame:
     while state[0]:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = (both.join(lowest, "u").where("v > u")
-                 .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct())
-        lowest = large.groupBy("a").agg(F.min("b").alias("m"))
+        # The minima are written first: the joins are then of plain tables, and Spark can split a hub's links.
+        lowest = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest")
+        large = written(both.join(lowest, "u").where("v > u")
+                        .select(F.col("v").alias("a"), F.col("m").alias("b")).distinct(), "large")
+        lowest = written(large.groupBy("a").agg(F.min("b").alias("m")), "lowest")
         small = (large.join(lowest, "a")
                  .select(F.explode(F.array(F.struct("a", F.col("m").alias("b")),
                                            F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e"))
