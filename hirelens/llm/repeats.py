@@ -126,7 +126,9 @@ def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         keys = _heads(key)
         per_key = np.diff(np.r_[keys, len(key)])
         shared = np.minimum.reduceat(doc, keys) != np.maximum.reduceat(doc, keys)
-        unsure = shared & (np.add.reduceat(~repeated, keys) > 0)
+        head = np.zeros(len(key), np.int64)
+        head[heads] = 1
+        unsure = shared & (np.add.reduceat(head, keys) > 1)     # several stretches, repeated or not
         unsure[[0, -1]] = True
         ends = np.zeros(len(key), bool)
         ends[heads] = ends[tails] = True

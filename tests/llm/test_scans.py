@@ -250,3 +250,23 @@ def test_licenses_equal_brute_force(spark):
     hit = next(r for r in got if r["doc_id"] == 9)["licenses"]
     assert [(m["license"], m["start"], m["end"]) for m in hit] == [("MIT", 0, 31)]
     assert licenses.scan_licenses(no_docs(spark)).count() == 0
+
+
+def test_copied_families_are_linked_by_a_passage(spark):
+    """Every stretch around the passage is itself repeated; fillers keep its keys off a batch's edges."""
+    rng = random.Random(11)
+
+    def text(n):
+        return [f"w{rng.randrange(10 ** 9)}" for _ in range(n)]
+
+    rows = []
+    for at in range(4):
+        passage, base = text(rng.randrange(52, 81)), 100 * at
+        for family in range(2):
+            copy = " ".join(text(120) + passage + text(120))
+            rows += [(base + 3 * family + i, copy) for i in (1, 2, 3)]
+    rows += [(1000 + i, " ".join(text(400))) for i in range(20)]
+    got = {r["doc_id"]: r for r in repeats.repeated_passages(
+        spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert {i: r["class_id"] for i, r in got.items()} == {100 * at + i: 100 * at + 1 for at in range(4) for i in range(1, 7)}
+    assert plain_repeats(rows, 50)[0] == {i: r["n_repeated"] for i, r in got.items()}
