@@ -6,8 +6,9 @@ before it kept, and its decisions take effect:
 1. language    rejects documents without a letter, and those that score below
                ``LEAST_SCORE`` for every learned language
 2. near_dup    keeps one document of each SimHash component: the smallest
-               doc_id (of rows that repeat it, the smallest text, language and
-               source); a component of null ids only keeps one of its rows
+               doc_id (of its rows there, the smallest text, language and
+               source); a component of null ids only keeps one of its rows.
+               A doc_id with different texts can stay once per component
 3. benchmark   removes documents that hold a window of a benchmark item
 4. secrets     replaces every secret found by a mask (``n_chars`` follows)
 5. pieces      encodes the whole texts; returns ids and the two best scores
@@ -37,20 +38,21 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(docs)
-    # One doc_id a component stays; a component without any is named by its root.
-    groups = found.groupBy("root").agg(F.min("doc_id").alias("doc_id"))
-    named = docs.join(groups.where("doc_id is not null").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
-    # Rows that repeat a doc_id are rare: only they are put in order.
+    # The smallest doc_id of each component stays (null if it has none).
+    prints = written(found.groupBy("fp", "root").agg(F.min("doc_id").alias("low")), "prints")
+    groups = written(prints.groupBy("root").agg(F.min("low").alias("least")), "components")
+    chosen = groups.where("least is not null").select(F.col("least").alias("doc_id")).distinct()
+    named = docs.join(chosen, "doc_id", "left_semi").select(docs.columns)
+    # Rows that repeat a doc_id are rare: only they are told apart by their component and put in order.
     again = named.groupBy("doc_id").agg(F.count("*").alias("_rows")).where("_rows > 1").select("doc_id")
     single = named.join(again, "doc_id", "left_anti")
     order = F.struct(*[F.col(c) for c in ("text", "lang", "source", "n_chars") if c in docs.columns])
-    twice = (named.join(again, "doc_id", "left_semi")
-             .groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*"))
-    packed = docs.where("doc_id is null").select(F.struct(*docs.columns).alias("row"), order.alias("order"), "text")
-    nameless = (simhash.fingerprints(packed)
-                .join(groups.where("doc_id is null").select(F.col("root").alias("fp")), "fp", "left_semi")
-                .groupBy("fp").agg(F.min_by("row", "order").alias("row")).select("row.*"))
-    return single.select(docs.columns).unionByName(twice).unionByName(nameless)
+    packed = (named.join(again, "doc_id", "left_semi").select(docs.columns).unionByName(docs.where("doc_id is null"))
+              .select("doc_id", F.struct(*docs.columns).alias("row"), order.alias("order"), "text"))
+    others = (simhash.fingerprints(packed).join(prints.select("fp", "root"), "fp").join(groups, "root")
+              .where(F.col("doc_id").eqNullSafe(F.col("least")))
+              .groupBy("root").agg(F.min_by("row", "order").alias("row")).select("row.*"))
+    return single.select(docs.columns).unionByName(others)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -72,3 +72,13 @@ def test_near_dup_stage_keeps_one_row_of_nameless_groups(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r["doc_id"] or 0, r["text"]) for r in corpus_pipeline.near_dup_stage(spark, df, "").collect())
     assert got == [(0, "a b c d"), (0, "q w e r t y"), (4, "entirely other words in this one")]
+
+
+def test_near_dup_stage_keeps_one_row_of_each_component(spark):
+    """One doc_id with texts in two components: each keeps its own row."""
+    t1, t2 = "zebra yak xerus wombat vole", "apple banana cherry damson elder"
+    rows = [(5, t1), (7, t1), (3, t2), (5, t2), (8, "first of two texts"), (8, "another one of them entirely")]
+    df = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows],
+                               "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dup_stage(spark, df, "").collect())
+    assert got == [(3, t2), (5, t1), (8, "another one of them entirely"), (8, "first of two texts")]
