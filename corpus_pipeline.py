@@ -11,7 +11,8 @@ before it kept, and its decisions take effect:
                A doc_id with different texts can stay once per component
 3. benchmark   removes documents that hold a window of a benchmark item
 4. secrets     replaces every secret found by a mask (``n_chars`` follows)
-5. pieces      encodes the whole texts; returns ids and the two best scores
+5. pieces      encodes the whole texts; returns ids, the two best scores and
+               what the second segmentation changes in the ids
 
 ``run`` applies them to ``documents``, writing each stage's rows to the shared
 checkpoint folder. Stages 1 to 4 return the columns of ``documents``; columns
@@ -73,7 +74,8 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = pieces.encode(docs.select("doc_id", "lang", "source", "text"), n=2)
     return found.select("doc_id", "lang", "source", F.size("pieces.ids").cast("long").alias("n_pieces"),
-                        F.col("pieces.ids").alias("ids"), "pieces.scores", "pieces.round_trip")
+                        F.col("pieces.ids").alias("ids"), "pieces.scores", "pieces.round_trip",
+                        F.col("pieces.ranks.changes").alias("changes"))
 
 
 STAGES = [

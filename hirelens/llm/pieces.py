@@ -215,8 +215,9 @@ class Pieces:
 
     def encode(self, text: str, n: int = N_BEST) -> tuple[bytes, list[float], list[tuple]]:
         """(ids of the best segmentation as 32-bit integers, the N best
-        scores, and how each of the N differs: (word, its ids) pairs); N is 2
-        at least."""
+        scores, and how each of the N differs from the best: (start, stop, ids
+        put there) in order of the text, see :func:`put_in`); N is 2 at
+        least."""
         return next(self.encode_batch([text], n))
 
     def _put_together(self, words: list[str], cache: Cache, known, n: int):
@@ -233,12 +234,17 @@ class Pieces:
         sums: list[tuple[float, tuple]] = [(0.0, ())]
         for k in near[leads[near] < np.inf].tolist():
             options = self._options(SPACE + words[k] if cache is self.words else words[k], n)
-            best = options[0][0]
+            best, own = options[0][0], array("i")
+            own.frombytes(found[k][3])
+            # Among equal scores the search may not begin with the best that is returned.
+            options = [(best, own.tolist()), *[o for o in options if o[1] != own.tolist()][:n - 1]]
             more = [(loss + best - score, choice + ((k, other),) if j else choice)
                     for loss, choice in sums for j, (score, other) in enumerate(options)]
             more.sort(key=lambda x: x[0])
             sums = more[:n]
-        return ids, [total - loss for loss, _ in sums], [choice for _, choice in sums]
+        stops = np.cumsum([f[0] for f in found]).tolist()
+        return (ids, [total - loss for loss, _ in sums],
+                [[(stops[k] - found[k][0], stops[k], other) for k, other in choice] for _, choice in sums])
 
     def _options(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best of a word, from the ``n`` best of its parts."""
@@ -331,6 +337,16 @@ class PieceTable:
             lost.tolist(), counts.tolist(), best[size].tolist(), (best[size] - second).tolist(), starts.tolist(), stops.tolist())]
 
 
+def put_in(data: bytes, changes) -> bytes:
+    """The best segmentation's ids (32-bit integers) with those of another
+    put in: ``changes`` are (start, stop, ids), not overlapping, in order."""
+    out, at = [], 0
+    for start, stop, ids in changes:
+        out += [data[4 * at:4 * start], array("i", ids).tobytes()]
+        at = stop
+    return b"".join([*out, data[4 * at:]])
+
+
 @functools.cache
 def pieces(path: str) -> Pieces:
     """The worker process's copy of a model."""
@@ -342,9 +358,16 @@ _KIND = T.StructType([
     T.StructField("scores", T.ArrayType(T.DoubleType())),
     T.StructField("ids_crc32", T.LongType()),
     T.StructField("round_trip", T.BooleanType()),
+    T.StructField("ranks", T.ArrayType(T.StructType([
+        T.StructField("n_pieces", T.LongType()), T.StructField("ids_crc32", T.LongType()),
+        T.StructField("changes", T.ArrayType(T.StructType([
+            T.StructField("start", T.IntegerType()), T.StructField("stop", T.IntegerType()),
+            T.StructField("ids", T.ArrayType(T.IntegerType()))])))]))),
 ])
 _ARROW = pa.struct([("ids", pa.list_(pa.int32())), ("scores", pa.list_(pa.float64())),
-                    ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())])
+                    ("ids_crc32", pa.int64()), ("round_trip", pa.bool_()), ("ranks", pa.list_(pa.struct([
+                        ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("changes", pa.list_(pa.struct([
+                            ("start", pa.int32()), ("stop", pa.int32()), ("ids", pa.list_(pa.int32()))])))])))])
 
 
 def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str = "text",
@@ -353,7 +376,10 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str
     of the whole text, the ``n`` best ``scores`` (fewer if there are fewer
     segmentations), ``ids_crc32`` over the ids as little-endian 32-bit
     integers, and ``round_trip``: decoding the ids gives the text back (the
-    space sign U+2581 in a text comes back as a space).
+    space sign U+2581 in a text comes back as a space). ``ranks`` has all ``n``
+    segmentations, in step with the scores: their ``n_pieces``, ``ids_crc32``
+    and ``changes``, the places ``start:stop`` of ``ids`` (none for the best)
+    that hold other ids; :func:`segmentations` gives their ids in full.
 
     A null or empty text has no ids and no scores. All rows and columns stay
     (a column named like ``out`` is replaced).
@@ -364,24 +390,42 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         found = pieces(path)
         for batch in batches:
-            ids, ends, scores, sums, whole = [], [0], [], [], []
+            ids, ends, scores, sums, whole, ranks = [], [0], [], [], [], []
             texts = [t or "" for t in batch.to_pylist()]
-            for value, (data, best, _) in zip(texts, found.encode_batch(texts, n)):
+            for value, (data, best, changes) in zip(texts, found.encode_batch(texts, n)):
                 one = np.frombuffer(data, np.int32)
                 ids.append(one)
                 ends.append(ends[-1] + len(one))
                 scores.append(best)
                 sums.append(zlib.crc32(data))
                 whole.append(found.decode(one.tolist()) == value.replace(SPACE, " "))
+                every = [put_in(data, c) if c else data for c in changes]
+                ranks.append([(len(e) // 4, sums[-1] if e is data else zlib.crc32(e), c) for e, c in zip(every, changes)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
                                              pa.array(np.concatenate([*ids, np.zeros(0, np.int32)])))
             yield pa.StructArray.from_arrays(
                 [lists, pa.array(scores, pa.list_(pa.float64())), pa.array(sums, pa.int64()),
-                 pa.array(whole, pa.bool_())], fields=list(_ARROW))
+                 pa.array(whole, pa.bool_()), pa.array(ranks, _ARROW.field("ranks").type)], fields=list(_ARROW))
 
     return docs.withColumn(out, of.asNondeterministic()(F.col(text)))
 
 
+def segmentations(found: DataFrame, column: str = "pieces", out: str = "segmentations") -> DataFrame:
+    """``found`` with the ids of every segmentation of :func:`encode`, best
+    first, in column ``out``: an array of arrays."""
+    @F.arrow_udf(T.ArrayType(T.ArrayType(T.IntegerType())))
+    def of(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for best, ranks in batches:
+            every = []
+            for ids, some in zip(best, ranks.to_pylist()):
+                data = b"" if ids.as_py() is None else np.asarray(ids.values, np.int32).tobytes()
+                every.append(None if some is None else [np.frombuffer(put_in(data, [
+                    (c["start"], c["stop"], c["ids"]) for c in r["changes"]]), np.int32) for r in some])
+            yield pa.array(every, pa.list_(pa.list_(pa.int32())))
+
+    return found.withColumn(out, of(F.col(f"{column}.ids"), F.col(f"{column}.ranks")))
+
+
 def decode(ids: DataFrame, model: str | None = None, column: str = "ids", out: str = "text") -> DataFrame:
     """``ids`` with the decoded text in column ``out`` (null ids: null)."""
     path = model or tokenizer_path(MODEL)
@@ -398,4 +442,5 @@ def decode(ids: DataFrame, model: str | None = None, column: str = "ids", out: s
 def op7_sentencepiece_n_best(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.size("pieces.ids").cast("long").alias("n_pieces"), "pieces.scores",
-                        "pieces.ids_crc32", "pieces.round_trip")
+                        "pieces.ids_crc32", "pieces.round_trip", F.col("pieces.ranks.n_pieces").alias("rank_pieces"),
+                        F.col("pieces.ranks.ids_crc32").alias("rank_crc32"))

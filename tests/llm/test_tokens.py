@@ -181,3 +181,20 @@ def test_pieces_of_documents(spark):
     again = pieces.decode(pieces.encode(edge_docs(spark)).selectExpr("doc_id", "text as was", "pieces.ids")).collect()
     assert all(r["text"] == (r["was"] or "") for r in again)
     assert pieces.encode(no_docs(spark)).count() == 0
+
+
+def test_all_n_segmentations_of_documents(spark):
+    model = pieces.pieces(MODEL)
+    texts = ["a", "ab ab", "the cat", "xx yy", "naïve  é", "\U0001f600 日本", "aaaa", "on no", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = pieces.segmentations(pieces.encode(df)).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        text, found, got = r["text"] or "", r["pieces"], [tuple(i) for i in r["segmentations"]]
+        want = every_segmentation(model, pieces.SPACE + text.replace(" ", pieces.SPACE)) if text else []
+        n = min(pieces.N_BEST, len(want))
+        assert len(got) == len(set(got)) == len(found["scores"]) == len(found["ranks"]) == n
+        assert all((round(s, 2), i) in want for s, i in zip(found["scores"], got))
+        assert not got or got[0] == tuple(found["ids"])
+        assert [(x["n_pieces"], x["ids_crc32"]) for x in found["ranks"]] == [
+            (len(i), zlib.crc32(np.array(i, "<i4").tobytes())) for i in got]
