@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from hirelens.llm import counts, decontaminate, language, licenses, pieces, repeats, secrets, simhash, tokenfile, topk
+from hirelens.llm import (
+    counts, decontaminate, language, licenses, pieces, quality, repeats, secrets, simhash, tokenfile, topk)
 
 QUERIES: dict = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.ORACLE),
@@ -15,4 +16,5 @@ QUERIES: dict = {
     "op8_secret_scan": (secrets.op8_secret_scan, None),
     "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
     "op10_repeated_passages": (repeats.op10_repeated_passages, repeats.ORACLE),
+    "op13_quality_rules": (quality.op13_quality_rules, None),
 }
