@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from hirelens.llm import (
-    counts, decontaminate, language, licenses, phrases, pieces, quality, repeats, secrets, simhash, tokenfile, topk)
+    conversations, counts, decontaminate, language, licenses, phrases, pieces, quality, repeats, secrets, simhash, tokenfile, topk)
 
 QUERIES: dict = {
     "op1_license_scan": (licenses.op1_license_scan, licenses.ORACLE),
@@ -16,6 +16,7 @@ QUERIES: dict = {
     "op8_secret_scan": (secrets.op8_secret_scan, None),
     "op9_benchmark_decontamination": (decontaminate.op9_benchmark_decontamination, decontaminate.ORACLE),
     "op10_repeated_passages": (repeats.op10_repeated_passages, repeats.ORACLE),
+    "op11_conversation_repair": (conversations.op11_conversation_repair, None),
     "op12_phrase_collocations": (phrases.op12_phrase_collocations, None),
     "op13_quality_rules": (quality.op13_quality_rules, None),
 }
