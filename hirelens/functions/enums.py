@@ -48,17 +48,21 @@ def level_normalized(col) -> Column:
 
 def experience_months(col) -> Column:
     """struct(min, max) months. '2 năm' -> (24, NULL), '1-3 năm' ->
-    (12, 36), '1.5 năm' -> (18, NULL), '6 tháng' -> (6, NULL); no requirement
-    -> (0, NULL)."""
+    (12, 36), '6 tháng - 2 năm' -> (6, 24), '1.5 năm' -> (18, NULL); no
+    requirement -> (0, NULL). A number has its own unit, else the other
+    number's, else years."""
     lt = F.lower(F.coalesce(_c(col), F.lit("")))
-    nums = F.transform(F.regexp_extract_all(lt, F.lit(r"\d+(?:[.,]\d+)?"), 0),
-                       lambda x: F.replace(x, F.lit(","), F.lit(".")).try_cast("double"))
-    unit = F.when(lt.rlike("năm|year"), F.lit(12.0)).when(lt.rlike("tháng|month"), F.lit(1.0)) \
-        .otherwise(F.lit(12.0))
+    amount = F.lit(r"(\d+(?:[.,]\d+)?)\s*(năm|tháng|year|month)?")
+
+    def part(i: int, k: int) -> Column:
+        return F.nullif(F.get(F.regexp_extract_all(lt, amount, i), k), F.lit(""))
+
+    low, high = (F.replace(part(1, k), F.lit(","), F.lit(".")).try_cast("double") for k in (0, 1))
+    units = [F.when(u.isin("năm", "year"), F.lit(12.0)).when(u.isNotNull(), F.lit(1.0)) for u in (part(2, 0), part(2, 1))]
+    years = F.when(~lt.rlike("năm|year") & lt.rlike("tháng|month"), F.lit(1.0)).otherwise(F.lit(12.0))
     none = lt.rlike("không yêu cầu|no experience|chưa có kinh nghiệm")
-    mn = F.when(none & (F.size(nums) == 0), F.lit(0)).otherwise(
-        F.round(F.get(nums, 0) * unit).cast("int"))
-    mx = F.round(F.get(nums, 1) * unit).cast("int")
+    mn = F.when(none & low.isNull(), F.lit(0)).otherwise(F.round(low * F.coalesce(units[0], units[1], years)).cast("int"))
+    mx = F.round(high * F.coalesce(units[1], units[0], years)).cast("int")
     return F.struct(mn.alias("experience_months_min"), mx.alias("experience_months_max"))
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions import enums
-from hirelens.functions.agg import money_avg, ratio
+from hirelens.functions.agg import cents, money_avg, money_mean, ratio
 from hirelens.operators.ranking import rank_desc
 
 PERCENTILE_PLACES = 4
@@ -29,34 +29,60 @@ def _r(col: Column, places: int = PERCENTILE_PLACES) -> Column:
 _ratio = ratio
 
 
-def _pct(col: str, ps: list[float], accuracy: int | None) -> Column:
-    """Exact interpolated percentiles (a value -> count map per group), or
-    the bounded sketch of this accuracy."""
-    if accuracy:
-        return F.percentile_approx(col, ps, accuracy).cast("array<double>")
-    return F.percentile(col, ps)
+class Profile:
+    """Exact statistics of groups from value histograms: counts, averages,
+    interpolated percentiles, shares and distinct counts.
 
+    Each row gives a value per column; these are counted per (group, column,
+    value), in part before the shuffle, so a hot group arrives as its distinct
+    values. A running count over a column's values, in order, then finds the
+    two around any rank. Counting and sorting spill; no group is kept as a map
+    in memory, and the input is read once for all statistics."""
 
-def _salary_aggs(percentiles: bool, extra_min: float | None = None, extra_max: float | None = None,
-                 accuracy: int | None = None) -> list[Column]:
-    """Money averages, and optionally medians (plus one extra percentile per
-    column). Several percentiles of one column share one aggregation buffer
-    (``percentile(col, array(..))``)."""
-    out = [money_avg("salary_min").alias("avg_salary_min"),
-           money_avg("salary_max").alias("avg_salary_max")]
-    if percentiles:
-        out += [_pct("salary_min", [0.5] + ([extra_min] if extra_min else []), accuracy).alias("_pmin"),
-                _pct("salary_max", [0.5] + ([extra_max] if extra_max else []), accuracy).alias("_pmax")]
-    return out
+    def __init__(self, df: DataFrame, keys: list[str], numbers: list[str], texts: list[str] | None = None):
+        self.keys, self.columns, texts = keys, [*numbers, *(texts or [])], texts or []
+        values = [F.struct(F.lit(i).alias("m"),
+                           (F.lit(None) if c in texts else F.col(c)).cast("double").alias("v"),
+                           (F.col(c) if c in texts else F.lit(None)).cast("string").alias("s"))
+                  for i, c in enumerate(self.columns)]
+        hist = (df.select(*keys, F.explode(F.array(*values)).alias("x")).select(*keys, "x.*")
+                .groupBy(*keys, "m", "v", "s").agg(F.count(F.lit(1)).alias("n")))
+        group = Window.partitionBy(*keys, "m")
+        run = group.orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        self.ranked = hist.withColumn("hi", F.sum("n").over(run)) \
+            .withColumn("known", F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).over(group))
 
+    def _of(self, column: str, value: Column) -> Column:
+        return F.when(F.col("m") == self.columns.index(column), value)
 
-def _percentile_cols(extra_min: str | None = None, extra_max: str | None = None) -> list[Column]:
-    out = [_r(F.get("_pmin", 0)).alias("median_salary_min"), _r(F.get("_pmax", 0)).alias("median_salary_max")]
-    if extra_min:
-        out.append(_r(F.get("_pmin", 1)).alias(extra_min))
-    if extra_max:
-        out.append(_r(F.get("_pmax", 1)).alias(extra_max))
-    return out
+    def count(self) -> Column:
+        return F.sum(self._of(self.columns[0], F.col("n")))
+
+    def distinct(self, text: str) -> Column:
+        return F.count(self._of(text, F.col("s")))
+
+    def share(self, flag: str) -> Column:
+        return F.coalesce(F.sum(self._of(flag, F.when(F.col("v") == 1, F.col("n")))), F.lit(0)) / self.count()
+
+    def money(self, number: str) -> Column:
+        known = F.when(F.col("v").isNotNull(), F.col("n"))
+        return money_mean(F.sum(self._of(number, cents("v") * F.col("n"))), F.coalesce(F.sum(self._of(number, known)), F.lit(0)))
+
+    def percentile(self, number: str, p: float) -> Column:
+        at = F.lit(p) * (F.col("known") - 1)
+
+        def value_at(rank: Column) -> Column:
+            return F.max(self._of(number, F.when((F.col("hi") - F.col("n") <= rank) & (rank < F.col("hi")), F.col("v"))))
+
+        low, high, part = value_at(F.floor(at)), value_at(F.ceil(at)), F.max(self._of(number, at - F.floor(at)))
+        return _r(F.when(low == high, low).otherwise(low * (1 - part) + high * part))
+
+    def agg(self, **columns: Column) -> DataFrame:
+        return self.ranked.groupBy(*self.keys).agg(*[c.alias(name) for name, c in columns.items()])
+
+
+def _money() -> list[Column]:
+    return [money_avg("salary_min").alias("avg_salary_min"), money_avg("salary_max").alias("avg_salary_max")]
 
 
 def _rank_in(df: DataFrame, partition_cols: list[str], order_col: str, out_col: str) -> DataFrame:
@@ -75,20 +101,16 @@ def exploded_skills(silver: DataFrame, *cols: str) -> DataFrame:
         .filter((F.col("skill").isNotNull()) & (F.col("skill") != ""))
 
 
-def job_facts_daily(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """A6 gold_job_facts_daily; medians are exact unless ``accuracy`` asks
-    for a sketch."""
+def job_facts_daily(silver: DataFrame) -> DataFrame:
+    """A6 gold_job_facts_daily, with exact medians."""
     keys = ["date_key", "source", "city", "category_level_1", "category_level_2",
             "category_level_3", "level_normalized", "employment_type"]
-    agg = (silver.withColumn("date_key", enums.date_key("posting_date"))
-           .groupBy(*keys)
-           .agg(F.count(F.lit(1)).alias("job_count"),
-                F.count_distinct("company_name").alias("distinct_company_count"),
-                *_salary_aggs(True, accuracy=accuracy),
-                _ratio(F.col("english_required")).alias("english_required_ratio"),
-                _ratio(F.col("has_benefits")).alias("benefit_coverage_ratio")))
-    return agg.select(*keys, "job_count", "distinct_company_count", "avg_salary_min", "avg_salary_max",
-                      *_percentile_cols(), "english_required_ratio", "benefit_coverage_ratio")
+    p = Profile(silver.withColumn("date_key", enums.date_key("posting_date")), keys,
+                ["salary_min", "salary_max", "english_required", "has_benefits"], ["company_name"])
+    return p.agg(job_count=p.count(), distinct_company_count=p.distinct("company_name"),
+                 avg_salary_min=p.money("salary_min"), avg_salary_max=p.money("salary_max"),
+                 median_salary_min=p.percentile("salary_min", 0.5), median_salary_max=p.percentile("salary_max", 0.5),
+                 english_required_ratio=p.share("english_required"), benefit_coverage_ratio=p.share("has_benefits"))
 
 
 def skill_counts_daily(silver: DataFrame) -> DataFrame:
@@ -98,22 +120,19 @@ def skill_counts_daily(silver: DataFrame) -> DataFrame:
                          "salary_min", "salary_max")
     agg = ex.groupBy("date_key", "source", "skill", "city", "category_level_3").agg(
         F.count(F.lit(1)).alias("job_count"),
-        F.count_distinct("company_name").alias("distinct_company_count"),
-        *_salary_aggs(False))
-    agg = _rank_in(agg, ["date_key", "source"], "job_count", "skill_rank_in_day")
-    return _rank_in(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
+        F.count_distinct("company_name").alias("distinct_company_count"), *_money())
+    agg = rank_desc(agg, ["date_key", "source"], "job_count", "skill_rank_in_day")
+    return rank_desc(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
 
 
-def salary_stats_by_skill_month(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
-    """A8 gold_salary_stats_by_skill_month (exact interpolated percentiles
-    unless ``accuracy`` asks for a sketch)."""
+def salary_stats_by_skill_month(silver: DataFrame) -> DataFrame:
+    """A8 gold_salary_stats_by_skill_month, with exact percentiles."""
     ex = exploded_skills(silver.withColumn("month_key", enums.month_key("posting_date")),
                          "month_key", "city", "category_level_3", "salary_min", "salary_max")
-    keys = ["month_key", "skill", "city", "category_level_3"]
-    agg = ex.groupBy(*keys).agg(F.count(F.lit(1)).alias("job_count"),
-                                *_salary_aggs(True, extra_min=0.25, extra_max=0.75, accuracy=accuracy))
-    return agg.select(*keys, "job_count", "avg_salary_min", "avg_salary_max",
-                      *_percentile_cols("p25_salary_min", "p75_salary_max"))
+    p = Profile(ex, ["month_key", "skill", "city", "category_level_3"], ["salary_min", "salary_max"])
+    return p.agg(job_count=p.count(), avg_salary_min=p.money("salary_min"), avg_salary_max=p.money("salary_max"),
+                 median_salary_min=p.percentile("salary_min", 0.5), median_salary_max=p.percentile("salary_max", 0.5),
+                 p25_salary_min=p.percentile("salary_min", 0.25), p75_salary_max=p.percentile("salary_max", 0.75))
 
 
 def company_hiring_by_month(silver: DataFrame) -> DataFrame:
@@ -122,8 +141,8 @@ def company_hiring_by_month(silver: DataFrame) -> DataFrame:
            .groupBy("month_key", "company_name", "city")
            .agg(F.count(F.lit(1)).alias("job_count"),
                 F.count_distinct("job_title").alias("distinct_job_title_count"),
-                *_salary_aggs(False)))
-    return _rank_in(agg, ["month_key", "city"], "job_count", "hiring_rank_in_city")
+                *_money()))
+    return rank_desc(agg, ["month_key", "city"], "job_count", "hiring_rank_in_city")
 
 
 def skill_pairs(silver: DataFrame, *cols: str) -> DataFrame:

@@ -82,6 +82,38 @@ def versioned(df: DataFrame, key: str | list[str] = "job_id", order=("ingest_ts"
                     "_offset", "_last_bucket")
 
 
+VERSION_STATE = ("last_order", "last_hash", "last_version")
+
+
+def version_state(rows: DataFrame, key: str = "job_id", order=("ingest_ts",), hash_col: str = "hash_content") -> DataFrame:
+    """What :func:`continue_versions` has to know of versioned rows: one row a
+    key with its last order, hash and version."""
+    okey = F.struct(*order)
+    return rows.groupBy(key).agg(F.max(okey).alias("last_order"), F.max_by(hash_col, okey).alias("last_hash"),
+                                 F.max_by("record_version", okey).alias("last_version"))
+
+
+def continue_versions(batch: DataFrame, state: DataFrame, key: str = "job_id", order=("ingest_ts",),
+                      hash_col: str = "hash_content", bucket: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """K5 for a new batch from kept state (:func:`version_state`), without the
+    rows before it: ``(rows, late)``.
+
+    ``rows``: the batch's rows with ``record_version`` and ``is_latest``
+    (within the batch), for keys whose rows all come after the last row known.
+    ``late``: the other keys; their whole history is needed
+    (:func:`versioned`). Versions inside the batch are counted as there, and
+    start where the state ends."""
+    okey = F.struct(*order)
+    start = (batch.groupBy(key).agg(F.min(okey).alias("_first"), F.min_by(hash_col, okey).alias("_first_hash"))
+             .join(state.select(key, *VERSION_STATE), key, "left"))
+    is_late = F.coalesce(F.col("_first") <= F.col("last_order"), F.lit(False))
+    offset = F.coalesce(F.col("last_version") - 1 + (F.col("_first_hash") != F.col("last_hash")).cast("int"), F.lit(0))
+    offsets = start.where(~is_late).select(key, offset.alias("_offset"))
+    rows = versioned(batch, key, order, hash_col, bucket=bucket).join(offsets, key)
+    return (rows.withColumn("record_version", (F.col("record_version") + F.col("_offset")).cast("int")).drop("_offset"),
+            start.where(is_late).select(key))
+
+
 def latest_snapshot(df: DataFrame, key: str = "job_id",
                     order=("record_version", "ingest_ts")) -> DataFrame:
     """K6: one row per key: highest ``record_version``, ties -> latest

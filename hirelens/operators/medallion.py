@@ -16,7 +16,7 @@ from hirelens import schemas
 from hirelens.functions import enums, taxonomy, text, urls
 from hirelens.functions.constants import SKILL_NOISE
 from hirelens.functions.salary import parse_salary, salary_flags, salary_in_text
-from hirelens.operators import keys
+from hirelens.operators import keys, resolution
 from hirelens.operators.quality import quality_score, raw_quality_flags
 
 
@@ -98,54 +98,133 @@ def bronze_dedup(b: DataFrame) -> DataFrame:
 
 def first_present(*pairs: tuple[str, Column]) -> tuple[Column, Column, Column]:
     """Value from the highest-priority source that has one, which source
-    was used, and a conflict flag (the top two sources both present and
-    different), for the conflict log."""
+    was used, and a conflict flag (another source has a different one).
+    Groups of fields with a log: :mod:`hirelens.operators.resolution`."""
     vals = [F.nullif(F.trim(c.cast("string")), F.lit("")) for _, c in pairs]
     val = F.coalesce(*vals)
     used = None
     for (name, _), v in zip(pairs, vals):
         used = F.when(v.isNotNull(), F.lit(name)) if used is None else used.when(v.isNotNull(), F.lit(name))
-    conflict = F.coalesce(vals[0] != vals[1], F.lit(False)) if len(vals) > 1 else F.lit(False)
+    conflict = F.lit(False)
+    for v in vals[1:]:
+        conflict = conflict | F.coalesce(v != val, F.lit(False))
     return val, used, conflict
 
 
+def _section(heading: str) -> Column:
+    return F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")), F.lit(heading))
+
+
+def _page_line(pattern: str, group: int = 1) -> Column:
+    """What a labelled line of the page text says (NULL: no such line)."""
+    return F.nullif(F.trim(F.regexp_extract(F.coalesce("page_text", F.lit("")), rf"(?imU)^\s*{pattern}\s*$", group)), F.lit(""))
+
+
+def _day(written: Column) -> Column:
+    """A date written as 30/04/2026 or 2026-04-30."""
+    return F.coalesce(F.try_to_date(written, "d/M/yyyy"), F.try_to_date(written, "yyyy-MM-dd"))
+
+
+_DAY = r"(\d{1,2}/\d{1,2}/\d{4}|\d{4}-\d{2}-\d{2})"
+_DISTRICT = r"(?iU)((?:quận|huyện|thị xã|district)\s+[^,;\n]+|q\.\s*[^,;\n]+)"
+_WARD = r"(?iU)((?:phường|xã|thị trấn|ward)\s+[^,;\n]+|p\.\s*[^,;\n]+)"
+
+
+def _named_part(address: Column, pattern: str) -> Column:
+    return F.nullif(F.trim(F.regexp_extract(F.coalesce(address, F.lit("")), pattern, 1)), F.lit(""))
+
+
+def _place(city: Column, address: Column) -> dict[str, Column]:
+    return {"city": text.normalize_city(city), "district": _named_part(address, _DISTRICT), "ward": _named_part(address, _WARD)}
+
+
+def field_groups(jp: Column) -> list[resolution.FieldGroup]:
+    """The ten field groups of silver with their sources in rank order:
+    JSON-LD block, then sections or labelled lines of the page, then top-level
+    fields. The labels looked for in page text are our own (O)."""
+    group = resolution.FieldGroup
+    base, address = jp["baseSalary"], jp["jobLocation"]["address"]
+    raw, benefits = parse_salary("salary_raw"), salary_in_text("benefits_raw")
+    in_text = ("salary_min", "salary_max", "currency")
+    stated, required = enums.experience_months("experience_raw"), enums.experience_in_text("requirements_raw")
+    months = ("experience_months_min", "experience_months_max")
+    locality = address["addressLocality"]
+    part = F.concat_ws(", ", address["streetAddress"], locality)
+    line = _page_line(r"(?:địa điểm làm việc|địa điểm|location)\s*:\s*([^\n]+)")
+    section_skills = F.split(F.regexp_replace(_section("Kỹ năng"), r"\s*[,;\n•]\s*", ","), ",")
+    words = F.split(F.regexp_replace(F.lower(F.coalesce("requirements_raw", F.lit(""))), r"(?U)[^\w+#.]+", " "), " ")
+    return [
+        group("company_name", {"value": "string"}, [
+            ("json_ld", {"value": jp["hiringOrganization"]["name"]}),
+            ("page_block", {"value": _page_line(r"((?:công ty|tập đoàn|ngân hàng)\s+(?:tnhh|cổ phần|cp|tmcp|mtv|hợp danh)\s[^\n]{2,120}?)")}),
+            ("page", {"value": F.col("company_name_raw")})]),
+        group("salary", {"salary_min": "double", "salary_max": "double", "currency": "string", "salary_period": "string"}, [
+            ("json_ld", {"salary_min": base["value"]["minValue"].try_cast("double"),
+                         "salary_max": base["value"]["maxValue"].try_cast("double"),
+                         "currency": F.upper(base["currency"]), "salary_period": F.lower(base["value"]["unitText"])}),
+            ("salary_text", {f: raw[f] for f in in_text}),
+            ("benefits_text", {f: benefits[f] for f in in_text})], telling=("salary_min", "salary_max")),
+        # The page's own type field isn't used for the employment type (bronze usage policy).
+        group("employment_type", {"value": "string"}, [
+            ("json_ld", {"value": jp["employmentType"]}), ("section", {"value": _section("Hình thức làm việc")}),
+            ("page_text", {"value": _page_line(r"(?:hình thức làm việc|employment type)\s*:\s*([^\n]+)")})]),
+        group("posting_date", {"posting_date": "date"}, [
+            ("json_ld", {"posting_date": F.try_to_date(jp["datePosted"])}),
+            ("page_text", {"posting_date": _day(_page_line(rf"(?:ngày đăng|đăng ngày|posted)(?: on)?\s*:?\s*{_DAY}"))})]),
+        group("valid_through", {"valid_through_ts": "timestamp"}, [
+            ("structured", {"valid_through_ts": F.try_to_timestamp(jp["validThrough"])}),
+            ("explicit_text", {"valid_through_ts": _day(F.regexp_extract(F.coalesce("deadline_raw", F.lit("")), _DAY, 1))}),
+            ("relative_text", {"valid_through_ts": enums.deadline(F.lit(None), F.col("deadline_raw"),
+                                                                  F.col("ingest_ts"))["valid_through_ts"]})]),
+        group("experience", dict.fromkeys(months, "int"), [
+            ("json_ld", {months[0]: jp["experienceRequirements"]["monthsOfExperience"].try_cast("int")}),
+            ("experience_text", {f: stated[f] for f in months}),
+            ("requirements_text", {f: required[f] for f in months})], telling=months[:1]),
+        group("location", dict.fromkeys(("city", "district", "ward", "postal_code"), "string"), [
+            ("json_ld", _place(address["addressRegion"], part) | {
+                "postal_code": address["postalCode"],
+                "ward": F.coalesce(_named_part(part, _WARD), F.when(_named_part(locality, _DISTRICT).isNull(), locality))}),
+            ("page_text", _place(line, line)), ("page", _place(F.col("location_raw"), F.col("location_raw")))],
+            telling=("city",)),
+        group("skills", {"skills": "array<string>"}, [
+            ("section", {"skills": text.filter_skills(section_skills)}),
+            ("page", {"skills": text.filter_skills("skills_raw")}),
+            ("requirements_text", {"skills": taxonomy.known_skills(F.array_distinct(words), "hard")})]),
+        group("level", {"value": "string"}, [
+            ("json_ld", {"value": jp["occupationalCategory"]}), ("section", {"value": _section("Cấp bậc")}),
+            ("page", {"value": F.col("level_raw")})]),
+        group("openings", {"openings": "int"}, [
+            ("json_ld", {"openings": F.regexp_extract(jp["totalJobOpenings"], r"\d+", 0).try_cast("int")}),
+            ("section", {"openings": F.regexp_extract(_section("Số lượng tuyển"), r"\d+", 0).try_cast("int")}),
+            ("page", {"openings": F.regexp_extract("quantity_raw", r"\d+", 0).try_cast("int")})]),
+    ]
+
+
+SILVER_ORDER = ("ingest_ts", "hash_content")
+
+
 def silver(b: DataFrame, as_of=None) -> DataFrame:
-    """Bronze -> silver, with the source-priority rules (N10) and the
-    normalizations N1–N21; then K5 versions and K6 latest rows."""
+    """Bronze -> silver: :func:`silver_fields`, then K5 versions and K6 latest
+    rows. Bronze is a written table, so the skew-safe day-bucketed prefix scan
+    costs one extra sort, not a recomputation."""
+    return keys.versioned(silver_fields(b, as_of), order=SILVER_ORDER, bucket=F.col("ingest_date"))
+
+
+def silver_fields(b: DataFrame, as_of=None) -> DataFrame:
+    """Bronze -> silver rows, with the source-priority rules (N10; the sources
+    that disagree are in ``conflicts``) and the normalizations N1–N21."""
     # A generator keeps the parsed block as one column: the JSON is read once a row.
     b = b.select("*", F.explode_outer(F.array(job_posting(
         F.coalesce(F.col("json_ld"), F.array().cast("array<string>"))))).alias("_jp"))
     jp = F.col("_jp")
-    sal_raw = parse_salary("salary_raw")
-    sal_ben = salary_in_text("benefits_raw")
-    company, company_src, company_conflict = first_present(("json_ld", jp["hiringOrganization"]["name"]),
-                                                           ("page", F.col("company_name_raw")))
-    def section(heading: str) -> Column:
-        return F.try_element_at(F.coalesce("sections_by_heading", F.create_map().cast("map<string,string>")), F.lit(heading))
-
-    # The page's own type field isn't used for the employment type (bronze usage policy).
-    emp_raw, emp_src, emp_conflict = first_present(("json_ld", jp["employmentType"]), ("section", section("Hình thức làm việc")))
-    level, level_src, level_conflict = first_present(("json_ld", jp["occupationalCategory"]), ("section", section("Cấp bậc")),
-                                                     ("page", F.col("level_raw")))
-    openings, openings_src, openings_conflict = first_present(
-        ("json_ld", jp["totalJobOpenings"]), ("section", F.regexp_extract(section("Số lượng tuyển"), r"\d+", 0)),
-        ("page", F.regexp_extract("quantity_raw", r"\d+", 0)))
-    exp_raw = enums.experience_months("experience_raw")
-    exp_req = enums.experience_in_text("requirements_raw")
-    months = F.coalesce(jp["experienceRequirements"]["monthsOfExperience"].try_cast("int"),
-                        exp_raw["experience_months_min"], exp_req["experience_months_min"])
-    exact = jp["experienceRequirements"]["monthsOfExperience"].try_cast("int")
-    months_max = F.when(exact.isNull(), F.when(exp_raw["experience_months_min"].isNotNull(), exp_raw["experience_months_max"])
-                        .otherwise(exp_req["experience_months_max"]))
-    city_struct = jp["jobLocation"]["address"]
-    city = F.coalesce(F.nullif(text.normalize_city(city_struct["addressRegion"]), F.lit("")),
-                      F.nullif(text.normalize_city("location_raw"), F.lit("")))
-    base = jp["baseSalary"]
-    s_min = F.coalesce(base["value"]["minValue"].try_cast("double"), sal_raw["salary_min"], sal_ben["salary_min"])
-    s_max = F.coalesce(base["value"]["maxValue"].try_cast("double"), sal_raw["salary_max"], sal_ben["salary_max"])
-    cur = F.coalesce(F.upper(base["currency"]), sal_raw["currency"])
-    dl = enums.deadline(jp["validThrough"], F.col("deadline_raw"), F.col("ingest_ts"))
-    skills = text.filter_skills("skills_raw")
+    b = resolution.resolve(b, field_groups(jp))
+    r = F.col("resolved")
+    section = _section
+    emp_raw, level = r["employment_type"]["value"], r["level"]["value"]
+    months = r["experience"]["experience_months_min"]
+    city = r["location"]["city"]
+    skills = r["skills"]["skills"]
+    skills = F.coalesce(skills, F.array().cast("array<string>"))
     all_text = F.concat_ws("\n", "description_raw", "requirements_raw", "benefits_raw")
     flags = {k: F.col("quality_issue_flags")[k] for k in
              ("has_json_ld", "has_page_text", "has_structured_salary", "has_valid_posting_date",
@@ -156,33 +235,36 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         "job_id", "source", "source_url", "normalized_source_url", "hash_content", "ingest_ts", "ingest_date", "event_ts",
         F.col("job_title_raw").alias("job_title_display"),
         text.clean_title("job_title_raw").alias("job_title"),
-        company.alias("company_name"), company_src.alias("company_name_source"),
-        company_conflict.alias("company_name_conflict"),
+        r["company_name"]["value"].alias("company_name"), r["company_name"]["source"].alias("company_name_source"),
+        resolution.has_conflict("company_name").alias("company_name_conflict"),
         F.col("company_name_raw").alias("company_name_display"),
         F.array_distinct(F.array_compact(F.array(F.trim("company_name_raw"),
                                                  F.trim(jp["hiringOrganization"]["name"])))).alias("company_aliases"),
-        s_min.alias("salary_min"), s_max.alias("salary_max"), cur.alias("currency"),
-        F.when(base["value"]["minValue"].try_cast("double").isNotNull(), F.lit("json_ld"))
-        .when(sal_raw["salary_min"].isNotNull(), F.lit("salary_text"))
-        .when(sal_ben["salary_min"].isNotNull(), F.lit("benefits_text")).alias("salary_source"),
-        salary_flags("salary_raw", base["value"]["unitText"]).alias("_sf"),
+        r["salary"]["salary_min"].alias("salary_min"), r["salary"]["salary_max"].alias("salary_max"),
+        F.coalesce(r["salary"]["currency"], F.lit("VND")).alias("currency"), r["salary"]["source"].alias("salary_source"),
+        resolution.has_conflict("salary").alias("salary_conflict"),
+        salary_flags("salary_raw", r["salary"]["salary_period"]).alias("_sf"),
         emp.alias("employment_type"), enums.employment_type_vi(emp).alias("employment_type_vi"),
-        emp_src.alias("employment_type_source"), emp_conflict.alias("employment_type_conflict"),
-        F.try_to_date(jp["datePosted"]).alias("posting_date"),
-        dl["valid_through_ts"].alias("valid_through_ts"), dl["valid_through_source"].alias("valid_through_source"),
+        r["employment_type"]["source"].alias("employment_type_source"),
+        resolution.has_conflict("employment_type").alias("employment_type_conflict"),
+        r["posting_date"]["posting_date"].alias("posting_date"), r["posting_date"]["source"].alias("posting_date_source"),
+        r["valid_through"]["valid_through_ts"].alias("valid_through_ts"),
+        r["valid_through"]["source"].alias("valid_through_source"),
         city.alias("city"), text.city_slug(city).alias("city_slug"),
-        F.lit(None).cast("string").alias("district"),
-        city_struct["addressLocality"].alias("ward"),
-        F.concat_ws(", ", city_struct["addressLocality"], city).alias("location_display"),
-        city_struct["postalCode"].alias("postal_code"),
-        F.coalesce(city_struct["addressCountry"], F.lit("VN")).alias("country_code"),
-        level.alias("level"), level_src.alias("level_source"), level_conflict.alias("level_conflict"),
+        r["location"]["district"].alias("district"), r["location"]["ward"].alias("ward"),
+        F.concat_ws(", ", r["location"]["ward"], r["location"]["district"], city).alias("location_display"),
+        r["location"]["postal_code"].alias("postal_code"), r["location"]["source"].alias("location_source"),
+        F.coalesce(jp["jobLocation"]["address"]["addressCountry"], F.lit("VN")).alias("country_code"),
+        level.alias("level"), r["level"]["source"].alias("level_source"),
+        resolution.has_conflict("level").alias("level_conflict"),
         enums.level_normalized(level).alias("level_normalized"),
-        months.alias("experience_months_min"), months_max.alias("experience_months_max"), F.col("experience_raw").alias("experience_text"),
+        months.alias("experience_months_min"),
+        r["experience"]["experience_months_max"].alias("experience_months_max"),
+        r["experience"]["source"].alias("experience_source"), F.col("experience_raw").alias("experience_text"),
         enums.experience_bucket(months).alias("experience_bucket"),
-        openings.try_cast("int").alias("openings"), openings_src.alias("openings_source"),
-        openings_conflict.alias("openings_conflict"),
-        skills.alias("skills"), taxonomy.known_skills(skills, "hard").alias("hard_skills"),
+        r["openings"]["openings"].alias("openings"), r["openings"]["source"].alias("openings_source"),
+        resolution.has_conflict("openings").alias("openings_conflict"),
+        skills.alias("skills"), r["skills"]["source"].alias("skills_source"), taxonomy.known_skills(skills, "hard").alias("hard_skills"),
         taxonomy.known_skills(skills, "soft").alias("soft_skills"),
         "skills_raw_count",
         F.get("categories_raw", 0).alias("category_level_1"),
@@ -201,20 +283,17 @@ def silver(b: DataFrame, as_of=None) -> DataFrame:
         text.clean_text("description_raw").alias("description_text"),
         text.clean_text("requirements_raw").alias("requirements_text"),
         text.clean_text("benefits_raw").alias("benefits_text"),
-        score.alias("data_quality_score"), F.filter(F.split(notes, ","), lambda x: x != "").alias("quality_notes"),
+        F.col("conflicts"), score.alias("data_quality_score"), F.filter(F.split(notes, ","), lambda x: x != "").alias("quality_notes"),
         all_text.alias("_all_text"),
     )
     as_of_col = F.lit(as_of).cast("timestamp") if as_of is not None else F.col("ingest_ts")
-    out = out.select(
+    return out.select(
         "*", F.col("_sf.is_negotiable").alias("salary_is_negotiable"), F.col("_sf.salary_display").alias("salary_display"),
         F.col("_sf.salary_period").alias("salary_period"),
         (F.size("benefits_tags") > 0).alias("has_benefits"),
         enums.posting_status(F.col("valid_through_ts"), F.col("ingest_ts")).alias("status"),
         keys.deletion_flag(F.col("valid_through_ts"), as_of_col).alias("is_deleted"),
     ).drop("_sf", "_all_text")
-    # bronze is a written table, so the skew-safe day-bucketed prefix scan
-    # costs one extra sort, not a recomputation
-    return keys.versioned(out, order=("ingest_ts", "hash_content"), bucket=F.col("ingest_date"))
 
 
 def silver_latest(silver_versions: DataFrame) -> DataFrame:
@@ -229,19 +308,25 @@ def write_layer(df: DataFrame, path: str, partition_by: list[str]) -> None:
         .partitionBy(*partition_by).parquet(path)
 
 
+def jobs_by_day(latest: DataFrame) -> DataFrame:
+    """SK8 (O): the postings of a day, for lookup by day."""
+    return latest.select("posting_date", "job_id", "job_title", "company_name", "city", "salary_min", "salary_max")
+
+
+def jobs_by_skill(latest: DataFrame) -> DataFrame:
+    """SK8 (O): the postings that ask for a skill, for lookup by skill."""
+    return latest.select(F.explode("skills").alias("skill"), "job_id", "posting_date", "city")
+
+
 def query_tables(silver_latest_df: DataFrame) -> dict[str, DataFrame]:
     """SK8 (O): lookup projections: by day, by skill, salary by skill-month
     (A8), company by month (A9)."""
     from hirelens.operators import gold
-    by_day = silver_latest_df.select("posting_date", "job_id", "job_title", "company_name", "city",
-                                     "salary_min", "salary_max")
-    by_skill = silver_latest_df.select(F.explode("skills").alias("skill"), "job_id", "posting_date", "city")
-    return {"jobs_by_day": by_day, "jobs_by_skill": by_skill,
+    return {"jobs_by_day": jobs_by_day(silver_latest_df), "jobs_by_skill": jobs_by_skill(silver_latest_df),
             "salary_by_skill_month": gold.salary_stats_by_skill_month(silver_latest_df),
             "company_by_month": gold.company_hiring_by_month(silver_latest_df)}
 
 
-
 def silver_coverage(silver_latest_df: DataFrame, by: str = "source") -> DataFrame:
     """A11 over silver: structured salary / company coverage, salary
     disclosed ratio, company conflict rate, location parse rate, skill parse

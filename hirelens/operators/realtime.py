@@ -103,27 +103,59 @@ def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int,
                     *keys, "job_count", "distinct_company_count", *[f"avg_{c}" for c in sums])
 
 
+def _chained_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int,
+                     sums: list[str], watermark: str) -> DataFrame:
+    """Streaming plan for append mode: three aggregates in one query. Rows are
+    first counted per slide-sized slice, key and company; only these counts
+    fan out to the windows that cover a slice (``window_time``), are added up
+    per company and then per key. Every state row is a few numbers, whatever
+    the number of companies of a window, and leaves when its window closes.
+    The result has closed windows only."""
+    names = [f"{p}_{c}" for c in sums for p in ("_s", "_n")]
+    first = [F.count("job_id").alias("_cnt")]
+    for c in sums:
+        first += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+    add = [F.sum(c).alias(c) for c in ("_cnt", *names)]
+    slices = df.withWatermark(ts, watermark) \
+        .groupBy(F.window(ts, f"{slide_min} minutes"), *keys, "company_name").agg(*first)
+    companies = slices.groupBy(F.window(F.window_time("window"), f"{window_min} minutes", f"{slide_min} minutes"),
+                               *keys, "company_name").agg(*add)
+    out = companies.groupBy("window", *keys).agg(*add, F.count("company_name").alias("distinct_company_count"))
+    return out.select(enums.time_bucket("window.start").alias("time_bucket"),
+                      F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
+                      *keys, F.col("_cnt").alias("job_count"), "distinct_company_count",
+                      *[money_mean(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias(f"avg_{c}") for c in sums])
+
+
+def _stream_plan(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int, sums: list[str],
+                 watermark: str, approx_distinct: bool, output_mode: str) -> DataFrame:
+    if output_mode == "append" and not approx_distinct:
+        return _chained_sliding(df, ts, keys, window_min, slide_min, sums, watermark)
+    return _streaming_sliding(df, ts, keys, window_min, slide_min, sums, watermark, approx_distinct)
+
+
 def job_counts_sliding(df: DataFrame, ts: str = "event_time", window_min: int = 10,
                        slide_min: int = 1, watermark: str = "10 minutes",
-                       approx_distinct: bool = False) -> DataFrame:
+                       approx_distinct: bool = False, output_mode: str = "update") -> DataFrame:
     """A3: jobs + distinct companies per (10-minute window sliding by 1
-    minute, city, employment type)."""
+    minute, city, employment type). On a stream, append mode uses the chained
+    plan (:func:`_chained_sliding`); update mode can't chain aggregates."""
     keys = ["city", "employment_type"]
     if df.isStreaming:
-        return _streaming_sliding(df, ts, keys, window_min, slide_min, [], watermark, approx_distinct)
+        return _stream_plan(df, ts, keys, window_min, slide_min, [], watermark, approx_distinct, output_mode)
     return _sliced(df, ts, keys, window_min, slide_min, [])
 
 
 def skill_counts_sliding(df: DataFrame, ts: str = "event_time", window_min: int = 10,
                          slide_min: int = 1, watermark: str = "10 minutes",
-                         approx_distinct: bool = False) -> DataFrame:
+                         approx_distinct: bool = False, output_mode: str = "update") -> DataFrame:
     """A4: per (window, skill, city): jobs, distinct companies, average
-    salaries. Skills exploded first, empty skills dropped."""
+    salaries. Skills exploded first, empty skills dropped. Plans as in A3."""
     ex = df.select("job_id", "company_name", "city", "salary_min", "salary_max", ts,
                    F.explode("skills").alias("skill")) \
         .filter(F.col("skill").isNotNull() & (F.col("skill") != ""))
     keys = ["skill", "city"]
     sums = ["salary_min", "salary_max"]
     if df.isStreaming:
-        return _streaming_sliding(ex, ts, keys, window_min, slide_min, sums, watermark, approx_distinct)
+        return _stream_plan(ex, ts, keys, window_min, slide_min, sums, watermark, approx_distinct, output_mode)
     return _sliced(ex, ts, keys, window_min, slide_min, sums)

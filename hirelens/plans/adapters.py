@@ -7,7 +7,7 @@ oracle. These are projections of the whole table (every row is kept).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.sources.tables import read_table
@@ -19,12 +19,14 @@ def _k(props="props"):
     return F.get_json_object(F.col(props), "$.k")
 
 
-def events_as_raw_messages(events: DataFrame) -> DataFrame:
+def events_as_raw_messages(events: DataFrame, job_id: Column | None = None, keep=()) -> DataFrame:
     """events -> queue messages whose value is a flat raw event (11 strings).
-    job_id = 'u<user>-k<k>' so the same posting repeats (dedup has work)."""
+    job_id = 'u<user>-k<k>' so the same posting repeats (dedup has work), if
+    no other is given. ``keep``: columns to carry along."""
     ts = F.date_format("ts", ISO_MICROS)
+    posting = F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-k"), _k())
     value = F.to_json(F.struct(
-        F.concat(F.lit("u"), F.col("user_id").cast("string"), F.lit("-k"), _k()).alias("job_id"),
+        (posting if job_id is None else job_id).alias("job_id"),
         F.lit("events").alias("source"),
         F.concat(F.lit("https://events.example.com/e/"), F.col("event_id").cast("string")).alias("source_url"),
         F.col("event_type").alias("title"),
@@ -35,7 +37,7 @@ def events_as_raw_messages(events: DataFrame) -> DataFrame:
         F.col("props").alias("description_text"),
         ts.alias("event_ts"), ts.alias("ingest_ts")))
     return events.select(
-        F.col("event_id").cast("string").cast("binary").alias("key"),
+        *keep, F.col("event_id").cast("string").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
         F.lit("raw_events").alias("topic"),
         F.lit(0).alias("partition"),

@@ -1,25 +1,28 @@
 """Batch medallion job (E4): raw envelopes -> raw -> bronze -> silver -> gold.
 
-Raw and bronze are append-only: a batch writes partitions of its own
-(``batch_id`` comes first), and running it again replaces just these. Silver
-and gold are brought up to date where the batch touches them: the versions of
-the batch's jobs are computed from their whole bronze history and merged into
-the silver partitions that held or will hold them; gold partitions that gained
-or lost a posting are rebuilt, and those left empty are removed. Each layer is
-written and read back, so a lost executor repeats one layer's tasks at most.
-The as-of time is a parameter; nothing reads the wall clock.
+Raw and bronze grow by partitions of their batch. Versions continue from a
+kept state row per job (last order, hash and version, and the partitions that
+hold the job), so a batch reads its own bronze rows only; a job with a row
+that comes before what is known is versioned again from its whole history.
+Silver partitions that gain, lose or unflag a row are written anew, and the
+gold and lookup partitions that depend on them rebuilt. All of a batch shows
+at once, by one commit (:class:`hirelens.sinks.commits.Lake`): a job that dies
+before has changed nothing, and its batch can be run again. The as-of time is
+a parameter; nothing reads the wall clock.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.functions import enums
-from hirelens.operators import gold, medallion
-from hirelens.sources.messages import read_layer
-from hirelens.streaming.runs import path_exists
+from hirelens.operators import gold, keys, medallion
+from hirelens.sinks.commits import Lake, partition_names
 
+# Gold and lookup tables: builder over the latest silver rows, partition key, order inside files for lookups.
 GOLD_TABLES = {
     "gold_job_facts_daily": (gold.job_facts_daily, "date_key"),
     "gold_skill_counts_daily": (gold.skill_counts_daily, "date_key"),
@@ -28,31 +31,37 @@ GOLD_TABLES = {
     "gold_skill_cooccurrence_weekly": (gold.skill_cooccurrence_weekly, "week_key"),
 }
 KEY_OF = {"date_key": enums.date_key, "month_key": enums.month_key, "week_key": enums.week_key}
+TABLES = ("raw", "bronze", "silver", "versions", *GOLD_TABLES)
 SILVER_PARTITIONS = ["posting_date", "city_slug"]
-_NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+BRONZE_PARTITIONS = ["batch_id", "source", "ingest_date"]
+
+
+def _key_of_part(part: str, key: str) -> str:
+    """The gold key of a silver partition's posting date."""
+    day = datetime.date.fromisoformat(part.split("/")[0].removeprefix("posting_date="))
+    year, week, _ = day.isocalendar()
+    return {"date_key": day.isoformat(), "month_key": f"{day:%Y-%m}", "week_key": f"{year}-W{week:02d}"}[key]
+
+
+def _part_of() -> Column:
+    city = F.when(F.coalesce("city_slug", F.lit("")) == "", "__HIVE_DEFAULT_PARTITION__").otherwise(F.col("city_slug"))
+    return F.concat(F.lit("posting_date="), F.col("posting_date").cast("string"), F.lit("/city_slug="), city)
 
 
-def _same(a: DataFrame, b: DataFrame, columns: list[str]) -> Column:
-    """Null-safe equality of columns that both sides have."""
-    cond = F.lit(True)
-    for c in columns:
-        cond = cond & a[c].eqNullSafe(b[c])
-    return cond
+def _silver_rows(bronze: DataFrame, as_of: str | None) -> DataFrame:
+    rows = medallion.silver_fields(medallion.bronze_dedup(bronze), as_of)
+    return rows.withColumn("posting_date", F.coalesce("posting_date", F.to_date("ingest_ts")))
 
 
-def replace_partitions(new: DataFrame, path: str, columns: list[str], touched: DataFrame) -> None:
-    """Make the ``touched`` partitions (rows of their key values) of the table
-    hold the rows of ``new``: those with rows are overwritten, the others
-    removed. ``new`` must not read from ``path``. The list of a batch's
-    partitions is collected; it doesn't grow with the postings in them."""
-    spark = new.sparkSession
-    # Rows of a partition meet in one task for writing; Spark splits what is too large for one.
-    medallion.write_layer(new.hint("rebalance", *columns), path, columns)
-    gone = touched.join(new.select(columns).distinct(), _same(touched, new, columns), "left_anti").collect()
-    for row in gone:
-        folder = "/".join(f"{c}={_NULL_PARTITION if row[c] is None else row[c]}" for c in columns)
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{folder}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def _known(rows: DataFrame) -> DataFrame:
+    """State of versioned silver rows: what continues their versions, the
+    hashes of the last day (a copy of one of them is no new row), the
+    partition of the last row and of all rows."""
+    order = F.struct(*medallion.SILVER_ORDER)
+    day = rows.groupBy("job_id", "ingest_date").agg(F.collect_set("hash_content").alias("day_hashes"))
+    day = day.groupBy("job_id").agg(F.max("ingest_date").alias("last_day"), F.max_by("day_hashes", "ingest_date").alias("day_hashes"))
+    parts = rows.groupBy("job_id").agg(F.max_by(_part_of(), order).alias("latest_part"), F.collect_set(_part_of()).alias("parts"))
+    return keys.version_state(rows, order=medallion.SILVER_ORDER).join(day, "job_id").join(parts, "job_id")
 
 
 def _staged(df: DataFrame, path: str) -> DataFrame:
@@ -60,41 +69,85 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _extended(known: DataFrame, rows: DataFrame, late: DataFrame) -> DataFrame:
+    """The state after ``rows``: of late jobs it is that of their rows, of
+    others the old one carried on."""
+    new = _known(rows)
+    old = known.join(late, "job_id", "left_anti").select(
+        "job_id", F.col("parts").alias("_parts"), F.col("last_day").alias("_day"), F.col("day_hashes").alias("_hashes"))
+    new = new.join(old, "job_id", "left").withColumns({
+        "parts": F.array_union("parts", F.coalesce("_parts", F.array().cast("array<string>"))),
+        "day_hashes": F.when(F.col("_day") == F.col("last_day"), F.array_union("day_hashes", "_hashes"))
+        .otherwise(F.col("day_hashes"))})
+    return known.join(new, "job_id", "left_anti").unionByName(new.select(known.columns))
+
+
+def _new_silver(lake: Lake, batch: DataFrame, replaced: DataFrame | None, as_of: str | None,
+                stage: str) -> tuple[DataFrame, set[str], DataFrame]:
+    """What a batch changes: the new rows of the silver partitions touched,
+    their names, and the new state. ``replaced``: jobs of an earlier run of
+    this batch, which are versioned again."""
+    day = F.col("ingest_date")
+    if "versions" not in lake.tables:
+        rows = keys.versioned(_silver_rows(batch, as_of), order=medallion.SILVER_ORDER, bucket=day)
+        rows = _staged(rows, f"{stage}/rows")
+        return rows, partition_names(rows, SILVER_PARTITIONS), _known(rows)
+    known = lake.read("versions")
+    if replaced is None:
+        # A copy of a row of the job's last day is a duplicate (K4), not a version.
+        seen = known.select("job_id", F.col("last_day").alias("ingest_date"), F.explode("day_hashes").alias("hash_content"))
+        batch = batch.join(seen, ["job_id", "ingest_date", "hash_content"], "left_anti")
+    rows, late = keys.continue_versions(_silver_rows(batch, as_of), known, order=medallion.SILVER_ORDER, bucket=day)
+    if replaced is not None:
+        late = late.union(replaced).distinct()
+    late = _staged(late, f"{stage}/late")
+    rows = _staged(rows.join(late, "job_id", "left_anti"), f"{stage}/rows")
+    if not late.isEmpty():
+        history = lake.read("bronze").join(late, "job_id", "left_semi").drop("batch_id")
+        again = keys.versioned(_silver_rows(history, as_of), order=medallion.SILVER_ORDER, bucket=day)
+        rows = _staged(rows.unionByName(again), f"{stage}/all_rows")
+    newer = rows.select("job_id").distinct()
+    left = known.join(late, "job_id", "left_semi").select(F.explode("parts").alias("p")).union(
+        known.join(late, "job_id", "left_anti").join(newer, "job_id", "left_semi").select("latest_part"))
+    touched = {r["p"] for r in left.distinct().collect()} | partition_names(rows, SILVER_PARTITIONS)
+    old = (lake.read("silver", touched).join(late, "job_id", "left_anti")
+           .join(newer.withColumn("_newer", F.lit(True)), "job_id", "left")
+           .withColumn("is_latest", F.col("is_latest") & F.col("_newer").isNull()))
+    return old.select(rows.columns).unionByName(rows), touched, _extended(known, rows, late)
+
+
 def run(spark: SparkSession, envelopes: DataFrame, out_root: str, as_of: str | None = None,
         batch_id: str = "0") -> dict[str, str]:
-    """Add one batch of parsed envelopes to the lake; returns the layer paths.
-    The same ``batch_id`` again replaces the batch."""
-    paths = {name: f"{out_root}/{name}" for name in ("raw", "bronze", "silver", *GOLD_TABLES)}
-    stage = f"{out_root}/_stage/{batch_id}"
-    medallion.write_layer(envelopes.withColumn("batch_id", F.lit(batch_id)), paths["raw"], ["batch_id"])
-    raw = read_layer(spark, paths["raw"], batch_id=batch_id).drop("batch_id")
-    medallion.write_layer(medallion.bronze(raw).withColumn("batch_id", F.lit(batch_id)), paths["bronze"],
-                          ["batch_id", "source", "ingest_date"])
-
-    bronze = spark.read.parquet(paths["bronze"]).withColumn("batch_id", F.col("batch_id").cast("string"))
-    jobs = bronze.where(F.col("batch_id") == batch_id).select("job_id").distinct()
-    history = medallion.bronze_dedup(bronze.join(jobs, "job_id", "left_semi").drop("batch_id"))
-    new = medallion.silver(history, as_of=as_of)
-    new = _staged(new.withColumn("posting_date", F.coalesce("posting_date", F.to_date("ingest_ts"))), f"{stage}/new")
-
-    touched, merged = new.select(SILVER_PARTITIONS), new
-    if path_exists(spark, paths["silver"]):
-        # the partitions' values come back from folder names: dates as dates, slugs as text
-        silver = spark.read.schema(new.schema).parquet(paths["silver"])
-        old = silver.join(jobs, "job_id", "left_semi")
-        touched = touched.union(old.select(SILVER_PARTITIONS))
-        touched = _staged(touched.distinct(), f"{stage}/touched")
-        others = silver.join(touched, _same(silver, touched, SILVER_PARTITIONS), "left_semi") \
-            .join(jobs, "job_id", "left_anti")
-        merged = _staged(others.unionByName(new), f"{stage}/merged")
-    else:
-        touched = _staged(touched.distinct(), f"{stage}/touched")
-    replace_partitions(merged, paths["silver"], SILVER_PARTITIONS, touched)
-
-    latest = medallion.silver_latest(spark.read.schema(new.schema).parquet(paths["silver"]))
+    """Add one batch of parsed envelopes to the lake, in one commit; returns
+    the tables' root folders (read them by :func:`table`). The same
+    ``batch_id`` again replaces the batch."""
+    lake = Lake(spark, out_root)
+    stage = f"{out_root}/_stage/{lake.version}"
+
+    def mine(name: str) -> set[str]:
+        return {p for p in lake.parts(name) if p.split("/")[0] == f"batch_id={batch_id}"}
+
+    replaced = None
+    if batch_id in lake.done:
+        replaced = _staged(lake.read("bronze", mine("bronze")).select("job_id").distinct(), f"{stage}/replaced")
+    lake.stage("raw", envelopes.withColumn("batch_id", F.lit(batch_id)), ["batch_id"], mine("raw"))
+    bronze = medallion.bronze(lake.read("raw", mine("raw")).drop("batch_id")).withColumn("batch_id", F.lit(batch_id))
+    lake.stage("bronze", bronze, BRONZE_PARTITIONS, mine("bronze"))
+    batch = lake.read("bronze", mine("bronze")).drop("batch_id")
+
+    merged, touched, state = _new_silver(lake, batch, replaced, as_of, stage)
+    state = _staged(state, f"{stage}/state")        # it reads the table that it replaces
+    lake.stage("silver", merged, SILVER_PARTITIONS, touched)
+    lake.stage("versions", state, [])
     for name, (build, key) in GOLD_TABLES.items():
-        keys = touched.select(KEY_OF[key]("posting_date").alias(key)).distinct()
-        days = latest.withColumn("_key", KEY_OF[key]("posting_date"))
-        days = days.join(keys, F.col("_key") == keys[key], "left_semi").drop("_key")
-        replace_partitions(_staged(build(days), f"{stage}/{name}"), paths[name], [key], keys)
-    return paths
+        wanted = {_key_of_part(p, key) for p in touched}
+        parts = {p for p in lake.parts("silver") if _key_of_part(p, key) in wanted}
+        lake.stage(name, build(medallion.silver_latest(lake.read("silver", parts))), [key],
+                   {f"{key}={value}" for value in wanted})
+    lake.commit(batch_id)
+    return {name: f"{out_root}/{name}" for name in TABLES}
+
+
+def table(spark: SparkSession, out_root: str, name: str) -> DataFrame:
+    """A table of the lake as of its last commit."""
+    return Lake(spark, out_root).read(name)

@@ -6,9 +6,7 @@ where SQL can express it, an oracle query for DuckDB with the same columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelens.functions import constants as K
@@ -17,18 +15,9 @@ from hirelens.functions import enums, html, salary, text, urls
 from hirelens.operators import gold, keys, messages, realtime, serving
 from hirelens.plans import adapters, jobs_view
 from hirelens.plans.jobs_view import with_j
+from hirelens.plans.registry import QUERIES, query
 from hirelens.sources.tables import read_table
 
-QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
-
-
-def query(name: str, sql: str | None):
-    def deco(fn):
-        QUERIES[name] = (fn, sql)
-        return fn
-    return deco
-
-
 def _sql_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
@@ -1115,3 +1104,8 @@ def q_k7(spark, sf_dir):
     d = _stream_a(spark, sf_dir, cols=["location_city"])
     return d.select("job_id", F.date_format("event_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_ts"),
                     "source_url", "location_city")
+
+
+from hirelens.plans import state_queries, stream_queries  # noqa: E402,F401  (they register their queries)
+
+__all__ = ["QUERIES"]

@@ -2,8 +2,9 @@
 per 10-minute window sliding by 1 minute -> keyed realtime tables.
 
 Two queries from one input, and one for the dead letters; the caller waits
-for any to stop (T9). The exact distinct company count is ``size(collect_set)`` in streams (distinct
-aggregates are rejected on streaming plans).
+for any to stop (T9). In update mode the exact distinct company count is
+``size(collect_set)`` (distinct aggregates are rejected on streaming plans);
+in append mode it is a count of companies from chained aggregates.
 """
 
 from __future__ import annotations
@@ -23,19 +24,21 @@ KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
 
 
 def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK,
-               approx_distinct: bool = False) -> dict[str, DataFrame]:
+               approx_distinct: bool = False, output_mode: str = "update") -> dict[str, DataFrame]:
     clean = messages.parse_clean(raw)
-    return {"realtime_job_counts_10m": realtime.job_counts_sliding(clean, watermark=watermark,
-                                                                    approx_distinct=approx_distinct),
-            "realtime_skill_counts": realtime.skill_counts_sliding(clean, watermark=watermark,
-                                                                    approx_distinct=approx_distinct)}
+    options = {"watermark": watermark, "approx_distinct": approx_distinct, "output_mode": output_mode}
+    return {"realtime_job_counts_10m": realtime.job_counts_sliding(clean, **options),
+            "realtime_skill_counts": realtime.skill_counts_sliding(clean, **options)}
 
 
 def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
           watermark: str = STREAM_C_WATERMARK, output_mode: str = "update",
-          approx_distinct: bool = False) -> list[StreamingQuery]:
-    """Update mode; each refresh is an upsert by the grouping key (the
-    current view keeps the last write per key, no duplicate documents).
+          approx_distinct: bool = False, fold_every: int | None = None) -> list[StreamingQuery]:
+    """Update mode: each refresh is an upsert by the grouping key (the current
+    view keeps the last write per key, no duplicate documents). Append mode:
+    every window is written once, when it closes, from chained aggregates
+    whose state is bounded (see :mod:`hirelens.operators.realtime`).
+    Every ``fold_every`` batches the deltas are folded (:func:`keyed.fold`).
     ``approx_distinct`` keeps a bounded sketch instead of the set of companies
     of each open window. ``checkpoint_root`` must outlive the driver."""
     run = run_id(raw.sparkSession, checkpoint_root)
@@ -45,11 +48,12 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
            .option("path", os.path.join(out_root, "dead_letter", f"run={run}"))
            .option("checkpointLocation", os.path.join(checkpoint_root, "dead_letter"))
            .queryName("realtime_dead_letter").trigger(**trigger).start()]
-    for name, agg in aggregates(raw, watermark, approx_distinct).items():
+    for name, agg in aggregates(raw, watermark, approx_distinct, output_mode).items():
         root = os.path.join(out_root, name)
 
-        def sink(batch: DataFrame, batch_id: int, _root=root):
+        def sink(batch: DataFrame, batch_id: int, _root=root, _key=KEYS[name]):
             keyed.write_delta(batch, _root, batch_id, run)
+            keyed.fold_at(batch.sparkSession, _root, _key, batch_id, fold_every)
 
         out.append(agg.writeStream.outputMode(output_mode).foreachBatch(sink)
                    .option("checkpointLocation", os.path.join(checkpoint_root, name))

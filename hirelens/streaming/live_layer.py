@@ -41,8 +41,12 @@ VIEW_FIELDS = {"job_counts_10m": ("location_city", "job_count"),
                "skill_counts_30m": ("skill", "skill_count")}
 
 
+VIEW_KEY = ["view", "window_start", "field"]
+
+
 def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | None = None,
-          watermark: str = STREAM_A_WATERMARK, output_mode: str = "update") -> list[StreamingQuery]:
+          watermark: str = STREAM_A_WATERMARK, output_mode: str = "update",
+          fold_every: int | None = None) -> list[StreamingQuery]:
     """Start the live layer as four queries:
 
     1. ``silver``: messages -> normalized, deduplicated events, appended to
@@ -52,6 +56,7 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
        rows under ``out_root/<view>/run=R/batch_id=N`` (idempotent on retry);
     3. ``dead_letter``: rows that don't parse, or lack a job id or a time.
 
+    Every ``fold_every`` batches a view's deltas are folded (:func:`keyed.fold`).
     ``checkpoint_root`` must be a folder that outlives the driver. Without
     the old one, a restart is a new run ``R`` beside the old outputs.
 
@@ -82,6 +87,7 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
 
         def sink(batch: DataFrame, batch_id: int, _view=view, _root=root, _f=field, _v=value):
             keyed.write_delta(keyed.speed_view_rows(batch, _view, _f, _v), _root, batch_id, run)
+            keyed.fold_at(batch.sparkSession, _root, VIEW_KEY, batch_id, fold_every)
 
         q = (agg.writeStream.outputMode(output_mode).foreachBatch(sink)
              .option("checkpointLocation", os.path.join(checkpoint_root, view))

@@ -12,6 +12,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+def fresh_name(name: str) -> str:
+    """``name`` and a suffix that no other folder has."""
+    return f"{name}-{uuid.uuid4().hex}"
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
