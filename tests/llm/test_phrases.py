@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -56,8 +57,10 @@ def test_failures_of_the_border_are_counted(spark, monkeypatch, sample):
     rows = [(rng.choice(["en", "de", None, "und"]), "".join(rng.choice(words) + rng.choice(" \t\n,. ") for _ in range(30)))
             for _ in range(150)]
     df = spark.createDataFrame(rows, "lang string, text string").repartition(5)
-    known, tables = phrases._closed(df.selectExpr("'x' AS lang", "cast(text AS binary) AS text"), phrases.Bitmap(), 6)
-    assert len(tables) >= 4                                   # from nothing: one pass a length
+    blocks, buckets = phrases._written_blocks(df.selectExpr("'x' AS lang", "cast(text AS binary) AS text"))
+    one, two = (phrases._closed(blocks, buckets, phrases.Bitmap(), 6, ahead) for ahead in (False, True))
+    assert len(one) == 4 and len(two) == 2                    # from nothing: a pass a length, or one that looks ahead
+    assert {r for t in one for r in pairs(t.select("key", "n"))} == {r for t in two for r in pairs(t.select("key", "n"))}
     assert pairs(phrases.collocations(df, least=6)) == sorted(plain(rows, 6), key=repr)
     assert pairs(phrases.collocations(df, least=6, top=3)) == sorted(plain(rows, 6, 3), key=repr)
 
@@ -79,6 +82,19 @@ def test_blocks_and_long_texts(spark, monkeypatch):
         assert pairs(phrases.collocations(df)) == want
 
 
+def test_packed_counts_come_back():
+    rng = np.random.default_rng(1)
+    for size, top in ((0, 10), (1, 10), (5000, 1 << 20), (5000, 1 << 48)):
+        key = np.unique(rng.integers(0, top, size, np.uint64)) + np.uint64(7)
+        n = rng.integers(1, 400, len(key))
+        again = phrases._unpack(*phrases._pack(key, n, 7), 7)
+        assert (again[0] == key).all() and (again[1] == n).all()
+    key = np.unique(rng.integers(0, 1 << 48, 999, np.uint64))
+    dealt = list(phrases._dealt(key, 7))
+    assert np.concatenate([key[at] for _, at in dealt]).tolist() == key.tolist()
+    assert all(phrases._edge(b, 7) <= k < phrases._edge(b + 1, 7) for b, at in dealt for k in key[at].tolist())
+
+
 def test_scores_past_64_bits(spark):
     big = 9_000_000_000_000
     score = F.expr(f"CAST({phrases.SCALE} AS DECIMAL(7,0)) * CAST(a AS DECIMAL(19,0)) "
