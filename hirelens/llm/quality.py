@@ -26,9 +26,6 @@ CLOSE = 1e-4            # a round that moves no estimate further ends it
 SHARE, GOOD, BAD = 0.8, 0.95, 0.4
 PSEUDO = 10.0           # votes that hold an estimate at its start
 _SPACES = " \t\n\x0b\x0c\r"
-_SYMBOLS = "#*$%&|<>"
-_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -36,63 +33,68 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def _without(text: Column, letters: str) -> Column:
-    return F.length(F.translate(text, letters, ""))
+def _left(text: Column, other: str) -> Column:
+    """The text without runs of ``other`` (a regular expression)."""
+    return F.regexp_replace(text, f"{other}+", "")
 
 
-def _repeated_words(words: Column, window: int) -> Column:
-    """Words inside windows (compared by 64-bit hashes) found twice or more.
+def _window_hashes(words: Column, window: int) -> Column:
+    """The 64-bit hash of every run of ``window`` words (a power of two):
+    those of one word, of two from one, of four from two and so on."""
+    def joined(hashes: Column, step: int) -> Column:
+        return _let(hashes, lambda h: F.transform(h, lambda x, i: F.xxhash64(x, F.get(h, i + step))))
 
-    Only a text with a repeated window is sorted: its windows by hash, where
-    equal neighbours give the repeated places, whose union is measured."""
-    def covered(hashes: Column) -> Column:
-        placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-        again = _let(placed, lambda p: F.filter(
-            p, lambda x, k: (F.get(p, k - 1)["h"] == x["h"]) | (F.get(p, k + 1)["h"] == x["h"])))
-        zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))
-        return F.aggregate(
-            F.sort_array(F.transform(again, lambda x: x["i"])), zero,
-            lambda acc, i: F.struct((acc["n"] + i + window - F.greatest(i, acc["reach"])).alias("n"),
-                                    (i + window).alias("reach")),
-            lambda acc: acc["n"])
+    found, step = F.transform(words, lambda w: F.xxhash64(w)), 1
+    while step < window:
+        found, step = joined(found, step), step * 2
+    return F.slice(found, 1, F.size(words) - (window - 1))
 
-    def hashes(w: Column) -> Column:
-        return F.transform(F.sequence(F.lit(1), F.size(w) - (window - 1)), lambda i: F.xxhash64(F.slice(w, i, window)))
 
-    def counted(w: Column) -> Column:
-        return _let(hashes(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), 0).otherwise(covered(h)))
+def _repeated_words(hashes: Column, window: int) -> Column:
+    """Words inside windows (compared by 64-bit hashes) found twice or more.
 
-    return _let(words, lambda w: F.when(F.size(w) < window, 0).otherwise(counted(w)))
+    Only a text with a repeated window is sorted: its windows by hash, where
+    equal neighbours give the repeated places, whose union is measured."""
+    placed = F.sort_array(F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+    again = _let(placed, lambda p: F.filter(
+        p, lambda x, k: (F.get(p, k - 1)["h"] == x["h"]) | (F.get(p, k + 1)["h"] == x["h"])))
+    zero = F.struct(F.lit(0).alias("n"), F.lit(0).alias("reach"))
+    covered = F.aggregate(
+        F.sort_array(F.transform(again, lambda x: x["i"])), zero,
+        lambda acc, i: F.struct((acc["n"] + i + window - F.greatest(i, acc["reach"])).alias("n"),
+                                (i + window).alias("reach")),
+        lambda acc: acc["n"])
+    return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(covered)
 
 
 def measures(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
     """``docs`` without its text, with a struct ``m`` of what rules look at:
     ``n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
     n_distinct, n_single, n_upper, n_letters, n_marks, n_cries, n_stops,
-    n_digits`` (longs). Words are
-    runs of anything but ASCII white space, lines are cut at newlines and
-    count if they hold a word. A null text has none of all this."""
+    n_digits`` (longs). Words are runs of anything but ASCII white space,
+    lines are cut at newlines and count if they hold a word; marks are ASCII
+    punctuation, upper and digits ASCII too, letters the rest of the words. A
+    null text has none of all this."""
+    # Steps that later ones use more than once stay columns of their own, so each is worked out once a row.
     found = docs.withColumn("_t", F.coalesce(F.col(text), F.lit("")))
-    found = found.withColumn("_w", F.filter(F.split("_t", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
-    t, w = F.col("_t"), F.col("_w")
-    n = F.length(t)
-    lines = F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(_SPACES)) != "")
-    lined = _let(lines, lambda x: F.struct(F.size(x).alias("n"), F.size(F.array_distinct(x)).alias("d")))
+    found = found.withColumns({
+        "_w": F.filter(F.split("_t", r"[\x20\x09-\x0D]+"), lambda w: w != ""),
+        "_lines": F.filter(F.split("_t", "\n"), lambda x: F.btrim(x, F.lit(_SPACES)) != ""),
+        "_marks": _left(F.col("_t"), r"[^!-/:-@\[-`{-~]"), "_caps": _left(F.col("_t"), "[^A-Z0-9]")})
+    w, marks, caps = F.col("_w"), F.col("_marks"), F.col("_caps")
+    found = found.withColumn("_h", F.when(F.size(w) >= window, _window_hashes(w, window)).otherwise(F.array().cast("array<bigint>")))
+    n_marks, n_upper = F.length(marks), F.length(_left(caps, "[0-9]"))
+    chars, n_digits = F.length(F.array_join(w, "")), F.length(caps) - n_upper
     values = {
-        "n_words": F.size(w), "word_chars": _without(t, _SPACES), "n_symbols": n - _without(t, _SYMBOLS),
-        "lines": lined, "n_repeat_words": _repeated_words(w, window), "n_distinct": F.size(F.array_distinct(w)),
-        "n_single": F.size(F.filter(w, lambda x: F.length(x) == 1)), "n_marks": n - _without(t, _MARKS),
-        "n_cries": n - _without(t, "!?"),
-        "n_upper": n - _without(t, _UPPER), "n_letters": n - _without(t, _UPPER + _UPPER.lower()),
-        "n_stops": n - _without(t, ".!?"), "n_digits": n - _without(t, "0123456789"),
+        "n_words": F.size(w), "word_chars": chars, "n_symbols": F.length(_left(marks, "[^#*$%&|<>]")),
+        "n_lines": F.size("_lines"), "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_repeat_words": _repeated_words(F.col("_h"), window), "n_distinct": F.size(F.array_distinct(w)),
+        "n_single": F.size(F.filter(w, lambda x: F.length(x) == 1)), "n_upper": n_upper,
+        "n_letters": chars - n_marks - n_digits, "n_marks": n_marks, "n_cries": F.length(_left(marks, "[^!?]")),
+        "n_stops": F.length(_left(marks, "[^.!?]")), "n_digits": n_digits,
     }
     kept = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    staged = found.select(*kept, F.struct(*[v.alias(k) for k, v in values.items()]).alias("_m"))
-    names = [k for k in values if k != "lines"]
-    m = F.struct(*[F.col(f"_m.{k}").cast("long").alias(k) for k in names],
-                 F.col("_m.lines.n").cast("long").alias("n_lines"),
-                 (F.col("_m.lines.n") - F.col("_m.lines.d")).cast("long").alias("n_dup_lines"))
-    return staged.withColumn("m", m).drop("_m")
+    return found.select(*kept, F.struct(*[v.cast("long").alias(k) for k, v in values.items()]).alias("m"))
 
 
 def _vote(bad: Column, good: Column) -> Column:

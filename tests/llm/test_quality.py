@@ -26,7 +26,7 @@ def plain_measures(text, window=quality.WINDOW):
     return {"n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": sum(c in "#*$%&|<>" for c in text),
             "n_lines": len(lines), "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered),
             "n_distinct": len(set(words)), "n_single": sum(len(w) == 1 for w in words),
-            "n_upper": len(re.findall("[A-Z]", text)), "n_letters": len(re.findall("[A-Za-z]", text)),
+            "n_upper": len(re.findall("[A-Z]", text)), "n_letters": len(re.findall(r"[^\x20\x09-\x0D!-/:-@\[-`{-~0-9]", text)),
             "n_marks": len(re.findall(r"[!-/:-@\[-`{-~]", text)), "n_cries": len(re.findall("[!?]", text)),
             "n_stops": len(re.findall("[.!?]", text)), "n_digits": len(re.findall("[0-9]", text))}
 
