@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelens.functions.constants import EMPLOYMENT_TYPES, LEVELS
+from hirelens.functions.text import let, nfc
 
 
 def _c(x) -> Column:
@@ -26,14 +27,17 @@ def employment_type(col) -> Column:
     """Structured value or Vietnamese label -> one of 6 codes (OTHER when
     unknown). 'Full-time', 'FULL_TIME', 'full time' and 'Toàn thời gian' all
     give FULL_TIME; of a JSON array, the first value counts."""
-    raw = F.coalesce(_c(col), F.lit(""))
-    raw = F.when(F.trim(raw).startswith("["), F.coalesce(F.get(F.from_json(raw, "array<string>"), 0), raw)).otherwise(raw)
-    code = F.regexp_replace(F.upper(F.trim(raw)), r"[^A-Z]+", "_")
-    by_code = _chain(code, [(c, c) for c, _ in EMPLOYMENT_TYPES]
-                     + [("FULLTIME", "FULL_TIME"), ("PARTTIME", "PART_TIME"),
-                        ("CONTRACT", "CONTRACTOR"), ("INTERNSHIP", "INTERN")])
-    by_label = _chain(F.lower(F.trim(raw)), [(lbl.lower(), c) for c, lbl in EMPLOYMENT_TYPES])
-    return F.coalesce(by_code, by_label, F.lit("OTHER"))
+    def coded(raw: Column) -> Column:
+        word = F.regexp_replace(F.upper(F.trim(raw)), r"[^A-Z]+", "_")
+        by_code = let(word, lambda code: _chain(code, [(c, c) for c, _ in EMPLOYMENT_TYPES]
+                                                + [("FULLTIME", "FULL_TIME"), ("PARTTIME", "PART_TIME"),
+                                                   ("CONTRACT", "CONTRACTOR"), ("INTERNSHIP", "INTERN")]))
+        by_label = let(F.lower(F.trim(raw)), lambda x: _chain(x, [(lbl.lower(), c) for c, lbl in EMPLOYMENT_TYPES]))
+        return F.coalesce(by_code, by_label, F.lit("OTHER"))
+
+    raw = nfc(F.coalesce(_c(col), F.lit("")))
+    return let(raw, lambda t: let(F.when(F.trim(t).startswith("["), F.coalesce(F.get(F.from_json(t, "array<string>"), 0), t))
+                                  .otherwise(t), coded))
 
 
 def employment_type_vi(code_col) -> Column:
@@ -43,7 +47,7 @@ def employment_type_vi(code_col) -> Column:
 
 def level_normalized(col) -> Column:
     """Level label -> code (NULL when not in the table)."""
-    return _chain(F.lower(F.trim(_c(col))), [(k.lower(), v) for k, v in LEVELS])
+    return let(F.lower(F.trim(nfc(col))), lambda x: _chain(x, [(k.lower(), v) for k, v in LEVELS]))
 
 
 def experience_months(col) -> Column:
@@ -51,19 +55,20 @@ def experience_months(col) -> Column:
     (12, 36), '6 tháng - 2 năm' -> (6, 24), '1.5 năm' -> (18, NULL); no
     requirement -> (0, NULL). A number has its own unit, else the other
     number's, else years."""
-    lt = F.lower(F.coalesce(_c(col), F.lit("")))
     amount = F.lit(r"(\d+(?:[.,]\d+)?)\s*(năm|tháng|year|month)?")
 
-    def part(i: int, k: int) -> Column:
-        return F.nullif(F.get(F.regexp_extract_all(lt, amount, i), k), F.lit(""))
+    def months(lt: Column, numbers: Column, units: Column) -> Column:
+        low, high = (F.replace(F.get(numbers, k), F.lit(","), F.lit(".")).try_cast("double") for k in (0, 1))
+        first, second = (F.when(F.get(units, k).isin("năm", "year"), 12.0).when(F.get(units, k) != "", 1.0) for k in (0, 1))
+        years = F.when(~lt.rlike("năm|year") & lt.rlike("tháng|month"), 1.0).otherwise(12.0)
+        none = lt.rlike("không yêu cầu|no experience|chưa có kinh nghiệm")
+        mn = F.when(none & low.isNull(), F.lit(0)).otherwise(F.round(low * F.coalesce(first, second, years)).cast("int"))
+        mx = F.round(high * F.coalesce(second, first, years)).cast("int")
+        return F.struct(mn.alias("experience_months_min"), mx.alias("experience_months_max"))
 
-    low, high = (F.replace(part(1, k), F.lit(","), F.lit(".")).try_cast("double") for k in (0, 1))
-    units = [F.when(u.isin("năm", "year"), F.lit(12.0)).when(u.isNotNull(), F.lit(1.0)) for u in (part(2, 0), part(2, 1))]
-    years = F.when(~lt.rlike("năm|year") & lt.rlike("tháng|month"), F.lit(1.0)).otherwise(F.lit(12.0))
-    none = lt.rlike("không yêu cầu|no experience|chưa có kinh nghiệm")
-    mn = F.when(none & low.isNull(), F.lit(0)).otherwise(F.round(low * F.coalesce(units[0], units[1], years)).cast("int"))
-    mx = F.round(high * F.coalesce(units[1], units[0], years)).cast("int")
-    return F.struct(mn.alias("experience_months_min"), mx.alias("experience_months_max"))
+    found = let(F.lower(nfc(F.coalesce(_c(col), F.lit("")))), lambda lt: F.struct(
+        lt.alias("lt"), F.regexp_extract_all(lt, amount, 1).alias("numbers"), F.regexp_extract_all(lt, amount, 2).alias("units")))
+    return let(found, lambda x: months(x["lt"], x["numbers"], x["units"]))
 
 
 _AMOUNT = r"(\d+(?:[.,]\d+)?)\s*(năm|tháng|years?|months?)?(?:\s*(?:-|–|đến|to)\s*(\d+(?:[.,]\d+)?)\s*(năm|tháng|years?|months?))?"
@@ -74,7 +79,10 @@ def experience_in_text(col) -> Column:
     of years or months in a phrase about experience ('kinh nghiệm từ 6 tháng
     đến 2 năm', '2-3 years of experience'). Each number has its own unit, or
     that of the range's end; ages, years of graduation and counts give NULLs."""
-    lt = F.lower(F.coalesce(_c(col), F.lit("")))
+    return let(F.lower(nfc(F.coalesce(_c(col), F.lit("")))), _experience_in)
+
+
+def _experience_in(lt: Column) -> Column:
     shapes = [r"(?:kinh nghiệm|experience)[^\d.;,\n]{0,30}" + _AMOUNT,
               _AMOUNT + r"\s*(?:of\s+)?(?:kinh nghiệm|experience)"]
     found = []

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hirelens.functions.text import let, nfc
+
 HARD_SKILLS = [
     "python", "java", "javascript", "typescript", "sql", "spark", "kafka", "hadoop", "airflow",
     "docker", "kubernetes", "aws", "azure", "gcp", "linux", "git", "react", "node.js", "golang",
@@ -73,8 +75,7 @@ EDUCATION_PATTERNS = [("high_school", "(trung học|thpt|high school)"), ("inter
 
 def education_min(text_col) -> Column:
     """The lowest degree that the text names (NULL: none)."""
-    t = _lower(text_col)
-    return F.coalesce(*[F.when(t.rlike(p), F.lit(code)) for code, p in EDUCATION_PATTERNS])
+    return let(_lower(text_col), lambda t: F.coalesce(*[F.when(t.rlike(p), F.lit(code)) for code, p in EDUCATION_PATTERNS]))
 
 
 def known_skills(skills: Column, kind: str) -> Column:
@@ -85,18 +86,20 @@ def known_skills(skills: Column, kind: str) -> Column:
 
 def benefit_tags(text_col) -> Column:
     """Benefit tags whose keywords occur in the (lower-cased) text."""
-    t = F.lower(F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit("")))
-    tags = []
-    for tag, words in BENEFIT_TAGS:
-        cond = F.lit(False)
-        for w in words:
-            cond = cond | t.contains(w)
-        tags.append(F.when(cond, F.lit(tag)))
-    return F.array_compact(F.array(*tags))
+    def tags(t: Column) -> Column:
+        found = []
+        for tag, words in BENEFIT_TAGS:
+            cond = F.lit(False)
+            for w in words:
+                cond = cond | t.contains(w)
+            found.append(F.when(cond, F.lit(tag)))
+        return F.array_compact(F.array(*found))
+
+    return let(_lower(text_col), tags)
 
 
 def _lower(text_col) -> Column:
-    return F.lower(F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit("")))
+    return F.lower(nfc(F.coalesce(F.col(text_col) if isinstance(text_col, str) else text_col, F.lit(""))))
 
 
 def english_required(text_col) -> Column:
@@ -111,5 +114,4 @@ def weekend_rotation(text_col) -> Column:
 
 def language_requirements(text_col) -> Column:
     """Languages mentioned in the requirements text."""
-    t = _lower(text_col)
-    return F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in LANGUAGE_PATTERNS]))
+    return let(_lower(text_col), lambda t: F.array_compact(F.array(*[F.when(t.rlike(p), F.lit(n)) for n, p in LANGUAGE_PATTERNS])))

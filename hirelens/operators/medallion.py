@@ -16,7 +16,7 @@ from hirelens import schemas
 from hirelens.functions import enums, taxonomy, text, urls
 from hirelens.functions.constants import SKILL_NOISE
 from hirelens.functions.salary import parse_salary, salary_flags, salary_in_text
-from hirelens.operators import keys, resolution
+from hirelens.operators import dictionary, keys, resolution
 from hirelens.operators.quality import quality_score, raw_quality_flags
 
 
@@ -152,7 +152,7 @@ def field_groups(jp: Column) -> list[resolution.FieldGroup]:
     part = F.concat_ws(", ", address["streetAddress"], locality)
     line = _page_line(r"(?:địa điểm làm việc|địa điểm|location)\s*:\s*([^\n]+)")
     section_skills = F.split(F.regexp_replace(_section("Kỹ năng"), r"\s*[,;\n•]\s*", ","), ",")
-    words = F.split(F.regexp_replace(F.lower(F.coalesce("requirements_raw", F.lit(""))), r"(?U)[^\w+#.]+", " "), " ")
+    words = dictionary.words(F.col("requirements_raw"))
     return [
         group("company_name", {"value": "string"}, [
             ("json_ld", {"value": jp["hiringOrganization"]["name"]}),
@@ -329,16 +329,20 @@ def query_tables(silver_latest_df: DataFrame) -> dict[str, DataFrame]:
 
 def silver_coverage(silver_latest_df: DataFrame, by: str = "source") -> DataFrame:
     """A11 over silver: structured salary / company coverage, salary
-    disclosed ratio, company conflict rate, location parse rate, skill parse
-    confidence (O: kept skills / raw skill chips) and mean quality score."""
+    disclosed ratio, conflict rate (of the company, and of any field group),
+    location parse rate, skill parse confidence (O: kept skills / raw skill
+    chips; NULL without chips) and mean quality score."""
     from hirelens.functions.agg import ratio
     s = silver_latest_df
+    chips = F.sum("skills_raw_count")
     return s.groupBy(by).agg(
         F.count(F.lit(1)).alias("job_count"),
         ratio(F.col("salary_source") == "json_ld").alias("structured_salary_coverage"),
         ratio(F.col("company_name_source") == "json_ld").alias("structured_company_coverage"),
         ratio(F.col("salary_min").isNotNull()).alias("salary_disclosed_ratio"),
         ratio(F.col("company_name_conflict")).alias("company_conflict_rate"),
+        ratio(F.size("conflicts") > 0).alias("conflict_rate"),
         ratio(F.col("city").isNotNull()).alias("location_parse_rate"),
-        (F.sum(F.size("skills")) / F.sum("skills_raw_count")).alias("skill_parse_confidence"),
+        F.when(chips > 0, F.sum(F.when(F.col("skills_source") == "page", F.size("skills")).otherwise(0)) / chips)
+        .alias("skill_parse_confidence"),
         F.avg("data_quality_score").alias("data_quality_coverage"))

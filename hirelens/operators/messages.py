@@ -125,6 +125,23 @@ def parse_clean(df: DataFrame, value_col: str = "value") -> DataFrame:
         .filter(F.col("job_id").isNotNull() & F.col(CORRUPT).isNull()).drop("kafka_ts", CORRUPT)
 
 
+def parse_clean_all(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """V3 without dropping rows: the columns of :func:`parse_clean`, and
+    ``raw_json``, ``topic``, ``errors`` (empty for good rows) and ``ok``."""
+    p = df.select(F.col(value_col).cast("string").alias("raw_json"), F.col("topic").cast("string").alias("topic"),
+                  F.col("timestamp").alias("kafka_ts"))
+    p = p.select("raw_json", "topic", "kafka_ts", parsed_columns(parse_json(F.col("raw_json"), schemas.CLEAN_EVENT)))
+    bad = F.col("raw_json").isNull() | F.col(CORRUPT).isNotNull()
+    errors = error_array((bad, "PARSE_ERROR"), (~bad & F.col("job_id").isNull(), "job_id missing"))
+    return p.withColumns({"event_time": F.coalesce(F.try_to_timestamp("event_ts"), F.col("kafka_ts")), "errors": errors}) \
+        .withColumn("ok", F.size("errors") == 0).drop("kafka_ts", CORRUPT)
+
+
+def clean_failures(parsed: DataFrame, failed_at: Column | None = None) -> DataFrame:
+    """SK4 rows of :func:`parse_clean_all`."""
+    return _failed(parsed, F.col("topic"), F.col("raw_json"), F.col("errors"), failed_at)
+
+
 def _failed(df: DataFrame, topic: Column, raw: Column, errors: Column, failed_at: Column | None) -> DataFrame:
     """SK4 rows of those with an error."""
     fa = failed_at if failed_at is not None else F.current_timestamp()

@@ -20,18 +20,36 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import enums
 from hirelens.operators import gold, keys, medallion
+from hirelens.sinks import documents
 from hirelens.sinks.commits import Lake, partition_names
 
-# Gold and lookup tables: builder over the latest silver rows, partition key, order inside files for lookups.
+def _jobs_by_day(latest: DataFrame) -> DataFrame:
+    return medallion.jobs_by_day(latest).withColumn("date_key", enums.date_key("posting_date"))
+
+
+def _jobs_by_skill(latest: DataFrame) -> DataFrame:
+    return medallion.jobs_by_skill(latest).withColumn("month_key", enums.month_key("posting_date"))
+
+
+def _jobs_silver(latest: DataFrame) -> DataFrame:
+    return documents.search_projection(latest, "jobs_silver_v1").withColumn("date_key", enums.date_key("posting_date"))
+
+
+# Tables built from the latest silver rows: builder, partition key, columns that readers look up (SK8).
 GOLD_TABLES = {
-    "gold_job_facts_daily": (gold.job_facts_daily, "date_key"),
-    "gold_skill_counts_daily": (gold.skill_counts_daily, "date_key"),
-    "gold_salary_stats_by_skill_month": (gold.salary_stats_by_skill_month, "month_key"),
-    "gold_company_hiring_by_month": (gold.company_hiring_by_month, "month_key"),
-    "gold_skill_cooccurrence_weekly": (gold.skill_cooccurrence_weekly, "week_key"),
+    "gold_job_facts_daily": (gold.job_facts_daily, "date_key", ["city"]),
+    "gold_skill_counts_daily": (gold.skill_counts_daily, "date_key", ["skill"]),
+    "gold_salary_stats_by_skill_month": (gold.salary_stats_by_skill_month, "month_key", ["skill"]),
+    "gold_company_hiring_by_month": (gold.company_hiring_by_month, "month_key", ["company_name"]),
+    "gold_skill_cooccurrence_weekly": (gold.skill_cooccurrence_weekly, "week_key", None),
+    "jobs_by_day": (_jobs_by_day, "date_key", ["job_id"]),
+    "jobs_by_skill": (_jobs_by_skill, "month_key", ["skill", "job_id"]),
+    "jobs_silver_v1": (_jobs_silver, "date_key", ["job_id"]),
 }
+# Search lists (SK9) of gold tables; that of silver is above, that of the stream is the consumer's.
+SEARCH_TABLES = {f"{t}_v1": t for t in ("gold_job_facts_daily", "gold_skill_counts_daily", "gold_company_hiring_by_month")}
 KEY_OF = {"date_key": enums.date_key, "month_key": enums.month_key, "week_key": enums.week_key}
-TABLES = ("raw", "bronze", "silver", "versions", *GOLD_TABLES)
+TABLES = ("raw", "bronze", "silver", "versions", *GOLD_TABLES, *SEARCH_TABLES)
 SILVER_PARTITIONS = ["posting_date", "city_slug"]
 BRONZE_PARTITIONS = ["batch_id", "source", "ingest_date"]
 
@@ -139,11 +157,15 @@ def run(spark: SparkSession, envelopes: DataFrame, out_root: str, as_of: str | N
     state = _staged(state, f"{stage}/state")        # it reads the table that it replaces
     lake.stage("silver", merged, SILVER_PARTITIONS, touched)
     lake.stage("versions", state, [])
-    for name, (build, key) in GOLD_TABLES.items():
+    for name, (build, key, lookup) in GOLD_TABLES.items():
         wanted = {_key_of_part(p, key) for p in touched}
         parts = {p for p in lake.parts("silver") if _key_of_part(p, key) in wanted}
         lake.stage(name, build(medallion.silver_latest(lake.read("silver", parts))), [key],
-                   {f"{key}={value}" for value in wanted})
+                   {f"{key}={value}" for value in wanted}, lookup)
+    for name, source in SEARCH_TABLES.items():
+        key = GOLD_TABLES[source][1]
+        parts = {f"{key}={_key_of_part(p, key)}" for p in touched}
+        lake.stage(name, documents.search_projection(lake.read(source, parts), name), [key], parts)
     lake.commit(batch_id)
     return {name: f"{out_root}/{name}" for name in TABLES}
 

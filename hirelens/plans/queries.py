@@ -681,16 +681,22 @@ def q_k1(spark, sf_dir):
 
 
 def _unescape_sql(t: str) -> str:
-    """SQL twin of :func:`hirelens.functions.html.unescape_entities`."""
-    for a, b in html.ENTITIES + [("&amp;", "&")]:
+    """The character references that the pages table has (an ampersand's with
+    or without its semicolon); the operator decodes all that there are."""
+    for a, b in (("&copy;", "\u00a9"), ("&middot;", "\u00b7"), ("&quot;", '"')):
         t = f"replace({t}, '{a}', chr({ord(b)}))"
-    return t
+    return f"regexp_replace({t}, '&amp;?', '&', 'g')"
+
+
+def _visible_sql(html_col: str) -> str:
+    """A page without comments, scripts, styles and its declaration."""
+    t = f"regexp_replace(coalesce({html_col}, ''), '(?s)<!--.*?-->', ' ', 'g')"
+    t = f"regexp_replace({t}, '(?is)<(script|style|template)\\b.*?</(script|style|template)\\s*>', ' ', 'g')"
+    return f"regexp_replace({t}, '(?is)<!doctype[^>]*>', ' ', 'g')"
 
 
 PAGE_TEXT_SQL = """
-ph AS (SELECT page_id, html,
-         regexp_replace(regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<(script|style|template)\\b.*?</(script|style|template)\\s*>', ' ', 'g'),
-           '(?s)<!--.*?-->', ' ', 'g'), '(?is)<!doctype[^>]*>', ' ', 'g') AS body FROM pages),
+ph AS (SELECT page_id, html, """ + _visible_sql("html") + """ AS body FROM pages),
 pt AS (SELECT page_id, html,
          array_to_string(list_filter(list_transform(string_split_regex(body, '<[^>]*>'),
            lambda x: """ + _strip(_unescape_sql("x")) + """),
@@ -700,7 +706,7 @@ pt AS (SELECT page_id, html,
 
 
 @query("x9_x10_page_text_and_blocked", "WITH " + PAGE_TEXT_SQL + """,
-ti AS (SELECT page_id, """ + _strip("regexp_replace(regexp_replace(coalesce(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')") + """ AS title_text FROM pages)
+ti AS (SELECT page_id, """ + _strip("regexp_replace(regexp_replace(coalesce(regexp_extract(body, '(?is)<title[^>]*>(.*?)</title>', 1), ''), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')") + """ AS title_text FROM ph)
 SELECT pt.page_id, length(pt.html) AS html_chars, length(pt.page_text) AS page_text_chars,
        (""" + " OR ".join(f"contains(lower(pt.html), '{s}')" for s in K.BLOCKED_HTML_SIGNALS) + """) AS has_block_signal,
        (""" + " OR ".join(f"contains(lower(ti.title_text), '{s}')" for s in K.BLOCKED_TITLE_SIGNALS) + """) AS has_title_signal,
@@ -716,7 +722,7 @@ def q_x10(spark, sf_dir):
 
 def _elem_text_sql(tag: str, html_col: str = "html") -> str:
     """SQL twin of :func:`hirelens.functions.html.element_text`."""
-    t = f"regexp_replace(coalesce(regexp_extract({html_col}, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), ''), " \
+    t = f"regexp_replace(coalesce(regexp_extract({_visible_sql(html_col)}, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), ''), " \
         "'<[^>]*>', ' ', 'g')"
     return _strip(f"regexp_replace({_unescape_sql(t)}, '\\s+', ' ', 'g')")
 
@@ -1106,6 +1112,6 @@ def q_k7(spark, sf_dir):
                     "source_url", "location_city")
 
 
-from hirelens.plans import state_queries, stream_queries  # noqa: E402,F401  (they register their queries)
+from hirelens.plans import silver_queries, state_queries, stream_queries  # noqa: E402,F401  (they register their queries)
 
 __all__ = ["QUERIES"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _DIGITS = 12
+LOOKUP_BLOCK = 4 << 20     # bytes of a row group of a lookup table
 
 
 def _path(spark: SparkSession, path: str):
@@ -99,13 +100,23 @@ class Lake:
         rows = self.spark.read.schema(T.StructType([*schema.fields, T.StructField("v", T.StringType())]))
         return rows.option("basePath", f"{self.root}/{table}").parquet(*paths).select(*schema.names)
 
-    def stage(self, table: str, df: DataFrame, by: list[str], replaces: set[str] | None = None) -> None:
+    def stage(self, table: str, df: DataFrame, by: list[str], replaces: set[str] | None = None,
+              lookup: list[str] | None = None) -> None:
         """Write ``df`` as the new content of its partitions, and of those that
         it ``replaces`` (without rows there, they go). No other reader sees it
-        before :meth:`commit`. ``replaces=None``: ``df`` is the whole table."""
+        before :meth:`commit`. ``replaces=None``: ``df`` is the whole table.
+
+        ``lookup``: columns that readers look rows up by. Files and their small
+        row groups are then in this order, so the bounds of a row group tell
+        whether it can hold a key; the first column has a Bloom filter too."""
         path = f"{self.root}/{table}/{self.version}"
-        # Rows of a partition meet in one task for writing; Spark splits what is too large for one.
-        writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
+        if lookup:
+            order = [*by, *lookup]
+            writer = df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite") \
+                .option(f"parquet.bloom.filter.enabled#{lookup[0]}", "true").option("parquet.block.size", LOOKUP_BLOCK)
+        else:
+            # Rows of a partition meet in one task for writing; Spark splits what is too large for one.
+            writer = (df.hint("rebalance", *by) if by else df).write.mode("overwrite")
         (writer.partitionBy(*by) if by else writer).parquet(path)
         kept = {} if replaces is None else {p: f for p, f in self.parts(table).items() if p not in replaces}
         new = dict.fromkeys(_partitions(self.spark, path, len(by)), self.version)

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hirelens import schemas
+
 
 def bulk_lines(df: DataFrame, id_col: str, index: str, fields: list[str], keep=()) -> DataFrame:
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"),
@@ -28,11 +30,15 @@ def write_bulk(df: DataFrame, path: str, id_col: str, index: str, fields: list[s
 
 # Stable field lists of the search projections.
 SEARCH_FIELDS = {
-    "jobs_silver_v1": ["job_id", "job_title", "company_name", "city", "employment_type", "level_normalized",
-                       "salary_min", "salary_max", "skills", "posting_date"],
+    "jobs_silver_v1": ["job_id", "job_title", "job_title_display", "company_name", "city", "location_display",
+                       "employment_type", "level_normalized", "salary_min", "salary_max", "skills", "category_level_1",
+                       "category_level_2", "category_level_3", "benefits_tags", "status", "posting_date"],
+    "jobs_realtime_v1": schemas.JOB_DOCUMENT_FIELDS,
     "gold_job_facts_daily_v1": ["date_key", "city", "employment_type", "job_count", "avg_salary_min",
                                 "avg_salary_max"],
     "gold_skill_counts_daily_v1": ["date_key", "skill", "city", "job_count", "skill_rank_in_day"],
+    "gold_company_hiring_by_month_v1": ["month_key", "company_name", "city", "job_count", "distinct_job_title_count",
+                                        "avg_salary_min", "avg_salary_max", "hiring_rank_in_city"],
 }
 
 

@@ -1,8 +1,9 @@
 """Stream C (realtime aggregator): clean events -> job counts and skill counts
 per 10-minute window sliding by 1 minute -> keyed realtime tables.
 
-Two queries from one input, and one for the dead letters; the caller waits
-for any to stop (T9). In update mode the exact distinct company count is
+One query reads and parses the source and appends all rows, good and bad, to a
+folder; two aggregate queries and the dead letters stream from there. The
+caller waits for any to stop (T9). In update mode the exact distinct company count is
 ``size(collect_set)`` (distinct aggregates are rejected on streaming plans);
 in append mode it is a count of companies from chained aggregates.
 """
@@ -12,12 +13,13 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from hirelens.functions.constants import STREAM_C_WATERMARK
 from hirelens.operators import messages, realtime
 from hirelens.sinks import keyed
-from hirelens.streaming.runs import run_id
+from hirelens.streaming.runs import make_dirs, run_id
 
 KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
         "realtime_skill_counts": ["time_bucket", "city", "skill"]}
@@ -25,7 +27,12 @@ KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
 
 def aggregates(raw: DataFrame, watermark: str = STREAM_C_WATERMARK,
                approx_distinct: bool = False, output_mode: str = "update") -> dict[str, DataFrame]:
-    clean = messages.parse_clean(raw)
+    """A3 and A4 over clean-event messages."""
+    return clean_aggregates(messages.parse_clean(raw), watermark, approx_distinct, output_mode)
+
+
+def clean_aggregates(clean: DataFrame, watermark: str = STREAM_C_WATERMARK, approx_distinct: bool = False,
+                     output_mode: str = "update") -> dict[str, DataFrame]:
     options = {"watermark": watermark, "approx_distinct": approx_distinct, "output_mode": output_mode}
     return {"realtime_job_counts_10m": realtime.job_counts_sliding(clean, **options),
             "realtime_skill_counts": realtime.skill_counts_sliding(clean, **options)}
@@ -41,14 +48,26 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
     Every ``fold_every`` batches the deltas are folded (:func:`keyed.fold`).
     ``approx_distinct`` keeps a bounded sketch instead of the set of companies
     of each open window. ``checkpoint_root`` must outlive the driver."""
-    run = run_id(raw.sparkSession, checkpoint_root)
+    spark = raw.sparkSession
+    run = run_id(spark, checkpoint_root)
     trigger = trigger or {"processingTime": "30 seconds"}
-    dead = messages.clean_dead_letters(raw)
-    out = [dead.writeStream.outputMode("append").format("parquet")
-           .option("path", os.path.join(out_root, "dead_letter", f"run={run}"))
-           .option("checkpointLocation", os.path.join(checkpoint_root, "dead_letter"))
-           .queryName("realtime_dead_letter").trigger(**trigger).start()]
-    for name, agg in aggregates(raw, watermark, approx_distinct, output_mode).items():
+    path = os.path.join(out_root, "parsed", f"run={run}")
+    parsed = messages.parse_clean_all(raw)
+
+    def appended(df: DataFrame, to: str, name: str, *by: str) -> StreamingQuery:
+        return (df.writeStream.outputMode("append").format("parquet").partitionBy(*by).option("path", to)
+                .option("checkpointLocation", os.path.join(checkpoint_root, name))
+                .queryName(f"realtime_{name}").trigger(**trigger).start())
+
+    out = [appended(parsed, path, "parsed", "ok")]
+    if trigger.get("availableNow") or trigger.get("once"):
+        out[0].awaitTermination()
+    make_dirs(spark, path)  # must exist before a stream reads it
+    rows = spark.readStream.schema(parsed.schema).parquet(path)
+    out.append(appended(messages.clean_failures(rows.where(~F.col("ok"))),
+                        os.path.join(out_root, "dead_letter", f"run={run}"), "dead_letter"))
+    clean = rows.where("ok").drop("raw_json", "topic", "errors", "ok")
+    for name, agg in clean_aggregates(clean, watermark, approx_distinct, output_mode).items():
         root = os.path.join(out_root, name)
 
         def sink(batch: DataFrame, batch_id: int, _root=root, _key=KEYS[name]):

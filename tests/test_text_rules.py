@@ -9,6 +9,7 @@ def one(spark, col, value, dtype="string"):
     return spark.createDataFrame([(value,)], f"v {dtype}").select(col(F.col("v")).alias("o")).first()["o"]
 
 
+# The given URL cases and what they become.
 URL_CASES = [
     ("https://www.topcv.vn/job/123.html?ta_source=x&u_sr_id=y&utm_source=google", "https://www.topcv.vn/job/123.html"),
     ("https://www.topcv.vn/job/123.html#details", "https://www.topcv.vn/job/123.html"),
