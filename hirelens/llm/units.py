@@ -18,12 +18,16 @@ from collections.abc import Callable
 import numpy as np
 
 CACHED = 600_000        # distinct units kept by a worker process
+MARKED = 1_000_000      # of these, small ones (see marked_split)
 CACHED_CHARS = 64       # longer units aren't kept
 _ODD = re.compile(r"[^\S \n]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 # The byte-level pre-tokenizer's public pattern, written for texts whose
 # characters lie below U+0250 and whose white space is spaces and newlines:
 # there, the numbers are the decimal digits and these six signs.
+BARE = "\x02"
+_CUT_BEFORE = ".,;:!?"
+_SIGNS_IN_A_ROW = re.compile(rf"(?:[^\w\s]|_)[{_CUT_BEFORE}]|{BARE}")
 _SIGNS = "\u00b2\u00b3\u00b9\u00bc-\u00be"
 _PRE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d"
                   rf"| ?[^\W\d_{_SIGNS}]+| ?[\d{_SIGNS}]+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
@@ -40,10 +44,12 @@ class Cache(dict):
         self.make, self.half, self.old = make, limit // 2, {}
 
     def __missing__(self, unit: str):
-        value = self.old.get(unit)
-        if value is None:
-            value = self.make(unit)
-        self.keep(unit, value)
+        value = self.old.get(unit) or self.make(unit)
+        if len(unit) <= CACHED_CHARS:
+            if len(self) >= self.half:
+                self.old = dict(self)
+                self.clear()
+            self[unit] = value
         return value
 
     def keep(self, unit: str, value: object) -> None:
@@ -62,6 +68,19 @@ def split(text: str) -> list[str]:
     return units
 
 
+def marked_split(text: str) -> list[str] | None:
+    """Smaller units: cut before a full stop, comma and the like too, and
+    around a newline; units that had no space before them begin with ``BARE``.
+    So a word is one unit, whatever follows it. None where such a cut could
+    part a pre-token: a mark after another sign, or white space in a row."""
+    if _SIGNS_IN_A_ROW.search(text) or "\n\n" in text or "\n " in text or " \n" in text or _ODD.search(text):
+        return None
+    for mark in _CUT_BEFORE:
+        text = text.replace(mark, f" {BARE}{mark}")
+    units = text.replace("\n", f" {BARE}\n {BARE}").split(" ")
+    return None if "" in units[1:] else units
+
+
 def _byte_letters() -> dict[int, int]:
     """The letters that stand for bytes in a byte-level vocabulary: visible
     Latin-1 characters for themselves, the others from code point 256 on."""
@@ -92,14 +111,26 @@ class Encoder:
         self.code = "H" if self.kind.itemsize == 2 else "I"
         self.pre = Cache(self._model_ids)
         self.first, self.rest = Cache(self.unit_ids), Cache(lambda u: self.unit_ids(" " + u))
+        self.marked, self.space = Cache(self._marked_ids, MARKED), chr(self.letters[0x20])
 
     def _library_ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind).tobytes()
 
     def _model_ids(self, pre: str) -> bytes:
-        mapped = pre.encode().decode("latin-1").translate(self.letters)
+        return self._mapped_ids(pre.encode().decode("latin-1").translate(self.letters))
+
+    def _mapped_ids(self, mapped: str) -> bytes:
         return array(self.code, [t.id for t in self.model.tokenize(mapped)]).tobytes()
 
+    def _marked_ids(self, unit: str) -> bytes:
+        """Ids of a unit of :func:`marked_split`. Letters of the Latin blocks
+        need no pattern, and no second place in a cache."""
+        if unit.isalpha() and unit.isascii():
+            return self._mapped_ids(self.space + unit)
+        if unit.isalpha() and max(unit) < "\u0250":
+            return self._model_ids(" " + unit)
+        return self.unit_ids(unit[1:] if unit.startswith(BARE) else " " + unit)
+
     def pre_tokens(self, unit: str) -> list[str] | None:
         """The pre-tokens of a unit; None if only the library should cut it
         (special tokens, rare white space, letters beyond the Latin blocks)."""
@@ -114,8 +145,11 @@ class Encoder:
             return b""
         if not self.by_unit:
             return self._library_ids(text)
-        head, *rest = split(text)
-        return self.first[head] + b"".join(map(self.rest.__getitem__, rest))
+        units, known = marked_split(text), self.marked
+        if units is None:
+            units, known = split(text), self.rest
+        head, *rest = units
+        return self.first[head] + b"".join(map(known.__getitem__, rest))
 
 
 @functools.cache
