@@ -64,8 +64,11 @@ class Pieces:
         self.inside = {p[i:i + 2] for p in self.known for i in range(len(p) - 1)}
         self.by_word = not any(pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
         self.words = Cache(lambda w: self.one_word(SPACE + w), WORDS)
-        self.runs = Cache(self.one_word, WORDS // 10)
+        self.runs = Cache(self._one_run, WORDS // 10)
+        self.odd: set[str] = set()      # words and runs whose ids don't decode to them
         self.table = PieceTable(self)
+        self.no_newline = not any("\n" in p for p in self.known)
+        self.newline = self._part("\n")
         self.options: dict[int, Cache] = {}
 
     def spell(self, character: str) -> list[int]:
@@ -161,6 +164,25 @@ class Pieces:
         ids = b"".join([p[2] for p in parts])
         return len(ids) // 4, sum([p[0] for p in parts]), min([p[1] for p in parts]), ids
 
+    def _checked(self, key: str, word: str, found: tuple) -> tuple:
+        """``found`` of a word; notes in ``odd`` if its ids are another text,
+        which pieces alone never are. If every word of a text comes back, the
+        whole text does."""
+        ids = np.frombuffer(found[3], np.int32).tolist()
+        if b"".join([self.raw[i] for i in ids]) != word.replace(SPACE, " ").encode():
+            self.odd.add(key)
+        return found
+
+    def _one_run(self, run: str) -> tuple[int, float, float, bytes]:
+        return self._checked(run, run, self.one_word(run))
+
+    def comes_back(self, text: str, words: list[str], ids: bytes) -> bool:
+        """Whether decoding gives the text: told by its words, unless one of
+        them is odd."""
+        if not self.odd or self.odd.isdisjoint(words):
+            return True
+        return self.decode(np.frombuffer(ids, np.int32).tolist()) == text.replace(SPACE, " ")
+
     def learn(self, words: list[str]) -> dict[str, tuple[int, float, float, bytes]]:
         """Words without their space sign, all distinct, to what
         :meth:`one_word` says of them: new ones are searched together."""
@@ -172,20 +194,42 @@ class Pieces:
                 new.append(w)
             else:
                 known[w] = value
-        by_size: dict[int, list[str]] = {}
+        # Nothing crosses a newline: what is around one is searched by itself, and so together with others.
+        lines = {w: [SPACE + first, *rest] for w in new for first, *rest in [w.split("\n")]
+                 if not rest or (self.no_newline and first and "" not in rest)}
+        found = self._found({part for parts in lines.values() for part in parts})
         for w in new:
-            by_size.setdefault(len(w) + 1, []).append(w)
+            parts = lines.get(w)
+            if parts is None:
+                value = self._checked(w, SPACE + w, self.one_word(SPACE + w))
+            elif len(parts) == 1:
+                value = found[parts[0]] or self._checked(w, parts[0], self.one_word(parts[0]))
+            else:
+                value = self._lines(w, [found[p] or self.one_word(p) for p in parts])
+            known[w] = value
+            cache.keep(w, value)
+        return known
+
+    def _found(self, strings: set[str]) -> dict[str, tuple | None]:
+        """What the table says of strings, those of one length together."""
+        by_size: dict[int, list[str]] = {}
+        for x in strings:
+            by_size.setdefault(len(x), []).append(x)
+        found: dict[str, tuple | None] = dict.fromkeys(strings)
         for size, group in by_size.items():
             for at in range(0, len(group), TOGETHER):
                 some = group[at:at + TOGETHER]
                 if size <= LONGEST and len(some) >= 8:
-                    found = self.table.search([SPACE + w for w in some], size)
-                else:
-                    found = [None] * len(some)
-                known.update((w, f or self.one_word(SPACE + w)) for w, f in zip(some, found))
-        for w in new:
-            cache.keep(w, known[w])
-        return known
+                    found.update(zip(some, self.table.search(some, size)))
+        return found
+
+    def _lines(self, word: str, parts: list[tuple]) -> tuple[int, float, float, bytes]:
+        """A word of several lines, from what :meth:`one_word` says of them."""
+        score, lead, ids = self.newline
+        breaks = len(parts) - 1
+        data = ids.join([p[3] for p in parts])
+        value = (len(data) // 4, sum([p[1] for p in parts]) + breaks * score, min(lead, *[p[2] for p in parts]), data)
+        return self._checked(word, SPACE + word, value)
 
     def segments(self, text: str) -> tuple[list[str], Cache]:
         """The words of a text and the cache that knows them."""
@@ -196,8 +240,9 @@ class Pieces:
         escaped = SPACE + text.replace(" ", SPACE)
         return (_RUNS.findall(escaped) if self.by_word else [escaped]), self.runs
 
-    def encode_batch(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[bytes, list[float], list[tuple]]]:
-        """:meth:`encode` of each text; their words are learnt together."""
+    def encode_batch(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[bytes, list[float], list[tuple], bool]]:
+        """:meth:`encode` of each text, and whether decoding gives the text
+        back; their words are learnt together."""
         at = 0
         while at < len(texts):
             end, size, distinct, cut = at, 0, set(), []
@@ -209,8 +254,9 @@ class Pieces:
                 size += len(texts[end])
                 end += 1
             known = self.learn(list(distinct))
-            for words, cache in cut:
-                yield self._put_together(words, cache, known if cache is self.words else cache, n)
+            for text, (words, cache) in zip(texts[at:end], cut):
+                found = self._put_together(words, cache, known if cache is self.words else cache, n)
+                yield *found, self.comes_back(text, words, found[0])
             at = end
 
     def encode(self, text: str, n: int = N_BEST) -> tuple[bytes, list[float], list[tuple]]:
@@ -218,15 +264,16 @@ class Pieces:
         scores, and how each of the N differs from the best: (start, stop, ids
         put there) in order of the text, see :func:`put_in`); N is 2 at
         least."""
-        return next(self.encode_batch([text], n))
+        return next(self.encode_batch([text], n))[:3]
 
     def _put_together(self, words: list[str], cache: Cache, known, n: int):
-        found = [known[w] for w in words]
-        ids, total = b"".join([f[3] for f in found]), sum([f[1] for f in found])
         if not words:
-            return ids, [], []
+            return b"", [], []
+        found = [known[w] for w in words]
+        sizes, scores, leads, own = zip(*found)
+        ids, total = b"".join(own), sum(scores)
         # The N best sums differ from the best in the N - 1 words of least lead at most.
-        leads = np.array([f[2] for f in found])
+        leads = np.array(leads)
         near = np.arange(len(leads))
         if len(leads) >= n:
             near = np.flatnonzero(leads <= np.partition(leads, n - 2)[n - 2])
@@ -242,9 +289,9 @@ class Pieces:
                     for loss, choice in sums for j, (score, other) in enumerate(options)]
             more.sort(key=lambda x: x[0])
             sums = more[:n]
-        stops = np.cumsum([f[0] for f in found]).tolist()
+        stops = np.cumsum(sizes)
         return (ids, [total - loss for loss, _ in sums],
-                [[(stops[k] - found[k][0], stops[k], other) for k, other in choice] for _, choice in sums])
+                [[(int(stops[k]) - sizes[k], int(stops[k]), other) for k, other in choice] for _, choice in sums])
 
     def _options(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best of a word, from the ``n`` best of its parts."""
@@ -392,13 +439,13 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, text: str
         for batch in batches:
             ids, ends, scores, sums, whole, ranks = [], [0], [], [], [], []
             texts = [t or "" for t in batch.to_pylist()]
-            for value, (data, best, changes) in zip(texts, found.encode_batch(texts, n)):
+            for data, best, changes, back in found.encode_batch(texts, n):
                 one = np.frombuffer(data, np.int32)
                 ids.append(one)
                 ends.append(ends[-1] + len(one))
                 scores.append(best)
                 sums.append(zlib.crc32(data))
-                whole.append(found.decode(one.tolist()) == value.replace(SPACE, " "))
+                whole.append(back)
                 every = [put_in(data, c) if c else data for c in changes]
                 ranks.append([(len(e) // 4, sums[-1] if e is data else zlib.crc32(e), c) for e, c in zip(every, changes)])
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()),
