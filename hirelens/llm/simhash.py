@@ -165,7 +165,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     named = (prints.join(found.withColumnRenamed("node", "fp"), "fp", "left")
              .withColumn("root", F.coalesce("root", "fp")))
     lowest = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = named.select("fp", "root").join(lowest, "root")
+    # Written, so that the last join is of plain tables: Spark can split the rows of one very common fingerprint.
+    named = written(named.select("fp", "root").join(lowest, "root"), "components")
     return rows.join(named, "fp").select("doc_id", "fp", "root", "component_id")
 
 
