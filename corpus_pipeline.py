@@ -4,7 +4,8 @@ Each stage calls one operator of ``hirelens.llm`` on all rows that the stage
 before it kept, and its decisions take effect:
 
 1. language    rejects documents without a letter, and those that score below
-               ``LEAST_SCORE`` for every learned language
+               ``LEAST_SCORE`` for every learned language (none if there is
+               nothing to learn from: no lang, no id or no letter anywhere)
 2. near_dup    keeps one document of each SimHash component: the smallest
                doc_id (of its rows there, the smallest text, language and
                source); a component of null ids only keeps one of its rows.
@@ -32,7 +33,10 @@ LEAST_SCORE = 0.1
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = language.predict(docs, language.train(docs), out="_language")
+    model = language.train(docs)
+    if not model.labels:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    found = language.predict(docs, model, out="_language")
     return (found.where((F.col("_language.lang_pred") != language.UNKNOWN) & (F.col("_language.score") >= LEAST_SCORE))
             .drop("_language"))
 

@@ -82,3 +82,10 @@ def test_near_dup_stage_keeps_one_row_of_each_component(spark):
                                "doc_id long, text string, lang string, source string, n_chars long")
     got = sorted((r["doc_id"], r["text"]) for r in corpus_pipeline.near_dup_stage(spark, df, "").collect())
     assert got == [(3, t2), (5, t1), (8, "another one of them entirely"), (8, "first of two texts")]
+
+
+def test_language_stage_without_anything_to_learn(spark):
+    rows = [(1, "some words", None, "s", 10), (2, "1 2 3", None, "s", 5), (3, None, None, "s", 0), (None, "été", None, "s", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.language_stage(spark, df, "")
+    assert got.columns == df.columns and sorted(r["text"] for r in got.collect()) == ["some words", "été"]
