@@ -2,9 +2,10 @@
 dictionaries).
 
 Texts and terms become lower-case words; every run of as many words as some
-term has is joined with the terms. The dictionary is a table of any size: Spark
-broadcasts it only if its statistics say that it is small. Terms match whole
-words, never parts of them.
+term has is joined with the terms. The dictionary is a table of any size: it is
+broadcast only if its counted bytes are below Spark's threshold. The runs never
+are: statistics tell the size of the texts' file, not of what comes of it.
+Terms match whole words, never parts of them.
 """
 
 from __future__ import annotations
@@ -32,18 +33,26 @@ def word_runs(df: DataFrame, text: str, lengths: list[int], *keep: str) -> DataF
     return texts.select(*keep, F.inline(runs))
 
 
+ROW_BYTES = 64     # of a term in a broadcast table, beside its text
+
+
+def _broadcast_bytes(df: DataFrame) -> int:
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+
+
 def match_terms(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term") -> DataFrame:
     """``key, pos, n_words, term`` and the other columns of ``terms``: the
     terms in each text, longest first: one that lies inside a longer one at
     its place is no match. Terms without a word are ignored; ones that are
-    alike in lower case give a row each. Only the lengths that terms have come
-    to the driver."""
+    alike in lower case give a row each. Only the lengths that terms have, and
+    their bytes, come to the driver."""
     listed = terms.withColumn("_run", F.array_join(words(F.col(term)), " ")).where("_run <> ''") \
         .withColumn("_n", F.size(F.split("_run", " ")))
-    lengths = sorted(r[0] for r in listed.select("_n").distinct().collect())
-    if not lengths:
-        lengths = [1]
-    found = word_runs(df, text, lengths, key).join(listed.drop("_n"), F.col("run") == F.col("_run")).drop("run", "_run")
+    size = F.sum(F.octet_length(F.to_json(F.struct(*terms.columns))) + F.octet_length("_run") + ROW_BYTES)
+    told = dict(listed.groupBy("_n").agg(size).collect())
+    lengths = sorted(told) or [1]
+    listed = listed.drop("_n").hint("broadcast" if sum(told.values()) <= _broadcast_bytes(df) else "merge")
+    found = word_runs(df, text, lengths, key).join(listed, F.col("run") == F.col("_run")).drop("run", "_run")
     # In order of place, longer ones first: what ends no later than one before it lies inside that one.
     end, place = F.col("pos") + F.col("n_words"), F.col("pos") * (lengths[-1] + 1) - F.col("n_words")
     before = Window.partitionBy(key).orderBy(place).rangeBetween(Window.unboundedPreceding, -1)
