@@ -72,8 +72,15 @@ def _payload() -> Column:
     return F.struct(*[values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in schemas.PAYLOAD.fields])
 
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """The rows dealt evenly over the session's shuffle partitions. A posting
+    takes far longer to work out than to read, so the few tasks that the size
+    of a file gives would hold the whole job."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _bronze(spark, sf_dir) -> DataFrame:
-    rows = read_table(spark, sf_dir, "part")
+    rows = _dealt(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
     return medallion.bronze(rows.select(
         F.lit("boards").alias("source"), _text("https://jobs.example/p/", F.col("p_partkey").cast("string")).alias("source_url"),
         F.lit(None).cast("string").alias("normalized_source_url"), F.lit(INGEST).alias("ingest_ts"), F.lit(INGEST).alias("event_ts"),
@@ -106,7 +113,7 @@ SELECT p_partkey, md5('https://jobs.example/p/' || p_partkey) AS job_id, 'jobs.e
 FROM p""")
 def q_flat(spark, sf_dir):
     """P1 with all its fields: payload -> flat event."""
-    rows = read_table(spark, sf_dir, "part").select(
+    rows = _dealt(read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")).select(
         "p_partkey", _text("https://jobs.example/p/", F.col("p_partkey").cast("string")).alias("source_url"),
         _payload().alias("payload")).select("p_partkey", "source_url", "payload.*")
     return messages.to_flat_event(rows, crawled_at=F.lit(INGEST), ingest_ts=F.lit(INGEST), keep=("p_partkey",))

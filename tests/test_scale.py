@@ -1,9 +1,12 @@
 """Plans that must hold as tables grow: who is broadcast, how work is dealt."""
 
+import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from hirelens.operators import dictionary
 
+from .conftest import SF_SMALL
 
 
 def _plan(df) -> str:
@@ -27,3 +30,9 @@ def test_dictionary_broadcasts_counted_terms_and_never_the_runs(spark, scratch):
         assert sorted((r["k"], r["pos"], r["n_words"], r["term"]) for r in found.collect()) == rows
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
+@pytest.mark.parametrize("name", ["n10_silver_groups_part", "n10_conflict_log_part", "n7_n21_silver_fields_part",
+                                  "p1_flat_events_part"])
+def test_postings_are_dealt_whatever_the_files(spark, name):
+    assert E.queries()[name](spark, SF_SMALL).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
