@@ -113,28 +113,66 @@ def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
     )
 
 
-def jobs_versioned(spark: SparkSession, sf_dir: str, split_by_day: bool = False) -> DataFrame:
-    """J with K5 record_version and the K6 latest flag (one window pass).
+_IDENT = ("l_orderkey", "l_linenumber", "_content")
+
+
+def _posting():
+    return F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+
+
+def _sha():
+    c = F.col("_content")
+    return F.sha2(F.concat_ws("|", c["p_name"], c["s_name"], c["n_name"], c["price"].cast("string")), 256)
+
+
+def _narrowed(rows: DataFrame) -> DataFrame:
+    """``posting``, the text that job_id is the hash of, and ``content``, the
+    bytes of hash_content, for the integer key and the content struct: rows to
+    store and shuffle. :func:`named` gives the view's two columns for them."""
+    return rows.select(_posting().alias("posting"), F.unhex(_sha()).alias("content"),
+                       *[x for x in rows.columns if x not in _IDENT])
+
+
+def jobs_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J rows with ``posting`` and ``content`` (:func:`_narrowed`)."""
+    return _narrowed(_jobs(spark, sf_dir, keyed=False))
+
+
+def named(narrow: DataFrame) -> DataFrame:
+    """``job_id`` and ``hash_content`` for ``posting`` and ``content``."""
+    return narrow.select(F.sha2("posting", 256).alias("job_id"), F.lower(F.hex("content")).alias("hash_content"),
+                         *[c for c in narrow.columns if c not in ("posting", "content")])
+
+
+def jobs_numbered(spark: SparkSession, sf_dir: str, split_by_day: bool = False) -> DataFrame:
+    """J with K5 record_version and the K6 latest flag (one window pass), by
+    the integer key (l_orderkey, l_linenumber) and with the content struct.
 
     ``split_by_day`` runs the count as a prefix scan over ingest days (no
     single task holds a hot job_id's history). It reads its input twice, so
     on this lazy view it recomputes the upstream joins (2-2.5x at sf0.1);
     the medallion silver job, whose input is a written table, uses it."""
     bucket = F.to_date("ingest_ts") if split_by_day else None
-    v = versioned(_jobs(spark, sf_dir, keyed=False), key=["l_orderkey", "l_linenumber"], order=ORDER_COLS,
-                  hash_col="_content", bucket=bucket)
-    # the sha256 strings are computed after the shuffle
-    c = F.col("_content")
-    return v.select(
-        _job_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("job_id"),
-        F.sha2(F.concat_ws("|", c["p_name"], c["s_name"], c["n_name"], c["price"].cast("string")), 256)
-        .alias("hash_content"),
-        *[x for x in v.columns if x not in ("_content", "l_orderkey", "l_linenumber")])
+    return versioned(_jobs(spark, sf_dir, keyed=False), key=["l_orderkey", "l_linenumber"], order=ORDER_COLS,
+                     hash_col="_content", bucket=bucket)
+
+
+def hashed(numbered: DataFrame) -> DataFrame:
+    """``job_id`` and ``hash_content`` for the integer key and the content
+    struct: the sha256 strings are computed after the shuffle."""
+    return numbered.select(F.sha2(_posting(), 256).alias("job_id"), _sha().alias("hash_content"),
+                           *[x for x in numbered.columns if x not in _IDENT])
+
+
+def jobs_versioned(spark: SparkSession, sf_dir: str, split_by_day: bool = False, narrow: bool = False) -> DataFrame:
+    """:func:`jobs_numbered` with job_id and hash_content, or ``narrow``."""
+    v = jobs_numbered(spark, sf_dir, split_by_day)
+    return _narrowed(v) if narrow else hashed(v)
 
 
-def jobs_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+def jobs_latest(spark: SparkSession, sf_dir: str, narrow: bool = False) -> DataFrame:
     """J_latest: K6 over J, one row per job_id."""
-    return jobs_versioned(spark, sf_dir).filter("is_latest").drop("is_latest")
+    return jobs_versioned(spark, sf_dir, narrow=narrow).filter("is_latest").drop("is_latest")
 
 
 # ---------------------------------------------------------------- oracle SQL

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,13 +12,22 @@ from hirelens.plans import jobs_view
 from hirelens.plans.jobs_view import ORDER_COLS, with_j
 from hirelens.plans.registry import query
 from hirelens.session import scratch_path
+from hirelens.sinks.commits import remove
 from hirelens.streaming.runs import fresh_name
 
+_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def _written(df: DataFrame, path: str, *by: str) -> DataFrame:
-    writer = df.write.partitionBy(*by) if by else df.write
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """``df`` as a table at ``path``; the shuffle files of the write go with it."""
+    spark = df.sparkSession
+    kept = spark.conf.get(_SHUFFLE_CLEANUP)
+    spark.conf.set(_SHUFFLE_CLEANUP, "true")
+    try:
+        (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    finally:
+        spark.conf.set(_SHUFFLE_CLEANUP, kept)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 @query("k5_versions_from_state", with_j("""
@@ -24,30 +35,47 @@ SELECT job_id, ingest_ts, l_partkey, l_suppkey, hash_content, record_version, is
 def q_k5_state(spark, sf_dir):
     """K5 over three deliveries of lineitem by ship date: each one's versions
     continue from the state row of its jobs. Returned items of the first years
-    are only delivered with the last ones: their jobs are versioned again."""
+    are only delivered with the last ones: their jobs are versioned again.
+
+    A delivery writes its own rows once, with ``again`` for those of jobs that
+    were versioned anew, and the table is put together as it is read: no row
+    is copied with each delivery. What a later step has replaced is removed."""
     root = scratch_path(spark, fresh_name("versions"))
+    by = {"key": "posting", "order": ORDER_COLS, "hash_col": "content"}
     year = F.year("ingest_ts")
     delivery = F.when((year < 1997) & (F.col("employment_type") == "CONTRACTOR"), 2).when(year < 1997, 0).when(year < 1999, 1).otherwise(2)
-    rows = jobs_view.jobs(spark, sf_dir).select("job_id", "hash_content", *ORDER_COLS, delivery.alias("delivery"))
+    rows = jobs_view.jobs_narrow(spark, sf_dir).select("posting", "content", *ORDER_COLS, delivery.alias("delivery"))
     bronze = _written(rows, f"{root}/bronze", "delivery")
-    table = state = None
+    state, written = None, []
     for n in range(3):
         batch = bronze.where(F.col("delivery") == n).drop("delivery")
         if state is None:
-            new, kept = keys.versioned(batch, order=ORDER_COLS), None
+            new = keys.versioned(batch, **by).withColumn("again", F.lit(False))
         else:
-            new, late = keys.continue_versions(batch, state, order=ORDER_COLS)
+            new, late = keys.continue_versions(batch, state, **by)
             late = _written(late, f"{root}/late{n}")
-            history = bronze.where(F.col("delivery") <= n).drop("delivery").join(late, "job_id", "left_semi")
-            new = new.unionByName(keys.versioned(history, order=ORDER_COLS))
-            kept = table.join(late, "job_id", "left_anti")
+            history = bronze.where(F.col("delivery") <= n).drop("delivery").join(late, "posting", "left_semi")
+            new = new.withColumn("again", F.lit(False)).unionByName(
+                keys.versioned(history, **by).withColumn("again", F.lit(True)))
         new = _written(new, f"{root}/new{n}")
-        changed = new.select("job_id").distinct()
-        last = keys.version_state(new, order=ORDER_COLS)
-        if kept is not None:
-            kept = kept.join(changed.withColumn("_newer", F.lit(True)), "job_id", "left") \
-                .withColumn("is_latest", F.col("is_latest") & F.col("_newer").isNull()).drop("_newer")
-            last = state.join(changed, "job_id", "left_anti").unionByName(last)
-        table = _written(new if kept is None else kept.unionByName(new), f"{root}/table{n}")
+        last = keys.version_state(new.where("is_latest"), **by)
+        if state is not None:
+            last = state.join(new.select("posting").distinct(), "posting", "left_anti").unionByName(last)
         state = _written(last, f"{root}/state{n}")
-    return table.select("job_id", "ingest_ts", "l_partkey", "l_suppkey", "hash_content", "record_version", "is_latest")
+        if n:
+            remove(spark, f"{root}/state{n - 1}")
+        written.append(new)
+    remove(spark, f"{root}/bronze")
+    table = functools.reduce(DataFrame.unionByName, [_still(new, written[n + 1:]) for n, new in enumerate(written)])
+    return jobs_view.named(table).select("job_id", "ingest_ts", "l_partkey", "l_suppkey", "hash_content", "record_version", "is_latest")
+
+
+def _still(new: DataFrame, later: list[DataFrame]) -> DataFrame:
+    """The rows of a delivery that later ones have not versioned again; none
+    is the latest of a job that has later rows."""
+    if not later:
+        return new.drop("again")
+    told = functools.reduce(DataFrame.unionByName, [d.select("posting", "again") for d in later])
+    told = told.groupBy("posting").agg(F.max("again").alias("_again"))
+    return (new.drop("again").join(told, "posting", "left").where(~F.coalesce("_again", F.lit(False)))
+            .withColumn("is_latest", F.col("is_latest") & F.col("_again").isNull()).drop("_again"))

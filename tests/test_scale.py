@@ -1,10 +1,13 @@
 """Plans that must hold as tables grow: who is broadcast, how work is dealt."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from hirelens.operators import dictionary
+from hirelens.session import checkpoint_dir
 
 from .conftest import SF_SMALL
 
@@ -36,3 +39,14 @@ def test_dictionary_broadcasts_counted_terms_and_never_the_runs(spark, scratch):
                                   "p1_flat_events_part"])
 def test_postings_are_dealt_whatever_the_files(spark, name):
     assert E.queries()[name](spark, SF_SMALL).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_versions_from_state_keep_no_copy_of_the_table_a_delivery(spark):
+    root = checkpoint_dir(spark)
+    before = set(os.listdir(root))
+    rows = E.queries()["k5_versions_from_state"](spark, SF_SMALL)
+    (made,) = [d for d in os.listdir(root) if d.startswith("versions-") and d not in before]
+    assert sorted(os.listdir(f"{root}/{made}")) == ["late1", "late2", "new0", "new1", "new2", "state2"]
+    assert {"posting", "content"} <= set(spark.read.parquet(f"{root}/{made}/new0").columns)
+    same = E.queries()["k5_record_versions"](spark, SF_SMALL)
+    assert rows.exceptAll(same).count() == same.exceptAll(rows).count() == 0
