@@ -114,7 +114,7 @@ def continue_versions(batch: DataFrame, state: DataFrame, key: str = "job_id", o
             start.where(is_late).select(key))
 
 
-def latest_snapshot(df: DataFrame, key: str = "job_id",
+def latest_snapshot(df: DataFrame, key: str | list[str] = "job_id",
                     order=("record_version", "ingest_ts")) -> DataFrame:
     """K6: one row per key: highest ``record_version``, ties -> latest
     ``ingest_ts`` (plus any extra tie-break columns in ``order``).
@@ -122,10 +122,11 @@ def latest_snapshot(df: DataFrame, key: str = "job_id",
     ``max_by`` over a struct is a partial + final aggregate: a key holding a
     third of the rows is reduced map-side instead of landing in one task.
     """
-    cols = [c for c in df.columns if c != key]
+    keys_ = [key] if isinstance(key, str) else list(key)
+    cols = [c for c in df.columns if c not in keys_]
     packed = F.struct(*[F.col(c) for c in cols])
     okey = F.struct(*[F.col(c) for c in order])
-    return df.groupBy(key).agg(F.max_by(packed, okey).alias("_row")).select(key, "_row.*")
+    return df.groupBy(*keys_).agg(F.max_by(packed, okey).alias("_row")).select(*keys_, "_row.*")
 
 
 def upsert_merge(snapshot: DataFrame, batch: DataFrame, key: str = "job_id",

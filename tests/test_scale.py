@@ -50,3 +50,15 @@ def test_versions_from_state_keep_no_copy_of_the_table_a_delivery(spark):
     assert {"posting", "content"} <= set(spark.read.parquet(f"{root}/{made}/new0").columns)
     same = E.queries()["k5_record_versions"](spark, SF_SMALL)
     assert rows.exceptAll(same).count() == same.exceptAll(rows).count() == 0
+
+
+def test_latest_snapshot_is_dealt_once_and_postings_without_a_line_number_are_one(spark, scratch):
+    os.makedirs(f"{scratch}/t")
+    for name in ("orders", "part", "supplier", "nation"):
+        os.symlink(f"{SF_SMALL}/{name}.parquet", f"{scratch}/t/{name}.parquet")
+    lines = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    lines.withColumn("l_linenumber", F.when(F.col("l_orderkey") % 5 > 0, F.col("l_linenumber"))).write.parquet(f"{scratch}/t/lineitem.parquet")
+    found = E.queries()["k6_latest_snapshot"](spark, f"{scratch}/t")
+    assert "hashpartitioning(job_id" not in _plan(found)
+    want = lines.where("l_orderkey % 5 > 0").select("l_orderkey", "l_linenumber").distinct().count()
+    assert found.where("job_id IS NULL").count() == 1 and found.where("job_id IS NOT NULL").count() == want
