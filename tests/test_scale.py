@@ -62,3 +62,7 @@ def test_latest_snapshot_is_dealt_once_and_postings_without_a_line_number_are_on
     assert "hashpartitioning(job_id" not in _plan(found)
     want = lines.where("l_orderkey % 5 > 0").select("l_orderkey", "l_linenumber").distinct().count()
     assert found.where("job_id IS NULL").count() == 1 and found.where("job_id IS NOT NULL").count() == want
+
+
+def test_bronze_dedup_shuffles_no_hash_texts(spark):
+    assert "hashpartitioning(job_id" not in _plan(E.queries()["k4_bronze_dedup"](spark, SF_SMALL))
