@@ -66,3 +66,7 @@ def test_latest_snapshot_is_dealt_once_and_postings_without_a_line_number_are_on
 
 def test_bronze_dedup_shuffles_no_hash_texts(spark):
     assert "hashpartitioning(job_id" not in _plan(E.queries()["k4_bronze_dedup"](spark, SF_SMALL))
+
+
+def test_taxonomy_split_shuffles_no_hash_texts(spark):
+    assert "hashpartitioning(job_id" not in _plan(E.queries()["n18_taxonomy_split_jobs"](spark, SF_SMALL))
