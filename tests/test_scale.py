@@ -70,3 +70,7 @@ def test_bronze_dedup_shuffles_no_hash_texts(spark):
 
 def test_taxonomy_split_shuffles_no_hash_texts(spark):
     assert "hashpartitioning(job_id" not in _plan(E.queries()["n18_taxonomy_split_jobs"](spark, SF_SMALL))
+
+
+def test_upsert_merge_shuffles_no_hash_texts(spark):
+    assert "hashpartitioning(job_id" not in _plan(E.queries()["k8_upsert_merge"](spark, SF_SMALL))
