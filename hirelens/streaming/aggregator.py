@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hirelens.functions.constants import STREAM_C_WATERMARK
 from hirelens.operators import messages, realtime
 from hirelens.sinks import keyed
-from hirelens.streaming.runs import make_dirs, run_id
+from hirelens.streaming.runs import make_dirs, run_id, state_settings
 
 KEYS = {"realtime_job_counts_10m": ["time_bucket", "city", "employment_type"],
         "realtime_skill_counts": ["time_bucket", "city", "skill"]}
@@ -74,9 +74,10 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
             keyed.write_delta(batch, _root, batch_id, run)
             keyed.fold_at(batch.sparkSession, _root, _key, batch_id, fold_every)
 
-        out.append(agg.writeStream.outputMode(output_mode).foreachBatch(sink)
-                   .option("checkpointLocation", os.path.join(checkpoint_root, name))
-                   .queryName(name).trigger(**trigger).start())
+        with state_settings(spark):
+            out.append(agg.writeStream.outputMode(output_mode).foreachBatch(sink)
+                       .option("checkpointLocation", os.path.join(checkpoint_root, name))
+                       .queryName(name).trigger(**trigger).start())
     return out
 
 

@@ -19,7 +19,7 @@ from hirelens import schemas
 from hirelens.functions.constants import STREAM_A_WATERMARK
 from hirelens.operators import messages, realtime
 from hirelens.sinks import keyed
-from hirelens.streaming.runs import make_dirs, run_id
+from hirelens.streaming.runs import make_dirs, run_id, state_settings
 
 
 def main_stream(raw: DataFrame, watermark: str = STREAM_A_WATERMARK, dedup: bool = True) -> DataFrame:
@@ -68,9 +68,10 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
     run = run_id(spark, checkpoint_root)
     silver_path = os.path.join(out_root, "silver", f"run={run}")
     main = main_stream(raw, watermark)
-    silver = (main.drop("raw_json").writeStream.outputMode("append").format("parquet")
-              .option("path", silver_path).option("checkpointLocation", os.path.join(checkpoint_root, "silver"))
-              .queryName("speed_silver").trigger(**trigger).start())
+    with state_settings(spark):
+        silver = (main.drop("raw_json").writeStream.outputMode("append").format("parquet")
+                  .option("path", silver_path).option("checkpointLocation", os.path.join(checkpoint_root, "silver"))
+                  .queryName("speed_silver").trigger(**trigger).start())
     dead = messages.event_dead_letters(messages.parse_messages(raw, schemas.RAW_EVENT))
     queries = [silver, dead.writeStream.outputMode("append").format("parquet")
                .option("path", os.path.join(out_root, "dead_letter", f"run={run}"))
@@ -89,9 +90,10 @@ def start(raw: DataFrame, out_root: str, checkpoint_root: str, trigger: dict | N
             keyed.write_delta(keyed.speed_view_rows(batch, _view, _f, _v), _root, batch_id, run)
             keyed.fold_at(batch.sparkSession, _root, VIEW_KEY, batch_id, fold_every)
 
-        q = (agg.writeStream.outputMode(output_mode).foreachBatch(sink)
-             .option("checkpointLocation", os.path.join(checkpoint_root, view))
-             .queryName(f"speed_{view}").trigger(**trigger).start())
+        with state_settings(spark):
+            q = (agg.writeStream.outputMode(output_mode).foreachBatch(sink)
+                 .option("checkpointLocation", os.path.join(checkpoint_root, view))
+                 .queryName(f"speed_{view}").trigger(**trigger).start())
         queries.append(q)
     return queries
 
