@@ -7,7 +7,7 @@ windows) the builder checks ``df.isStreaming``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hirelens.functions import enums
@@ -51,38 +51,53 @@ def skill_counts_30m(df: DataFrame, ts: str = "event_ts") -> DataFrame:
         .select(*_bounds(), "skill", "skill_count")
 
 
+# Windows are put together in blocks of so many window lengths.
+_BLOCK_WINDOWS = 6
+
+
 def _sliced(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int,
             sums: list[str]) -> DataFrame:
-    """Batch plan for sliding windows: aggregate each slide-sized slice once,
-    then expand slices (not raw rows) to the windows that cover them; exact
-    for counts, sums and distinct sets (distinct via a second grouping on
-    the counted key)."""
+    """Batch plan for sliding windows, exact for counts, sums and distinct
+    companies. Rows are counted per slide-sized slice, key and company; a
+    company counts in a window at its first slice there, so in those windows
+    that begin after its slice before (``_gap`` slices back). Slices of a key,
+    with the gaps of their companies, are then dealt by blocks of time, and
+    only there expanded to the windows that cover them: no company and no
+    shuffle is multiplied by the windows."""
     slide_s = slide_min * 60
     n = window_min // slide_min
-    sl = F.timestamp_seconds(F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide_s) * slide_s)
+    block = n * _BLOCK_WINDOWS
+    sl = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / slide_s)
     aggs = [F.count("job_id").alias("_cnt")]
     for c in sums:
         aggs += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+    names = ["_cnt", *[f"{p}_{c}" for c in sums for p in ("_s", "_n")]]
+    add = [F.sum(c).alias(c) for c in names]
     pre = df.withColumn("_slice", sl).groupBy("_slice", *keys, "company_name").agg(*aggs)
-    ex = pre.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) \
-        .withColumn("_start", F.col("_slice") - F.make_dt_interval(mins=F.col("_k") * slide_min)) \
-        .drop("_k", "_slice")
-    sums_out = []
-    for c in sums:
-        sums_out += [F.sum(f"_s_{c}").alias(f"_s_{c}"), F.sum(f"_n_{c}").alias(f"_n_{c}")]
-    per_company = ex.groupBy("_start", *keys, "company_name").agg(F.sum("_cnt").alias("_cnt"), *sums_out)
-    fin = [F.sum("_cnt").alias("job_count"),
-           F.count("company_name").alias("distinct_company_count")]
-    for c in sums:
-        fin.append(money_mean(F.sum(f"_s_{c}"), F.sum(f"_n_{c}")).alias(f"avg_{c}"))
-    out = per_company.groupBy("_start", *keys).agg(*fin)
+    before = F.lag("_slice").over(Window.partitionBy(*keys, "company_name").orderBy("_slice"))
+    # Rows without a time are one window, where each company counts once.
+    gap = F.when(F.col("_slice").isNull(), 1).otherwise(F.least(F.lit(n), F.coalesce(F.col("_slice") - before, F.lit(n))))
+    slices = pre.withColumn("_gap", gap.cast("int")).groupBy("_slice", *keys, "_gap") \
+        .agg(F.count("company_name").alias("_companies"), *add)
+
+    def block_of(slice_) -> Column:
+        return F.floor(slice_ / block)
+
+    dealt = slices.withColumn("_block", F.explode_outer(F.sequence(block_of(F.col("_slice") - (n - 1)), block_of(F.col("_slice"))))) \
+        .repartition("_block", *keys)
+    ex = dealt.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(n - 1)))) \
+        .withColumn("_start", F.col("_slice") - F.col("_k")) \
+        .where(block_of(F.col("_start")).eqNullSafe(F.col("_block")))
+    first = F.sum(F.when(F.col("_k") < F.col("_gap"), F.col("_companies")))
+    out = ex.groupBy("_block", *keys, "_start").agg(*add, first.alias("distinct_company_count"))
+    start = F.timestamp_seconds(F.col("_start") * slide_s)
     return out.select(
-        enums.time_bucket("_start").alias("time_bucket"),
-        F.date_format(F.col("_start") + F.make_dt_interval(mins=F.lit(window_min)),
+        enums.time_bucket(start).alias("time_bucket"),
+        F.date_format(start + F.make_dt_interval(mins=F.lit(window_min)),
                       "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-        *keys, F.coalesce(F.col("job_count"), F.lit(0)).cast("bigint").alias("job_count"),
-        F.col("distinct_company_count").cast("bigint").alias("distinct_company_count"),
-        *[f"avg_{c}" for c in sums])
+        *keys, F.coalesce(F.col("_cnt"), F.lit(0)).cast("bigint").alias("job_count"),
+        F.coalesce(F.col("distinct_company_count"), F.lit(0)).cast("bigint").alias("distinct_company_count"),
+        *[money_mean(F.col(f"_s_{c}"), F.col(f"_n_{c}")).alias(f"avg_{c}") for c in sums])
 
 
 def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int,

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from hirelens.operators import dictionary
+from hirelens.operators import dictionary, realtime
 from hirelens.session import checkpoint_dir
 
 from .conftest import SF_SMALL
@@ -74,3 +74,20 @@ def test_taxonomy_split_shuffles_no_hash_texts(spark):
 
 def test_upsert_merge_shuffles_no_hash_texts(spark):
     assert "hashpartitioning(job_id" not in _plan(E.queries()["k8_upsert_merge"](spark, SF_SMALL))
+
+
+def test_sliding_windows_multiply_no_shuffle_and_count_companies_once(spark):
+    for name in ("a3_job_counts_sliding", "a4_skill_counts_sliding"):
+        assert "hashpartitioning(_start" not in _plan(E.queries()[name](spark, SF_SMALL))
+    at = [("a", 0), ("a", 3), ("a", 3), ("b", 3), (None, 4), ("a", 14), ("b", 50), ("b", 59), ("c", 60), ("a", None), ("a", None)]
+    rows = [(str(i), c, m, "X", 1.0 + i) for i, (c, m) in enumerate(at)]
+    df = spark.createDataFrame(rows, "job_id string, company_name string, m int, city string, salary_min double").select(
+        "*", F.timestamp_seconds(F.col("m") * 60 + 1).alias("event_time"), F.lit(2.0).alias("salary_max"), F.array(F.lit("s")).alias("skills"))
+    got = {r["time_bucket"]: (r["job_count"], r["distinct_company_count"], r["avg_salary_min"]) for r in realtime.skill_counts_sliding(df).collect()}
+    want = {None: (20, 1, 10.5)}
+    for w in range(-9, 61):
+        inside = [(c, v) for _, c, m, _, v in rows if m is not None and w <= m < w + 10]
+        if inside:
+            key = f"{'1969-12-31T23' if w < 0 else f'1970-01-01T{w // 60:02d}'}:{w % 60:02d}:00Z"
+            want[key] = (len(inside), len({c for c, _ in inside if c}), round(sum(v for _, v in inside) / len(inside), 4))
+    assert got == want
