@@ -60,7 +60,8 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
     """J rows. ``keyed=False`` leaves out the two sha256 columns and keeps the
     integer key and the content struct instead (they are equivalent), so a
-    shuffle / sort by key moves integers, not 64-character strings."""
+    shuffle / sort by key moves integers, not 64-character strings. It leaves
+    out ``skills``, too: :func:`_skilled` gives them."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
@@ -86,7 +87,7 @@ def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
                  .alias("hash_content")]
     else:
         ident = ["l_orderkey", "l_linenumber", _content().alias("_content")]
-    return j.select(
+    rows = j.select(
         *ident,
         F.lit("tpch").alias("source"),
         F.col("l_shipdate").alias("ingest_ts"),
@@ -100,7 +101,6 @@ def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
         F.col("p_type").alias("category_level_1"),
         F.col("p_brand").alias("category_level_2"),
         F.col("p_size").cast("string").alias("category_level_3"),
-        F.split(F.concat(F.lower("p_name"), F.lit(" "), F.lower("p_type")), " ").alias("skills"),
         F.when(undisclosed, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")).alias("salary_min"),
         F.when(undisclosed, F.lit(None).cast("double"))
         .otherwise(F.floor(F.col("l_extendedprice") * (F.lit(1.0) + F.col("l_tax")) * 100) / 100)
@@ -111,6 +111,13 @@ def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
         (F.col("l_quantity") >= 25).alias("has_benefits"),
         "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
     )
+    return _skilled(rows) if keyed else rows
+
+
+def _skilled(rows: DataFrame) -> DataFrame:
+    """J rows with ``skills``, made of two texts of the row: a shuffle or sort
+    before needn't move them."""
+    return rows.withColumn("skills", F.split(F.concat(F.lower("job_title"), F.lit(" "), F.lower("category_level_1")), " "))
 
 
 _IDENT = ("l_orderkey", "l_linenumber", "_content")
@@ -135,7 +142,7 @@ def _narrowed(rows: DataFrame) -> DataFrame:
 
 def jobs_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J rows with ``posting`` and ``content`` (:func:`_narrowed`)."""
-    return _narrowed(_jobs(spark, sf_dir, keyed=False))
+    return _narrowed(_skilled(_jobs(spark, sf_dir, keyed=False)))
 
 
 def named(narrow: DataFrame) -> DataFrame:
@@ -166,7 +173,7 @@ def hashed(numbered: DataFrame) -> DataFrame:
 
 def jobs_versioned(spark: SparkSession, sf_dir: str, split_by_day: bool = False, narrow: bool = False) -> DataFrame:
     """:func:`jobs_numbered` with job_id and hash_content, or ``narrow``."""
-    v = jobs_numbered(spark, sf_dir, split_by_day)
+    v = _skilled(jobs_numbered(spark, sf_dir, split_by_day))
     return _narrowed(v) if narrow else hashed(v)
 
 

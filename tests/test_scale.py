@@ -91,3 +91,9 @@ def test_sliding_windows_multiply_no_shuffle_and_count_companies_once(spark):
             key = f"{'1969-12-31T23' if w < 0 else f'1970-01-01T{w // 60:02d}'}:{w % 60:02d}:00Z"
             want[key] = (len(inside), len({c for c, _ in inside if c}), round(sum(v for _, v in inside) / len(inside), 4))
     assert got == want
+
+
+def test_versions_are_dealt_without_skills(spark):
+    plan = _plan(E.queries()["v8_layer_not_null_rules"](spark, SF_SMALL)).splitlines()
+    assert min(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
+    assert max(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
