@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 
 from hirelens.functions import enums
 from hirelens.functions.agg import cents, money_avg, money_mean, ratio
-from hirelens.operators.ranking import rank_desc
+from hirelens.operators.ranking import rank_desc, ranks_desc
+from hirelens.session import scratch_path
+from hirelens.streaming.runs import fresh_name
 
 PERCENTILE_PLACES = 4
 
@@ -33,11 +35,12 @@ class Profile:
     """Exact statistics of groups from value histograms: counts, averages,
     interpolated percentiles, shares and distinct counts.
 
-    Each row gives a value per column; these are counted per (group, column,
-    value), in part before the shuffle, so a hot group arrives as its distinct
-    values. A running count over a column's values, in order, then finds the
-    two around any rank. Counting and sorting spill; no group is kept as a map
-    in memory, and the input is read once for all statistics."""
+    Equal rows are counted first, in part before the shuffle, so a hot group
+    arrives as its distinct rows; these are dealt by group. Only there each
+    gives a value per column, counted per (group, column, value). A running
+    count over a column's values, in order, then finds the two around any rank.
+    Counting and sorting spill; no group is kept as a map in memory, and the
+    input is read once for all statistics."""
 
     def __init__(self, df: DataFrame, keys: list[str], numbers: list[str], texts: list[str] | None = None):
         self.keys, self.columns, texts = keys, [*numbers, *(texts or [])], texts or []
@@ -45,9 +48,12 @@ class Profile:
                            (F.lit(None) if c in texts else F.col(c)).cast("double").alias("v"),
                            (F.col(c) if c in texts else F.lit(None)).cast("string").alias("s"))
                   for i, c in enumerate(self.columns)]
-        hist = (df.select(*keys, F.explode(F.array(*values)).alias("x")).select(*keys, "x.*")
-                .groupBy(*keys, "m", "v", "s").agg(F.count(F.lit(1)).alias("n")))
-        group = Window.partitionBy(*keys, "m")
+        # One column to deal by: a key that is a constant would not be seen to be dealt by.
+        rows = (df.groupBy(*keys, *self.columns).agg(F.count(F.lit(1)).alias("n"))
+                .withColumn("_dealt", F.xxhash64(*keys)).repartition("_dealt"))
+        hist = (rows.select("_dealt", *keys, "n", F.explode(F.array(*values)).alias("x")).select("_dealt", *keys, "n", "x.*")
+                .groupBy("_dealt", *keys, "m", "v", "s").agg(F.sum("n").alias("n")))
+        group = Window.partitionBy("_dealt", *keys, "m")
         run = group.orderBy(F.col("v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         self.ranked = hist.withColumn("hi", F.sum("n").over(run)) \
             .withColumn("known", F.sum(F.when(F.col("v").isNotNull(), F.col("n"))).over(group))
@@ -78,7 +84,7 @@ class Profile:
         return _r(F.when(low == high, low).otherwise(low * (1 - part) + high * part))
 
     def agg(self, **columns: Column) -> DataFrame:
-        return self.ranked.groupBy(*self.keys).agg(*[c.alias(name) for name, c in columns.items()])
+        return self.ranked.groupBy("_dealt", *self.keys).agg(*[c.alias(name) for name, c in columns.items()]).drop("_dealt")
 
 
 def _money() -> list[Column]:
@@ -115,14 +121,17 @@ def job_facts_daily(silver: DataFrame) -> DataFrame:
 
 def skill_counts_daily(silver: DataFrame) -> DataFrame:
     """A7 gold_skill_counts_daily with W1 ranks (ties share a rank)."""
-    ex = exploded_skills(silver.withColumn("date_key", enums.date_key("posting_date")),
-                         "date_key", "source", "city", "category_level_3", "company_name",
-                         "salary_min", "salary_max")
-    agg = ex.groupBy("date_key", "source", "skill", "city", "category_level_3").agg(
+    ex = exploded_skills(silver.withColumn("_day", F.to_date("posting_date")), "_day", "source", "city",
+                         "category_level_3", "company_name", "salary_min", "salary_max")
+    agg = ex.groupBy("_day", "source", "skill", "city", "category_level_3").agg(
         F.count(F.lit(1)).alias("job_count"),
         F.count_distinct("company_name").alias("distinct_company_count"), *_money())
-    agg = rank_desc(agg, ["date_key", "source"], "job_count", "skill_rank_in_day")
-    return rank_desc(agg, ["date_key", "source", "city"], "job_count", "skill_rank_in_city")
+    # Written once: read twice below, with other columns, it would be worked out twice.
+    path = scratch_path(silver.sparkSession, fresh_name("skill_counts"))
+    agg.write.parquet(path)
+    agg = silver.sparkSession.read.parquet(path)
+    ranked = ranks_desc(agg, ["_day", "source"], "city", "job_count", "skill_rank_in_day", "skill_rank_in_city")
+    return ranked.select(enums.date_key("_day").alias("date_key"), *ranked.drop("_day").columns)
 
 
 def salary_stats_by_skill_month(silver: DataFrame) -> DataFrame:

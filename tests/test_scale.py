@@ -93,6 +93,20 @@ def test_sliding_windows_multiply_no_shuffle_and_count_companies_once(spark):
     assert got == want
 
 
+def test_skill_counts_are_worked_out_once_and_ranked_by_one_join(spark):
+    plan = _plan(E.queries()["a7_skill_counts_daily"](spark, SF_SMALL))
+    assert "lineitem" not in plan and "skill_counts-" in plan and "hashpartitioning(date_key" not in plan
+
+
+def test_profile_deals_rows_by_group_and_no_values(spark):
+    found = E.queries()["a6_job_facts_daily"](spark, SF_SMALL)
+    plan = _plan(found)
+    assert len([x for x in plan.splitlines() if "Exchange hashpartitioning(_dealt" in x]) == 1
+    assert not [x for x in plan.splitlines() if "Exchange" in x and ", m#" in x]
+    same = found.select(F.sum("job_count")).first()[0]
+    assert same == E.queries()["k6_latest_snapshot"](spark, SF_SMALL).count()
+
+
 def test_versions_are_dealt_without_skills(spark):
     plan = _plan(E.queries()["v8_layer_not_null_rules"](spark, SF_SMALL)).splitlines()
     assert min(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
