@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from hirelens.operators import dictionary, realtime
 from hirelens.session import checkpoint_dir
+from hirelens.sources.messages import read_message_files
+from hirelens.streaming import live_layer
 
 from .conftest import SF_SMALL
 
@@ -111,3 +113,20 @@ def test_versions_are_dealt_without_skills(spark):
     plan = _plan(E.queries()["v8_layer_not_null_rules"](spark, SF_SMALL)).splitlines()
     assert min(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
     assert max(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
+
+
+def test_streams_have_a_state_partition_a_core_and_retain_two_batches(spark, scratch):
+    kept = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        spark.createDataFrame([("1", '{"job_id": "1", "event_ts": "2024-01-01 00:00:00", "skills_text": "x"}')], "k string, v string").select(
+            F.col("k").cast("binary").alias("key"), F.col("v").cast("binary").alias("value"), F.lit("t").alias("topic"),
+            F.lit(0).alias("partition"), F.lit(0).cast("bigint").alias("offset"), F.current_timestamp().alias("timestamp")) \
+            .write.parquet(f"{scratch}/src")
+        for q in live_layer.start(read_message_files(spark, f"{scratch}/src"), f"{scratch}/out", f"{scratch}/ck", trigger={"availableNow": True}):
+            q.awaitTermination()
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "40"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", kept)
+    for state in ("silver", "job_counts_10m", "skill_counts_30m"):
+        assert len([x for x in os.listdir(f"{scratch}/ck/{state}/state/0") if x.isdigit()]) == 8
