@@ -7,8 +7,13 @@ windows) the builder checks ``df.isStreaming``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
+
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from hirelens.functions import enums
 from hirelens.functions.agg import cents, money_mean
@@ -118,24 +123,70 @@ def _streaming_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int,
                     *keys, "job_count", "distinct_company_count", *[f"avg_{c}" for c in sums])
 
 
+# Companies of a key are dealt to so many groups of one state entry each. A
+# checkpoint holds the number: a stream that has one can't change it.
+_GROUPS = 4096
+
+
+def _slice_gaps(who: T.StructType, out: T.StructType, n: int, slide_s: int) -> StatefulProcessor:
+    """How many slices ago a company was last seen with the same keys (at most
+    ``n``), for rows (group, slice, *who, ...) of closed slices: these come
+    after all slices of the batches before. The state of a group are the
+    companies of its last ``n`` slices, each with its last slice."""
+    width, row_of = len(who), Row(*out.names)
+    state = T.StructType([*who.fields, T.StructField("_slice", T.LongType())])
+    epoch = datetime(1970, 1, 1, tzinfo=timezone.utc)
+
+    # A local class goes to the worker by value: Spark's driver-side worker need not find this module.
+    class SliceGaps(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.last = handle.getListState("last", state)
+
+        def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+            last = {tuple(r[:width]): r[width] for r in self.last.get()}
+            at = None
+            for row in sorted(rows, key=lambda r: r[1]):
+                at, seen = row[1], tuple(row[2:width + 2])
+                gap = min(n, at - last.get(seen, at - n))
+                last[seen] = at
+                end = epoch + timedelta(seconds=(at + 1) * slide_s, microseconds=-1)
+                yield row_of(end, gap, *row[1:])
+            if at is not None:
+                self.last.put([(*seen, s) for seen, s in last.items() if s > at - n])
+
+    return SliceGaps()
+
+
 def _chained_sliding(df: DataFrame, ts: str, keys: list[str], window_min: int, slide_min: int,
                      sums: list[str], watermark: str) -> DataFrame:
-    """Streaming plan for append mode: three aggregates in one query. Rows are
-    first counted per slide-sized slice, key and company; only these counts
-    fan out to the windows that cover a slice (``window_time``), are added up
-    per company and then per key. Every state row is a few numbers, whatever
-    the number of companies of a window, and leaves when its window closes.
-    The result has closed windows only."""
-    names = [f"{p}_{c}" for c in sums for p in ("_s", "_n")]
+    """Streaming plan for append mode: three stateful operators in one query.
+    Rows are first counted per slide-sized slice, key and company. A closed
+    slice of a company gets its gap (:func:`_slice_gaps`): as in the batch plan
+    a company counts in those windows that begin after its slice before. So
+    slices fan out to the windows that cover them without their companies, and
+    are added up before they are shuffled or kept. No state is multiplied by
+    the windows but that of the result's own rows, and all of it leaves when
+    its slice or window closes. The result has closed windows only."""
+    slide_s = slide_min * 60
+    n = window_min // slide_min
+    names = ["_cnt", *[f"{p}_{c}" for c in sums for p in ("_s", "_n")]]
     first = [F.count("job_id").alias("_cnt")]
     for c in sums:
-        first += [F.sum(cents(c)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
-    add = [F.sum(c).alias(c) for c in ("_cnt", *names)]
-    slices = df.withWatermark(ts, watermark) \
-        .groupBy(F.window(ts, f"{slide_min} minutes"), *keys, "company_name").agg(*first)
-    companies = slices.groupBy(F.window(F.window_time("window"), f"{window_min} minutes", f"{slide_min} minutes"),
-                               *keys, "company_name").agg(*add)
-    out = companies.groupBy("window", *keys).agg(*add, F.count("company_name").alias("distinct_company_count"))
+        first += [F.coalesce(F.sum(cents(c)), F.lit(0)).alias(f"_s_{c}"), F.count(c).alias(f"_n_{c}")]
+    who = [*keys, "company_name"]
+    slices = df.withWatermark(ts, watermark).groupBy(F.window(ts, f"{slide_min} minutes"), *who).agg(*first) \
+        .select(F.pmod(F.xxhash64(*who), F.lit(_GROUPS)).alias("_group"),
+                F.floor(F.unix_seconds("window.start") / slide_s).alias("_slice"), *who, *names)
+    types = slices.select(*who, *names).schema
+    told = T.StructType([T.StructField("_time", T.TimestampType()), T.StructField("_gap", T.LongType()),
+                         T.StructField("_slice", T.LongType()), *types.fields])
+    gaps = slices.groupBy("_group").transformWithState(
+        _slice_gaps(types[:len(who)], told, n, slide_s), told, "append", "eventTime", eventTimeColumnName="_time")
+    ex = gaps.withColumn("window", F.window("_time", f"{window_min} minutes", f"{slide_min} minutes"))
+    back = F.col("_slice") - F.floor(F.unix_seconds("window.start") / slide_s)
+    out = ex.groupBy("window", *keys).agg(
+        *[F.sum(c).alias(c) for c in names],
+        F.count(F.when(back < F.col("_gap"), F.col("company_name"))).alias("distinct_company_count"))
     return out.select(enums.time_bucket("window.start").alias("time_bucket"),
                       F.date_format("window.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       *keys, F.col("_cnt").alias("job_count"), "distinct_company_count",

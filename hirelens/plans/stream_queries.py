@@ -57,11 +57,9 @@ def _run(spark: SparkSession, deliveries: DataFrame, name: str, start) -> str:
     for its queries; returns the folder of their outputs. Only the names of
     the slices come to the driver."""
     root = scratch_path(spark, fresh_name(name))
-    staged, source = f"{root}/staged", f"{root}/source"
-    deliveries.write.partitionBy("slice").parquet(staged)
-    rows = spark.read.parquet(staged)
-    for number in sorted(r[0] for r in rows.select("slice").distinct().collect()):
-        rows.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(source)
+    source = f"{root}/source"
+    for number in sorted(r[0] for r in deliveries.select("slice").distinct().collect()):
+        deliveries.where(F.col("slice") == number).drop("slice").write.mode("append").parquet(source)
         for q in start(read_message_files(spark, source), f"{root}/out", f"{root}/checkpoint"):
             q.awaitTermination()
     return f"{root}/out"
