@@ -195,17 +195,18 @@ class Pieces:
             else:
                 known[w] = value
         # Nothing crosses a newline: what is around one is searched by itself, and so together with others.
-        lines = {w: [SPACE + first, *rest] for w in new for first, *rest in [w.split("\n")]
-                 if not rest or (self.no_newline and first and "" not in rest)}
-        found = self._found({part for parts in lines.values() for part in parts})
+        lines = {w: [SPACE + first, *rest] for w in new if "\n" in w for first, *rest in [w.split("\n")]
+                 if self.no_newline and first and "" not in rest}
+        plain = {w: SPACE + w for w in new if "\n" not in w}
+        found = self._found({*plain.values(), *(part for parts in lines.values() for part in parts)})
         for w in new:
-            parts = lines.get(w)
-            if parts is None:
-                value = self._checked(w, SPACE + w, self.one_word(SPACE + w))
-            elif len(parts) == 1:
-                value = found[parts[0]] or self._checked(w, parts[0], self.one_word(parts[0]))
-            else:
+            whole, parts = plain.get(w), lines.get(w)
+            if whole:
+                value = found[whole] or self._checked(w, whole, self.one_word(whole))
+            elif parts:
                 value = self._lines(w, [found[p] or self.one_word(p) for p in parts])
+            else:
+                value = self._checked(w, SPACE + w, self.one_word(SPACE + w))
             known[w] = value
             cache.keep(w, value)
         return known
