@@ -8,16 +8,19 @@ of their total score and expands little besides them.
 No piece goes across the start of a word, nor across two characters that
 are neighbours in no piece. The lattice falls apart there, so it is searched
 in parts, once for each distinct part, and the best N sums are put together.
+Texts are lists of word numbers; what is known of the words lies in arrays.
 """
 
 from __future__ import annotations
 
 import functools
 import heapq
+import random
 import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,18 +29,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelens.llm.common import table
-from hirelens.llm.units import Cache, tokenizer_path
+from hirelens.llm.units import CACHED_CHARS, Cache, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-WORDS = 300_000  # distinct words kept by a worker: some 350 bytes each
+WORDS = 400_000  # distinct words kept by a worker: some 250 bytes each
+WORD_CHARS = 16 * WORDS  # characters of these
 SPACE = "▁"
 PENALTY = 10.0   # an unknown character scores so much less than the worst piece
-TOGETHER = 8192  # words searched at once
-LONGEST = 40     # characters of such words; longer ones are searched one by one
+TOGETHER = 8192  # parts searched at once
+LONGEST = 40     # characters of such parts; longer ones are searched one by one
 LEARNT = 1 << 22  # characters of texts whose words are learnt together
-_BASE = 0x9E3779B97F4A7C15
-_SPREAD = 0xD6E8FEB86659FD93
+SEARCHED = 1 << 20  # characters of new words whose parts are held at once
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
@@ -63,12 +66,8 @@ class Pieces:
         self.prefixes = {p[:n] for p in self.known for n in range(1, len(p) + 1)}
         self.inside = {p[i:i + 2] for p in self.known for i in range(len(p) - 1)}
         self.by_word = not any(pair[0] != SPACE and pair[1] == SPACE for pair in self.inside)
-        self.words = Cache(lambda w: self.one_word(SPACE + w), WORDS)
-        self.runs = Cache(self._one_run, WORDS // 10)
-        self.odd: set[str] = set()      # words and runs whose ids don't decode to them
         self.table = PieceTable(self)
-        self.no_newline = not any("\n" in p for p in self.known)
-        self.newline = self._part("\n")
+        self.words = Words(self)
         self.options: dict[int, Cache] = {}
 
     def spell(self, character: str) -> list[int]:
@@ -158,106 +157,35 @@ class Pieces:
                 ids.append(self.spell(part[way]) if chosen[1] < 0 else [chosen[1]])
         return best[size], best[size] - second, array("i", [i for some in reversed(ids) for i in some]).tobytes()
 
-    def one_word(self, word: str) -> tuple[int, float, float, bytes]:
-        """Number of pieces, best score, lead over the second, ids."""
-        parts = [self._part(p) for p in self.cut(word)]
-        ids = b"".join([p[2] for p in parts])
-        return len(ids) // 4, sum([p[0] for p in parts]), min([p[1] for p in parts]), ids
-
-    def _checked(self, key: str, word: str, found: tuple) -> tuple:
-        """``found`` of a word; notes in ``odd`` if its ids are another text,
-        which pieces alone never are. If every word of a text comes back, the
-        whole text does."""
-        ids = np.frombuffer(found[3], np.int32).tolist()
-        if b"".join([self.raw[i] for i in ids]) != word.replace(SPACE, " ").encode():
-            self.odd.add(key)
-        return found
-
-    def _one_run(self, run: str) -> tuple[int, float, float, bytes]:
-        return self._checked(run, run, self.one_word(run))
-
-    def comes_back(self, text: str, words: list[str], ids: bytes) -> bool:
-        """Whether decoding gives the text: told by its words, unless one of
-        them is odd."""
-        if not self.odd or self.odd.isdisjoint(words):
-            return True
-        return self.decode(np.frombuffer(ids, np.int32).tolist()) == text.replace(SPACE, " ")
-
-    def learn(self, words: list[str]) -> dict[str, tuple[int, float, float, bytes]]:
-        """Words without their space sign, all distinct, to what
-        :meth:`one_word` says of them: new ones are searched together."""
-        known, new = {}, []
-        cache, old = self.words, self.words.old
-        for w in words:
-            value = cache.get(w) or old.get(w)
-            if value is None:
-                new.append(w)
-            else:
-                known[w] = value
-        # Nothing crosses a newline: what is around one is searched by itself, and so together with others.
-        lines = {w: [SPACE + first, *rest] for w in new if "\n" in w for first, *rest in [w.split("\n")]
-                 if self.no_newline and first and "" not in rest}
-        plain = {w: SPACE + w for w in new if "\n" not in w}
-        found = self._found({*plain.values(), *(part for parts in lines.values() for part in parts)})
-        for w in new:
-            whole, parts = plain.get(w), lines.get(w)
-            if whole:
-                value = found[whole] or self._checked(w, whole, self.one_word(whole))
-            elif parts:
-                value = self._lines(w, [found[p] or self.one_word(p) for p in parts])
-            else:
-                value = self._checked(w, SPACE + w, self.one_word(SPACE + w))
-            known[w] = value
-            cache.keep(w, value)
-        return known
-
-    def _found(self, strings: set[str]) -> dict[str, tuple | None]:
-        """What the table says of strings, those of one length together."""
-        by_size: dict[int, list[str]] = {}
-        for x in strings:
-            by_size.setdefault(len(x), []).append(x)
-        found: dict[str, tuple | None] = dict.fromkeys(strings)
-        for size, group in by_size.items():
-            for at in range(0, len(group), TOGETHER):
-                some = group[at:at + TOGETHER]
-                if size <= LONGEST and len(some) >= 8:
-                    found.update(zip(some, self.table.search(some, size)))
-        return found
-
-    def _lines(self, word: str, parts: list[tuple]) -> tuple[int, float, float, bytes]:
-        """A word of several lines, from what :meth:`one_word` says of them."""
-        score, lead, ids = self.newline
-        breaks = len(parts) - 1
-        data = ids.join([p[3] for p in parts])
-        value = (len(data) // 4, sum([p[1] for p in parts]) + breaks * score, min(lead, *[p[2] for p in parts]), data)
-        return self._checked(word, SPACE + word, value)
-
-    def segments(self, text: str) -> tuple[list[str], Cache]:
-        """The words of a text and the cache that knows them."""
+    def segments(self, text: str) -> list[str]:
+        """The words of a text, each without the space sign before it."""
         if not text:
-            return [], self.runs
+            return []
         if self.by_word and not text.startswith(" ") and "  " not in text and SPACE not in text:
-            return text.split(" "), self.words
+            return text.split(" ")
         escaped = SPACE + text.replace(" ", SPACE)
-        return (_RUNS.findall(escaped) if self.by_word else [escaped]), self.runs
+        return [run[1:] for run in _RUNS.findall(escaped)] if self.by_word else [escaped[1:]]
 
     def encode_batch(self, texts: list[str], n: int = N_BEST) -> Iterator[tuple[bytes, list[float], list[tuple], bool]]:
         """:meth:`encode` of each text, and whether decoding gives the text
         back; their words are learnt together."""
-        at = 0
+        at, known = 0, self.words
         while at < len(texts):
-            end, size, distinct, cut = at, 0, set(), []
+            end, size, words, stops = at, 0, [], [0]
             while end < len(texts) and (end == at or size + len(texts[end]) <= LEARNT):
-                words, cache = self.segments(texts[end])
-                cut.append((words, cache))
-                if cache is self.words:
-                    distinct.update(words)
+                words += self.segments(texts[end])
+                stops.append(len(words))
                 size += len(texts[end])
                 end += 1
-            known = self.learn(list(distinct))
-            for text, (words, cache) in zip(texts[at:end], cut):
-                found = self._put_together(words, cache, known if cache is self.words else cache, n)
-                yield *found, self.comes_back(text, words, found[0])
+            numbers = known.learn(words)
+            sizes, scores, leads, odd = (x[numbers] for x in (known.sizes, known.scores, known.leads, known.odd))
+            ids, places = _runs_of(known.ids, known.starts[numbers], sizes), np.append(0, np.cumsum(sizes))
+            for text, a, b in zip(texts[at:end], stops, stops[1:]):
+                data = ids[places[a]:places[b]].tobytes()
+                best, changes = self._put_together(words[a:b], data, places[a:b + 1] - places[a], scores[a:b], leads[a:b], n)
+                # If every word of a text comes back, the whole text does.
+                back = not odd[a:b].any() or self.decode(np.frombuffer(data, np.int32).tolist()) == text.replace(SPACE, " ")
+                yield data, best, changes, back
             at = end
 
     def encode(self, text: str, n: int = N_BEST) -> tuple[bytes, list[float], list[tuple]]:
@@ -267,36 +195,36 @@ class Pieces:
         least."""
         return next(self.encode_batch([text], n))[:3]
 
-    def _put_together(self, words: list[str], cache: Cache, known, n: int):
+    def _put_together(self, words: list[str], data: bytes, places: np.ndarray, scores: np.ndarray, leads: np.ndarray,
+                      n: int) -> tuple[list[float], list[list[tuple]]]:
+        """The N best scores and the changes of :meth:`encode`, from the ids of
+        the words, their places in ``data``, best scores and leads."""
         if not words:
-            return b"", [], []
-        found = [known[w] for w in words]
-        sizes, scores, leads, own = zip(*found)
-        ids, total = b"".join(own), sum(scores)
+            return [], []
+        total = sum(scores.tolist())
         # The N best sums differ from the best in the N - 1 words of least lead at most.
-        leads = np.array(leads)
         near = np.arange(len(leads))
         if len(leads) >= n:
             near = np.flatnonzero(leads <= np.partition(leads, n - 2)[n - 2])
             near = np.sort(near[np.argsort(leads[near], kind="stable")[:n - 1]])
         sums: list[tuple[float, tuple]] = [(0.0, ())]
         for k in near[leads[near] < np.inf].tolist():
-            options = self._options(SPACE + words[k] if cache is self.words else words[k], n)
-            best, own = options[0][0], array("i")
-            own.frombytes(found[k][3])
+            options = self._options(SPACE + words[k], n)
+            best, own = options[0][0], np.frombuffer(data[4 * int(places[k]):4 * int(places[k + 1])], np.int32).tolist()
             # Among equal scores the search may not begin with the best that is returned.
-            options = [(best, own.tolist()), *[o for o in options if o[1] != own.tolist()][:n - 1]]
+            options = [(best, own), *[o for o in options if o[1] != own][:n - 1]]
             more = [(loss + best - score, choice + ((k, other),) if j else choice)
                     for loss, choice in sums for j, (score, other) in enumerate(options)]
             more.sort(key=lambda x: x[0])
             sums = more[:n]
-        stops = np.cumsum(sizes)
-        return (ids, [total - loss for loss, _ in sums],
-                [[(int(stops[k]) - sizes[k], int(stops[k]), other) for k, other in choice] for _, choice in sums])
+        return ([total - loss for loss, _ in sums],
+                [[(int(places[k]), int(places[k + 1]), other) for k, other in choice] for _, choice in sums])
 
     def _options(self, word: str, n: int) -> list[tuple[float, list[int]]]:
         """The ``n`` best of a word, from the ``n`` best of its parts."""
-        known = self.options.setdefault(n, Cache(lambda part: self.n_best(part, n), WORDS // 20))
+        if n not in self.options:
+            self.options[n] = Cache(lambda part: self.n_best(part, n), WORDS // 20)
+        known = self.options[n]
         best: list[tuple[float, list[int]]] = [(0.0, [])]
         for part in self.cut(word):
             best = sorted([(s + t, a + b) for s, a in best for t, b in known[part]], key=lambda x: -x[0])[:n]
@@ -308,81 +236,221 @@ class Pieces:
         return text[1:] if text.startswith(" ") else text
 
 
+class Numbers(dict):
+    """Strings to numbers: a new one gets the next."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
+def _runs_of(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The runs of ``data`` from ``starts``, one after the other."""
+    stops = np.cumsum(sizes)
+    return data[np.repeat(starts - stops + sizes, sizes) + np.arange(stops[-1] if len(stops) else 0)]
+
+
+class Words:
+    """What is known of words (strings without the space sign before them), by
+    their numbers: how many pieces, best score, lead over the second, whether
+    the ids decode to another text, and where the best ids are. A worker
+    process keeps one for all its tasks; when it is full, the half that was
+    met most often stays, so memory is bounded whatever the vocabulary."""
+
+    def __init__(self, model: Pieces):
+        self.model, self.numbers, self.chars = model, Numbers(), 0
+        self.sizes, self.starts, self.met = (np.zeros(0, np.int64) for _ in range(3))
+        self.scores, self.leads = np.zeros(0), np.zeros(0)
+        self.odd, self.ids = np.zeros(0, bool), np.zeros(0, np.int32)
+
+    def learn(self, words: list[str]) -> np.ndarray:
+        """The numbers of words; new ones are searched together. The numbers
+        hold until the next call."""
+        if len(self.numbers) > WORDS or self.chars > WORD_CHARS:
+            self._forget()
+        old = len(self.numbers)
+        numbers = np.fromiter(map(self.numbers.__getitem__, words), np.int64, len(words))
+        new = list(islice(self.numbers, old, None))
+        places = np.cumsum(np.fromiter(map(len, new), np.int64, len(new)))
+        self.chars += int(places[-1]) if new else 0
+        at = 0
+        while at < len(new):
+            end = max(at + 1, int(np.searchsorted(places, (places[at - 1] if at else 0) + SEARCHED, side="right")))
+            sizes, scores, leads, odd, ids = self._search(new[at:end])
+            self.starts = np.append(self.starts, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.sizes, self.scores = np.append(self.sizes, sizes), np.append(self.scores, scores)
+            self.leads, self.odd = np.append(self.leads, leads), np.append(self.odd, odd)
+            self.ids = np.append(self.ids, ids)
+            at = end
+        self.met = np.append(self.met, np.zeros(len(new), np.int64)) + np.bincount(numbers, minlength=len(self.numbers))
+        return numbers
+
+    def _forget(self) -> None:
+        words = list(self.numbers)
+        short = np.fromiter(map(len, words), np.int64, len(words)) <= CACHED_CHARS
+        stay = np.flatnonzero(short & (self.met > 1))
+        stay = np.sort(stay[np.argsort(-self.met[stay], kind="stable")[:WORDS // 2]])
+        self.ids = _runs_of(self.ids, self.starts[stay], self.sizes[stay])
+        self.sizes, self.scores, self.leads, self.odd = (x[stay] for x in (self.sizes, self.scores, self.leads, self.odd))
+        self.starts, self.met = np.cumsum(self.sizes) - self.sizes, self.met[stay] // 2
+        self.numbers = Numbers((words[k], i) for i, k in enumerate(stay.tolist()))
+        self.chars = sum(map(len, self.numbers))
+
+    def _search(self, words: list[str]) -> tuple[np.ndarray, ...]:
+        """Pieces, best scores, leads, oddness and the ids of words, from
+        those of their distinct parts."""
+        table = self.model.table
+        text = SPACE + SPACE.join(words)
+        cut = table.cuts(text)
+        first = np.cumsum([0, *[len(w) + 1 for w in words[:-1]]])
+        cut[first] = True
+        starts, parts = np.flatnonzero(cut), Numbers()
+        bounds = [*starts.tolist(), len(text)]
+        each = map(text.__getitem__, map(slice, bounds, bounds[1:]))
+        which = np.fromiter(map(parts.__getitem__, each), np.int64, len(starts))
+        sizes, scores, leads, odd, ids = table.search(list(parts))
+        begins, word = (np.cumsum(sizes) - sizes)[which], np.searchsorted(starts, first)
+        return (np.add.reduceat(sizes[which], word), np.add.reduceat(scores[which], word),
+                np.minimum.reduceat(leads[which], word), np.logical_or.reduceat(odd[which], word),
+                _runs_of(ids, begins, sizes[which]))
+
+
 class PieceTable:
-    """The same search over many words of one length at once: all their
-    substrings are looked up by 64-bit hashes, and each Viterbi step is an
-    array operation over the words."""
+    """The same search over many parts at once. The pieces are a trie in
+    arrays: the child of node ``v`` by a character of kind ``c`` is node
+    ``base[v] + c``, if that node's parent is ``v``. Each step of the search
+    is an array operation over all parts that have an edge there."""
 
     def __init__(self, model: Pieces):
-        self.model, self.longest = model, max(map(len, model.known), default=1)
-        hashes = {self._hash(p): i_score for p, i_score in model.known.items()}
-        self.whole = len(hashes) == len(model.known)
-        self.keys = np.array(sorted(hashes), np.uint64)
-        self.ids = np.array([hashes[int(k)][0] for k in self.keys], np.int32)
-        self.scores = np.array([hashes[int(k)][1] for k in self.keys])
-        self.first = np.searchsorted(self.keys, np.arange((1 << 18) + 1, dtype=np.uint64) << np.uint64(46))
-        self.deepest = int(np.diff(self.first).max(initial=0))
-        self.keys = np.append(self.keys, np.zeros(self.deepest + 1, np.uint64))
-
-    @staticmethod
-    def _hash(piece: str) -> int:
-        h = 0
-        for c in piece:
-            h = (h * _BASE + ord(c) + 1) % (1 << 64)
-        return h * _SPREAD % (1 << 64)
-
-    def _find(self, hashes: np.ndarray) -> np.ndarray:
-        """Places in the table; -1: no piece."""
-        at = self.first[(hashes >> np.uint64(46)).astype(np.int64)]
-        out = np.full(len(hashes), -1)
-        for step in range(self.deepest):
-            out = np.where(self.keys[at + step] == hashes, at + step, out)
-        return np.where(out < len(self.ids), out, -1)
-
-    def search(self, words: list[str], size: int) -> list[tuple | None]:
-        """:meth:`Pieces.one_word` of words of ``size`` characters; None where
-        a character is no piece (its bytes are put in one by one)."""
-        n, low = len(words), float("-inf")
-        if not self.whole:
-            return [None] * n
-        codes = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).reshape(n, size).astype(np.uint64) + np.uint64(1)
-        best, back = np.full((size + 1, n), low), np.full((size + 1, n), low)
-        came = np.zeros((size + 1, n), np.int64)
-        best[0], back[size] = 0.0, 0.0
-        edges = {}
-        hashes: list[np.ndarray] = []
-        for end in range(1, size + 1):
-            hashes = [h * np.uint64(_BASE) + codes[:, end - 1] for h in hashes[-(self.longest - 1):]] + [codes[:, end - 1]]
-            for start, h in zip(range(end - len(hashes), end), hashes):
-                place = self._find(h * np.uint64(_SPREAD))
-                some = place >= 0
-                if not some.any() and start < end - 1:
-                    continue
-                score = np.where(some, self.scores[place], self.model.lost if start == end - 1 else low)
-                edges[start, end] = place, score
-                better = best[start] + score > best[end]
-                best[end] = np.where(better, best[start] + score, best[end])
-                came[end] = np.where(better, start, came[end])
-        for (start, end), (_, score) in sorted(edges.items(), key=lambda e: -e[0][1]):
-            back[start] = np.maximum(back[start], back[end] + score)
-        second, way = np.full(n, low), np.full(n, size)
-        path, lost = np.full((n, size), -1, np.int32), np.zeros(n, bool)
-        for end in range(size, 0, -1):
-            here = way == end
-            way = np.where(here, came[end], way)
-            for start in range(max(0, end - self.longest), end):
-                if (start, end) in edges:
-                    place, score = edges[start, end]
-                    on = here & (way == start)
-                    path[on, start] = self.ids[place[on]]
-                    lost |= on & (place < 0)
-                    second = np.maximum(second, np.where(on, low, best[start] + score + back[end]))
-        used = path >= 0
-        counts = used.sum(axis=1)
-        data, stops = path[used].tobytes(), np.cumsum(counts) * 4
-        starts = stops - counts * 4
-        return [None if bad else (k, total, lead, data[a:b]) for bad, k, total, lead, a, b in zip(
-            lost.tolist(), counts.tolist(), best[size].tolist(), (best[size] - second).tolist(), starts.tolist(), stops.tolist())]
+        self.model = model
+        paired = sorted(set("".join(model.inside)))
+        characters = paired + sorted(set("".join(model.known)) - set(paired))
+        kinds = {c: k for k, c in enumerate(characters, 1)}     # 0: in no piece
+        self.kind = np.zeros(0x110000, np.int32)
+        self.kind[[ord(c) for c in characters]] = np.arange(1, len(kinds) + 1)
+        self.paired = len(paired)
+        self.inside = np.zeros((len(paired) + 1, len(paired) + 1), bool)
+        for a, b in model.inside:
+            self.inside[kinds[a], kinds[b]] = True
+        self.alone = np.array([False, *[c in model.known for c in characters]])
+        self._plant(kinds)
+
+    def _plant(self, kinds: dict[str, int]) -> None:
+        below: dict[str, list[str]] = {}
+        for prefix in sorted(self.model.prefixes):
+            below.setdefault(prefix[:-1], []).append(prefix)
+        most, rng, known = len(kinds) + 1, random.Random(0), self.model.known
+        size = 1 << (4 * len(self.model.prefixes)).bit_length()
+        used, nodes, bases = bytearray(size + most), {"": 0}, {}
+        used[0] = True
+        for prefix in sorted(below, key=lambda p: (len(p), -len(below[p]))):
+            wanted = [kinds[child[-1]] for child in below[prefix]]
+            for _ in range(1000):
+                base = rng.randrange(size)
+                if not any(used[base + k] for k in wanted):
+                    break
+            else:
+                base = len(used)
+                used.extend(bytes(most))
+            bases[nodes[prefix]] = base
+            for child, k in zip(below[prefix], wanted):
+                used[base + k], nodes[child] = True, base + k
+        self.base, self.parent, self.ids = np.zeros(len(used), np.int32), *(np.full(len(used), -1, np.int32) for _ in range(2))
+        self.base[list(bases)] = list(bases.values())
+        self.scores = np.zeros(len(used))
+        for prefix, node in nodes.items():
+            if prefix:
+                self.parent[node] = nodes[prefix[:-1]]
+                if prefix in known:
+                    self.ids[node], self.scores[node] = known[prefix]
+
+    def _kinds(self, text: str) -> np.ndarray:
+        return self.kind[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+
+    def cuts(self, text: str) -> np.ndarray:
+        """Whether no piece holds a character and the one before it."""
+        kinds = self._kinds(text)
+        kinds[kinds > self.paired] = 0
+        return np.append(True, ~self.inside[kinds[:-1], kinds[1:]])
+
+    def search(self, parts: list[str]) -> tuple[np.ndarray, ...]:
+        """For each part what :meth:`Pieces._part` says: number of pieces, best
+        score, lead over the second, whether its ids decode to another text
+        (pieces alone never do); and the ids of all."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        kinds = self._kinds("".join(parts))
+        begins = np.cumsum(lengths) - lengths
+        plain = (lengths <= LONGEST) & np.logical_and.reduceat(self.alone[kinds], begins)
+        sizes, odd = np.zeros(len(parts), np.int64), np.zeros(len(parts), bool)
+        scores, leads = np.zeros(len(parts)), np.zeros(len(parts))
+        order, ids = [], []
+        for k in np.flatnonzero(~plain).tolist():
+            scores[k], leads[k], data = self.model._part(parts[k])
+            own = np.frombuffer(data, np.int32)
+            sizes[k] = len(own)
+            odd[k] = b"".join([self.model.raw[i] for i in own.tolist()]) != parts[k].replace(SPACE, " ").encode()
+            order.append([k])
+            ids.append(own)
+        some = np.flatnonzero(plain)
+        some = some[np.argsort(-lengths[some], kind="stable")]
+        for at in range(0, len(some), TOGETHER):
+            group = some[at:at + TOGETHER]
+            sizes[group], scores[group], leads[group], own = self._together(
+                _runs_of(kinds, begins[group], lengths[group]), lengths[group])
+            order.append(group)
+            ids.append(own)
+        order = np.concatenate(order)
+        starts = np.zeros(len(parts), np.int64)
+        starts[order] = np.cumsum(sizes[order]) - sizes[order]
+        return sizes, scores, leads, odd, _runs_of(np.concatenate(ids), starts, sizes)
+
+    def _together(self, kinds: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The search over parts in order of falling length, each of whose
+        characters is a piece."""
+        n, longest, low = len(lengths), int(lengths[0]), float("-inf")
+        columns = np.zeros((n, longest), np.int32)
+        columns[np.arange(longest) < lengths[:, None]] = kinds
+        columns = np.ascontiguousarray(columns.T)
+        longer = np.searchsorted(-lengths, -np.arange(longest + 1), side="left")   # parts with a character there
+        every = np.arange(n)
+        best, back = np.full((longest + 1, n), low), np.full((longest + 1, n), low)
+        best[0], back[lengths, every] = 0.0, 0.0
+        came, last = np.zeros((longest + 1, n), np.int32), np.zeros((longest + 1, n), np.int32)
+        edges = []
+        for start in range(longest):
+            rows, node = every[:longer[start]], np.zeros(longer[start], np.int32)
+            for end in range(start + 1, longest + 1):
+                rows = rows[:np.searchsorted(rows, longer[end - 1])]
+                node = node[:len(rows)]
+                child = self.base[node] + columns[end - 1, rows]
+                there = self.parent[child] == node
+                rows, node = rows[there], child[there]
+                if not len(rows):
+                    break
+                whole = self.ids[node] >= 0
+                on, piece = rows[whole], node[whole]
+                score = self.scores[piece]
+                total = best[start, on] + score
+                edges.append((start, end, on, score, total))
+                better = total > best[end, on]              # of equal ones the longest piece
+                on = on[better]
+                best[end, on], came[end, on], last[end, on] = total[better], start, piece[better]
+        # The best paths, from their ends.
+        to, path = np.zeros((longest + 1, n), np.int32), np.full((longest, n), -1, np.int32)
+        way = lengths.copy()
+        for end in range(longest, 0, -1):
+            on = np.flatnonzero(way == end)
+            start = came[end, on]
+            to[start, on], path[start, on] = end, self.ids[last[end, on]]
+            way[on] = start
+        second = np.full(n, low)
+        for start, end, on, score, total in reversed(edges):
+            behind = back[end, on]
+            back[start, on] = np.maximum(back[start, on], behind + score)
+            second[on] = np.maximum(second[on], np.where(to[start, on] == end, low, total + behind))
+        path = np.ascontiguousarray(path.T)
+        used, total = path >= 0, best[lengths, every]
+        return used.sum(axis=1), total, total - second, path[used]
 
 
 def put_in(data: bytes, changes) -> bytes:

@@ -162,6 +162,34 @@ def test_a_star_gives_distinct_segmentations_in_order():
     assert len({tuple(i) for _, i in found}) == 40
 
 
+def test_words_share_the_search_of_their_parts():
+    model, rng, searched = pieces.Pieces(MODEL), random.Random(7), []
+    search = model.table.search
+    model.table.search = lambda parts, *size: searched.extend(parts) or search(parts, *size)
+    words = sorted({"".join(rng.choices("thenraio", k=8)) for _ in range(400)})
+    words = [w + mark for mark in ("", ",", ".", ".\nThe") for w in words]
+    ids, scores, _ = model.encode(" ".join(words), 2)
+    assert len(searched) == len(set(searched)) <= len(words) / 4 + 10
+    assert scores[0] == sum(model.n_best(pieces.SPACE + w, 1)[0][0] for w in words)
+    assert model.decode(np.frombuffer(ids, np.int32)) == " ".join(words)
+
+
+def test_words_are_forgotten_and_searched_again(monkeypatch):
+    for name, value in {"WORDS": 20, "WORD_CHARS": 200, "SEARCHED": 30, "TOGETHER": 8}.items():
+        monkeypatch.setattr(pieces, name, value, raising=False)
+    model, rng = pieces.Pieces(MODEL), random.Random(3)
+    some = ["the", "cat,", "on", "no.\nYes", "naïve", "日本", "\U0001f600", "x" * 45, "=" * 41, "", "▁"]
+    texts = [" ".join(rng.choice([rng.choice(some), "".join(rng.choices("thenra.,", k=rng.randrange(1, 9)))])
+                      for _ in range(rng.randrange(7))) for _ in range(200)]
+    for at in range(0, len(texts), 5):
+        for text, (ids, scores, changes, back) in zip(texts[at:at + 5], model.encode_batch(texts[at:at + 5], 3)):
+            want = model.n_best(pieces.SPACE + text.replace(" ", pieces.SPACE), 3) if text else []
+            assert scores == [s for s, _ in want] and back
+            for own in (pieces.put_in(ids, c) for c in changes):
+                assert model.decode(np.frombuffer(own, np.int32)) == text.replace(pieces.SPACE, " ")
+        assert len(model.words.numbers) <= 20 + 5 * 8
+
+
 def test_decoding_agrees_with_the_library():
     from sentencepiece import SentencePieceProcessor
     theirs, model = SentencePieceProcessor(model_file=MODEL), pieces.pieces(MODEL)
