@@ -33,14 +33,14 @@ from hirelens.llm.units import CACHED_CHARS, Cache, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 N_BEST = 4
-WORDS = 400_000  # distinct words kept by a worker: some 250 bytes each
+WORDS = 300_000  # distinct words kept by a worker: some 250 bytes each
 WORD_CHARS = 16 * WORDS  # characters of these
 SPACE = "▁"
 PENALTY = 10.0   # an unknown character scores so much less than the worst piece
 TOGETHER = 8192  # parts searched at once
 LONGEST = 40     # characters of such parts; longer ones are searched one by one
-LEARNT = 1 << 22  # characters of texts whose words are learnt together
-SEARCHED = 1 << 20  # characters of new words whose parts are held at once
+LEARNT = 1 << 20  # characters of texts whose words are learnt together
+SEARCHED = 1 << 19  # characters of new words whose parts are held at once
 _RUNS = re.compile(f"{SPACE}+[^{SPACE}]*")
 
 
