@@ -19,6 +19,11 @@ def bronze_dedup(df: DataFrame, key=("job_id", "hash_content", "ingest_date"),
     return agg.select(*key, "_row.*", "duplicate_count")
 
 
+def latest_flag(key: list[str], order=("ingest_ts",)) -> Column:
+    """K6: whether a row is the last one of its key in ``order``."""
+    return F.lead(F.lit(1)).over(Window.partitionBy(*key).orderBy(*order)).isNull()
+
+
 def versioned(df: DataFrame, key: str | list[str] = "job_id", order=("ingest_ts",),
               hash_col: str = "hash_content", with_latest_flag: bool = True,
               bucket: Column | None = None) -> DataFrame:
@@ -47,7 +52,7 @@ def versioned(df: DataFrame, key: str | list[str] = "job_id", order=("ingest_ts"
             .withColumn("record_version",
                         (F.sum("_chg").over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1).cast("int"))
         if with_latest_flag:
-            out = out.withColumn("is_latest", F.lead(F.lit(1)).over(w).isNull())
+            out = out.withColumn("is_latest", latest_flag(keys_, order))
         return out.drop("_chg")
 
     wb = Window.partitionBy(*keys_, "_bucket").orderBy(*ordered)

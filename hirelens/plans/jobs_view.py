@@ -22,11 +22,13 @@ written once as DataFrame code (the job) and once as SQL (the oracle).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hirelens.functions import enums
-from hirelens.operators.keys import versioned
+from hirelens.operators.keys import latest_flag, versioned
+from hirelens.sinks.commits import remove
+from hirelens.sinks.steps import written
 from hirelens.sources.tables import read_table
 
 ORDER_COLS = ("ingest_ts", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
@@ -57,29 +59,82 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _jobs(spark, sf_dir, keyed=True)
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
+        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+
+
+def _parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
+
+
+def _suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+
+
+def _of_line() -> dict[str, Column]:
+    """The view's columns that lineitem and orders give."""
+    undisclosed = F.col("l_discount") >= 0.09
+    level_raw = _case(F.col("o_orderpriority"), PRIORITY_LEVEL)
+    emp_raw = _case(F.col("l_returnflag"), RETURNFLAG_EMPLOYMENT)
+    return {
+        "source": F.lit("tpch"),
+        "ingest_ts": F.col("l_shipdate"),
+        "level_raw": level_raw,
+        "level_normalized": enums.level_normalized(level_raw),
+        "employment_type": enums.employment_type(emp_raw),
+        "status": F.col("o_orderstatus"),
+        "salary_min": F.when(undisclosed, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")),
+        "salary_max": F.when(undisclosed, F.lit(None).cast("double"))
+        .otherwise(F.floor(F.col("l_extendedprice") * (F.lit(1.0) + F.col("l_tax")) * 100) / 100),
+        "posting_date": F.col("o_orderdate").cast("date"),
+        "english_required": F.col("l_linestatus") == "O",
+        "has_benefits": F.col("l_quantity") >= 25,
+    }
+
+
+def _of_part_and_supplier() -> dict[str, Column]:
+    """The view's columns that part, supplier and nation give."""
+    return {
+        "company_name": F.col("s_name"),
+        "city": F.col("n_name"),
+        "job_title": F.col("p_name"),
+        "category_level_1": F.col("p_type"),
+        "category_level_2": F.col("p_brand"),
+        "category_level_3": F.col("p_size").cast("string"),
+        "experience_months_min": F.col("p_size") * 3,
+    }
+
+
+_COLUMNS = ("source", "ingest_ts", "company_name", "city", "job_title", "level_raw", "level_normalized",
+            "employment_type", "status", "category_level_1", "category_level_2", "category_level_3",
+            "salary_min", "salary_max", "posting_date", "experience_months_min", "english_required", "has_benefits")
+
+
 def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
     """J rows. ``keyed=False`` leaves out the two sha256 columns and keeps the
     integer key and the content struct instead (they are equivalent), so a
     shuffle / sort by key moves integers, not 64-character strings. It leaves
     out ``skills``, too: :func:`_skilled` gives them."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
-        "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
-    o = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
-    p = read_table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_brand", "p_size")
-    s = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    li, o = _lines(spark, sf_dir), _orders(spark, sf_dir)
+    p, s = _parts(spark, sf_dir), _suppliers(spark, sf_dir)
     # nation is 25 rows by definition: a proven size bound, so broadcast.
-    n = F.broadcast(read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    n = F.broadcast(_nations(spark, sf_dir))
     # part / supplier / orders: Spark picks broadcast vs. shuffle from size
     # statistics (autoBroadcastJoinThreshold) and AQE re-plans at runtime.
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(p, li.l_partkey == p.p_partkey)
          .join(s, li.l_suppkey == s.s_suppkey)
          .join(n, s.s_nationkey == n.n_nationkey))
-    undisclosed = F.col("l_discount") >= 0.09
-    level_raw = _case(F.col("o_orderpriority"), PRIORITY_LEVEL)
-    emp_raw = _case(F.col("l_returnflag"), RETURNFLAG_EMPLOYMENT)
     if keyed:
         ident = [_job_id(F.col("l_orderkey"), F.col("l_linenumber")).alias("job_id"),
                  F.sha2(F.concat_ws("|", "p_name", "s_name", "n_name",
@@ -87,30 +142,8 @@ def _jobs(spark: SparkSession, sf_dir: str, keyed: bool) -> DataFrame:
                  .alias("hash_content")]
     else:
         ident = ["l_orderkey", "l_linenumber", _content().alias("_content")]
-    rows = j.select(
-        *ident,
-        F.lit("tpch").alias("source"),
-        F.col("l_shipdate").alias("ingest_ts"),
-        F.col("s_name").alias("company_name"),
-        F.col("n_name").alias("city"),
-        F.col("p_name").alias("job_title"),
-        level_raw.alias("level_raw"),
-        enums.level_normalized(level_raw).alias("level_normalized"),
-        enums.employment_type(emp_raw).alias("employment_type"),
-        F.col("o_orderstatus").alias("status"),
-        F.col("p_type").alias("category_level_1"),
-        F.col("p_brand").alias("category_level_2"),
-        F.col("p_size").cast("string").alias("category_level_3"),
-        F.when(undisclosed, F.lit(None).cast("double")).otherwise(F.col("l_extendedprice")).alias("salary_min"),
-        F.when(undisclosed, F.lit(None).cast("double"))
-        .otherwise(F.floor(F.col("l_extendedprice") * (F.lit(1.0) + F.col("l_tax")) * 100) / 100)
-        .alias("salary_max"),
-        F.col("o_orderdate").cast("date").alias("posting_date"),
-        (F.col("p_size") * 3).alias("experience_months_min"),
-        (F.col("l_linestatus") == "O").alias("english_required"),
-        (F.col("l_quantity") >= 25).alias("has_benefits"),
-        "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity",
-    )
+    of = _of_line() | _of_part_and_supplier()
+    rows = j.select(*ident, *[of[c].alias(c) for c in _COLUMNS], "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
     return _skilled(rows) if keyed else rows
 
 
@@ -182,6 +215,44 @@ def jobs_latest(spark: SparkSession, sf_dir: str, narrow: bool = False) -> DataF
     return jobs_versioned(spark, sf_dir, narrow=narrow).filter("is_latest").drop("is_latest")
 
 
+def _having(lines: DataFrame, key: str, table: DataFrame, table_key: str, path: str) -> DataFrame:
+    """The lines whose key the table has. The keys that it lacks, as a rule few
+    or none, are stored: the lines needn't be dealt by this key to be rid of them."""
+    lacking = lines.select(key).distinct().join(table, F.col(key) == F.col(table_key), "left_anti")
+    return lines.where(F.col(key).isNotNull()).join(written(lacking, path), key, "left_anti")
+
+
+def _one_each(table: DataFrame, key: str) -> DataFrame:
+    """One row a key: rows of a line that differ in no order column are the
+    same version of its posting, and one of them is the latest."""
+    return table.groupBy(key).agg(F.max(F.struct(*[c for c in table.columns if c != key])).alias("_row")).select(key, "_row.*")
+
+
+def jobs_latest_stored(spark: SparkSession, sf_dir: str, path: str, *columns: str) -> DataFrame:
+    """These columns of :func:`jobs_latest`, stored below ``path``. Which line
+    is a posting's latest one is found by lineitem's own columns, among those
+    that have an order, a part and a supplier; the texts of part and supplier
+    only come to the latest lines. Each step is stored and the shuffle files of
+    the one before are gone by then."""
+    li, o = _lines(spark, sf_dir), _orders(spark, sf_dir)
+    p, n = _parts(spark, sf_dir), _nations(spark, sf_dir)
+    s = _suppliers(spark, sf_dir).join(F.broadcast(n), F.col("s_nationkey") == F.col("n_nationkey"), "left_semi")
+    lines = _having(li, "l_partkey", p, "p_partkey", f"{path}/without_part")
+    lines = _having(lines, "l_suppkey", s, "s_suppkey", f"{path}/without_supplier")
+    j = lines.join(o, lines.l_orderkey == o.o_orderkey).withColumn("ingest_ts", F.col("l_shipdate"))
+    j = j.withColumn("is_latest", latest_flag(["l_orderkey", "l_linenumber"], ORDER_COLS)).where("is_latest")
+    of_line = {c: v for c, v in _of_line().items() if c in columns}
+    latest = written(j.select("l_partkey", "l_suppkey", *[v.alias(c) for c, v in of_line.items()]), f"{path}/lines")
+    p, s, n = _one_each(p, "p_partkey"), _one_each(s, "s_suppkey"), F.broadcast(_one_each(n, "n_nationkey"))
+    j = (latest.join(p, latest.l_partkey == p.p_partkey)
+         .join(s, latest.l_suppkey == s.s_suppkey)
+         .join(n, s.s_nationkey == n.n_nationkey))
+    rows = _skilled(j.select(*of_line, *[v.alias(c) for c, v in _of_part_and_supplier().items()])).select(*columns)
+    rows = written(rows, f"{path}/rows")
+    remove(spark, f"{path}/lines")
+    return rows
+
+
 # ---------------------------------------------------------------- oracle SQL
 
 J_SQL = """

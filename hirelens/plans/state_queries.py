@@ -13,23 +13,9 @@ from hirelens.plans.jobs_view import ORDER_COLS, with_j
 from hirelens.plans.registry import query
 from hirelens.session import scratch_path
 from hirelens.sinks.commits import remove
+from hirelens.sinks.steps import written as _written
 from hirelens.streaming.runs import fresh_name
 
-_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def _written(df: DataFrame, path: str, *by: str) -> DataFrame:
-    """``df`` as a table at ``path``; the shuffle files of the write go with it."""
-    spark = df.sparkSession
-    kept = spark.conf.get(_SHUFFLE_CLEANUP)
-    spark.conf.set(_SHUFFLE_CLEANUP, "true")
-    try:
-        (df.write.partitionBy(*by) if by else df.write).parquet(path)
-    finally:
-        spark.conf.set(_SHUFFLE_CLEANUP, kept)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 @query("k5_versions_from_state", with_j("""
 SELECT job_id, ingest_ts, l_partkey, l_suppkey, hash_content, record_version, is_latest FROM jv"""))
 def q_k5_state(spark, sf_dir):

@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from hirelens.operators import dictionary, realtime
+from hirelens.operators import dictionary, gold, realtime
+from hirelens.plans import jobs_view
 from hirelens.session import checkpoint_dir
+from hirelens.sinks import steps
 from hirelens.sources.messages import read_message_files
 from hirelens.streaming import live_layer
 
@@ -109,6 +111,43 @@ def test_profile_deals_rows_by_group_and_no_values(spark):
     assert same == E.queries()["k6_latest_snapshot"](spark, SF_SMALL).count()
 
 
+def _odd_keys(spark, to: str) -> str:
+    """Tables of sf0.001 of which some lines have no part, supplier or order,
+    parts and orders come twice and a nation is gone."""
+    os.makedirs(to)
+    t = {n: spark.read.parquet(f"{SF_SMALL}/{n}.parquet") for n in ("lineitem", "orders", "part", "supplier", "nation")}
+    li = t["lineitem"].withColumn("l_partkey", F.when(F.col("l_quantity") % 7 == 1, 10**9).when(F.col("l_quantity") % 7 != 2, F.col("l_partkey"))) \
+        .withColumn("l_linenumber", F.when(F.col("l_orderkey") % 5 > 0, F.col("l_linenumber")))
+    li.write.parquet(f"{to}/lineitem.parquet")
+    t["orders"].where("o_orderkey % 11 > 0").unionByName(t["orders"].where("o_orderkey % 11 = 1")).write.parquet(f"{to}/orders.parquet")
+    t["part"].where("p_partkey % 13 > 0").unionByName(t["part"].where("p_partkey % 13 = 1")).write.parquet(f"{to}/part.parquet")
+    t["supplier"].where("s_suppkey % 3 > 0").unionByName(t["supplier"].where("s_suppkey % 3 = 1")).write.parquet(f"{to}/supplier.parquet")
+    t["nation"].where("n_nationkey <> 4").write.parquet(f"{to}/nation.parquet")
+    return to
+
+
+@pytest.mark.parametrize("name, operator", [("a6_job_facts_daily", gold.job_facts_daily)])
+@pytest.mark.parametrize("broadcast", ["10485760", "-1"])
+def test_latest_postings_are_stored_before_they_are_counted(spark, scratch, monkeypatch, name, operator, broadcast):
+    path, plans = _odd_keys(spark, f"{scratch}/t"), {}
+
+    def written(df, to, *by):
+        plans[to.split("/")[-1].split("-")[0]] = _plan(df)
+        return steps.written(df, to, *by)
+
+    monkeypatch.setattr(jobs_view, "written", written)
+    want = operator(jobs_view.jobs_latest(spark, path))
+    plans.clear()
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        found = E.queries()[name](spark, path)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert "lineitem" not in _plan(found) and "part.parquet" not in plans["lines"] and "lineitem" not in plans["rows"]
+    assert want.count() > 100 and want.exceptAll(found).count() == found.exceptAll(want).count() == 0
+
+
 def test_versions_are_dealt_without_skills(spark):
     plan = _plan(E.queries()["v8_layer_not_null_rules"](spark, SF_SMALL)).splitlines()
     assert min(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
