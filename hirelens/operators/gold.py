@@ -19,6 +19,7 @@ from hirelens.functions import enums
 from hirelens.functions.agg import cents, money_avg, money_mean, ratio
 from hirelens.operators.ranking import rank_desc, ranks_desc
 from hirelens.session import scratch_path
+from hirelens.sinks.steps import written
 from hirelens.streaming.runs import fresh_name
 
 PERCENTILE_PLACES = 4
@@ -121,15 +122,15 @@ def job_facts_daily(silver: DataFrame) -> DataFrame:
 
 def skill_counts_daily(silver: DataFrame) -> DataFrame:
     """A7 gold_skill_counts_daily with W1 ranks (ties share a rank)."""
-    ex = exploded_skills(silver.withColumn("_day", F.to_date("posting_date")), "_day", "source", "city",
-                         "category_level_3", "company_name", "salary_min", "salary_max")
-    agg = ex.groupBy("_day", "source", "skill", "city", "category_level_3").agg(
+    keys, cols = ["_day", "source", "city", "category_level_3"], ["company_name", "salary_min", "salary_max"]
+    # Postings are dealt by what they share with all their skills: these multiply no shuffle.
+    dealt = silver.withColumn("_day", F.to_date("posting_date")).select(*keys, *cols, "skills") \
+        .withColumn("_dealt", F.xxhash64(*keys)).repartition("_dealt")
+    agg = exploded_skills(dealt, "_dealt", *keys, *cols).groupBy("_dealt", "_day", "source", "skill", "city", "category_level_3").agg(
         F.count(F.lit(1)).alias("job_count"),
-        F.count_distinct("company_name").alias("distinct_company_count"), *_money())
+        F.count_distinct("company_name").alias("distinct_company_count"), *_money()).drop("_dealt")
     # Written once: read twice below, with other columns, it would be worked out twice.
-    path = scratch_path(silver.sparkSession, fresh_name("skill_counts"))
-    agg.write.parquet(path)
-    agg = silver.sparkSession.read.parquet(path)
+    agg = written(agg, scratch_path(silver.sparkSession, fresh_name("skill_counts")))
     ranked = ranks_desc(agg, ["_day", "source"], "city", "job_count", "skill_rank_in_day", "skill_rank_in_city")
     return ranked.select(enums.date_key("_day").alias("date_key"), *ranked.drop("_day").columns)
 

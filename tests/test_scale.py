@@ -126,7 +126,7 @@ def _odd_keys(spark, to: str) -> str:
     return to
 
 
-@pytest.mark.parametrize("name, operator", [("a6_job_facts_daily", gold.job_facts_daily)])
+@pytest.mark.parametrize("name, operator", [("a6_job_facts_daily", gold.job_facts_daily), ("a7_skill_counts_daily", gold.skill_counts_daily)])
 @pytest.mark.parametrize("broadcast", ["10485760", "-1"])
 def test_latest_postings_are_stored_before_they_are_counted(spark, scratch, monkeypatch, name, operator, broadcast):
     path, plans = _odd_keys(spark, f"{scratch}/t"), {}
@@ -136,6 +136,7 @@ def test_latest_postings_are_stored_before_they_are_counted(spark, scratch, monk
         return steps.written(df, to, *by)
 
     monkeypatch.setattr(jobs_view, "written", written)
+    monkeypatch.setattr(gold, "written", written)
     want = operator(jobs_view.jobs_latest(spark, path))
     plans.clear()
     kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
@@ -148,6 +149,19 @@ def test_latest_postings_are_stored_before_they_are_counted(spark, scratch, monk
     assert want.count() > 100 and want.exceptAll(found).count() == found.exceptAll(want).count() == 0
 
 
+def test_skills_multiply_no_shuffle(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(gold, "written", lambda df, to: (plans.append(_plan(df)), steps.written(df, to))[1])
+    rows = [("t", "c", "3", "x", 1.0, 2.0, d, ["a", "b", "a", ""]) for d in (None, "2020-01-01", "2020-01-01")]
+    df = spark.createDataFrame(rows, "source string, city string, category_level_3 string, company_name string, salary_min double, "
+                                     "salary_max double, posting_date string, skills array<string>").withColumn("posting_date", F.to_date("posting_date"))
+    found = sorted((r["date_key"] or "", r["skill"], r["job_count"], r["distinct_company_count"], r["skill_rank_in_day"])
+                   for r in gold.skill_counts_daily(df).collect())
+    assert found == [("", "a", 1, 1, 1), ("", "b", 1, 1, 1), ("2020-01-01", "a", 2, 1, 1), ("2020-01-01", "b", 2, 1, 1)]
+    (plan,) = plans
+    assert plan.count("Exchange ") == 1 and "skill#" not in plan[plan.index("Exchange "):].splitlines()[0]
+
+
 def test_versions_are_dealt_without_skills(spark):
     plan = _plan(E.queries()["v8_layer_not_null_rules"](spark, SF_SMALL)).splitlines()
     assert min(i for i, x in enumerate(plan) if "split(" in x) < min(i for i, x in enumerate(plan) if "Exchange hashpartitioning(l_orderkey" in x)
