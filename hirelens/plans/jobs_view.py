@@ -178,6 +178,23 @@ def jobs_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _narrowed(_skilled(_jobs(spark, sf_dir, keyed=False)))
 
 
+_NAMES = ("job_title", "company_name", "city")
+
+
+def jobs_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J rows with ``posting`` and, in place of ``content``, the texts that it
+    is made of: rows to store. :func:`narrow_of` gives ``content`` for them."""
+    rows = _jobs(spark, sf_dir, keyed=False)
+    return rows.select(_posting().alias("posting"), *[x for x in rows.columns if x not in _IDENT])
+
+
+def narrow_of(rows: DataFrame) -> DataFrame:
+    """``posting`` and ``content`` (:func:`_narrowed`) for :func:`jobs_texts`."""
+    price = F.col("l_extendedprice").cast("decimal(12,2)").cast("string")
+    content = F.unhex(F.sha2(F.concat_ws("|", *_NAMES, price), 256))
+    return rows.select("posting", content.alias("content"), *[x for x in rows.columns if x not in ("posting", *_NAMES)])
+
+
 def named(narrow: DataFrame) -> DataFrame:
     """``job_id`` and ``hash_content`` for ``posting`` and ``content``."""
     return narrow.select(F.sha2("posting", 256).alias("job_id"), F.lower(F.hex("content")).alias("hash_content"),

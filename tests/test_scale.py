@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from hirelens.operators import dictionary, gold, realtime
-from hirelens.plans import jobs_view
+from hirelens.plans import jobs_view, state_queries
 from hirelens.session import checkpoint_dir
 from hirelens.sinks import steps
 from hirelens.sources.messages import read_message_files
@@ -56,6 +56,26 @@ def test_versions_from_state_keep_no_copy_of_the_table_a_delivery(spark):
     assert rows.exceptAll(same).count() == same.exceptAll(rows).count() == 0
 
 
+def test_versions_from_state_are_shuffled_on_their_way_to_the_first_table_only(spark, monkeypatch):
+    plans = {}
+
+    def dealt(df, path, *a):
+        plans[path.split("/")[-1]] = _plan(df)
+        return steps.dealt(df, path, *a)
+
+    monkeypatch.setattr(state_queries, "dealt", dealt)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plans["table"] = _plan(E.queries()["k5_versions_from_state"](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert sorted(plans) == ["bronze", "late1", "late2", "new0", "new1", "new2", "state0", "state1", "state2", "table"]
+    assert [name for name, plan in plans.items() if "Exchange" in plan] == ["bronze"]
+    assert plans["bronze"].count("Exchange") == 1 and "SortMergeJoin" in plans["table"]
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("step_")]
+
+
 def test_latest_snapshot_is_dealt_once_and_postings_without_a_line_number_are_one(spark, scratch):
     os.makedirs(f"{scratch}/t")
     for name in ("orders", "part", "supplier", "nation"):
@@ -131,9 +151,9 @@ def _odd_keys(spark, to: str) -> str:
 def test_latest_postings_are_stored_before_they_are_counted(spark, scratch, monkeypatch, name, operator, broadcast):
     path, plans = _odd_keys(spark, f"{scratch}/t"), {}
 
-    def written(df, to, *by):
+    def written(df, to):
         plans[to.split("/")[-1].split("-")[0]] = _plan(df)
-        return steps.written(df, to, *by)
+        return steps.written(df, to)
 
     monkeypatch.setattr(jobs_view, "written", written)
     monkeypatch.setattr(gold, "written", written)
